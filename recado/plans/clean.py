@@ -32,13 +32,16 @@ def prepared_comments(df: DataFrame, network: str | None = None) -> DataFrame:
 
 def clean_tagged(df: DataFrame, profile: LanguageProfile, remove_mandatory: bool = True, stemming: bool = True,
                  network: str | None = None, keep_length_rejects: bool = False,
-                 lexicon: DataFrame | None = None) -> DataFrame:
+                 lexicon: DataFrame | None = None, with_text_key: bool = False) -> DataFrame:
     """Every sentence, and every comment rejected whole, with ``reject_reason`` (NULL when kept).
 
     Sentences of the wrong length are in neither output, unless asked for. With a ``lexicon`` table the
-    lemmas come from a join instead of the profile's own entries.
+    lemmas come from a join instead of the profile's own entries. ``with_text_key`` adds the digest of
+    the original text, worked out once per comment.
     """
     prepared = prepared_comments(df, network)
+    if with_text_key:
+        prepared = prepared.withColumn("text_key", t.text_key(F.col("original_text")))
     tagged = prepared.withColumn("_reason", c.comment_reject_reason(F.col("original_text"), profile.brand))
     front = s.front(F.col("original_text"), profile, keep_length_rejects)
     as_rejected = F.array(F.struct(
