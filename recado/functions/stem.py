@@ -11,6 +11,7 @@ but for those that the feminine step itself brings back (``-ona`` to ``-ão``, `
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -236,11 +237,24 @@ def read_rules(steps: dict[str, str]) -> tuple[StemRule, ...]:
     return tuple(rules)
 
 
+def _change(rule: StemRule) -> tuple[str, str]:
+    """What a rule takes off the end of its suffix and what it puts there: ``-osa`` to ``-oso`` is (a, o)."""
+    kept = len(os.path.commonprefix([rule.suffix, rule.replacement]))
+    return rule.suffix[kept:], rule.replacement[kept:]
+
+
+def _run_key(rule: StemRule) -> tuple[str, str]:
+    """Rules of one key share a regular expression: they put the same text in place of what they take off,
+    which is a whole suffix, or else the same letters."""
+    off, on = _change(rule)
+    return ("" if off == rule.suffix else off), on
+
+
 def _runs(rules: Sequence[StemRule]) -> list[list[StemRule]]:
     """Split one step into as few regular expressions as its replacements allow.
 
-    A rule must come after every rule with a longer suffix that ends in its own, or share its run:
-    the leftmost match in a word is then the longest suffix.
+    A rule must come after every rule with a longer suffix that ends in its own, or share its run: the
+    leftmost match in a word is then the longest suffix, or all matches make the same change.
     """
     runs: list[list[StemRule]] = []
     at: dict[StemRule, int] = {}
@@ -248,9 +262,9 @@ def _runs(rules: Sequence[StemRule]) -> list[list[StemRule]]:
         first = 0
         for longer, run in at.items():
             if longer.suffix.endswith(rule.suffix):
-                first = max(first, run + (longer.replacement != rule.replacement))
+                first = max(first, run + (_run_key(longer) != _run_key(rule)))
         for run in range(first, len(runs)):
-            if runs[run][0].replacement == rule.replacement:
+            if _run_key(runs[run][0]) == _run_key(rule):
                 break
         else:
             runs.append([])
@@ -263,11 +277,13 @@ def _runs(rules: Sequence[StemRule]) -> list[list[StemRule]]:
 def _pattern(rules: Sequence[StemRule]) -> str:
     by_letter: dict[str, list[str]] = {}
     for rule in rules:
-        least = len(rule.suffix) + rule.min_stem
-        part = rf"{rule.suffix[1:]}(?![^ ])(?<=[^ ]{{{least}}})"
+        off, _ = _change(rule)
+        part = rf"{off[1:]}(?![^ ])(?<=[^ ]{{{len(rule.suffix) + rule.min_stem}}})"
+        if off != rule.suffix:
+            part += f"(?<={rule.suffix})"
         if rule.exceptions:
             part += f"(?<!(?:^| )(?:{'|'.join(rule.exceptions)}))"
-        by_letter.setdefault(rule.suffix[0], []).append(part)
+        by_letter.setdefault(off[0], []).append(part)
     return "|".join(f"{letter}(?:{'|'.join(parts)})" for letter, parts in by_letter.items())
 
 
@@ -278,7 +294,7 @@ def stem(text: Column, rules: Sequence[StemRule]) -> Column:
         if not in_step:
             continue
         for run in _runs(in_step):
-            text = F.regexp_replace(text, _pattern(run), run[0].replacement + DONE)
+            text = F.regexp_replace(text, _pattern(run), _change(run[0])[1] + DONE)
         if step not in EXCLUSIVE:
             text = F.translate(text, DONE, "")
     return F.translate(text, DONE, "")

@@ -23,7 +23,7 @@ def comment_text(text: Column, brand: str) -> Column:
 
 
 def sentence_letters(text: Column, profile: LanguageProfile) -> Column:
-    return t.letters_only(t.strip_residue(t.remove_stop_words(text, profile.all_stop_words())))
+    return t.residue_to_letters(t.remove_stop_words(text, profile.all_stop_words()))
 
 
 def front(text: Column, profile: LanguageProfile, keep_length_rejects: bool = False) -> Column:
@@ -35,7 +35,7 @@ def front(text: Column, profile: LanguageProfile, keep_length_rejects: bool = Fa
 
 
 def has_right_length(text: Column, profile: LanguageProfile) -> Column:
-    return t.word_count(text).between(profile.lower_limit, profile.upper_limit)
+    return t.has_words(text, profile.lower_limit, profile.upper_limit)
 
 
 def unaccented(text: Column, profile: LanguageProfile) -> Column:

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.ml.feature import StopWordsRemover
 
 from recado.functions.stem import PORTUGUESE, StemRule, read_rules
+from recado.functions.text import NO_LETTER
 
 
 @dataclass(frozen=True)
@@ -162,9 +163,9 @@ PT_SYNONYMS = _lines("""
 # Patterns whose matches become one space, in this order.
 PT_USELESS = (
     "fazer pedido", "obrigar", "numero pedido", "pedido numero", "bom dia", "bom tarde", "bom noite", "tudo bem",
-    "(^|[^A-Za-zÀ-ÿ])(ola)[^A-Za-zÀ-ÿ]",
-    "(^|[^A-Za-zÀ-ÿ])(ano)[^A-Za-zÀ-ÿ]",
-    "(^|[^A-Za-zÀ-ÿ])(amar)[^A-Za-zÀ-ÿ]",
+    f"(^|{NO_LETTER})(ola){NO_LETTER}",
+    f"(^|{NO_LETTER})(ano){NO_LETTER}",
+    f"(^|{NO_LETTER})(amar){NO_LETTER}",
     "assim", "nessa", "nesse", "horar", "ok", "okay", "loja",
 )
 

@@ -16,10 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The test tables are one file each, so one task: give text work all cores. A cluster's tables have many files."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if spark.sparkContext.master.startswith("local") else df
+
+
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document is a comment, some by tagged users, some after a name; every label is one without text."""
     i = F.col("comment_id")
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("comment_id"), "text", F.col("source").alias("content_type"))
+    docs = spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("comment_id"), "text", F.col("source").alias("content_type")))
     empty = table(spark, sf_dir, "labels").select(
         (F.col("doc_id") + NO_TEXT_IDS).alias("comment_id"), F.lit(None).cast("string").alias("text"),
         F.lit("label").alias("content_type"))
@@ -38,16 +45,9 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("text")).alias("text"))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The test tables are one file each, so one task: give text work all cores. A cluster's tables have many files."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if spark.sparkContext.master.startswith("local") else df
-
-
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comment texts with their id."""
-    return spread(comments(spark, sf_dir).where(F.col("text").isNotNull()).select("comment_id", "text"))
+    return comments(spark, sf_dir).where(F.col("text").isNotNull()).select("comment_id", "text")
 
 
 def event_k() -> Column:

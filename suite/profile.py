@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from recado.functions.text import NO_LETTER
 from recado.profiles import PT, LanguageProfile, Lemma, Taxonomy
 
 TEST = LanguageProfile(
@@ -15,7 +16,7 @@ TEST = LanguageProfile(
               ("esndha", "esth"), ("eaux", "eau"), ("onre", "onr"), ("heit", "keit"), ("cion", "sion"), ("ing", "en")),
     mandatory=("thin", "thinor", "ntre", "reed", "onr", "keit", "eau", "sion", "thnd", "erth", "lich", "esth", "haer"),
     blacklist=("onlyhe atshsh", "licensed"),
-    useless=("thsh", "ha reedes", "(^|[^A-Za-zÀ-ÿ])(re)[^A-Za-zÀ-ÿ]", "(^|[^A-Za-zÀ-ÿ])(ti)[^A-Za-zÀ-ÿ]", "sch", "schl"),
+    useless=("thsh", "ha reedes", f"(^|{NO_LETTER})(re){NO_LETTER}", f"(^|{NO_LETTER})(ti){NO_LETTER}", "sch", "schl"),
     lemma_exempt=("los",),
     lemmas=(
         Lemma("thndly", "VERB", "thndar"), Lemma("aterth", "NOUN", "aterthes"), Lemma("therhean", "ADJ", "therno"),

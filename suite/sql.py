@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from recado.functions.stem import StemRule
+from recado.functions.text import NO_LETTER
 from suite.adapters import CENTROIDS, EVENT_LABELS, EVENT_TYPES, PROBLEM_OF
 from suite.profile import TAXONOMY, TEST
 
@@ -113,7 +114,7 @@ def any_of(x: str, terms: Sequence[str]) -> str:
 
 def useless(x: str) -> str:
     for pattern in TEST.useless:
-        x = rx(x, pattern, " ")
+        x = rx(x, pattern.replace(NO_LETTER, "[^A-Za-zÀ-ÿ]"), " ")
     return x
 
 
@@ -309,7 +310,8 @@ worst AS (SELECT run, user_name, problema AS worst_problem FROM inside
 results AS (SELECT run, user_name, CASE WHEN n_modes > 1 THEN worst_problem ELSE mode END AS problema_30d
             FROM worst LEFT JOIN tops USING (run, user_name)),
 final_run AS (SELECT comment_id, sentence_idx, max(run) AS run FROM inside GROUP BY ALL),
-replayed AS (SELECT s.*, r.problema_30d FROM severe s LEFT JOIN final_run f USING (comment_id, sentence_idx)
+replayed AS (SELECT s.*, r.problema_30d FROM severe s
+             LEFT JOIN final_run f ON f.comment_id = s.comment_id AND f.sentence_idx IS NOT DISTINCT FROM s.sentence_idx
              LEFT JOIN results r ON r.run = f.run AND r.user_name = s.user_name)"""
 
 
