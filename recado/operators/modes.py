@@ -1,7 +1,8 @@
 """Each user's most frequent problem over a span of days, now or replayed for past days.
 
 Rows hold ``user_name``, ``interaction_date``, ``problema``, ``sentimento`` and a row key. They are
-first counted per user, date and problem: what follows grows with dates and problems, not with rows.
+first counted per user, date and problem, and the counts are stored: what follows reads them several
+times, and grows with dates and problems, not with rows.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from recado.operators.labels import severity
 from recado.operators.skew import attach
 from recado.profiles import Taxonomy
+from recado.sources.staging import staged
 
 DAYS = 30  # fixed value
 NO_SENTIMENT = 1_000  # rows without a sentiment count as the most severe
@@ -46,7 +48,7 @@ def user_problem_mode(rows: DataFrame, taxonomy: Taxonomy, days: int = DAYS, as_
     The span ends at the user's last date (or ``as_of``), both ends included. Several most frequent
     problems: the problem of the user's most severe row, over all their rows and not only the span.
     """
-    daily = _counted(rows, taxonomy, F.col("interaction_date"), key)
+    daily = staged(_counted(rows, taxonomy, F.col("interaction_date"), key), "daily-problems")
     users = daily.groupBy("user_name").agg(
         F.max("d").alias("last"), F.max("worst").alias("worst"), F.count(F.lit(1)).alias("n_rows"),
         F.sum("n").alias("n_all"))
@@ -87,7 +89,7 @@ def replay_problem_mode(rows: DataFrame, taxonomy: Taxonomy, start: str, end: st
     reached = (F.col("d") <= last_day) & (F.col("run") >= F.lit(start).cast("date"))
     bucket = lambda d: F.floor(F.unix_date(d) / width)
 
-    daily = _counted(rows, taxonomy, F.to_date("interaction_date"), key).where(F.col("d").isNotNull())
+    daily = staged(_counted(rows, taxonomy, F.to_date("interaction_date"), key).where(F.col("d").isNotNull()), "daily-problems")
     runs = (daily.withColumn("run", final_run).where(reached)
             .groupBy("user_name", "run").agg(F.sum("n").alias("n_rows")))
     in_buckets = runs.select("user_name", "run", F.explode(F.array_distinct(F.array(

@@ -66,7 +66,7 @@ def event_sentences(spark: SparkSession, sf_dir: str, teams: bool = False) -> Da
     if teams:
         user = F.when(F.col("user_id") % 15 != 0, F.concat(F.lit("team_"), (F.col("user_id") % 15).cast("string")))
         note = F.concat(F.lit("note "), F.floor(event_k() / 4).cast("string"))
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         F.col("event_id").alias("comment_id"), F.lit(0).alias("sentence_idx"), user.alias("user_name"),
         F.date_trunc("day", F.col("ts").cast("timestamp")).alias("interaction_date"),
         F.concat(F.lit("https://social.example/e/"), F.col("event_type")).alias("url"),
