@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from recado.functions import text as t
 from recado.functions.stem import stem
+from recado.operators.skew import SMALL_ROWS
 from recado.profiles import LEMMATISED, LanguageProfile
 
 LITERAL_LEMMAS = 500  # entries a plan may carry; a larger dictionary is joined
@@ -95,23 +96,27 @@ def lemmatise(text: Column, profile: LanguageProfile) -> Column:
 
 
 def lemmatise_by_join(df: DataFrame, lexicon: DataFrame, keys: list[str], exempt: tuple[str, ...] = (),
-                      ways: int = 32) -> DataFrame:
+                      ways: int = 32, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Lemmas from a dictionary table ``(surface, pos, lemma)`` of any size.
 
-    Words are joined by surface form and put back in order per sentence. The words are salted and the
-    dictionary is repeated per salt, because a few words make up a large share of any text; where the
-    dictionary is small enough Spark broadcasts it, and then the salt costs nothing.
+    Words are joined by surface form and put back in order per sentence. A few words make up a large share
+    of any text: unless the dictionary is counted as small and broadcast, words are salted and the
+    dictionary is repeated per salt.
     """
-    words = (df.select(*keys, F.posexplode(F.split("text", " ")).alias("_pos", "surface"))
-             .withColumn("_way", F.pmod(F.xxhash64(*keys), F.lit(ways)).cast("int")))
+    words = df.select(*keys, F.posexplode(F.split("text", " ")).alias("_pos", "surface"))
     entries = (lexicon.where(F.col("pos").isin(*LEMMATISED) & ~F.col("surface").isin(*exempt))
-               .groupBy("surface").agg(F.min("lemma").alias("lemma"))
-               .withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))))
-    rebuilt = (words.join(entries, ["surface", "_way"], "left")
-               .groupBy(*keys)
+               .groupBy("surface").agg(F.min("lemma").alias("lemma")))
+    if entries.limit(small_rows + 1).count() <= small_rows:
+        found = words.join(F.broadcast(entries), "surface", "left")
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))
+        found = (words.withColumn("_way", F.pmod(F.xxhash64(*keys, "_pos"), F.lit(ways)).cast("int"))
+                 .join(entries.withColumn("_way", salts), ["surface", "_way"], "left"))
+    rebuilt = (found.groupBy(*keys)
                .agg(F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("lemma", "surface").alias("word")))).alias("_w"))
                .select(*keys, F.array_join(F.col("_w.word"), " ").alias("text")))
-    return df.drop("text").join(rebuilt, keys)
+    rest = df.drop("text")
+    return rebuilt if set(rest.columns) == set(keys) else rest.join(rebuilt, keys)
 
 
 def length_report(df: DataFrame, profile: LanguageProfile) -> DataFrame:

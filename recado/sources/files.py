@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from recado.functions.text import text_key
 
 COMMENT_SCHEMA = ("comment_id bigint, interaction_date string, user_name string, url string, "
                   "content_type string, text string")
@@ -33,10 +36,11 @@ def write_comments(df: DataFrame, path: str, dialect: str = "infer") -> None:
 
 
 def write_results(df: DataFrame, path: str, fmt: str = "parquet", sort: bool = False) -> None:
-    """Results in column order; as CSV every field is quoted. ``sort`` orders the files by date."""
+    """Results in column order; as CSV every field is quoted. ``sort`` orders the files by date, and within
+    a date by user and text, so that a busy day can be cut into several files."""
     df = df.select(*RESULT_COLUMNS)
     if sort:
-        df = df.orderBy("interaction_date")
+        df = df.orderBy("interaction_date", "user_name", text_key(F.col("original_text")))
     if fmt == "csv":
         df.write.options(**CSV_OPTIONS, **DIALECTS["train"], quoteAll="true").csv(path)
     else:

@@ -15,22 +15,31 @@ from recado.sources.files import COMMENT_SCHEMA, CSV_OPTIONS, DIALECTS
 from recado.sources.store import merge_into_store
 
 OVERLAP = "7 days"  # extracts of the last 7 days overlap: the same comment arrives several times
+WAYS = 16
 
 
-def stream_comments(spark: SparkSession, path: str, dialect: str = "infer", schema: str = COMMENT_SCHEMA,
-                    files_per_batch: int = 100) -> DataFrame:
-    """Comments of arriving files, each text and user once within the overlap.
+def arriving_comments(spark: SparkSession, path: str, dialect: str = "infer", schema: str = COMMENT_SCHEMA,
+                      files_per_batch: int = 100) -> DataFrame:
+    """Comments of arriving files, as they come."""
+    return (spark.readStream.schema(schema).options(**CSV_OPTIONS, **DIALECTS[dialect])
+            .option("maxFilesPerTrigger", files_per_batch).csv(path))
 
-    The state holds a digest per comment, and drops it once the watermark has passed.
+
+def once_within_overlap(stream: DataFrame) -> DataFrame:
+    """Each text and user once within the overlap.
+
+    The state holds a digest per comment and drops it once the watermark has passed; comments older than
+    that are late and left to a batch run. Copies are cut down in ``WAYS`` parts per text and user first,
+    so that a text that many copies share is not one task's work.
     """
-    raw = (spark.readStream.schema(schema).options(**CSV_OPTIONS, **DIALECTS[dialect])
-           .option("maxFilesPerTrigger", files_per_batch).csv(path))
-    return (raw.where(F.col("text").isNotNull())
+    return (stream.where(F.col("text").isNotNull())
             .withColumn("interaction_date", F.to_timestamp("interaction_date"))
             .withColumn("_text_key", t.text_key(F.col("text")))
             .withWatermark("interaction_date", OVERLAP)
+            .withColumn("_way", F.pmod(F.xxhash64("comment_id"), F.lit(WAYS)))
+            .dropDuplicatesWithinWatermark(["_text_key", "user_name", "_way"])
             .dropDuplicatesWithinWatermark(["_text_key", "user_name"])
-            .drop("_text_key"))
+            .drop("_text_key", "_way"))
 
 
 def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -43,7 +52,8 @@ def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], ch
 
 def ingest_sentences(stream: DataFrame, profile: LanguageProfile, out: str, checkpoint: str,
                      network: str | None = None) -> StreamingQuery:
-    """Clean each batch into its own folder, so that a repeated batch replaces itself.
+    """Clean each batch into its own folder, so that a repeated batch replaces itself. For a stream that
+    holds each comment once (`once_within_overlap`), as folders only add up.
 
     The publish date is left out: it is known only against the stored comments (`plans.clean`).
     """
@@ -56,7 +66,10 @@ def ingest_sentences(stream: DataFrame, profile: LanguageProfile, out: str, chec
 
 def ingest_results(stream: DataFrame, classify: Callable[[DataFrame], DataFrame], store: str,
                    checkpoint: str) -> StreamingQuery:
-    """Classify each batch with a saved model and merge it into the stored results."""
+    """Classify each batch with a saved model and merge it into the stored results.
+
+    The merge replaces what an earlier extract brought, so the stream needs no state and drops nothing.
+    """
     def batch(df: DataFrame, batch_id: int) -> None:
         merge_into_store(classify(df), store)
 

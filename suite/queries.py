@@ -446,7 +446,8 @@ def audit_unnamed_clusters(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def cluster_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    return naming.build_lookup(_clustered(spark, sf), TAXONOMY)
+    """From stored sentences, as in training: sizes and names both read them."""
+    return naming.build_lookup(train.staged(_clustered(spark, sf), "clustered"), TAXONOMY)
 
 
 # -- labelling -----------------------------------------------------------------------------------
@@ -583,8 +584,8 @@ def _arrived(spark: SparkSession, sf: str) -> str:
 @query
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     out, checkpoint = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-checkpoint")
-    arrived = ingest.stream_comments(spark, _arrived(spark, sf))
-    ingest.ingest_sentences(arrived, TEST, out, checkpoint, network="instagram")
+    arrived = ingest.arriving_comments(spark, _arrived(spark, sf))
+    ingest.ingest_sentences(ingest.once_within_overlap(arrived), TEST, out, checkpoint, network="instagram")
     return spark.read.parquet(out).select(
         "user_name", F.sha2("original_text", 256).alias("text_digest"),
         F.coalesce(F.col("sentence_idx"), F.lit(-1)).cast("bigint").alias("sentence_idx"), "reject_reason", "text")
@@ -595,7 +596,7 @@ def stream_classify(spark: SparkSession, sf: str) -> DataFrame:
     """Arriving files classified and merged into the stored results."""
     path, checkpoint = scratch_dir(spark, "store"), scratch_dir(spark, "store-checkpoint")
     ingest.ingest_results(
-        ingest.stream_comments(spark, _arrived(spark, sf)),
+        ingest.arriving_comments(spark, _arrived(spark, sf)),
         lambda df: cl.classify(df, TEST, TAXONOMY, a.fixed_lookup(spark), _assign(spark), network="instagram"), path, checkpoint)
     return _show(store.read_store(spark, path)).select("original_text", "sentimento")
 

@@ -99,8 +99,9 @@ def test_exempt_words_and_other_parts_of_speech_keep_their_form(spark):
     lexicon = spark.createDataFrame([("vale", "NOUN", "valer"), ("para", "ADP", "parar"), ("dias", "NOUN", "dia")],
                                     "surface string, pos string, lemma string")
     df = spark.createDataFrame([(1, 0, "vale para dias"), (1, 1, "dias dias")], "comment_id long, sentence_idx int, text string")
-    done = s.lemmatise_by_join(df, lexicon, ["comment_id", "sentence_idx"], PT.lemma_exempt)
-    assert {r.sentence_idx: r.text for r in done.collect()} == {0: "vale para dia", 1: "dia dia"}
+    for small_rows in (0, 100):
+        done = s.lemmatise_by_join(df, lexicon, ["comment_id", "sentence_idx"], PT.lemma_exempt, small_rows=small_rows)
+        assert {r.sentence_idx: r.text for r in done.collect()} == {0: "vale para dia", 1: "dia dia"}
 
 
 def test_duplicates_keep_the_earliest_and_null_users_are_equal(spark):

@@ -158,8 +158,8 @@ def test_files_that_arrive_later_do_not_repeat_comments(spark, tmp_path):
 
     for name, days in (("first", range(1, 7)), ("second", range(3, 9))):
         arrive(name, days)
-        stream = ingest.stream_comments(spark, f"{arrived}/*")
-        ingest.ingest_sentences(stream, PT, out, checkpoint)
+        stream = ingest.arriving_comments(spark, f"{arrived}/*")
+        ingest.ingest_sentences(ingest.once_within_overlap(stream), PT, out, checkpoint)
     found = spark.read.parquet(out).collect()
     assert sorted(r.comment_id for r in found) == list(range(1, 9))
 
