@@ -143,7 +143,7 @@ def stem_ctes(words_from: str, column: str) -> str:
         ctes.append(f"stem_{i + 1} AS (SELECT w, {stem_step('s', by_step[step])} AS s FROM stem_{i})")
     ctes.append(f"stem_5 AS (SELECT w, s, {stem_step('s', by_step['noun'])} AS noun FROM stem_4)")
     ctes.append(f"stem_6 AS (SELECT w, s, noun, {stem_step('s', by_step['verb'])} AS verb FROM stem_5)")
-    ctes.append(f"stems AS (SELECT w, CASE WHEN noun <> s THEN noun WHEN verb <> s THEN verb "
+    ctes.append(f"stems AS MATERIALIZED (SELECT w, CASE WHEN noun <> s THEN noun WHEN verb <> s THEN verb "
                 f"ELSE {stem_step('s', by_step['vowel'])} END AS stem FROM stem_6)")
     return ",\n".join(ctes)
 
@@ -184,7 +184,7 @@ posts AS (SELECT * EXCLUDE (url), {post_path('url')} AS url FROM deduped),
 dated AS (SELECT *, min(interaction_date) OVER (PARTITION BY url) AS publish_date FROM posts)"""
 
 SENTENCES = DATED + f""",
-tagged AS (SELECT *, CASE WHEN {foreign_mention('text')} THEN 'mention' WHEN {name_first('text')} THEN 'name' END AS reason FROM dated),
+tagged AS MATERIALIZED (SELECT *, CASE WHEN {foreign_mention('text')} THEN 'mention' WHEN {name_first('text')} THEN 'name' END AS reason FROM dated),
 lowered AS (SELECT *, lower(text) AS t_lower FROM tagged WHERE reason IS NULL),
 handled AS (SELECT *, {strip_handles('t_lower')} AS t_handles FROM lowered),
 branded AS (SELECT *, {strip_brand('t_handles')} AS t_brand FROM handled),
@@ -198,10 +198,10 @@ medium AS (SELECT * FROM lettered WHERE {sized('t_letters')}),
 lemmad AS (SELECT *, {lemmas('t_letters')} AS t_lemmas FROM medium),
 plain AS (SELECT *, {accents('t_lemmas')} AS t_accents FROM lemmad),
 synon AS (SELECT *, {synonyms('t_accents')} AS t_synonyms FROM plain),
-judged AS (SELECT * EXCLUDE (reason), CASE WHEN NOT {any_of('t_synonyms', TEST.mandatory)} THEN 'mandatory'
+judged AS MATERIALIZED (SELECT * EXCLUDE (reason), CASE WHEN NOT {any_of('t_synonyms', TEST.mandatory)} THEN 'mandatory'
              WHEN {any_of('t_synonyms', TEST.blacklist)} THEN 'blacklist' END AS reason FROM synon),
-used AS (SELECT *, {useless('t_synonyms')} AS t_useless FROM judged WHERE reason IS NULL),
-words AS (SELECT comment_id, sentence_idx, unnest({words('t_useless')}) AS w,
+used AS MATERIALIZED (SELECT *, {useless('t_synonyms')} AS t_useless FROM judged WHERE reason IS NULL),
+words AS MATERIALIZED (SELECT comment_id, sentence_idx, unnest({words('t_useless')}) AS w,
             generate_subscripts({words('t_useless')}, 1) AS pos FROM used),
 {stem_ctes('SELECT w FROM words', 'w')},
 stemmed AS (SELECT comment_id, sentence_idx, string_agg(stem, ' ' ORDER BY pos) AS t_stems
