@@ -296,5 +296,5 @@ def stem(text: Column, rules: Sequence[StemRule]) -> Column:
         for run in _runs(in_step):
             text = F.regexp_replace(text, _pattern(run), _change(run[0])[1] + DONE)
         if step not in EXCLUSIVE:
-            text = F.translate(text, DONE, "")
-    return F.translate(text, DONE, "")
+            text = F.replace(text, F.lit(DONE), F.lit(""))
+    return F.replace(text, F.lit(DONE), F.lit(""))
