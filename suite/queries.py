@@ -356,7 +356,7 @@ def assign_cluster(spark: SparkSession, sf: str) -> DataFrame:
     points = a.table(spark, sf, "embeddings")
     centers = v.mean_vector(points, "label", "embedding").select(
         F.col("label").alias("subclusters_id"), F.transform("center", lambda x: F.round(x, 4)).alias("center"))
-    return v.assign_clusters(points, centers, "embedding").select("vec_id", F.col("subclusters_id").cast("bigint").alias("subclusters_id"))
+    return v.assign_clusters(points, centers, "embedding").select("vec_id", "subclusters_id")
 
 
 @query
