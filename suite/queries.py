@@ -230,19 +230,23 @@ def lemmatize_lexicon(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("comment_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"), "text")
 
 
-def _with_synonyms(spark: SparkSession, sf: str) -> DataFrame:
-    return _sentences(spark, sf).select("comment_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"),
-                                        s.unaccented(F.col("text"), TEST).alias("text"))
+def _with_synonyms(spark: SparkSession, sf: str, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Sentences after the synonyms; a test on them is put to the array, as a filter would repeat the text work."""
+    parts = F.transform(s.front(F.col("text"), TEST, keep_length_rejects=True), lambda x: F.struct(
+        x["sentence_idx"].cast("bigint").alias("sentence_idx"), s.unaccented(x["text"], TEST).alias("text")))
+    if wanted:
+        parts = F.filter(parts, lambda x: wanted(x["text"]))
+    return a.texts(spark, sf).select("comment_id", F.inline(parts))
 
 
 @query
 def mandatory_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return _with_synonyms(spark, sf).where(t.has_any(F.col("text"), TEST.mandatory))
+    return _with_synonyms(spark, sf, lambda x: t.has_any(x, TEST.mandatory))
 
 
 @query
 def blacklist_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return _with_synonyms(spark, sf).where(~t.has_any(F.col("text"), TEST.blacklist))
+    return _with_synonyms(spark, sf, lambda x: ~t.has_any(x, TEST.blacklist))
 
 
 @query
