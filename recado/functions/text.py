@@ -138,7 +138,8 @@ def word_count(text: Column) -> Column:
 
 def has_words(text: Column, least: int, most: int) -> Column:
     """Word count within both limits, for words that spaces separate."""
-    return text.rlike(rf"^ *[^ ]+(?: +[^ ]+){{{least - 1},{most - 1}}} *$")
+    words = rf"[^ ]+(?: +[^ ]+){{{max(least, 1) - 1},{most - 1}}}"
+    return text.rlike(rf"^ *{words} *$" if least > 0 else rf"^ *(?:{words})? *$")
 
 
 def length_class(n_words: Column, lower_limit: int, upper_limit: int) -> Column:

@@ -197,3 +197,11 @@ def test_one_pass_residue_equals_the_steps(spark):
     df = spark.createDataFrame([(x,) for x in texts], "t string").select(t.remove_stop_words(F.col("t"), ["abc"]).alias("t"))
     both = df.select(t.residue_to_letters(F.col("t")), t.letters_only(t.strip_residue(F.col("t")))).collect()
     assert all(x[0] == x[1] for x in both)
+
+
+@pytest.mark.parametrize(("least", "most"), [(0, 2), (1, 1), (3, 5)])
+def test_length_test_is_the_word_count(spark, least, most):
+    texts = ["", " ", "a", " a ", "a  b", "a b c ", " a b c d e", "a b c d e f", "x " * 20000]
+    df = spark.createDataFrame([(x,) for x in texts], "t string")
+    found = df.select(t.has_words(F.col("t"), least, most).alias("fits"), t.word_count(F.col("t")).alias("n")).collect()
+    assert all(r.fits == (least <= r.n <= most) for r in found)
