@@ -2,4 +2,33 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+#: Targets by repeated sharing, a round for each row of the recursion; keys are sorted and summed per source.
+MIX = r"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k, text
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w
+  FROM sized GROUP BY source),
+rounds AS (
+  SELECT 0 AS step, source, source_size, w, 0.0::DOUBLE AS share, false AS full_up FROM sources
+  UNION ALL
+  SELECT step + 1, source, source_size, w,
+         CASE WHEN full_up OR full_now THEN source_size * 3.0 ELSE level * w END, full_up OR full_now
+  FROM (SELECT *, level * w > source_size * 3.0 AS full_now FROM (
+          SELECT *, (sum(source_size) OVER () - coalesce(sum(source_size * 3.0) FILTER (WHERE full_up) OVER (), 0))
+                    / sum(w) FILTER (WHERE NOT full_up) OVER () AS level FROM rounds))
+  WHERE step < 40),
+budgets AS (
+  SELECT source, source_size, round(share, 6) AS target, CASE WHEN source_size > 0 THEN floor(share / source_size)::BIGINT ELSE 0 END AS passes
+  FROM rounds WHERE step = 40),
+summed AS (
+  SELECT s.doc_id, s.size, b.source_size, b.target, b.passes, floor(b.target)::BIGINT - b.passes * b.source_size AS rest,
+         sum(s.size) OVER (PARTITION BY s.source ORDER BY k, s.doc_id ROWS UNBOUNDED PRECEDING) - s.size AS before
+  FROM sized s JOIN budgets b ON s.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target, (passes * size + least(size, greatest(0, rest - before)))::BIGINT AS taken FROM summed
+"""
+
+ORACLES: dict[str, str] = {"op2_mix_sources": MIX}
