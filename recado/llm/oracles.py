@@ -31,4 +31,16 @@ summed AS (
 SELECT doc_id, size, source_size, target, (passes * size + least(size, greatest(0, rest - before)))::BIGINT AS taken FROM summed
 """
 
-ORACLES: dict[str, str] = {"op2_mix_sources": MIX}
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op1_exact_top_k": TOP_K, "op2_mix_sources": MIX}

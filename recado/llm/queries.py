@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recado.llm import mix, neardup, pack, quality, rules
+from recado.llm import mix, neardup, pack, quality, rules, topk
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(read(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_top_k": op1_exact_top_k,
     "op2_mix_sources": op2_mix_sources,
     "op3_near_duplicates": op3_near_duplicates,
     "op8_best_fit_packing": op8_best_fit_packing,
