@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recado.llm.words import lower_ascii, mix, small_batches, words_of
+from recado.llm.words import by_batch, lower_ascii, mix, small_batches, words_of
 from recado.sources.staging import staged
 
 SHINGLE = 3
@@ -88,7 +88,7 @@ def sketch(docs: DataFrame, row_id: str = "doc_id", text: str = "text", width: i
                 bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(_bands(sets).ravel()))
                 yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(n), _class_ids(sets), bands], names=["_id", "n", "cid", "bands"])
 
-    return used.mapInArrow(run, used.select("_id").schema.add("n", "long").add("cid", "binary").add("bands", T.ArrayType(T.LongType())))
+    return by_batch(used, run, used.select("_id").schema.add("n", "long").add("cid", "binary").add("bands", T.ArrayType(T.LongType())))
 
 
 def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, row_id: str, text: str, width: int) -> DataFrame:
@@ -104,7 +104,7 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, row_id: str, t
                 members = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).astype(np.int64)))
                 yield pa.RecordBatch.from_arrays([_class_ids(sets), members], names=["cid", "members"])
 
-    made = used.select("_text").mapInArrow(run, "cid binary, members array<long>")
+    made = by_batch(used.select("_text"), run, "cid binary, members array<long>")
     return made.join(wanted, "cid", "left_semi").dropDuplicates(["cid"])
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recado.llm.words import small_batches
+from recado.llm.words import by_batch, small_batches
 from recado.sources.staging import staged
 
 LENGTH = 2048
@@ -98,7 +98,7 @@ def pieces(docs: DataFrame, row_id: str = "doc_id", text: str = "text", length:
                     arrays.append(pa.array(columns[4], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return used.mapInArrow(run, schema)
+    return by_batch(used, run, schema)
 
 
 def patterns(lengths: list[int], full: int, most: int = MAX_PATTERNS) -> list[tuple[int, ...]]:
@@ -226,7 +226,7 @@ def pack(made: DataFrame, full: int = LENGTH) -> DataFrame:
             found = [pa.array(table["sequence"][at] + nth // times), pa.array(table["place"][at] + nth % times * length)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], names=schema.names)
 
-    return ranked.mapInArrow(run, schema)
+    return by_batch(ranked, run, schema)
 
 
 def packed(docs: DataFrame, row_id: str = "doc_id", text: str = "text", full: int = LENGTH, with_ids: bool = False) -> DataFrame:

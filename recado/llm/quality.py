@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recado.llm.words import Words, mix, shape_classes, small_batches, words_of
+from recado.llm.words import Words, by_batch, mix, shape_classes, small_batches, words_of
 
 BITS = 18
 SAMPLE = 10_000  # labelled texts that the fit reads at most
@@ -109,8 +109,9 @@ def fit(texts: DataFrame, label: str, text: str = "text", order: str = "_order",
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], names=["at", "weight"])
 
-    rows = (texts.select(F.col(label).cast("double").alias(label), F.col(text).alias(text), order)
-            .repartition(1).sortWithinPartitions(order).select(label, text).mapInArrow(learn, "at long, weight double").collect())
+    stream = (texts.select(F.col(label).cast("double").alias(label), F.col(text).alias(text), order)
+              .repartition(1).sortWithinPartitions(order).select(label, text))
+    rows = by_batch(stream, learn, "at long, weight double").collect()
     weights = np.zeros((1 << BITS) + 1)
     for r in rows:
         weights[r["at"]] = r["weight"]
@@ -132,7 +133,7 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", to: str = "s
                 value = pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), value], names=names)
 
-    return used.mapInArrow(run, schema)
+    return by_batch(used, run, schema)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:

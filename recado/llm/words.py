@@ -6,13 +6,17 @@ A word is ``[^\\x20\\x09-\\x0D]+``. A batch of texts is one byte buffer; it is w
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
-PIECE = 1 << 20
+PIECE = 1 << 18
+BATCH_BYTES = 4 << 20  # of an Arrow batch between Spark and Python, unless the session says otherwise
+BATCH_SETTING, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _U = np.uint64
@@ -150,3 +154,14 @@ def small_batches(batch: pa.RecordBatch, column: str, size: int = 4 * PIECE) ->
         stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+
+
+def by_batch(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType | str) -> DataFrame:
+    """``df.mapInArrow`` with batches bounded by bytes: long texts else make batches that fill a worker's memory.
+
+    Lowers the session's limit to ``BATCH_BYTES`` where it stands at Spark's default; a larger row is a batch of its own.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
