@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recado.llm import mix, neardup, pack, quality, rules, topk
+from recado.llm import chat, html, mix, neardup, pack, quality, rules, topk, urls
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +26,26 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages"))
+
+
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.read_back(chat.format_turns(turns), together=True)
+
+
+#: The contract's rules: host, path, verdict.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, urls.RULE_SCHEMA))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.packed(read(spark, sf_dir, "documents"))
 
@@ -46,6 +66,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_mix_sources": op2_mix_sources,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_html_extraction": op4_html_extraction,
+    "op5_chat_formatting": op5_chat_formatting,
+    "op6_url_filter": op6_url_filter,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,
