@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recado.llm import chat, html, mix, neardup, pack, quality, rules, topk, urls
+from recado.llm import chat, html, licences, mix, neardup, pack, quality, rules, topk, urls
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -46,6 +46,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, urls.RULE_SCHEMA))
 
 
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train(licences.sample(docs)))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.packed(read(spark, sf_dir, "documents"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html_extraction": op4_html_extraction,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_url_filter": op6_url_filter,
+    "op7_licence_scan": op7_licence_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_quality_rules": op10_quality_rules,

@@ -55,6 +55,7 @@ class Words:
 
     hashes: list[np.ndarray]  # one array for each byte table asked for
     ends: np.ndarray
+    starts: np.ndarray  # first byte of each word in the batch's buffer
     sizes: np.ndarray  # bytes of each word
 
     def bounds(self) -> Iterator[tuple[int, int]]:
@@ -75,21 +76,21 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets[1:] - offsets[0]
 
 
-def _pieces(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int]]:
+def _pieces(data: np.ndarray, ends: np.ndarray, is_word: np.ndarray) -> Iterator[tuple[int, int]]:
     """Cuts of the buffer that fall on no word."""
     start, n = 0, len(data)
     while start < n:
         stop = min(start + PIECE, n)
-        if stop < n and IS_WORD[data[stop]] and IS_WORD[data[stop - 1]] and not _is_end(ends, stop):
-            blanks = np.flatnonzero(~IS_WORD[data[start:stop]])
+        if stop < n and is_word[data[stop]] and is_word[data[stop - 1]] and not _is_end(ends, stop):
+            blanks = np.flatnonzero(~is_word[data[start:stop]])
             last = ends[np.searchsorted(ends, stop) - 1] if ends[0] <= stop else 0
             back = max(start + int(blanks[-1]) + 1 if len(blanks) else start, int(last))
             if back > start:
                 stop = back
             else:  # one word longer than a piece
                 text_end = int(ends[np.searchsorted(ends, stop, side="right")]) if ends[-1] > stop else n
-                while stop < text_end and IS_WORD[data[stop]]:
-                    step = ~IS_WORD[data[stop:min(stop + PIECE, text_end)]]
+                while stop < text_end and is_word[data[stop]]:
+                    step = ~is_word[data[stop:min(stop + PIECE, text_end)]]
                     stop += int(step.argmax()) if step.any() else len(step)
         yield start, stop
         start = stop
@@ -117,15 +118,15 @@ def _powers_to(n: int) -> list[np.ndarray]:
     return made
 
 
-def words_of(texts: pa.Array, *tables: np.ndarray) -> Words:
-    """Hash every word once for each byte table (``None`` for the bytes as they are)."""
+def words_of(texts: pa.Array, *tables: np.ndarray | None, is_word: np.ndarray = IS_WORD) -> Words:
+    """Hash every word once for each byte table (``None`` for the bytes as they are); ``is_word``: bytes that make words."""
     data, ends = buffer_of(texts)
     values = [_BYTES if t is None else _BYTES[t] for t in tables]
     hashes: list[list[np.ndarray]] = [[] for _ in values]
     sizes, firsts = [], []
-    for start, stop in _pieces(data, ends):
+    for start, stop in _pieces(data, ends, is_word):
         part = data[start:stop]
-        word = IS_WORD[part]
+        word = is_word[part]
         first, last = word.copy(), word.copy()
         first[1:] &= ~word[:-1]
         last[:-1] &= ~word[1:]
@@ -142,7 +143,7 @@ def words_of(texts: pa.Array, *tables: np.ndarray) -> Words:
         firsts.append(a + start)
     joined = np.concatenate(firsts) if firsts else np.zeros(0, np.int64)
     return Words([np.concatenate(h) if h else np.zeros(0, _U) for h in hashes], np.searchsorted(joined, ends, side="left"),
-                 np.concatenate(sizes) if sizes else np.zeros(0, np.int64))
+                 joined, np.concatenate(sizes) if sizes else np.zeros(0, np.int64))
 
 
 def small_batches(batch: pa.RecordBatch, column: str, size: int = 4 * PIECE) -> Iterator[pa.RecordBatch]:
