@@ -109,7 +109,7 @@ def parse(page: str) -> Node:
             depth -= up.dropped
             node = up.parent
             continue
-        if name not in INLINE and name not in VOID:
+        if name not in INLINE and name not in VOID and name not in RAW:
             node, depth = _closed_before(node, name, depth)
         if name in RAW:
             close = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)

@@ -22,7 +22,8 @@ from recado.llm.quality import Leader
 from recado.llm.words import buffer_of, by_batch, lower_ascii, mix, small_batches, words_of
 
 BITS = 16
-WINDOW, STEP = 64, 32  # words
+WINDOW, STEP = 16, 8  # words
+AROUND_WORDS = 24  # words before and behind a window in which its template may lie, too
 SAMPLE, SAMPLE_CHARS = 1_000, 4_000  # paragraphs of the corpus that the fit reads, and their length at most
 PASSED = 0.001  # share of unknown paragraphs, kept out of the fit, that may pass the classifier
 LIKELY = 3  # families whose templates are compared
@@ -64,11 +65,13 @@ _IS_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] =
 
 @dataclass
 class Segments:
-    """Windows of a batch: the text each belongs to, and its words' first and last place in the batch."""
+    """Windows of a batch: the text each belongs to, its words' first and last place in the batch, and with what is around."""
 
     text: np.ndarray
     first: np.ndarray
     last: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
 
 
 @dataclass
@@ -98,7 +101,10 @@ def _read(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Segments, np.ndarray
     count = np.maximum(1, -(-(stops - starts - (WINDOW - STEP)) // STEP)) if n else np.zeros(0, np.int64)
     nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
     first = np.repeat(starts, count) + nth * STEP
-    return one, found, Segments(text[first] if n else first, first, np.minimum(first + WINDOW, np.repeat(stops, count))), words.starts
+    last = np.minimum(first + WINDOW, np.repeat(stops, count))
+    low = np.maximum(first - AROUND_WORDS, np.repeat(starts, count))
+    high = np.minimum(last + AROUND_WORDS, np.repeat(stops, count))
+    return one, found, Segments(text[first] if n else first, first, last, low, high), words.starts
 
 
 def _logits(found: np.ndarray, at: Segments, weights: np.ndarray) -> np.ndarray:
@@ -128,6 +134,12 @@ def held(text: str, families: list[str]) -> tuple[str, float]:
 def train(lines: list[str]) -> Model:
     """The classifier, from templates and variants, and ``lines`` of the corpus as unknown (those near a template left out)."""
     examples = [(form.format(t), k) for k, f in enumerate(FAMILIES) for t in TEMPLATES[f] for form in AROUND]
+    # notices inside running text: words of the corpus before and behind, or a few of no meaning where there is no corpus
+    running = [x.split() for x in lines if held(x, FAMILIES)[1] < 0.5] or [["some", "words", "of", "a", "text"]]
+    for i, (text, k) in enumerate(examples[::len(AROUND)]):
+        for j in (2 * i, 2 * i + 1):
+            before, behind = running[j % len(running)], running[(7 * j + 3) % len(running)]
+            examples.append((" ".join([*before[:12], text, *behind[:12]]), k))
     examples += [(x, -1) for x in lines if held(x, FAMILIES)[1] < 0.5]
     one, found, at, _ = _read(pa.array([x for x, _ in examples], pa.string()))
     label = np.array([k for _, k in examples])[at.text] if len(one) else np.zeros(0, int)
@@ -178,10 +190,10 @@ def scan(docs: DataFrame, model: Model, row_id: str = "doc_id", text: str = "tex
                 over = np.flatnonzero(likely.max(axis=1) >= model.limit) if len(likely) else []
                 data, ends = buffer_of(texts)
                 for i in over:
-                    row, last = int(at.text[i]), int(at.last[i])
+                    row, last = int(at.text[i]), int(at.high[i])
                     stop = min(int(starts[last]) if last < len(starts) else len(data), int(ends[row]))
                     names = [FAMILIES[k] for k in np.argsort(-likely[i])[:LIKELY]]
-                    family, share = held(data[starts[at.first[i]]:stop].tobytes().decode(errors="ignore"), names)
+                    family, share = held(data[starts[at.low[i]]:stop].tobytes().decode(errors="ignore"), names)
                     if share >= HELD:
                         families[row].add(family)
                         notices[row] += 1

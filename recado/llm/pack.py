@@ -104,9 +104,10 @@ def pieces(docs: DataFrame, row_id: str = "doc_id", text: str = "text", length:
 def patterns(lengths: list[int], full: int, most: int = MAX_PATTERNS) -> list[tuple[int, ...]]:
     """Two or three of ``lengths`` that add up to ``full``: all pairs, and evenly chosen triples up to ``most`` in all."""
     there = np.zeros(full + 1, bool)
-    there[lengths] = True
+    there[np.array(lengths, np.int64)] = True
     found = [(full - b, b) for b in lengths if b < full and 2 * b >= full and there[full - b]]
-    a, b = np.meshgrid(lengths, lengths, indexing="ij")
+    of = np.array(lengths, np.int64)
+    a, b = np.meshgrid(of, of, indexing="ij")
     c = full - a - b
     ok = (a <= b) & (c >= b)
     ok[ok] = there[c[ok]]

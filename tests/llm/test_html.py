@@ -1,0 +1,39 @@
+import pytest
+
+from recado.llm.html import extract, main_text
+
+LONG = "A paragraph of the article that is long enough to be dense, with a few words more."
+
+
+@pytest.mark.parametrize("page,text", [
+    ("", ""), (" \n ", ""), ("plain words only", "plain words only"), ("a < b and c &gt; d", "a < b and c > d"),
+    ("<p>one<p>two &amp; three&nbsp;four", "one two & three\xa0four"),
+    ("<article><h1>T</h1><p><b>bold <br><p>next\n\t line</p></article>", "T bold next line"),
+    ("<article><p>x<script>var t='</p>';</script>y<style>p{}</style></p><!-- <p>no</p> --><p>z</article>", "xy z"),
+    (f"<header>site</header><nav><a href=a>menu</a></nav><main><p>{LONG}</p><form>f<input></form></main><footer>f</footer>", LONG),
+    (f"<article><header><h1>Title</h1></header><p>{LONG}</p><aside>s</aside><footer>by</footer></article>", f"Title {LONG}"),
+    (f"<div class='cookie-notice'>{LONG}</div><div class=post><p>{LONG}</p><p>{LONG}</p></div><div id=comments><p>{LONG}</p></div>", f"{LONG} {LONG}"),
+    (f"<div><a href=1>one</a> <a href=2>two</a> <a href=3>three</a></div><div><p>{LONG}</p><p>{LONG}</p></div>", f"{LONG} {LONG}"),
+    ("<article><p>cut inside a ta</p><p cla", "cut inside a ta"), ("<article><p>open &am", "open &am"),
+    ("<ul><li>one<li>two <i>in</i>line</ul>", "one two inline"), ("<table><tr><td>a<td>b<tr><td>c</table>", "a b c"),
+    ("<p title='the hidden gem'>shown</p><p hidden>not</p>", "shown"), ("<div>" * 5000 + "deep" + "</div>" * 5000, "deep"),
+    ("</div></p>stray<p>ends</b></p>", "stray ends"), ("<script>never ends", ""), ("<P CLASS=AD>no</P><P>Yes</P>", "Yes"),
+])
+def test_main_text(page, text):
+    assert main_text(page) == text
+
+
+def test_very_long_page():
+    body = f"<p>{LONG} &lt;tag&gt;</p>\n" * 20_000
+    assert main_text(f"<nav><a href=x>x</a></nav><article>{body}</article>") == " ".join([f"{LONG} <tag>"] * 20_000)
+
+
+def test_rows(spark):
+    schema = "page_id long, url string, html string, text int, n_chars string"
+    rows = [(1, "u", f"<article><p>é {LONG}</p></article>", 1, "x"), (1, "u", f"<article><p>é {LONG}</p></article>", 1, "x"),
+            (2, None, None, 1, "x"), (None, "v", "", 1, "x")]
+    got = extract(spark.createDataFrame(rows, schema))
+    assert got.dtypes == [("page_id", "bigint"), ("url", "string"), ("text", "string"), ("n_chars", "bigint")]
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(
+        [(1, "u", f"é {LONG}", len(LONG) + 2)] * 2 + [(2, None, "", 0), (None, "v", "", 0)], key=repr)
+    assert extract(spark.createDataFrame([], schema)).collect() == []
