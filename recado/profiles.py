@@ -66,99 +66,94 @@ class LanguageProfile:
 LEMMATISED = ("VERB", "ADJ", "NOUN")
 
 
-def _lines(text: str, sep: str = "=") -> tuple[tuple[str, str], ...]:
-    pairs = (line.strip("|").split(sep) for line in map(str.strip, text.splitlines()) if line)
-    return tuple((old, new) for old, new in pairs)
-
-
 # Fixed values of the Portuguese profile ---------------------------------------------------------
 
 # Words that are on the stop list but carry meaning here, and words missing from it.
 PT_KEEP_WORDS = ("como", "nem", "não", "mais", "que", "está", "foi", "será", "quando", "tive", "até", "sem")
 PT_EXTRA_STOP_WORDS = ("pra", "para")
 
-# Ordered literal replacements, applied to unaccented lemmas; bars show edge spaces.
-PT_SYNONYMS = _lines("""
-    | n = nao |
-    |otima=bom|
-    |otimo=bom|
-    |excelente=bom|
-    | q = que |
-    | pq = porque |
-    | p = para |
-    |por que=porque|
-    |pf =por favor |
-    |pfv =por favor |
-    |pfvr=por favor |
-    |poblem=problem|
-    |hj=hoje|
-    |oque=o que|
-    |extorno=estorno|
-    | nd = nada |
-    |ctt=contato|
-    |efetivar=fazer|
-    |aki=aqui|
-    |agr =agora |
-    |aguard=esper|
-    |relatar=comentario|
-    |voucher=vale|
-    |efetuar=fazer|
-    |whats =whatsapp |
-    |ngm=ninguem|
-    |tbm=tambem|
-    |mto=muito|
-    |vcs=voces|
-    | pro = para o |
-    | pra = para a |
-    |mensagem pronto=mensagem automatica|
-    | mail= email|
-    |markt=market|
-    |plase=place|
-    |site=loja|
-    |loja=loja|
-    | app= loja|
-    |empresa=loja|
-    |aplicativo=loja|
-    |informar que=dizer que|
-    |https www reclameaqui br=reclame aqui|
-    |mercadoria=pedido|
-    |saber do=saber sobre|
-    |empresa =loja |
-    | ver comentarios= ler comentarios|
-    |produto=pedido|
-    |item=pedido|
-    | comprar = pedido |
-    |mudar=trocar|
-    |receber=chegar|
-    |entregar=recebido|
-    |ate hoje=ate agora|
-    |mandar=enviar|
-    |obg=obrigado|
-    |reembolsar=dinheiro|
-    |ressarcimento=dinheiro|
-    |ruim=mau|
-    |mal=mau|
-    |nunca ter=nao ter|
-    |estornar=dinheiro|
-    |msg=mensagem|
-    |status=situacao|
-    |ser entregar=chegar|
-    |pior=mau|
-    |enviar=mandar|
-    |pos-vender=atendimento|
-    |pos vender=atendimento|
-    |resposta=retorno|
-    |responder=retorno|
-    | to = estou |
-    | dia = tempo |
-    | mes = tempo |
-    | ano = tempo |
-    |horrivel=mau|
-    |chegar=recebido|
-    |adorar=amo|
-    |cliente=consumidor|
-    |extraviad=perdid|
-""")
+# Ordered literal replacements, applied to unaccented lemmas; edge spaces count.
+PT_SYNONYMS = (
+    (" n ", " nao "),
+    ("otima", "bom"),
+    ("otimo", "bom"),
+    ("excelente", "bom"),
+    (" q ", " que "),
+    (" pq ", " porque "),
+    (" p ", " para "),
+    ("por que", "porque"),
+    ("pf ", "por favor "),
+    ("pfv ", "por favor "),
+    ("pfvr", "por favor "),
+    ("poblem", "problem"),
+    ("hj", "hoje"),
+    ("oque", "o que"),
+    ("extorno", "estorno"),
+    (" nd ", " nada "),
+    ("ctt", "contato"),
+    ("efetivar", "fazer"),
+    ("aki", "aqui"),
+    ("agr ", "agora "),
+    ("aguard", "esper"),
+    ("relatar", "comentario"),
+    ("voucher", "vale"),
+    ("efetuar", "fazer"),
+    ("whats ", "whatsapp "),
+    ("ngm", "ninguem"),
+    ("tbm", "tambem"),
+    ("mto", "muito"),
+    ("vcs", "voces"),
+    (" pro ", " para o "),
+    (" pra ", " para a "),
+    ("mensagem pronto", "mensagem automatica"),
+    (" mail", " email"),
+    ("markt", "market"),
+    ("plase", "place"),
+    ("site", "loja"),
+    ("loja", "loja"),
+    (" app", " loja"),
+    ("empresa", "loja"),
+    ("aplicativo", "loja"),
+    ("informar que", "dizer que"),
+    ("https www reclameaqui br", "reclame aqui"),
+    ("mercadoria", "pedido"),
+    ("saber do", "saber sobre"),
+    ("empresa ", "loja "),
+    (" ver comentarios", " ler comentarios"),
+    ("produto", "pedido"),
+    ("item", "pedido"),
+    (" comprar ", " pedido "),
+    ("mudar", "trocar"),
+    ("receber", "chegar"),
+    ("entregar", "recebido"),
+    ("ate hoje", "ate agora"),
+    ("mandar", "enviar"),
+    ("obg", "obrigado"),
+    ("reembolsar", "dinheiro"),
+    ("ressarcimento", "dinheiro"),
+    ("ruim", "mau"),
+    ("mal", "mau"),
+    ("nunca ter", "nao ter"),
+    ("estornar", "dinheiro"),
+    ("msg", "mensagem"),
+    ("status", "situacao"),
+    ("ser entregar", "chegar"),
+    ("pior", "mau"),
+    ("enviar", "mandar"),
+    ("pos-vender", "atendimento"),
+    ("pos vender", "atendimento"),
+    ("resposta", "retorno"),
+    ("responder", "retorno"),
+    (" to ", " estou "),
+    (" dia ", " tempo "),
+    (" mes ", " tempo "),
+    (" ano ", " tempo "),
+    ("horrivel", "mau"),
+    ("chegar", "recebido"),
+    ("adorar", "amo"),
+    ("cliente", "consumidor"),
+    ("extraviad", "perdid"),
+)
 
 # Patterns whose matches become one space, in this order.
 PT_USELESS = (
@@ -176,44 +171,46 @@ PT_BLACKLIST = ("numero pedido", "pedido numero")
 PT_LEMMA_EXEMPT = ("vale", "pedido", "reclame", "nota", "desconto", "adidas", "peça", "peças")
 
 # A sentence must hold at least one of these, anywhere.
-PT_MANDATORY = tuple("""
-    pedido loja chegar comprar tempo nunca hoje numero pedir preco conseguir mandar recebido agora entrar
-    retorno propaganda lojar entregar dinheiro email receber problema consumidors retornom empresa recolher
-    comentario acontecer descasar suportar separacao promocao retornor desconto processar enviar resolver
-    responder trocar contato postagem cliente entregue esperar atendimento resposta aguardar reclamacao
-    reputacao devolver prazo retornar ligar mau telefonar transportador codigo vale dm favor cancelar
-    consumidor direct rastrear devolucao respeitar procon mensagem solicitar informar absurdo constar golpe
-    enderecar esclarec atrasar descaso ajudar protocolo estocar cartao ninguem pagamento informacao demorar
-    atender reclamar acabar cade decepcionar reclame fretar falir coletar correio clonar whatsapp perfil
-    direito solucao situacao erro sac rapido aplicativo cupom ultima previsao roubar chamar cancelamento
-    recomendar fiscal boletar vergonha medo ligacao decepcao rastreamento posicao desistir automatico
-    processo parabens qualidade pos-venda lixo experiencia compromisso
-""".split())
+PT_MANDATORY = (
+    "pedido", "loja", "chegar", "comprar", "tempo", "nunca", "hoje", "numero", "pedir", "preco", "conseguir", "mandar",
+    "recebido", "agora", "entrar", "retorno", "propaganda", "lojar", "entregar", "dinheiro", "email", "receber", "problema",
+    "consumidors", "retornom", "empresa", "recolher", "comentario", "acontecer", "descasar", "suportar", "separacao", "promocao",
+    "retornor", "desconto", "processar", "enviar", "resolver", "responder", "trocar", "contato", "postagem", "cliente",
+    "entregue", "esperar", "atendimento", "resposta", "aguardar", "reclamacao", "reputacao", "devolver", "prazo", "retornar",
+    "ligar", "mau", "telefonar", "transportador", "codigo", "vale", "dm", "favor", "cancelar", "consumidor", "direct",
+    "rastrear", "devolucao", "respeitar", "procon", "mensagem", "solicitar", "informar", "absurdo", "constar", "golpe",
+    "enderecar", "esclarec", "atrasar", "descaso", "ajudar", "protocolo", "estocar", "cartao", "ninguem", "pagamento",
+    "informacao", "demorar", "atender", "reclamar", "acabar", "cade", "decepcionar", "reclame", "fretar", "falir", "coletar",
+    "correio", "clonar", "whatsapp", "perfil", "direito", "solucao", "situacao", "erro", "sac", "rapido", "aplicativo", "cupom",
+    "ultima", "previsao", "roubar", "chamar", "cancelamento", "recomendar", "fiscal", "boletar", "vergonha", "medo", "ligacao",
+    "decepcao", "rastreamento", "posicao", "desistir", "automatico", "processo", "parabens", "qualidade", "pos-venda", "lixo",
+    "experiencia", "compromisso",
+)
 
 # End of fixed values ----------------------------------------------------------------------------
 
 # A small starter dictionary of ours; real runs bring a full one (see `lemmatise_by_join`).
-PT_LEMMAS = tuple(Lemma(*entry.split()) for entry in """
-    esperando VERB esperar
-    dias NOUN dia
-    encomenda NOUN encomendar
-    mandava VERB mandar
-    obrigado VERB obrigar
-    lindo ADJ lindar
-    vestido NOUN vestir
-    filha NOUN filho
-    comprei VERB comprar
-    chegou VERB chegar
-    recebi VERB receber
-    pedidos NOUN pedido
-    produtos NOUN produto
-    entregaram VERB entregar
-    devolvem VERB devolver
-    reclamando VERB reclamar
-    ligações NOUN ligação
-    boa ADJ bom
-    boas ADJ bom
-""".strip().splitlines())
+PT_LEMMAS = (
+    Lemma("esperando", "VERB", "esperar"),
+    Lemma("dias", "NOUN", "dia"),
+    Lemma("encomenda", "NOUN", "encomendar"),
+    Lemma("mandava", "VERB", "mandar"),
+    Lemma("obrigado", "VERB", "obrigar"),
+    Lemma("lindo", "ADJ", "lindar"),
+    Lemma("vestido", "NOUN", "vestir"),
+    Lemma("filha", "NOUN", "filho"),
+    Lemma("comprei", "VERB", "comprar"),
+    Lemma("chegou", "VERB", "chegar"),
+    Lemma("recebi", "VERB", "receber"),
+    Lemma("pedidos", "NOUN", "pedido"),
+    Lemma("produtos", "NOUN", "produto"),
+    Lemma("entregaram", "VERB", "entregar"),
+    Lemma("devolvem", "VERB", "devolver"),
+    Lemma("reclamando", "VERB", "reclamar"),
+    Lemma("ligações", "NOUN", "ligação"),
+    Lemma("boa", "ADJ", "bom"),
+    Lemma("boas", "ADJ", "bom"),
+)
 
 PT = LanguageProfile(
     name="pt",
@@ -235,8 +232,8 @@ PT = LanguageProfile(
 class Taxonomy:
     """Labels, how they are found, and what they stand for. Order counts where noted.
 
-    ``terms``: label to its bigrams, in label order (an input: it is read from JSON or written by
-    hand, see `recado.sources.lookup.read_taxonomy`). ``sentiments``: sentiment to labels.
+    ``terms``: label to its bigrams, in label order; others than the shipped ones come in with ``with_terms``, from JSON by
+    `recado.sources.lookup.read_taxonomy_terms`. ``sentiments``: sentiment to labels.
     ``problems``: problem to labels, in problem order. ``severity``: least to most important.
     """
 
@@ -261,7 +258,79 @@ class Taxonomy:
         return [(p, i, label) for i, (p, labels) in enumerate(self.problems) for label in labels]
 
 
-# Sentiment of each label, problem of each label -----------------------------------
+# Bigrams of each label, sentiment of each label, problem of each label ------------
+
+# Stems; a cluster gets the first label that one of its most frequent bigrams belongs to.
+PT_TERMS = (
+    ("Amei comprar", ("am compr", "sup rap", "sup recomend", "ador compr", "gost compr")),
+    ("Cluster não identificado", (
+        "que compr", "compr loj", "entreg temp", "numer telefon", "loj loj", "que nao", "ped que", "ped ped",
+        "dinh dessmand mens", "entr contat", "dess loj", "cheg hoj", "prec bom", "mau qual", "bom qual", "melhor loj",
+        "problem loj", "mais temp", "present temp", "dinh dess", "vou compr", "nao numer", "compr tenil", "vou ped", "ped tenil",
+        "receb temp", "compr temp", "temp dia", "mand ped",
+    )),
+    ("Endereço incorreto", ("enderec entreg", "enderec err", "alter enderec", "coloc enderec", "enderec antig")),
+    ("Estou tendo uma experiência ruim", ("mau experienc", "mau serv")),
+    ("Estou tendo um problema", ("pass problem", "sempr problem", "problem atr", "nao consegu", "problem que", "problem receb")),
+    ("Estou tendo o mesmo problema que outra pessoa", ("mesm situaca", "acontec comig", "mesm cois")),
+    ("Estou irritado/decepcionado", (
+        "est acontec", "ach que", "que absurd", "que decepca", "que vergonh", "extrem decepc", "sup decepc", "complet decepc",
+        "to decepc", "sent roub", "propagand engan", "dor cabec", "tom vergonh", "total decepc", "respe consum", "descas consum",
+        "falt respe", "absurd descas", "verd absurd", "decepca total", "mau atend", "atend mau",
+    )),
+    ("Estou esperando retorno da empresa", ("esper retorn", "esper que")),
+    ("Meu problema foi resolvido", ("foi resolv",)),
+    ("Muita demora", (
+        "cheg temp", "demor receb", "praz cheg", "praz receb", "esper ped", "mais me", "ate hoj", "hoj nao", "hoj nad",
+        "demor entreg", "dia util",
+    )),
+    ("Não compro mais", ("nunc mais", "prim ult", "vez que")),
+    ("Não recomendo a loja", ("nao ped", "nao recomend", "recomend ning", "par ning", "compr nad", "compr nao", "nao compr")),
+    ("Não resolvem meu problema", ("sempr mesm", "nao resolv", "pod resolv", "numer protocol", "abr protocol")),
+    ("Não tenho do que reclamar", ("que reclam",)),
+    ("Ninguém me responde", (
+        "dar retorn", "tent contat", "mand mens", "atend consum", "canal atend", "nao funcion", "nenhum retorn", "pod retorn",
+        "sem retorn", "pod atend", "tent lig", "nao atend", "lix atend", "pess atend", "algum retorn", "cad retorn",
+        "precis retorn", "quer retorn", "fic aguard", "mand email", "lig ning", "respond direct", "ning at", "mand direct",
+        "nao retorn", "ning retorn", "nao retornom", "telefon nao",
+    )),
+    ("Nunca tive problemas com a loja", (
+        "sempr ped", "tud cert", "cheg ant", "sempr cheg", "sempr compr", "nao ter", "ter problem",
+    )),
+    ("Status do pedido está incorreto", ("foi receb", "const com", "const receb")),
+    ("Pedido chegou incorreto", ("ped vir", "total difer", "ped err")),
+    ("Pedido não chegou", (
+        "ate agor", "previsa entreg", "nao receb", "praz entreg", "cad ped", "nao cheg", "nao entreg", "quer ped", "precis ped",
+        "desd temp",
+    )),
+    ("Onde fica a loja física?", ("fic loj",)),
+    ("Tentativa de golpe", ("perfil fals", "clon whatsapp", "cuid golp", "dar golp", "ped numer")),
+    ("Preciso da nota fiscal", ("not fiscal",)),
+    ("Preciso de ajuda", ("com faz", "direct favor", "ajud favor", "ajud resolv", "faz par", "precis ajud", "ped favor")),
+    ("Preciso do código de rastreio", ("codig rastr",)),
+    ("Preciso do código de postagem", ("codig post",)),
+    ("Problema com o pagamento", ("pag bolet", "carta credit")),
+    ("Problema com o valor do frete", (
+        "val fret", "fret gratil", "pag fret", "fret mais", "fret car", "fret absurd", "dinh fret", "fret ta",
+    )),
+    ("Problema com a troca", ("nao val", "val troc", "solic troc", "troc ped", "faz troc")),
+    ("Problema na entrega", ("foi cheg", "separaca estoc", "que transport", "diz que")),
+    ("Problema com a devolução", ("devoluca ped",)),
+    ("Desconfio da promoção", ("prec que", "propagand eng")),
+    ("Recebi o pedido", ("receb hoj", "ant praz")),
+    ("Quero cancelar o pedido", ("cancel ped",)),
+    ("Quero cupom de desconto", ("cupom descont",)),
+    ("Quero o dinheiro de volta", ("devolv dinh", "dinh volt", "quer dinh", "cad dinh", "sem dinh")),
+    ("Quero saber sobre meu pedido", ("gost sab", "quer sab", "sobr ped", "ped est")),
+    ("Spam", ("http www", "http s")),
+    ("Tenho receio de comprar", (
+        "ia compr", "tant reclamaca", "comentari nega", "obrig dic", "algu compr", "quant reclamaca", "ler comentari",
+    )),
+    ("Vou tomar providência", (
+        "procur direit", "direit consum", "ter que", "reclam aqu", "acion procon", "consum gov", "gov br", "procon sp",
+        "abr reclamaca", "reclamaca procon",
+    )),
+)
 
 PT_SENTIMENTS = (
     ("Positivo", (
@@ -301,4 +370,4 @@ PT_PROBLEMS = (
 
 # End of fixed values ----------------------------------------------------------------------------
 
-PT_TAXONOMY = Taxonomy(sentiments=PT_SENTIMENTS, problems=PT_PROBLEMS)
+PT_TAXONOMY = Taxonomy(terms=PT_TERMS, sentiments=PT_SENTIMENTS, problems=PT_PROBLEMS)
