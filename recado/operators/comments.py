@@ -1,18 +1,63 @@
 """Steps on whole comments, before any text is changed.
 
-A comment has ``comment_id`` (unique, given at ingest), ``interaction_date``, ``user_name``, ``url``,
-``text`` and, where the source has it, ``content_type``.
+A comment has ``interaction_date``, ``user_name``, ``url``, ``text`` and, where the source has them,
+``comment_id`` and ``content_type``. What tells comments apart is the id together with the digest of the
+text (`IDENTITY`): overlapping extracts bring a comment several times, edited comments keep their id, and
+sources without ids get derived ones (`with_ids`).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from recado.functions import text as t
 from recado.operators.skew import attach
 
 
+IDENTITY = ("comment_id", "text_key")
+
+
+def with_ids(df: DataFrame) -> DataFrame:
+    """``df`` with a ``comment_id`` on every row: where there is none, a digest of what the row says.
+
+    Derived numbers are negative, so they meet no id that a source counts up. Equal rows get equal ids. To be called
+    before dates are parsed, as their text takes part.
+    """
+    if "comment_id" not in df.columns:
+        df = df.withColumn("comment_id", F.lit(None).cast("bigint"))
+    if "content_type" not in df.columns:
+        df = df.withColumn("content_type", F.lit(None).cast("string"))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ("user_name", "interaction_date", "url", "content_type", "text")]
+    kind = df.schema["comment_id"].dataType
+    if isinstance(kind, StringType):
+        derived = F.sha2(F.concat_ws("\x01", *parts), 256)
+    else:
+        derived = -1 - F.shiftrightunsigned(F.xxhash64(*parts), 1)
+    return df.withColumn("comment_id", F.coalesce("comment_id", derived.cast(kind)))
+
+
+def with_text_key(df: DataFrame) -> DataFrame:
+    return df if "text_key" in df.columns else df.withColumn("text_key", t.text_key(F.col("text")))
+
+
+def texts_once(df: DataFrame) -> DataFrame:
+    """``(comment_id, text_key, text)``, one row for each id and text; joins by both find it in one partition."""
+    order = Window.partitionBy(*IDENTITY).orderBy(F.lit(0))
+    return (with_text_key(df.select("comment_id", "text")).withColumn("_copy", F.row_number().over(order))
+            .where(F.col("_copy") == 1).drop("_copy"))
+
+
+def has_good_date() -> Column:
+    return F.col("interaction_date").isNull() | F.try_to_timestamp(F.col("interaction_date").cast("string")).isNotNull()
+
+
+def bad_dates(df: DataFrame) -> DataFrame:
+    """Rows whose date is there but cannot be read, as they came: the rejected table of tolerant runs."""
+    return df.where(~has_good_date())
+
+
 def drop_null_text(df: DataFrame) -> DataFrame:
     return df.where(F.col("text").isNotNull())
 
@@ -27,13 +72,11 @@ def dedupe_comments(df: DataFrame) -> DataFrame:
     """One comment per text and user (NULL users are equal): the earliest, then the lowest id.
 
     Spark cuts each map task's rows to one per key before the shuffle, so a text copied a million
-    times reaches the reducer once per map task.
+    times reaches the reducer once per map task. A ``text_key`` that is there already stands for the text.
     """
-    key = Window.partitionBy("_text_key", "user_name").orderBy("interaction_date", "comment_id")
-    return (df.withColumn("_text_key", t.text_key(F.col("text")))
-            .withColumn("_rank", F.row_number().over(key))
-            .where(F.col("_rank") == 1)
-            .drop("_rank", "_text_key"))
+    key = Window.partitionBy("text_key", "user_name").orderBy("interaction_date", "comment_id")
+    return (with_text_key(df).withColumn("_rank", F.row_number().over(key)).where(F.col("_rank") == 1)
+            .select(*df.columns))
 
 
 def duplicate_ratio(df: DataFrame) -> DataFrame:

@@ -7,15 +7,16 @@ no filter can be pushed below the text work and make Spark do that work twice.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recado.functions import text as t
 from recado.functions.stem import stem
 from recado.operators.skew import SMALL_ROWS
 from recado.profiles import LEMMATISED, LanguageProfile
+from recado.sources.staging import staged
 
-LITERAL_LEMMAS = 500  # entries a plan may carry; a larger dictionary is joined
+LITERAL_LEMMAS = 500  # entries a plan carries; a larger dictionary is a table
 
 
 def comment_text(text: Column, brand: str) -> Column:
@@ -85,38 +86,56 @@ def back(parts: Column, profile: LanguageProfile, remove_mandatory: bool = True,
 
 
 def lemmatise(text: Column, profile: LanguageProfile) -> Column:
-    """Dictionary lemmas of a profile, by a constant map: no shuffle. For dictionaries that fit in a plan."""
+    """Dictionary lemmas of a profile, by a constant map that the plan carries: no shuffle.
+
+    Each word is looked up by a pass over the map, so `plans.clean` gives more than `LITERAL_LEMMAS` entries to `with_lemmas`.
+    """
     lemmas = profile.lemma_map()
     if not lemmas:
         return text
-    if len(lemmas) > LITERAL_LEMMAS:
-        raise ValueError("pass a dictionary of this size as a DataFrame: see lemmatise_by_join")
     table = F.create_map(*[F.lit(x) for pair in lemmas.items() for x in pair])
+    return _replaced(text, table)
+
+
+def _replaced(text: Column, table: Column) -> Column:
     return F.array_join(F.transform(F.split(text, " "), lambda w: F.coalesce(F.try_element_at(table, w), w)), " ")
 
 
-def lemmatise_by_join(df: DataFrame, lexicon: DataFrame, keys: list[str], exempt: tuple[str, ...] = (),
-                      ways: int = 32, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Lemmas from a dictionary table ``(surface, pos, lemma)`` of any size.
+def lexicon_table(spark: SparkSession, profile: LanguageProfile) -> DataFrame:
+    """A profile's own entries as ``(surface, pos, lemma)``."""
+    return spark.createDataFrame([(e.surface, e.pos, e.lemma) for e in profile.lemmas], "surface string, pos string, lemma string")
 
-    Words are joined by surface form and put back in order per sentence. A few words make up a large share
-    of any text: unless the dictionary is counted as small and broadcast, words are salted and the
-    dictionary is repeated per salt.
+
+def with_lemmas(df: DataFrame, lexicon: DataFrame, parts: str, keys: list[str], exempt: tuple[str, ...] = (), ways: int = 32,
+                small_rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` with lemmas in the sentences ``parts`` (arrays of ``(sentence_idx, text)``), from a ``(surface, pos, lemma)`` table.
+
+    The dictionary is cut to the distinct words of the corpus that it changes. A row's few such words are joined with it
+    and come back to the row as a small map, so no sentence is taken apart and put together again. The join is salted, as a
+    few words make up a large share of any text. ``df`` should be stored; ``keys`` tell its rows apart, NULLs included.
     """
-    words = df.select(*keys, F.posexplode(F.split("text", " ")).alias("_pos", "surface"))
     entries = (lexicon.where(F.col("pos").isin(*LEMMATISED) & ~F.col("surface").isin(*exempt))
-               .groupBy("surface").agg(F.min("lemma").alias("lemma")))
-    if entries.limit(small_rows + 1).count() <= small_rows:
-        found = words.join(F.broadcast(entries), "surface", "left")
+               .groupBy("surface").agg(F.min("lemma").alias("lemma")).where("lemma <> surface"))
+    row = F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
+    words = df.where(F.col(parts).isNotNull()).select(row.alias("_row"), F.explode(F.array_distinct(F.flatten(
+        F.transform(parts, lambda p: F.split(p["text"], " "))))).alias("surface"))
+    changed = staged(entries.join(words.select("surface").distinct(), "surface", "left_semi"), "lemmas")
+    if changed.limit(small_rows + 1).count() <= small_rows:
+        found = words.join(F.broadcast(changed), "surface")
     else:
-        salts = F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))
-        found = (words.withColumn("_way", F.pmod(F.xxhash64(*keys, "_pos"), F.lit(ways)).cast("int"))
-                 .join(entries.withColumn("_way", salts), ["surface", "_way"], "left"))
-    rebuilt = (found.groupBy(*keys)
-               .agg(F.sort_array(F.collect_list(F.struct("_pos", F.coalesce("lemma", "surface").alias("word")))).alias("_w"))
-               .select(*keys, F.array_join(F.col("_w.word"), " ").alias("text")))
-    rest = df.drop("text")
-    return rebuilt if set(rest.columns) == set(keys) else rest.join(rebuilt, keys)
+        found = (words.withColumn("_way", F.pmod(F.xxhash64("_row"), F.lit(ways)).cast("int"))
+                 .join(changed.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))), ["surface", "_way"]))
+    maps = found.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("surface", "lemma"))).alias("_lemmas"))
+    looked_up = F.when(F.col("_lemmas").isNull(), F.col(parts)).otherwise(F.transform(parts, lambda p: F.struct(
+        p["sentence_idx"].alias("sentence_idx"), _replaced(p["text"], F.col("_lemmas")).alias("text"))))
+    return df.withColumn("_row", row).join(maps, "_row", "left").withColumn(parts, looked_up).drop("_row", "_lemmas")
+
+
+def lemmatise_by_join(df: DataFrame, lexicon: DataFrame, keys: list[str], exempt: tuple[str, ...] = (),
+                      small_rows: int = SMALL_ROWS) -> DataFrame:
+    """Lemmas of a table of sentences ``(keys, text)``, from a dictionary table ``(surface, pos, lemma)`` of any size."""
+    one = df.withColumn("_parts", F.array(F.struct(F.lit(0).alias("sentence_idx"), "text"))).drop("text")
+    return with_lemmas(one, lexicon, "_parts", keys, exempt, small_rows=small_rows).withColumn("text", F.col("_parts")[0]["text"]).drop("_parts").select(*df.columns)
 
 
 def length_report(df: DataFrame, profile: LanguageProfile) -> DataFrame:

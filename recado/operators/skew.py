@@ -38,7 +38,7 @@ def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], values: Sequ
     any_null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     way = (F.when(F.col("_hot").isNotNull() | any_null, 1 + F.pmod(F.xxhash64(*row_id), F.lit(ways)).cast("int"))
            .otherwise(F.lit(0)))
-    joined = (rows.join(F.broadcast(hot), list(keys), "left")
+    joined = (rows.join(broadcast_if_small(hot), list(keys), "left")
               .withColumn("_way", way)
               .join(others, [*keys, "_way"], "left"))
     return joined.select(*rows.columns, *[F.coalesce(h, v).alias(v) for v, h in renamed.items()])

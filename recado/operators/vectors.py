@@ -6,9 +6,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import Word2Vec
+from pyspark.ml.feature import StopWordsRemover, Word2Vec, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from recado.functions import text as t
 from recado.operators.skew import broadcast_if_small
+from recado.sources.staging import staged
 
 # Training settings.
 VECTOR_SIZE = 200
@@ -23,8 +24,7 @@ WINDOW_SIZE = 7
 MIN_COUNT = 10
 N_CLUSTERS = 140
 
-MAX_SET_WORDS = 2_000_000
-MAX_CENTROIDS = 10_000
+TASK_SENTENCES = 1_000_000
 
 
 def tokenize(df: DataFrame) -> DataFrame:
@@ -38,42 +38,36 @@ def vocabulary(tokenized: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
             .where(F.col("n") >= min_count))
 
 
-def known_tokens(tokenized: DataFrame, vocab: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Drop words outside the vocabulary, so that a sentence's mean is over its known words.
+def word2vec(vector_size: int = VECTOR_SIZE, window: int = WINDOW_SIZE, min_count: int = MIN_COUNT, seed: int = 42,
+             max_iter: int = 5, partitions: int = 1) -> Word2Vec:
+    """Skip-gram word vectors; as a transformer, the sum of the vectors of a sentence's known words by all its words."""
+    return Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter, seed=seed,
+                    numPartitions=partitions, inputCol="tokens", outputCol="features")
 
-    A vocabulary of up to ``MAX_SET_WORDS`` words goes to each task as a set, and nothing is shuffled. A
-    larger one is joined with the words, and sentences are put together again by ``keys``.
-    """
-    words = vocab.select("word").limit(MAX_SET_WORDS + 1).toPandas()["word"]
-    if len(words) > MAX_SET_WORDS:
-        return known_tokens_by_join(tokenized, vocab, keys)
-    known = tokenized.sparkSession.sparkContext.broadcast(frozenset(words))
-
-    @F.pandas_udf("array<string>")
-    def keep_known(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        have = known.value
-        for batch in batches:
-            yield batch.map(lambda ws: [w for w in ws if w in have])
 
-    return tokenized.withColumn("tokens", keep_known("tokens"))
+def fit_words(tokenized: DataFrame, **options) -> Word2VecModel:
+    """Fitted word vectors. Words under the least count are left out of sentences before windows are taken.
 
+    A task fits `TASK_SENTENCES` sentences, and vectors are averaged over tasks after each round: more tasks are faster on
+    large tables, and learn a little less from each round.
+    """
+    partitions = options.pop("partitions", None) or 1 + tokenized.count() // TASK_SENTENCES
+    return word2vec(partitions=partitions, **options).fit(tokenized)
 
-def known_tokens_by_join(tokenized: DataFrame, vocab: DataFrame, keys: Sequence[str], ways: int = 32) -> DataFrame:
-    words = (tokenized.select(*keys, F.posexplode("tokens").alias("_pos", "word"))
-             .withColumn("_way", F.pmod(F.xxhash64(*keys), F.lit(ways)).cast("int")))
-    known = vocab.select("word", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))).alias("_way"))
-    kept = (words.join(known, ["word", "_way"], "left_semi")
-            .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_pos", "word"))).alias("_w"))
-            .select(*keys, F.col("_w.word").alias("tokens")))
-    return (tokenized.drop("tokens").join(kept, list(keys), "left")
-            .withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>"))))
 
+def sentence_vectors(tokenized: DataFrame, words: Word2VecModel) -> DataFrame:
+    """Add ``features``: the mean vector of a sentence's known words, zeros if it has none.
 
-def word2vec(vector_size: int = VECTOR_SIZE, window: int = WINDOW_SIZE, min_count: int = MIN_COUNT, seed: int = 42,
-             max_iter: int = 5, partitions: int = 8) -> Word2Vec:
-    """Skip-gram word vectors; as a transformer, the mean vector of a sentence's words."""
-    return Word2Vec(vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=max_iter, seed=seed,
-                    numPartitions=partitions, inputCol="tokens", outputCol="features")
+    The model divides by all words of a sentence; that is put right by the number of unknown ones, which a stop word
+    remover with the model's own words leaves over. The words are on the driver anyway, with the model.
+    """
+    known = [r["word"] for r in words.getVectors().select("word").collect()]
+    rest = StopWordsRemover(inputCol="tokens", outputCol="_unknown", caseSensitive=True, stopWords=known)
+    n_known = F.size("tokens") - F.size("_unknown")
+    scale = F.when(n_known > 0, F.size("tokens") / n_known).otherwise(0.0)
+    return (words.transform(rest.transform(tokenized)).withColumn("_scale", scale)
+            .withColumn("features", array_to_vector(F.transform(vector_to_array("features"), lambda x: x * F.col("_scale"))))
+            .drop("_unknown", "_scale"))
 
 
 def fit_kmeans(vectors: DataFrame, k: int = N_CLUSTERS, seeds: Sequence[int] = (42,), max_iter: int = 300,
@@ -84,11 +78,17 @@ def fit_kmeans(vectors: DataFrame, k: int = N_CLUSTERS, seeds: Sequence[int] = (
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
-def fit_pipeline(known: DataFrame, k: int = N_CLUSTERS, seeds: Sequence[int] = (42,), **vector_options) -> PipelineModel:
-    """Vectorise, then cluster. ``known`` holds ``tokens`` of known words."""
-    vectoriser = word2vec(**vector_options).fit(known)
-    clusterer = fit_kmeans(vectoriser.transform(known), k, seeds)
-    return Pipeline(stages=[vectoriser, clusterer]).fit(known)
+def fit_pipeline(tokenized: DataFrame, k: int = N_CLUSTERS, seeds: Sequence[int] = (42,), **vector_options) -> PipelineModel:
+    """Word vectors, then clusters of sentence vectors, which are stored because the fits iterate. `predict` applies it."""
+    words = fit_words(tokenized, **vector_options)
+    vectors = staged(sentence_vectors(tokenized, words).select("features"), "sentence-vectors")
+    return PipelineModel([words, fit_kmeans(vectors, k, seeds)])
+
+
+def predict(pipeline: PipelineModel, tokenized: DataFrame) -> DataFrame:
+    """Add ``features`` and ``subclusters_id``."""
+    words, clusters = pipeline.stages
+    return clusters.transform(sentence_vectors(tokenized, words))
 
 
 def cluster_size(clustered: DataFrame) -> DataFrame:
@@ -109,11 +109,10 @@ def mean_vector(df: DataFrame, key: str, vector: str) -> DataFrame:
 def assign_clusters(df: DataFrame, centroids: DataFrame, vector: str = "features", decimals: int = 6) -> DataFrame:
     """Add ``subclusters_id`` of the nearest centroid; equal distances (after rounding) go to the lowest id.
 
-    Centroids ``(subclusters_id, center)`` are a model's k points: they go to each task as a matrix.
+    Centroids ``(subclusters_id, center)`` are a model's k points, a number chosen and not counted: they go to each task as a
+    matrix, and rows are held against one after the other.
     """
-    points = centroids.orderBy("subclusters_id").limit(MAX_CENTROIDS + 1).toPandas()
-    if len(points) > MAX_CENTROIDS:
-        raise ValueError(f"more than {MAX_CENTROIDS} centroids")
+    points = centroids.orderBy("subclusters_id").toPandas()
     shared = df.sparkSession.sparkContext.broadcast(
         (points["subclusters_id"].to_numpy(), np.vstack(points["center"].to_list()).astype("float64")))
 

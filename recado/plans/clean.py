@@ -10,57 +10,53 @@ from recado.functions.stem import stem
 from recado.operators import comments as c
 from recado.operators import sentences as s
 from recado.profiles import LanguageProfile
+from recado.sources.staging import staged
 
 COMMENT_COLUMNS = ("comment_id", "interaction_date", "user_name", "url", "content_type")
 
 
-def prepared_comments(df: DataFrame, network: str | None = None) -> DataFrame:
-    """NULL texts and duplicates dropped, post address and publish date added.
+def prepared_comments(df: DataFrame, network: str | None = None, strict_dates: bool = True) -> DataFrame:
+    """NULL texts and duplicates dropped, post address and publish date added; with ``text_key``.
 
     Which rows stay, and their dates, is worked out on narrow columns with a digest for the text; the
-    texts themselves are shuffled once, by ``comment_id``, which no key can make uneven.
+    texts themselves are shuffled once, by id and digest, and cut to one copy there, so that a comment that
+    several extracts bring stays one. Without ``strict_dates`` comments with a bad date are left out
+    (`comments.bad_dates` has them), else they end the run.
     """
-    if "content_type" not in df.columns:
-        df = df.withColumn("content_type", F.lit(None).cast("string"))
-    df = c.parse_dates(c.drop_null_text(df))
-    kept = c.dedupe_comments(df.select("comment_id", "interaction_date", "user_name", "url", "text"))
-    posts = kept.select("comment_id", "interaction_date", c.post_url(F.col("url"), network).alias("url"))
-    dated = c.publish_date(posts).select("comment_id", "url", "publish_date")
-    return (df.drop("url").join(dated, "comment_id")
-            .select(*COMMENT_COLUMNS, "publish_date", F.col("text").alias("original_text")))
+    df = c.with_ids(c.drop_null_text(df))
+    dated = c.parse_dates(df if strict_dates else df.where(c.has_good_date()))
+    narrow = c.with_text_key(dated.select(*COMMENT_COLUMNS, "text")).drop("text")
+    posts = c.dedupe_comments(narrow).withColumn("url", c.post_url(F.col("url"), network))
+    return (c.texts_once(df).join(c.publish_date(posts), list(c.IDENTITY))
+            .select(*COMMENT_COLUMNS, "publish_date", F.col("text").alias("original_text"), "text_key"))
 
 
 def clean_tagged(df: DataFrame, profile: LanguageProfile, remove_mandatory: bool = True, stemming: bool = True,
                  network: str | None = None, keep_length_rejects: bool = False,
-                 lexicon: DataFrame | None = None, with_text_key: bool = False) -> DataFrame:
+                 lexicon: DataFrame | None = None, with_text_key: bool = False, strict_dates: bool = True) -> DataFrame:
     """Every sentence, and every comment rejected whole, with ``reject_reason`` (NULL when kept).
 
     Sentences of the wrong length are in neither output, unless asked for. With a ``lexicon`` table the
-    lemmas come from a join instead of the profile's own entries. ``with_text_key`` adds the digest of
-    the original text, worked out once per comment.
+    lemmas come from it instead of the profile's own entries; a profile with more entries than a plan may carry is
+    such a table too. ``with_text_key`` keeps the digest of the original text. ``strict_dates``: see `prepared_comments`.
     """
-    prepared = prepared_comments(df, network)
-    if with_text_key:
-        prepared = prepared.withColumn("text_key", t.text_key(F.col("original_text")))
+    if lexicon is None and len(profile.lemma_map()) > s.LITERAL_LEMMAS:
+        lexicon = s.lexicon_table(df.sparkSession, profile)
+    prepared = prepared_comments(df, network, strict_dates)
     tagged = prepared.withColumn("_reason", c.comment_reject_reason(F.col("original_text"), profile.brand))
     front = s.front(F.col("original_text"), profile, keep_length_rejects)
     as_rejected = F.array(F.struct(
         F.lit(None).cast("int").alias("sentence_idx"), F.col("_reason").alias("reject_reason"),
         F.col("original_text").alias("text")))
     options = {"remove_mandatory": remove_mandatory, "stemming": stemming, "keep_length_rejects": keep_length_rejects}
-    columns = [x for x in tagged.columns if x != "_reason"]
+    columns = [x for x in prepared.columns if x != "text_key" or with_text_key]
 
-    if lexicon is None:
-        parts = F.when(F.col("_reason").isNull(), s.back(front, profile, **options)).otherwise(as_rejected)
-        return tagged.select(*columns, F.inline(parts))
-
-    rejected = tagged.where(F.col("_reason").isNotNull()).select(*columns, F.inline(as_rejected))
-    keys = ["comment_id", "sentence_idx"]
-    pieces = tagged.where(F.col("_reason").isNull()).select("comment_id", F.inline(front))
-    lemmas = s.lemmatise_by_join(pieces, lexicon, keys, profile.lemma_exempt)
-    done = s.back(F.array(F.struct("sentence_idx", "text")), profile, lemmas_done=True, **options)
-    kept = lemmas.select("comment_id", F.inline(done)).join(tagged.drop("_reason"), "comment_id")
-    return kept.select(*columns, "sentence_idx", "reject_reason", "text").unionByName(rejected)
+    if lexicon is not None:
+        fronted = staged(tagged.withColumn("_front", F.when(F.col("_reason").isNull(), front)), "sentences-before-lemmas")
+        tagged = s.with_lemmas(fronted, lexicon, "_front", [*c.IDENTITY, "user_name"], profile.lemma_exempt)
+        front = F.col("_front")
+    parts = F.when(F.col("_reason").isNull(), s.back(front, profile, lemmas_done=lexicon is not None, **options)).otherwise(as_rejected)
+    return tagged.select(*columns, F.inline(parts))
 
 
 def kept(tagged: DataFrame) -> DataFrame:
@@ -81,19 +77,16 @@ def clean_trace(df: DataFrame, profile: LanguageProfile, stemming: bool = True)
     """The text after each stage, for the rows that reach it: ``(comment_id, sentence_idx, stage_ord, stage, text)``."""
     brand = profile.brand
     text = F.col("text")
-    base = c.dedupe_comments(c.drop_null_text(df.select("comment_id", "interaction_date", "user_name", "text")))
+    base = c.dedupe_comments(c.with_ids(c.drop_null_text(df)).select("comment_id", "interaction_date", "user_name", "text"))
     mention, named = t.is_foreign_mention(text, brand), t.is_name_first(text, brand)
     no_stops = lambda x: t.remove_stop_words(x, profile.all_stop_words())
 
-    def step(name: str, source: str, fn) -> tuple[str, str, object]:
-        return name, source, fn
-
     whole = base.select("comment_id", "text", mention.alias("_mention"), named.alias("_named"))
     for name, source, fn in (
-            step("lower", "text", t.lower),
-            step("handles", "lower", t.strip_handles),
-            step("brand", "handles", lambda x: t.strip_brand(x, brand)),
-            step("marks", "brand", t.normalise_marks)):
+            ("lower", "text", t.lower),
+            ("handles", "lower", t.strip_handles),
+            ("brand", "handles", lambda x: t.strip_brand(x, brand)),
+            ("marks", "brand", t.normalise_marks)):
         whole = whole.withColumn(name, fn(F.col(source)))
     in_whole = {
         "deduped": ("text", F.lit(True)),
@@ -106,19 +99,21 @@ def clean_trace(df: DataFrame, profile: LanguageProfile, stemming: bool = True)
 
     piece = (whole.where(~F.col("_mention") & ~F.col("_named"))
              .select("comment_id", F.posexplode(t.sentences(F.col("marks"))).alias("sentence_idx", "sentences")))
-    for name, source, fn in (
-            step("stop_words", "sentences", no_stops),
-            step("residue", "stop_words", t.strip_residue),
-            step("letters", "residue", t.letters_only),
-            step("lemmas", "letters", lambda x: s.lemmatise(x, profile)),
-            step("accents", "lemmas", t.strip_accents),
-            step("synonyms", "accents", lambda x: t.replace_synonyms(x, profile.synonym_rules())),
-            step("useless", "synonyms", lambda x: t.remove_useless(x, profile.useless)),
-            step("stems", "useless", lambda x: stem(F.trim(t.collapse_spaces(x)), profile.stem_rules) if stemming else x),
-            step("final", "stems", t.collapse_spaces)):
-        piece = piece.withColumn(name, fn(F.col(source)))
-    piece = (piece.withColumn("_sized", s.has_right_length(F.col("letters"), profile))
-             .withColumn("_wanted", F.col("_sized") & s.reject_reason(F.col("synonyms"), profile).isNull()))
+    # A stage is worked out for the sentences that reach it: NULL for the others, which have no such row.
+    always, sized, wanted = F.lit(True), F.col("_sized"), F.col("_wanted")
+    for name, source, reached, fn in (
+            ("stop_words", "sentences", always, no_stops),
+            ("residue", "stop_words", always, t.strip_residue),
+            ("letters", "residue", always, t.letters_only),
+            ("_sized", "letters", always, lambda x: s.has_right_length(x, profile)),
+            ("lemmas", "letters", sized, lambda x: s.lemmatise(x, profile)),
+            ("accents", "lemmas", sized, t.strip_accents),
+            ("synonyms", "accents", sized, lambda x: t.replace_synonyms(x, profile.synonym_rules())),
+            ("_wanted", "synonyms", always, lambda x: sized & s.reject_reason(x, profile).isNull()),
+            ("useless", "synonyms", wanted, lambda x: t.remove_useless(x, profile.useless)),
+            ("stems", "useless", wanted, lambda x: stem(F.trim(t.collapse_spaces(x)), profile.stem_rules) if stemming else x),
+            ("final", "stems", wanted, t.collapse_spaces)):
+        piece = piece.withColumn(name, F.when(reached, fn(F.col(source))))
     in_piece = {
         **{name: (name, F.lit(True)) for name in ("sentences", "stop_words", "residue", "letters")},
         "length": ("letters", F.col("_sized")),

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
+from pyspark.sql.types import StringType, StructField, StructType
 
 from recado.functions.text import text_key
+from recado.operators.comments import with_ids
 
 COMMENT_SCHEMA = ("comment_id bigint, interaction_date string, user_name string, url string, "
                   "content_type string, text string")
@@ -27,8 +30,49 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "ignoreLeadingWhiteSpace":
                "ignoreTrailingWhiteSpace": "false"}
 
 
-def read_comments(spark: SparkSession, path: str, dialect: str = "infer", schema: str = COMMENT_SCHEMA) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS, **DIALECTS[dialect]).csv(path)
+REQUIRED = ("interaction_date", "user_name", "url", "text")
+BAD_RECORD = "_bad_record"
+
+
+def file_schema(spark: SparkSession, path: str, dialect: str = "infer") -> StructType:
+    """Columns that comment files name in their header, as text, and one for records that do not fit it.
+
+    Files are read by these names: they may hold `COMMENT_SCHEMA` in any order, without an id or a content type, and
+    further columns. A header without one of the `REQUIRED` columns ends the run.
+    """
+    names = spark.read.options(**CSV_OPTIONS, **DIALECTS[dialect]).csv(path).columns
+    missing = [c for c in REQUIRED if c not in names]
+    if missing:
+        raise ValueError(f"comment files at {path} lack the columns {missing}; their header is {names}")
+    return StructType([StructField(n, StringType()) for n in [*names, BAD_RECORD]])
+
+
+def _raw(reader: DataFrameReader | DataStreamReader, schema: StructType, dialect: str) -> DataFrameReader | DataStreamReader:
+    """Every file's header is held against the schema; another order or other names end the run."""
+    return reader.schema(schema).options(**CSV_OPTIONS, **DIALECTS[dialect], enforceSchema="false", columnNameOfCorruptRecord=BAD_RECORD)
+
+
+def as_comments(raw: DataFrame) -> DataFrame:
+    """Good records as `COMMENT_SCHEMA`; rows without a usable id get a derived one."""
+    good = raw.where(F.col(BAD_RECORD).isNull())
+    wanted = {name: kind for name, kind in (c.split(" ") for c in COMMENT_SCHEMA.split(", "))}
+    return with_ids(good.select(*[(F.col(n).try_cast(k) if n in raw.columns else F.lit(None).cast(k)).alias(n) for n, k in wanted.items()]))
+
+
+def read_comments(spark: SparkSession, path: str, dialect: str = "infer") -> DataFrame:
+    """Comments of the files at ``path``. A file is one task, as comments hold line breaks: deliver many files."""
+    return as_comments(_raw(spark.read, file_schema(spark, path, dialect), dialect).csv(path))
+
+
+def read_bad_records(spark: SparkSession, path: str, dialect: str = "infer") -> DataFrame:
+    """Records that do not fit their file's header, whole, in ``_bad_record``, with what could be read of them."""
+    return _raw(spark.read, file_schema(spark, path, dialect), dialect).csv(path).where(F.col(BAD_RECORD).isNotNull())
+
+
+def stream_comments(spark: SparkSession, path: str, dialect: str = "infer", files_per_batch: int = 100) -> DataFrame:
+    """Files as they arrive, as raw columns (`as_comments` makes comments of them). One file at least must be there for the header."""
+    schema = file_schema(spark, path, dialect)
+    return _raw(spark.readStream, schema, dialect).option("maxFilesPerTrigger", files_per_batch).csv(path)
 
 
 def write_comments(df: DataFrame, path: str, dialect: str = "infer") -> None:

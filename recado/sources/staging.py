@@ -2,13 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from recado.session import scratch_dir
 
+_open: list[list[str]] = []  # paths of each scope that is open, the innermost last
+
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a table and read it back: later steps start from files that outlive any executor."""
+    """Write a table and read it back: later steps start from files that outlive any executor.
+
+    Inside a `scratch_scope` the table goes when the scope ends; outside it stays until its folder is cleared.
+    """
     path = scratch_dir(df.sparkSession, name)
+    if _open:
+        _open[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside, at the end: for work that has written its result by then."""
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield
+    finally:
+        _open.remove(paths)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)

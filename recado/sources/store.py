@@ -2,36 +2,48 @@
 
 from __future__ import annotations
 
+from datetime import date
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from recado.operators.upsert import upsert_results
 from recado.sources.files import RESULT_COLUMNS, RESULT_SCHEMA
-from recado.sources.staging import staged
+from recado.sources.staging import scratch_scope, staged
+
+FILE_ROWS = 1_000_000  # rows of a date that make one file
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESULT_SCHEMA).parquet(path).select(*RESULT_COLUMNS)
 
 
+def stored_on(spark: SparkSession, path: str, dates: list[date | None]) -> DataFrame:
+    """Stored rows of these dates: a filter on the partition column, so no other folder is listed or read."""
+    day = F.col("interaction_date")
+    wanted = day.isin([d for d in dates if d is not None])
+    return read_store(spark, path).where(wanted | day.isNull() if None in dates else wanted)
+
+
 def merge_into_store(new: DataFrame, path: str) -> None:
     """Upsert: only the dates that occur in ``new`` are read and rewritten.
 
-    The merged dates are stored in the shared folder first, so no file is replaced while it is read.
-    Running it again with the same rows changes nothing.
+    The dates of one batch, a few hundred days at most, come to the driver. The merged dates are stored in the shared
+    folder first, so no file is replaced while it is read. Running it again with the same rows changes nothing.
     """
-    new = staged(new.select(*RESULT_COLUMNS), "new-results")
-    try:
-        stored = read_store(new.sparkSession, path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        merged = new
-    else:
-        dates = new.select(F.col("interaction_date").alias("_d")).distinct()
-        same = stored["interaction_date"].eqNullSafe(dates["_d"])
-        merged = staged(upsert_results(stored.join(dates, same, "left_semi"), new), "merged-results")
-    (merged.repartition("interaction_date", F.pmod(F.xxhash64("original_text"), F.lit(16)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("interaction_date").parquet(path))
+    spark = new.sparkSession
+    with scratch_scope(spark):
+        new = staged(new.select(*RESULT_COLUMNS), "new-results")
+        dates = [r["interaction_date"] for r in new.select("interaction_date").distinct().collect()]
+        try:
+            merged = staged(upsert_results(stored_on(spark, path, dates), new), "merged-results")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            merged = new
+        busiest = merged.groupBy("interaction_date").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        parts = 1 + busiest // FILE_ROWS
+        (merged.repartition("interaction_date", F.pmod(F.xxhash64("original_text"), F.lit(parts)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("interaction_date").parquet(path))

@@ -2,19 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from recado.streaming.ingest import run_available
 
-def rolling_problem_counts(rows: DataFrame, days: int = 30, late: str = "2 days") -> DataFrame:
-    """``(user_name, run, problema, n)``: rows dated ``[run - days, run]``, for a stream or a table.
 
-    A span with both ends is ``days + 1`` days long, and windows start at midnight UTC, so ``run`` is the
-    last day of the window. Each row counts in ``days + 1`` windows; Spark adds them up per task before
-    the shuffle.
-    """
+def daily_counts(rows: DataFrame) -> DataFrame:
+    """``(user_name, day, problema, n)`` of rows with a problem."""
     return (rows.where(F.col("problema").isNotNull())
-            .withWatermark("interaction_date", late)
-            .groupBy(F.window("interaction_date", f"{days + 1} days", "1 day").alias("w"), "user_name", "problema")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select("user_name", F.date_sub(F.to_date("w.end"), 1).alias("run"), "problema", "n"))
+            .groupBy("user_name", F.to_date("interaction_date").alias("day"), "problema").agg(F.count(F.lit(1)).alias("n")))
+
+
+def rolling_problem_counts(daily: DataFrame, days: int = 30) -> DataFrame:
+    """``(user_name, run, problema, n)``: rows dated ``[run - days, run]``, from daily counts.
+
+    Counts that several batches have for one day are added first; only then does each day enter its ``days + 1`` spans.
+    """
+    per_day = daily.groupBy("user_name", "day", "problema").agg(F.sum("n").alias("n"))
+    spans = per_day.withColumn("run", F.explode(F.sequence("day", F.date_add("day", days))))
+    return spans.groupBy("user_name", "run", "problema").agg(F.sum("n").alias("n"))
+
+
+def ingest_daily_counts(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Daily counts of each batch in its own folder: late rows are counted like others, a repeated batch replaces itself."""
+    def batch(df: DataFrame, batch_id: int) -> None:
+        daily_counts(df).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return run_available(stream, batch, checkpoint)
+
+
+def stored_rolling_counts(spark: SparkSession, path: str, days: int = 30) -> DataFrame:
+    """Rolling counts over all that has been ingested, the spans that are still open included."""
+    return rolling_problem_counts(spark.read.parquet(path).drop("batch"), days)

@@ -1,45 +1,49 @@
-"""Arriving comment files: cleaned as they come, or classified and merged into the stored results."""
+"""Arriving comment files: cleaned as they come, or labelled as they come and made into results from all there is.
+
+What comes out does not depend on how files are cut into batches, and nothing is dropped for being late. Each batch writes
+its own folder, so a repeated batch replaces itself.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from recado.functions import text as t
+from recado.operators import comments as c
+from recado.operators import labels as lb
+from recado.plans.classify import recent_results, texts_of
 from recado.plans.clean import clean_tagged
-from recado.profiles import LanguageProfile
-from recado.sources.files import COMMENT_SCHEMA, CSV_OPTIONS, DIALECTS
+from recado.profiles import LanguageProfile, Taxonomy
+from recado.sources.files import BAD_RECORD, as_comments, stream_comments
+from recado.sources.staging import scratch_scope, staged
 from recado.sources.store import merge_into_store
 
-OVERLAP = "7 days"  # extracts of the last 7 days overlap: the same comment arrives several times
 WAYS = 16
 
 
-def arriving_comments(spark: SparkSession, path: str, dialect: str = "infer", schema: str = COMMENT_SCHEMA,
-                      files_per_batch: int = 100) -> DataFrame:
+def arriving_comments(spark: SparkSession, path: str, dialect: str = "infer", files_per_batch: int = 100) -> DataFrame:
     """Comments of arriving files, as they come."""
-    return (spark.readStream.schema(schema).options(**CSV_OPTIONS, **DIALECTS[dialect])
-            .option("maxFilesPerTrigger", files_per_batch).csv(path))
+    return as_comments(stream_comments(spark, path, dialect, files_per_batch))
+
 
+def arriving_bad_records(spark: SparkSession, path: str, dialect: str = "infer", files_per_batch: int = 100) -> DataFrame:
+    """Records that do not fit their file's header, for a stream of their own."""
+    return stream_comments(spark, path, dialect, files_per_batch).where(F.col(BAD_RECORD).isNotNull())
 
-def once_within_overlap(stream: DataFrame) -> DataFrame:
-    """Each text and user once within the overlap.
 
-    The state holds a digest per comment and drops it once the watermark has passed; comments older than
-    that are late and left to a batch run. Copies are cut down in ``WAYS`` parts per text and user first,
-    so that a text that many copies share is not one task's work.
+def once(stream: DataFrame, by: Sequence[str] = ("text_key", "user_name")) -> DataFrame:
+    """Each text and user once, however far apart the copies arrive.
+
+    The state holds a digest per comment and is never cut, so use a state store on disk (RocksDB) on a cluster. Copies are
+    cut down in ``WAYS`` parts first, so that a text that many copies share is not one task's work.
     """
-    return (stream.where(F.col("text").isNotNull())
-            .withColumn("interaction_date", F.to_timestamp("interaction_date"))
-            .withColumn("_text_key", t.text_key(F.col("text")))
-            .withWatermark("interaction_date", OVERLAP)
-            .withColumn("_way", F.pmod(F.xxhash64("comment_id"), F.lit(WAYS)))
-            .dropDuplicatesWithinWatermark(["_text_key", "user_name", "_way"])
-            .dropDuplicatesWithinWatermark(["_text_key", "user_name"])
-            .drop("_text_key", "_way"))
+    return (c.with_text_key(stream.where(F.col("text").isNotNull()))
+            .withColumn("_way", F.pmod(F.xxhash64("comment_id", "url"), F.lit(WAYS)))
+            .dropDuplicates([*by, "_way"]).dropDuplicates([*by]).drop("_way", "text_key"))
 
 
 def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -50,27 +54,67 @@ def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], ch
     return query
 
 
-def ingest_sentences(stream: DataFrame, profile: LanguageProfile, out: str, checkpoint: str,
-                     network: str | None = None) -> StreamingQuery:
-    """Clean each batch into its own folder, so that a repeated batch replaces itself. For a stream that
-    holds each comment once (`once_within_overlap`), as folders only add up.
+def ingest_sentences(stream: DataFrame, profile: LanguageProfile, out: str, checkpoint: str, network: str | None = None,
+                     strict_dates: bool = True, rejected: str | None = None) -> StreamingQuery:
+    """Clean each batch into its own folder. For a stream that holds each comment once (`once`), as folders only add up.
 
-    The publish date is left out: it is known only against the stored comments (`plans.clean`).
+    The publish date is left out: it is known only against the stored comments (`plans.clean`). Without ``strict_dates``
+    comments with a bad date go to the table ``rejected``.
     """
     def batch(df: DataFrame, batch_id: int) -> None:
-        tagged = clean_tagged(df, profile, network=network).drop("publish_date")
-        tagged.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        with scratch_scope(df.sparkSession):
+            tagged = clean_tagged(df, profile, network=network, strict_dates=strict_dates).drop("publish_date")
+            tagged.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            if rejected and not strict_dates:
+                c.bad_dates(df).write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
 
     return run_available(stream, batch, checkpoint)
 
 
-def ingest_results(stream: DataFrame, classify: Callable[[DataFrame], DataFrame], store: str,
-                   checkpoint: str) -> StreamingQuery:
-    """Classify each batch with a saved model and merge it into the stored results.
+def ingest_labelled(stream: DataFrame, label: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:
+    """Sentences of each batch with cluster, problem and size (``label``: `plans.classify.labelled_sentences`), and its texts.
 
-    The merge replaces what an earlier extract brought, so the stream needs no state and drops nothing.
+    A comment that comes again unchanged is not labelled again.
     """
     def batch(df: DataFrame, batch_id: int) -> None:
-        merge_into_store(classify(df), store)
+        with scratch_scope(df.sparkSession):
+            label(df).write.mode("overwrite").parquet(f"{out}/sentences/batch={batch_id}")
+            texts_of(df).write.mode("overwrite").parquet(f"{out}/texts/batch={batch_id}")
 
-    return run_available(stream, batch, checkpoint)
+    by = ("comment_id", "text_key", "user_name", "interaction_date")
+    return run_available(once(stream, by), batch, checkpoint)
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path).drop("batch")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def results_of(spark: SparkSession, labelled: str, taxonomy: Taxonomy, store: str) -> None:
+    """Results of everything labelled so far, merged into the stored ones.
+
+    One row per text, the label mode and the recent problem look across comments, so they are worked out from all labelled
+    sentences (narrow rows, without texts) and not from those of a batch. Of the copies of a text by one user the first by
+    date and id counts.
+    """
+    sentences, texts = _stored(spark, f"{labelled}/sentences"), _stored(spark, f"{labelled}/texts")
+    if sentences is None or texts is None:
+        return
+    with scratch_scope(spark):
+        first = c.dedupe_comments(sentences.select("comment_id", "interaction_date", "user_name", "text_key").distinct())
+        same = [sentences[x].eqNullSafe(first[x]) for x in ("comment_id", "interaction_date", "user_name", "text_key")]
+        rows = staged(lb.label_comments(staged(sentences.join(first, same, "left_semi"), "labelled-sentences"), taxonomy), "labelled-comments")
+        once_each = staged(texts.dropDuplicates(list(c.IDENTITY)), "texts")
+        merge_into_store(recent_results(rows, once_each, taxonomy), store)
+
+
+def ingest_results(stream: DataFrame, label: Callable[[DataFrame], DataFrame], taxonomy: Taxonomy, labelled: str, store: str,
+                   checkpoint: str) -> StreamingQuery:
+    """Label what has arrived, then bring the results up to date."""
+    query = ingest_labelled(stream, label, labelled, checkpoint)
+    results_of(stream.sparkSession, labelled, taxonomy, store)
+    return query

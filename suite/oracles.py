@@ -1,7 +1,8 @@
-"""The registered queries in DuckDB SQL. Training has no SQL form and is left out."""
+"""The registered queries in DuckDB SQL. What training learns is checked by properties that SQL can state."""
 
 from __future__ import annotations
 
+from recado.profiles import PT_TAXONOMY
 from suite import sql as q
 from suite.adapters import NO_TEXT_IDS
 from suite.profile import TAXONOMY, TEST
@@ -121,6 +122,10 @@ SELECT * FROM used WHERE text NOT IN ('', ' ')"""
 
 _SENTENCE_COLUMNS = "comment_id, interaction_date, user_name, url, content_type, publish_date, original_text, sentence_idx"
 ORACLES["clean_kept"] = f"WITH {q.SENTENCES} SELECT {_SENTENCE_COLUMNS}, text FROM cleaned WHERE reject_reason IS NULL"
+ORACLES["clean_repeated"] = ORACLES["clean_lexicon"] = ORACLES["clean_kept"]
+ORACLES["bad_dates"] = f"""WITH {q.SENTENCES.replace("WHERE text IS NOT NULL", "WHERE text IS NOT NULL AND comment_id % 11 <> 5", 1)}
+SELECT comment_id, count(*) AS n, CAST(NULL AS VARCHAR) AS bad_date FROM cleaned GROUP BY comment_id
+UNION ALL SELECT comment_id, 0, '31/13/2024' FROM comments WHERE text IS NOT NULL AND comment_id % 11 = 5"""
 ORACLES["clean_removed"] = f"WITH {q.SENTENCES} SELECT {_SENTENCE_COLUMNS}, reject_reason, text FROM cleaned WHERE reject_reason IS NOT NULL"
 ORACLES["rejected_rows"] = f"WITH {q.SENTENCES} SELECT coalesce(reject_reason, 'kept') AS outcome, count(*) AS n FROM cleaned GROUP BY 1"
 
@@ -158,6 +163,15 @@ ORACLES["assign_cluster"] = f"""WITH {_MEANS}, distances AS (
   SELECT p.vec_id, m.label, round(sum((CAST(p.x AS DOUBLE) - round(m.value, 4)) * (CAST(p.x AS DOUBLE) - round(m.value, 4))), 6) AS d
   FROM points p JOIN means m USING (i) GROUP BY ALL)
 SELECT vec_id, label AS subclusters_id FROM distances QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, label) = 1"""
+_KNOWN = f"""{_LETTERS}, tokens AS (SELECT comment_id, sentence_idx, unnest({q.words('text')}) AS word FROM sentences),
+known AS (SELECT word FROM tokens GROUP BY word HAVING count(*) >= 10)"""
+ORACLES["word2vec_fit"] = f"WITH {_KNOWN} SELECT word, 200 AS n_dimensions FROM known"
+ORACLES["sentence_vectors"] = f"""WITH {_KNOWN}, counted AS (SELECT comment_id, sentence_idx, count(*) AS n FROM tokens JOIN known USING (word) GROUP BY ALL)
+SELECT comment_id, sentence_idx, coalesce(n, 0) AS n_known, TRUE AS is_mean FROM sentences LEFT JOIN counted USING (comment_id, sentence_idx)"""
+ORACLES["kmeans_fit"] = "SELECT vec_id, TRUE AS at_nearest FROM embeddings"
+ORACLES["train_pipeline"] = f"""WITH {q.SENTENCES}
+SELECT count(*) AS n_sentences, TRUE AS within_k, TRUE AS one_row_each FROM cleaned WHERE reject_reason IS NULL"""
+ORACLES["model_roundtrip"] = f"WITH {q.SENTENCES} SELECT count(*) AS n_sentences, 0::BIGINT AS n_changed FROM cleaned WHERE reject_reason IS NULL"
 ORACLES["cluster_size"] = f"WITH {q.event_sentences()}, {q.EVENT_LOOKUP} SELECT subclusters_id, cluster, problema, size FROM lookup"
 
 # -- naming --------------------------------------------------------------------------------------
@@ -196,6 +210,18 @@ SELECT subclusters_id, rnk, bigram FROM top WHERE subclusters_id IN (SELECT subc
 ORACLES["cluster_lookup"] = f"""WITH {_NAMES}, sizes AS (SELECT subclusters_id, count(*) AS size FROM medium GROUP BY 1)
 SELECT subclusters_id, cluster, problema, size FROM sizes LEFT JOIN named USING (subclusters_id)"""
 
+_PT_TERMS = q.listing([x for _, _, x in PT_TAXONOMY.label_terms()])
+_N_TERMS = len(PT_TAXONOMY.label_terms())
+_PT_SENTENCES = f"""listed AS (SELECT {_PT_TERMS} AS t),
+medium AS (SELECT CAST(event_id % 140 AS INTEGER) AS subclusters_id,
+  t[((event_id % 140) * 3) % {_N_TERMS} + 1] || ' ' || t[(event_id // 3) % {_N_TERMS} + 1] AS text FROM events, listed),
+tokens AS (SELECT subclusters_id, {q.words('text')} AS ws FROM medium),
+pairs AS (SELECT subclusters_id, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) AS bigram FROM tokens),
+counts AS (SELECT subclusters_id, bigram, count(*) AS n FROM pairs GROUP BY ALL)"""
+ORACLES["cluster_lookup_pt"] = (ORACLES["cluster_lookup"].replace(_COUNTS, _PT_SENTENCES)
+                                .replace(_TERMS, f"terms AS ({q.values(PT_TAXONOMY.label_terms(), 'label, label_ord, term')})")
+                                .replace(_PROBLEMS, f"problems AS ({q.values(PT_TAXONOMY.problem_labels(), 'problema, problem_ord, label')})"))
+
 # -- labelling -----------------------------------------------------------------------------------
 
 
@@ -231,18 +257,24 @@ _FINISHED = f"""strftime(interaction_date, '%Y-%m-%d') AS interaction_date, user
   sentimento, problema, problema_30d, {q.order_number('original_text')} AS order_number"""
 ORACLES["classify_comments"] = f"""WITH {q.CLASSIFIED}, {q.user_modes('blanked', 30)}
 SELECT {_FINISHED} FROM blanked LEFT JOIN user_modes USING (user_name)"""
+ORACLES["classify_repeated"] = ORACLES["classify_comments"]
+ORACLES["classify_trained"] = f"""WITH {q.SENTENCES}
+SELECT original_text, {q.order_number('original_text')} AS order_number FROM cleaned GROUP BY original_text"""
 ORACLES["replay_comments"] = f"""WITH {q.CLASSIFIED}, {q.replayed('blanked', '2024-01-20', '2024-02-20', 30)}
 SELECT {_FINISHED} FROM replayed"""
 
 # -- streams -------------------------------------------------------------------------------------
 
-ORACLES["stream_ingest"] = f"""WITH {q.SENTENCES}
+_INGESTED = f"""WITH {q.SENTENCES}
 SELECT user_name, sha256(original_text) AS text_digest, sentence_idx, reject_reason, text FROM cleaned"""
-ORACLES["stream_classify"] = f"WITH {q.CLASSIFIED} SELECT original_text, sentimento FROM blanked"
+ORACLES["stream_ingest"] = ORACLES["stream_ingest_in_parts"] = _INGESTED
+ORACLES["stream_classify"] = ORACLES["stream_classify_in_parts"] = ORACLES["classify_comments"]
 ORACLES["stream_problem_counts"] = f"""WITH rows AS (
   SELECT 'user_' || user_id AS user_name, CAST(ts AS DATE) AS d, event_type AS problema FROM events WHERE event_type <> 'signup'),
 spans AS (SELECT user_name, problema, d + CAST(unnest(range({WEEK + 1})) AS INTEGER) AS run FROM rows)
-SELECT user_name, strftime(run, '%Y-%m-%d') AS run, problema, count(*) AS n FROM spans
-WHERE run + 1 <= (SELECT max(d) - 2 FROM rows) GROUP BY ALL"""
+SELECT user_name, strftime(run, '%Y-%m-%d') AS run, problema, count(*) AS n FROM spans GROUP BY ALL"""
+for _dialect in ("train", "infer", "replay"):
+    ORACLES[f"csv_read_{_dialect}"] = f"""WITH {q.SENTENCES}
+SELECT interaction_date, user_name, url, sha256(original_text) AS text_digest, sentence_idx, reject_reason, text FROM cleaned"""
 
 assert NO_TEXT_IDS == 1_000_000_000  # as written out in suite.sql

@@ -20,6 +20,7 @@ from recado.operators.upsert import upsert_results
 from recado.plans import classify as cl
 from recado.plans import clean as pc
 from recado.plans import report, train
+from recado.profiles import PT_TAXONOMY
 from recado.session import scratch_dir
 from recado.sources import files, interactions, lookup, models, store
 from recado.streaming import counts, ingest
@@ -76,6 +77,21 @@ for _dialect in files.DIALECTS:
     QUERIES[f"csv_roundtrip_{_dialect}"] = _csv_roundtrip(_dialect)
 
 
+def _csv_read(dialect: str) -> Query:
+    """Cleaned sentences of files without id and content type, their columns in another order."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        path = scratch_dir(spark, f"csv-read-{dialect}")
+        files.write_comments(a.comments(spark, sf).select("text", "url", "user_name", "interaction_date"), path, dialect)
+        tagged = pc.clean_tagged(files.read_comments(spark, path, dialect), TEST, network="instagram")
+        return tagged.select(day("interaction_date"), "user_name", "url", F.sha2("original_text", 256).alias("text_digest"),
+                             F.coalesce(F.col("sentence_idx"), F.lit(-1)).cast("bigint").alias("sentence_idx"), "reject_reason", "text")
+    return run
+
+
+for _dialect in files.DIALECTS:
+    QUERIES[f"csv_read_{_dialect}"] = _csv_read(_dialect)
+
+
 @query
 def lookup_json_read(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "lookup-json")
@@ -225,8 +241,7 @@ def length_report(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def lemmatize_lexicon(spark: SparkSession, sf: str) -> DataFrame:
     """Lemmas by a joined dictionary."""
-    lexicon = spark.createDataFrame([(e.surface, e.pos, e.lemma) for e in TEST.lemmas], "surface string, pos string, lemma string")
-    done = s.lemmatise_by_join(_sentences(spark, sf), lexicon, ["comment_id", "sentence_idx"], TEST.lemma_exempt)
+    done = s.lemmatise_by_join(_sentences(spark, sf), s.lexicon_table(spark, TEST), ["comment_id", "sentence_idx"], TEST.lemma_exempt)
     return done.select("comment_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"), "text")
 
 
@@ -292,6 +307,39 @@ def clean_kept(spark: SparkSession, sf: str) -> DataFrame:
     return _show_sentences(pc.kept(_tagged(spark, sf)))
 
 
+def _repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """Every comment twice: the copies are equal, or have another id, or no id and a later date."""
+    comments, i = a.comments(spark, sf), F.col("comment_id")
+    later = F.date_format(F.date_add(F.col("interaction_date").cast("date"), 1), "yyyy-MM-dd")
+    copies = comments.withColumn("interaction_date", F.when(i % 3 == 2, later).otherwise(F.col("interaction_date"))).withColumn(
+        "comment_id", F.when(i % 3 == 0, i).when(i % 3 == 1, i + 2 * a.NO_TEXT_IDS))
+    return comments.unionByName(copies)
+
+
+@query
+def clean_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    return _show_sentences(pc.kept(pc.clean_tagged(_repeated(spark, sf), TEST, network="instagram")))
+
+
+@query
+def clean_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    """The composed cleaner with its lemmas from a dictionary table."""
+    return _show_sentences(pc.kept(pc.clean_tagged(a.comments(spark, sf), TEST, network="instagram", lexicon=s.lexicon_table(spark, TEST))))
+
+
+@query
+def bad_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """A tolerant run: comments whose date cannot be read are left out of the sentences, and listed with their date."""
+    comments = _with_bad_dates(spark, sf)
+    kept = pc.clean_tagged(comments, TEST, network="instagram", strict_dates=False).groupBy("comment_id").agg(F.count(F.lit(1)).alias("n"))
+    return kept.select("comment_id", "n", F.lit(None).cast("string").alias("bad_date")).unionByName(
+        c.bad_dates(c.drop_null_text(comments)).select("comment_id", F.lit(0).cast("bigint").alias("n"), F.col("interaction_date").alias("bad_date")))
+
+
+def _with_bad_dates(spark: SparkSession, sf: str) -> DataFrame:
+    return a.comments(spark, sf).withColumn("interaction_date", F.when(F.col("comment_id") % 11 == 5, "31/13/2024").otherwise(F.col("interaction_date")))
+
+
 @query
 def clean_removed(spark: SparkSession, sf: str) -> DataFrame:
     return _show_sentences(pc.removed(_tagged(spark, sf)), "reject_reason")
@@ -316,9 +364,8 @@ def _joined(column: str, decimals: int = 6) -> Column:
     return F.array_join(F.transform(column, lambda x: F.format_number(F.round(x, decimals) + 0.0, decimals)), "|").alias(column)
 
 
-def _sample_training(spark: SparkSession, sf: str) -> train.Training:
-    kept = pc.kept(_tagged(spark, sf)).select("comment_id", "sentence_idx", "text")
-    return train.train_on_sentences(train.staged(kept, "sentences"), TAXONOMY, k=12, min_count=5, vector_size=24, max_iter=1)
+def _kept_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    return train.staged(pc.kept(_tagged(spark, sf)).select("comment_id", "sentence_idx", "text"), "sentences")
 
 
 @query
@@ -328,18 +375,26 @@ def vocab_min_count(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def word2vec_fit(spark: SparkSession, sf: str) -> DataFrame:
-    tokenized = v.tokenize(_sentences(spark, sf))
-    known = v.known_tokens(tokenized, v.vocabulary(tokenized, 10), ["comment_id", "sentence_idx"])
-    fitted = v.word2vec(vector_size=24, max_iter=1).fit(known)
-    return fitted.getVectors().select("word", v.vector_to_array("vector").alias("vector"))
+    """The words that get a vector, and its length."""
+    fitted = v.fit_words(train.staged(v.tokenize(_sentences(spark, sf)).select("tokens"), "tokens"))
+    return fitted.getVectors().select("word", F.size(v.vector_to_array("vector")).alias("n_dimensions"))
 
 
 @query
 def sentence_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    tokenized = v.tokenize(_sentences(spark, sf))
-    known = v.known_tokens(tokenized, v.vocabulary(tokenized, 10), ["comment_id", "sentence_idx"])
-    fitted = v.word2vec(vector_size=24, max_iter=1).fit(known)
-    return fitted.transform(known).select("comment_id", "sentence_idx", v.vector_to_array("features").alias("features"))
+    """Each sentence's known words, and how far its vector is from their mean, worked out word by word."""
+    keys = ["comment_id", "sentence_idx"]
+    tokenized = train.staged(v.tokenize(_sentences(spark, sf)).select(*keys, "tokens"), "tokens")
+    fitted = v.fit_words(tokenized)
+    found = v.sentence_vectors(tokenized, fitted).select(*keys, v.vector_to_array("features").alias("features"))
+    vectors = fitted.getVectors().select("word", v.vector_to_array("vector").alias("vector"))
+    per_word = tokenized.select(*keys, F.explode("tokens").alias("word")).join(vectors, "word")
+    means = (per_word.select(*keys, F.posexplode("vector").alias("i", "x")).groupBy(*keys, "i").agg(F.avg("x").alias("x"), F.count("x").alias("n"))
+             .groupBy(*keys).agg(F.max("n").alias("n_known"), F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda e: e["x"]).alias("mean")))
+    gap = F.array_max(F.zip_with("features", F.coalesce("mean", F.transform("features", lambda _: F.lit(0.0))), lambda x, y: F.abs(x - y)))
+    return found.join(means, keys, "left").select(
+        "comment_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"), F.coalesce("n_known", F.lit(0)).alias("n_known"),
+        (gap < 1e-6).alias("is_mean"))
 
 
 @query
@@ -351,8 +406,14 @@ def mean_vector(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def kmeans_fit(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = a.table(spark, sf, "embeddings").select("vec_id", v.array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    return v.fit_kmeans(vectors, k=10, seeds=(1, 2)).transform(vectors).select("vec_id", "subclusters_id")
+    """Each point, and whether it was put to the nearest of the fitted centres."""
+    points = a.table(spark, sf, "embeddings").select("vec_id", "embedding", v.array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    model = v.fit_kmeans(points, seeds=(1, 2))
+    centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "subclusters_id int, center array<double>")
+    put = model.transform(points).withColumnRenamed("subclusters_id", "put").join(centres.withColumnRenamed("subclusters_id", "put"), "put")
+    far = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, d: s + d)
+    nearest = v.assign_clusters(put, centres, "embedding").join(centres.withColumnRenamed("center", "near"), "subclusters_id")
+    return nearest.select("vec_id", (far(F.col("embedding"), F.col("center")) <= far(F.col("embedding"), F.col("near")) + 1e-5).alias("at_nearest"))
 
 
 @query
@@ -365,17 +426,23 @@ def assign_cluster(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def train_pipeline(spark: SparkSession, sf: str) -> DataFrame:
-    return _sample_training(spark, sf).lookup
+    """What a training of full size has in its look-up: every kept sentence, in at most 140 clusters."""
+    lookup_ = train.train_on_sentences(_kept_sentences(spark, sf), TAXONOMY).lookup
+    return lookup_.agg(F.sum("size").alias("n_sentences"), (F.count_distinct("subclusters_id") <= v.N_CLUSTERS).alias("within_k"),
+                       (F.count_distinct("subclusters_id") == F.count(F.lit(1))).alias("one_row_each"))
 
 
 @query
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Cluster sizes predicted by a saved and loaded model."""
-    sentences = train.staged(pc.kept(_tagged(spark, sf)).select("comment_id", "sentence_idx", "text"), "sentences")
-    training = train.train_on_sentences(sentences, TAXONOMY, k=12, min_count=5, vector_size=24, max_iter=1)
+    """Sentences, and how many of them a saved and loaded model puts elsewhere."""
+    sentences = _kept_sentences(spark, sf)
+    model = train.train_on_sentences(sentences, TAXONOMY).model
     path = scratch_dir(spark, "model")
-    models.save_model(training.model, path)
-    return v.cluster_size(train.predict(models.load_model(spark, path), sentences))
+    models.save_model(model, path)
+    keys = ["comment_id", "sentence_idx"]
+    before = train.predict(model, sentences).select(*keys, F.col("subclusters_id").alias("was"))
+    after = train.predict(models.load_model(spark, path), sentences).select(*keys, "subclusters_id")
+    return before.join(after, keys).agg(F.count(F.lit(1)).alias("n_sentences"), F.count_if(F.col("was") != F.col("subclusters_id")).alias("n_changed"))
 
 
 @query
@@ -454,6 +521,22 @@ def cluster_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return naming.build_lookup(train.staged(_clustered(spark, sf), "clustered"), TAXONOMY)
 
 
+def _portuguese(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as sentences of two stemmed terms of the shipped taxonomy, a cluster for each type and remainder."""
+    terms = F.array(*[F.lit(x) for _, _, x in PT_TAXONOMY.label_terms()])
+    term = lambda i: F.element_at(terms, (F.pmod(i, F.size(terms)) + 1).cast("int"))
+    i = F.col("event_id")
+    rows = a.table(spark, sf, "events").select(
+        F.pmod(i, F.lit(140)).cast("int").alias("subclusters_id"), term(F.pmod(i, F.lit(140)) * 3).alias("one"), term(F.floor(i / 3)).alias("two"))
+    return rows.select("subclusters_id", F.concat_ws(" ", "one", "two").alias("text"))
+
+
+@query
+def cluster_lookup_pt(spark: SparkSession, sf: str) -> DataFrame:
+    """Clusters named with the shipped Portuguese terms."""
+    return naming.build_lookup(train.staged(_portuguese(spark, sf), "portuguese"), PT_TAXONOMY)
+
+
 # -- labelling -----------------------------------------------------------------------------------
 
 def _labelled(spark: SparkSession, sf: str, teams: bool = False) -> DataFrame:
@@ -570,11 +653,18 @@ def replay_comments(spark: SparkSession, sf: str) -> DataFrame:
                            "2024-01-20", "2024-02-20", network="instagram"))
 
 
+@query
+def classify_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """The same comments as overlapping extracts bring them: the results are those of each comment once."""
+    return _show(cl.classify(_repeated(spark, sf), TEST, TAXONOMY, a.fixed_lookup(spark), _assign(spark), network="instagram"))
+
+
 @query
 def classify_trained(spark: SparkSession, sf: str) -> DataFrame:
-    """The same with a model trained on the same comments."""
-    training = _sample_training(spark, sf)
-    return _show(cl.classify(a.comments(spark, sf), TEST, TAXONOMY, training.lookup, cl.by_model(training.model), network="instagram"))
+    """With a model trained on the same comments: the columns that do not hang on the model."""
+    training = train.train_on_sentences(_kept_sentences(spark, sf), TAXONOMY)
+    results = cl.classify(a.comments(spark, sf), TEST, TAXONOMY, training.lookup, cl.by_model(training.model), network="instagram")
+    return results.select("original_text", "order_number")
 
 
 # -- streams -------------------------------------------------------------------------------------
@@ -585,29 +675,50 @@ def _arrived(spark: SparkSession, sf: str) -> str:
     return path
 
 
-@query
-def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+def _ingested(spark: SparkSession, sf: str, files_per_batch: int) -> DataFrame:
     out, checkpoint = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-checkpoint")
-    arrived = ingest.arriving_comments(spark, _arrived(spark, sf))
-    ingest.ingest_sentences(ingest.once_within_overlap(arrived), TEST, out, checkpoint, network="instagram")
+    arrived = ingest.arriving_comments(spark, _arrived(spark, sf), files_per_batch=files_per_batch)
+    ingest.ingest_sentences(ingest.once(arrived), TEST, out, checkpoint, network="instagram")
     return spark.read.parquet(out).select(
         "user_name", F.sha2("original_text", 256).alias("text_digest"),
         F.coalesce(F.col("sentence_idx"), F.lit(-1)).cast("bigint").alias("sentence_idx"), "reject_reason", "text")
 
 
+def _stream_results(spark: SparkSession, sf: str, files_per_batch: int) -> DataFrame:
+    labelled, path, checkpoint = (scratch_dir(spark, x) for x in ("labelled", "store", "store-checkpoint"))
+    ingest.ingest_results(
+        ingest.arriving_comments(spark, _arrived(spark, sf), files_per_batch=files_per_batch),
+        lambda df: cl.labelled_sentences(df, TEST, a.fixed_lookup(spark), _assign(spark), network="instagram"),
+        TAXONOMY, labelled, path, checkpoint)
+    return _show(store.read_store(spark, path))
+
+
+@query
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    return _ingested(spark, sf, 100)
+
+
+@query
+def stream_ingest_in_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Three files at a time: the same sentences."""
+    return _ingested(spark, sf, 3)
+
+
 @query
 def stream_classify(spark: SparkSession, sf: str) -> DataFrame:
-    """Arriving files classified and merged into the stored results."""
-    path, checkpoint = scratch_dir(spark, "store"), scratch_dir(spark, "store-checkpoint")
-    ingest.ingest_results(
-        ingest.arriving_comments(spark, _arrived(spark, sf)),
-        lambda df: cl.classify(df, TEST, TAXONOMY, a.fixed_lookup(spark), _assign(spark), network="instagram"), path, checkpoint)
-    return _show(store.read_store(spark, path)).select("original_text", "sentimento")
+    """Arriving files labelled, made into results and merged into the stored ones."""
+    return _stream_results(spark, sf, 100)
+
+
+@query
+def stream_classify_in_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """One file at a time: the same results."""
+    return _stream_results(spark, sf, 1)
 
 
 @query
 def stream_problem_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as a stream: counts of the spans that the watermark has closed."""
+    """Events as a stream: rolling counts of all spans, open ones included."""
     path = scratch_dir(spark, "rolling")
     schema = a.table(spark, sf, "events").schema
     arrived = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
@@ -615,7 +726,5 @@ def stream_problem_counts(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_name"),
         F.date_trunc("day", F.col("ts").cast("timestamp")).alias("interaction_date"),
         F.when(F.col("event_type") != "signup", F.col("event_type")).alias("problema"))
-    (counts.rolling_problem_counts(rows, WEEK).writeStream.outputMode("append").format("parquet")
-     .option("path", path).option("checkpointLocation", scratch_dir(spark, "rolling-checkpoint"))
-     .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(path).select("user_name", day("run"), "problema", "n")
+    counts.ingest_daily_counts(rows, path, scratch_dir(spark, "rolling-checkpoint"))
+    return counts.stored_rolling_counts(spark, path, WEEK).select("user_name", day("run"), "problema", "n")
