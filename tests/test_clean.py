@@ -9,6 +9,7 @@ from recado.functions.stem import EXCLUSIVE, STEPS, stem
 from recado.operators import comments as c
 from recado.operators import sentences as s
 
+# The worked example's inputs and its texts after each stage.
 TEXTS = [
     None, "Oi", "Oi", "@claudia verdade!", "Renata Aragão verdade amiga",
     "loja Eu estou esperando há dias e nada da minha encomenda", "@loja estou esperando",
@@ -20,17 +21,33 @@ STAGES = {
     "deduped": [1, 3, 4, 5, 6, 7, 8, 9],
     "mentions": [1, 4, 5, 6, 7, 8, 9],
     "names": [1, 5, 6, 7, 8, 9],
+    "lower": ["oi", "loja eu estou esperando há dias e nada da minha encomenda", "@loja estou esperando",
+              "não imaginava, que mandava     o produto tão rápido kkkk *** \n obrigado",
+              "lindo esse vestido minha filha vai adorar", ""],
+    "handles": ["oi", "loja eu estou esperando há dias e nada da minha encomenda", " estou esperando",
+                "não imaginava, que mandava     o produto tão rápido kkkk *** \n obrigado",
+                "lindo esse vestido minha filha vai adorar", ""],
+    "marks": ["oi", " eu estou esperando há dias e nada da minha encomenda", " estou esperando",
+              "não imaginava. que mandava     o produto tão rápido kkkk *** \n obrigado",
+              "lindo esse vestido minha filha vai adorar", ""],
+    "sentences": ["oi", " eu estou esperando há dias e nada da minha encomenda", " estou esperando", "não imaginava.",
+                  "que mandava     o produto tão rápido kkkk *** \n obrigado", "lindo esse vestido minha filha vai adorar", ""],
     "brand": ["oi", " eu estou esperando há dias e nada da minha encomenda", " estou esperando",
               "não imaginava, que mandava     o produto tão rápido kkkk *** \n obrigado",
               "lindo esse vestido minha filha vai adorar", ""],
     "stop_words": ["oi", " esperando dias nada encomenda", " esperando", "não imaginava ",
                    "que mandava produto tão rápido kkkk obrigado", "lindo vestido filha vai adorar", ""],
+    "residue": ["oi", "esperando dias nada encomenda", "esperando", "não imaginava ",
+                "que mandava produto tão rápido  obrigado", "lindo vestido filha vai adorar", ""],
     "letters": ["oi", "esperando dias nada encomenda", "esperando", "não imaginava ",
                 "que mandava produto tão rápido  obrigado", "lindo vestido filha vai adorar", ""],
     "length": ["esperando dias nada encomenda", "que mandava produto tão rápido  obrigado", "lindo vestido filha vai adorar"],
     "lemmas": ["esperar dia nada encomendar", "que mandar produto tão rápido  obrigar", "lindar vestir filho vai adorar"],
+    "accents": ["esperar dia nada encomendar", "que mandar produto tao rapido  obrigar", "lindar vestir filho vai adorar"],
     "synonyms": ["esperar tempo nada encomendar", "que mandar pedido tao rapido  obrigar", "lindar vestir filho vai amo"],
     "mandatory": ["esperar tempo nada encomendar", "que mandar pedido tao rapido  obrigar"],
+    "useless": ["esperar tempo nada encomendar", "que mandar pedido tao rapido   "],
+    "stems": ["esper temp nad encomend", "que mand ped tao rap"],
     "final": ["esper temp nad encomend", "que mand ped tao rap"],
 }
 
@@ -89,6 +106,46 @@ def test_partitioning_does_not_matter(spark, rows):
     assert rows(clean_tagged(df.repartition(1), PT)) == rows(clean_tagged(df.repartition(8), PT))
 
 
+def test_repeated_comments_change_nothing(spark, rows):
+    df = comments(spark, TEXTS)
+    again = df.withColumn("comment_id", F.col("comment_id") + 1000)
+    later = df.withColumn("comment_id", F.lit(None).cast("bigint")).withColumn("interaction_date", F.lit("2024-06-01"))
+    assert rows(clean_tagged(df.unionByName(df).unionByName(again).unionByName(later), PT)) == rows(clean_tagged(df, PT))
+
+
+def test_rows_without_an_id_get_one(spark):
+    df = comments(spark, [x for x in TEXTS if x] * 2)
+    nameless = df.withColumn("comment_id", F.when(F.col("comment_id") % 2 == 0, F.col("comment_id")))
+    found = clean_tagged(nameless, PT, keep_length_rejects=True)
+    want = clean_tagged(df, PT, keep_length_rejects=True)
+    texts = lambda x: sorted((r.original_text, r.text) for r in x.collect())
+    assert texts(found) == texts(want) and found.where("comment_id is null").isEmpty()
+    assert texts(clean_tagged(df.drop("comment_id"), PT, keep_length_rejects=True)) == texts(want)
+
+
+def test_an_edited_comment_is_two_texts(spark):
+    df = spark.createDataFrame([(1, "2024-01-01", "u", "x", "meu pedido nunca chegou"), (1, "2024-01-02", "u", "x", "meu pedido ainda nunca chegou")],
+                               "comment_id long, interaction_date string, user_name string, url string, text string")
+    assert sorted((r.original_text, str(r.interaction_date)[:10]) for r in clean_tagged(df, PT).collect()) == [
+        ("meu pedido ainda nunca chegou", "2024-01-02"), ("meu pedido nunca chegou", "2024-01-01")]
+
+
+def test_bad_dates_end_a_strict_run_and_are_listed_by_a_tolerant_one(spark):
+    df = comments(spark, ["meu pedido nunca chegou", "meu outro pedido nunca chegou"]).withColumn(
+        "interaction_date", F.when(F.col("comment_id") == 1, "31/13/2024").otherwise("2024-01-01"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|CANNOT_PARSE"):
+        clean_tagged(df, PT).collect()
+    assert [r.comment_id for r in clean_tagged(df, PT, strict_dates=False).collect()] == [0]
+    assert [(r.comment_id, r.interaction_date) for r in c.bad_dates(df).collect()] == [(1, "31/13/2024")]
+
+
+def test_a_large_profile_dictionary_becomes_a_table(spark, rows, monkeypatch):
+    df = comments(spark, TEXTS)
+    want = rows(clean_tagged(df, PT))
+    monkeypatch.setattr(s, "LITERAL_LEMMAS", 3)
+    assert rows(clean_tagged(df, PT)) == want
+
+
 def test_lemmas_by_join_equal_lemmas_of_the_profile(spark, rows):
     lexicon = spark.createDataFrame([(e.surface, e.pos, e.lemma) for e in PT.lemmas], "surface string, pos string, lemma string")
     df = comments(spark, TEXTS)

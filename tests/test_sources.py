@@ -1,15 +1,15 @@
 """Files, look-ups, models and streams."""
 
 import datetime as dt
+import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from recado import PT, PT_TAXONOMY, extract_comments
 from recado.operators import naming
 from recado.operators import vectors as v
 from recado.plans import train
-from recado.sources import files, lookup, models
+from recado.sources import files, lookup, models, staging, store
 from recado.streaming import counts, ingest
 
 AWKWARD = ["plain", "two\nlines", 'say "hi", ok; done', "back\\slash", "'single'", " edge spaces ", "semi;colon", "ação ☕", None]
@@ -139,13 +139,67 @@ def test_lookup_counts_the_training_rows(training):
     assert sum(r["size"] for r in training[1].lookup.collect()) == 120
 
 
-def test_known_words_by_join_equal_known_words_by_set(spark, rows):
-    df = v.tokenize(spark.createDataFrame([(1, 0, "a b a z"), (2, 0, "z"), (3, 0, "")], "comment_id long, sentence_idx int, text string"))
-    vocab = spark.createDataFrame([("a",), ("b",)], "word string")
-    keys = ["comment_id", "sentence_idx"]
-    want = [(1, ["a", "b", "a"]), (2, []), (3, [])]
-    for fn in (v.known_tokens, v.known_tokens_by_join):
-        assert rows(fn(df, vocab, keys).select("comment_id", "tokens")) == want
+def test_sentence_vectors_are_means_of_known_words(spark):
+    texts = ["a b c a b c"] * 6 + ["a z a", "z y", ""]
+    tokenized = v.tokenize(spark.createDataFrame(list(enumerate(texts)), "comment_id long, text string"))
+    words = v.fit_words(tokenized, vector_size=4, min_count=5, max_iter=1)
+    known = {r.word: list(r.vector) for r in words.getVectors().collect()}
+    assert sorted(known) == ["a", "b", "c"]
+    for r in v.sentence_vectors(tokenized, words).collect():
+        have = [known[w] for w in r.tokens if w in known]
+        want = [sum(x) / len(have) for x in zip(*have, strict=True)] if have else [0.0] * 4
+        assert list(r.features) == pytest.approx(want, abs=1e-6)
+
+
+def test_comment_files_by_header(spark, tmp_path):
+    """Columns in another order, no id, no content type, one column more; a wrong header ends the run."""
+    path, bad = str(tmp_path / "in"), str(tmp_path / "bad")
+    rows = [("meu pedido", "u", "likes 3", "2024-01-01", "x"), ("meu pedido", "u", "likes 3", "2024-01-01", "x"), ("outro; pedido", None, "", "2024-01-02", "y")]
+    files.write_comments(spark.createDataFrame(rows, "text string, user_name string, extra string, interaction_date string, url string").coalesce(1), path)
+    found = files.read_comments(spark, path).orderBy("text").collect()
+    assert [(r.text, r.user_name, r.interaction_date, r.url, r.content_type) for r in found] == [
+        ("meu pedido", "u", "2024-01-01", "x", None)] * 2 + [("outro; pedido", None, "2024-01-02", "y", None)]
+    assert found[0].comment_id == found[1].comment_id != found[2].comment_id and found[0].comment_id < 0
+    files.write_comments(spark.createDataFrame([("a", "b")], "text string, user string"), bad)
+    with pytest.raises(ValueError, match="lack the columns"):
+        files.read_comments(spark, bad)
+
+
+def test_files_with_different_headers_end_the_run(spark, tmp_path):
+    for name, columns in (("1", ("interaction_date", "user_name", "url", "text")), ("2", ("user_name", "interaction_date", "url", "text"))):
+        (tmp_path / f"{name}.csv").write_text(";".join(columns) + "\n2024-01-01;u;x;t\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_comments(spark, str(tmp_path)).collect()
+
+
+def test_bad_records_are_kept_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("interaction_date;user_name;url;text\n2024-01-01;u;x;good\n2024-01-01;u;short\n2024-01-02;u;x;y;long;one\n")
+    assert [r.text for r in files.read_comments(spark, str(tmp_path)).collect()] == ["good"]
+    assert sorted(r[files.BAD_RECORD] for r in files.read_bad_records(spark, str(tmp_path)).collect()) == ["2024-01-01;u;short", "2024-01-02;u;x;y;long;one"]
+
+
+def test_staged_tables_go_with_their_scope(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    with staging.scratch_scope(spark):
+        assert staging.staged(spark.range(3), "kept-for-a-while").count() == 3
+        assert set(os.listdir(root)) - before
+    assert set(os.listdir(root)) == before
+
+
+def test_a_merge_reads_only_the_dates_of_the_batch(spark, tmp_path):
+    path = str(tmp_path / "store")
+    day = lambda n: None if n is None else dt.date(2024, 1, n)
+    make = lambda ns, order: spark.createDataFrame([(day(n), "u", None, None, f"text {n}", None, None, None, None, order) for n in ns], files.RESULT_SCHEMA)
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    store.merge_into_store(make([1, 2, 3, None], "old"), path)
+    plan = store.stored_on(spark, path, [day(2), None])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "PartitionFilters: [" in plan
+    store.merge_into_store(make([2, None, 4], "new"), path)
+    assert set(os.listdir(root)) == before
+    assert sorted((str(r.interaction_date), r.order_number) for r in store.read_store(spark, path).collect()) == [
+        ("2024-01-01", "old"), ("2024-01-02", "new"), ("2024-01-03", "old"), ("2024-01-04", "new"), ("None", "new")]
 
 
 def test_files_that_arrive_later_do_not_repeat_comments(spark, tmp_path):
@@ -159,7 +213,7 @@ def test_files_that_arrive_later_do_not_repeat_comments(spark, tmp_path):
     for name, days in (("first", range(1, 7)), ("second", range(3, 9))):
         arrive(name, days)
         stream = ingest.arriving_comments(spark, f"{arrived}/*")
-        ingest.ingest_sentences(ingest.once_within_overlap(stream), PT, out, checkpoint)
+        ingest.ingest_sentences(ingest.once(stream), PT, out, checkpoint)
     found = spark.read.parquet(out).collect()
     assert sorted(r.comment_id for r in found) == list(range(1, 9))
 
@@ -167,5 +221,7 @@ def test_files_that_arrive_later_do_not_repeat_comments(spark, tmp_path):
 def test_rolling_counts_of_a_table(spark):
     df = spark.createDataFrame([("a", dt.datetime(2024, 1, 10), "P"), ("a", dt.datetime(2024, 1, 12), "P"), ("a", dt.datetime(2024, 1, 12), None)],
                                "user_name string, interaction_date timestamp, problema string")
-    found = {str(r.run): r.n for r in counts.rolling_problem_counts(df, days=3).where(F.col("problema") == "P").collect()}
+    daily = counts.daily_counts(df)
+    assert [(r.n, str(r.day)) for r in daily.orderBy("day").collect()] == [(1, "2024-01-10"), (1, "2024-01-12")]
+    found = {str(r.run): r.n for r in counts.rolling_problem_counts(daily, days=3).collect()}
     assert found == {"2024-01-10": 1, "2024-01-11": 1, "2024-01-12": 2, "2024-01-13": 2, "2024-01-14": 1, "2024-01-15": 1}
