@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recado.sources.staging import staged
+
 HOT_ROWS = 2_000_000  # a key with more rows than this is spread over several tasks
 WAYS = 64
 SMALL_ROWS = 100_000
@@ -26,10 +28,11 @@ def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], values: Sequ
     """Left-join each group's ``values`` on to its rows.
 
     ``groups`` is aggregated from the rows: one row per key, with its row count in ``n_rows``. Groups
-    over ``hot_rows`` are at most (all rows / hot_rows) in number, so they are broadcast; their rows,
-    and rows with a NULL key, are spread by ``row_id`` in the join of the others. AQE's own skew split
+    over ``hot_rows`` are at most (all rows / hot_rows) in number, so they are broadcast once counted; their
+    rows, and rows with a NULL key, are spread by ``row_id`` in the join of the others. AQE's own skew split
     does not reach this join, because the aggregation stands between it and the shuffle.
     """
+    groups = staged(groups, "groups")  # counted, and read twice
     renamed = {v: f"_hot_{v}" for v in values}
     hot = (groups.where(F.col(n_rows) > hot_rows)
            .select(*keys, F.lit(True).alias("_hot"), *[F.col(v).alias(h) for v, h in renamed.items()]))
