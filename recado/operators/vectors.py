@@ -24,7 +24,7 @@ WINDOW_SIZE = 7
 MIN_COUNT = 10
 N_CLUSTERS = 140
 
-TASK_SENTENCES = 1_000_000
+TASK_SENTENCES = 50_000
 
 
 def tokenize(df: DataFrame) -> DataFrame:
