@@ -244,7 +244,7 @@ def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text",
     words (or NULL) has none and is linked with nothing. Texts are linked if 100 * intersection >= ``percent`` * union of
     their shingle sets. ``component_id`` is the smallest id reachable over links. NULL ids take no part in that minimum: a
     component of such rows alone has a NULL id. Rows that repeat an id are told apart by their texts. ``kept`` says that the
-    row has its component's id; a row without an id or without words is kept if its component has no id.
+    row has its component's id, NULL counting as equal to NULL. An empty table gives an empty result.
     """
     rows = staged(sketch(docs, row_id, text, width), "sketches")
     classes = staged(rows.where("n > 0").groupBy("cid").agg(
@@ -262,7 +262,10 @@ def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, as they are, that ``near_duplicates`` keeps; of rows that repeat an id and a text, one."""
+    """The rows of ``docs``, as they are, that ``near_duplicates`` keeps; of rows that repeat an id and a text, one.
+
+    Rows are found again by their id: of rows with one id but different texts, all stay if one is kept.
+    """
     found = near_duplicates(docs, row_id, text)
     ids = found.where("kept").select(F.col(row_id).alias("_kept")).distinct()
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(row_id).alias("_id")).join(
