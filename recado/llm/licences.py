@@ -1,10 +1,10 @@
 """Licence scan: a trained paragraph classifier, an unknown class with calibrated scores, and templates that confirm.
 
-Every line of every text is a paragraph; long ones are read in windows that overlap by half. A paragraph's hashed word
-1-grams and 2-grams go through one logistic regression for each licence family, fitted by follow-the-regularised-leader on
-the templates, on variants made of them by rule, and on a bounded sample of the corpus's own paragraphs as the unknown class.
-Scores are calibrated and a limit is set on examples kept out of the fit. A paragraph over the limit still has to hold nearly
-all word pairs of a template of one of its likeliest families.
+A paragraph ends at a line without words. Its lines are read one by one, long ones in windows that overlap by half, and so
+are the windows that run over the ends of its lines, as notices are wrapped. A window's hashed word 1-grams and 2-grams go through one logistic regression for each licence family, fitted by follow-the-regularised-leader on
+the templates, on variants made of them by rule, and on a bounded sample of the corpus's own lines as the unknown class.
+Scores are calibrated and a limit is set on examples kept out of the fit. A window over the limit still has to hold, with the
+words of its paragraph around it, nearly all word pairs of a template of one of its likeliest families.
 """
 
 from __future__ import annotations
@@ -55,6 +55,12 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "unlicense": ("This is free and unencumbered software released into the public domain.", "Released under the Unlicense."),
 }
 FAMILIES = sorted(TEMPLATES)
+#: Usual wordings for the fit alone: they are so alike across versions that holding most of one confirms nothing.
+_GNU = "under the terms of the GNU {} as published by the Free Software Foundation, either version {} of the License, or any later version"
+WORDINGS: dict[str, tuple[str, ...]] = {
+    "agpl-3.0": (_GNU.format("Affero General Public License", 3),), "gpl-2.0": (_GNU.format("General Public License", 2),),
+    "gpl-3.0": (_GNU.format("General Public License", 3),), "lgpl-3.0": (_GNU.format("Lesser General Public License", 3),),
+}
 #: Openings and endings that notices come with; each is put around each template for the fit.
 AROUND = ("{}", "{}.", "Copyright (c) 2020 the authors. {}", "SPDX-License-Identifier: {}", "This file is part of the project. {}",
           "{} See the file LICENSE for details.", "The text on this page: {} It comes without warranty.")
@@ -81,30 +87,50 @@ class Model:
     limit: float
 
 
-def _read(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, Segments, np.ndarray]:
-    """Word hashes, features of each word (alone, and with the word before), windows, first byte of each word."""
+def _windows(text: np.ndarray, starts: np.ndarray, paragraphs: np.ndarray) -> Segments:
+    """Windows of the pieces that begin at the words ``starts``; what is around them ends with their paragraph."""
+    n = len(text)
+    if not n:
+        return Segments(*[np.zeros(0, np.int64)] * 5)
+    stops = np.append(starts[1:], n)
+    count = np.maximum(1, -(-(stops - starts - (WINDOW - STEP)) // STEP))
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    first = np.repeat(starts, count) + nth * STEP
+    last = np.minimum(first + WINDOW, np.repeat(stops, count))
+    of = np.searchsorted(paragraphs, first, side="right")
+    low = np.maximum(first - AROUND_WORDS, paragraphs[of - 1])
+    high = np.minimum(last + AROUND_WORDS, np.append(paragraphs, n)[of])
+    return Segments(text[first], first, last, low, high)
+
+
+def _read(texts: pa.Array) -> tuple[list[tuple[np.ndarray, Segments]], np.ndarray]:
+    """Features of each word (alone, and with the word before) and windows, of lines and over the ends of lines; first byte of
+    each word."""
     words = words_of(texts, lower_ascii(), is_word=_IS_WORD)
     data, _ = buffer_of(texts)
     one = words.hashes[0]
     n = len(one)
     text = np.repeat(np.arange(len(words.ends)), np.diff(np.concatenate([[0], words.ends])))
     line = np.searchsorted(np.flatnonzero(data == 10), words.starts) if n else np.zeros(0, np.int64)
-    new = np.ones(n, bool)
+    new, apart = np.ones(n, bool), np.ones(n, bool)  # first of a line, of a paragraph
     if n:
         new[1:] = (text[1:] != text[:-1]) | (line[1:] != line[:-1])
+        apart[1:] = (text[1:] != text[:-1]) | (line[1:] > line[:-1] + 1)
     before = np.ones(n, _U)
     before[1:] = one[:-1]
-    pair = mix(np.where(new, _U(1), before) * _U(0x9E3779B97F4A7C15) + one)
-    found = np.stack([(mix(one) >> _U(64 - BITS)).astype(np.int64), (mix(pair ^ _U(23)) >> _U(64 - BITS)).astype(np.int64)])
-    starts = np.flatnonzero(new)
-    stops = np.append(starts[1:], n)
-    count = np.maximum(1, -(-(stops - starts - (WINDOW - STEP)) // STEP)) if n else np.zeros(0, np.int64)
-    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    first = np.repeat(starts, count) + nth * STEP
-    last = np.minimum(first + WINDOW, np.repeat(stops, count))
-    low = np.maximum(first - AROUND_WORDS, np.repeat(starts, count))
-    high = np.minimum(last + AROUND_WORDS, np.repeat(stops, count))
-    return one, found, Segments(text[first] if n else first, first, last, low, high), words.starts
+    alone = (mix(one) >> _U(64 - BITS)).astype(np.int64)
+
+    def found(begins: np.ndarray) -> np.ndarray:
+        pair = mix(np.where(begins, _U(1), before) * _U(0x9E3779B97F4A7C15) + one)
+        return np.stack([alone, (mix(pair ^ _U(23)) >> _U(64 - BITS)).astype(np.int64)])
+
+    starts, paragraphs = np.flatnonzero(new), np.flatnonzero(apart)
+    out = [(found(new), _windows(text, starts, paragraphs))]
+    if len(starts) > len(paragraphs):
+        over = _windows(text, paragraphs, paragraphs)
+        wraps = line[over.first] != line[over.last - 1]
+        out.append((found(apart), Segments(*[x[wraps] for x in (over.text, over.first, over.last, over.low, over.high)])))
+    return out, words.starts
 
 
 def _logits(found: np.ndarray, at: Segments, weights: np.ndarray) -> np.ndarray:
@@ -133,7 +159,7 @@ def held(text: str, families: list[str]) -> tuple[str, float]:
 
 def train(lines: list[str]) -> Model:
     """The classifier, from templates and variants, and ``lines`` of the corpus as unknown (those near a template left out)."""
-    examples = [(form.format(t), k) for k, f in enumerate(FAMILIES) for t in TEMPLATES[f] for form in AROUND]
+    examples = [(form.format(t), k) for k, f in enumerate(FAMILIES) for t in (*TEMPLATES[f], *WORDINGS.get(f, ())) for form in AROUND]
     # notices inside running text: words of the corpus before and behind, or a few of no meaning where there is no corpus
     running = [x.split() for x in lines if held(x, FAMILIES)[1] < 0.5] or [["some", "words", "of", "a", "text"]]
     for i, (text, k) in enumerate(examples[::len(AROUND)]):
@@ -141,8 +167,8 @@ def train(lines: list[str]) -> Model:
             before, behind = running[j % len(running)], running[(7 * j + 3) % len(running)]
             examples.append((" ".join([*before[:12], text, *behind[:12]]), k))
     examples += [(x, -1) for x in lines if held(x, FAMILIES)[1] < 0.5]
-    one, found, at, _ = _read(pa.array([x for x, _ in examples], pa.string()))
-    label = np.array([k for _, k in examples])[at.text] if len(one) else np.zeros(0, int)
+    found, at = _read(pa.array([x for x, _ in examples], pa.string()))[0][0]
+    label = np.array([k for _, k in examples])[at.text] if len(at.text) else np.zeros(0, int)
     rows = []
     for a, b in zip(at.first, at.last, strict=True):
         f, n = np.unique(found[:, a:b], return_counts=True)
@@ -174,8 +200,9 @@ def sample(docs: DataFrame, text: str = "text") -> list[str]:
 
 
 def scan(docs: DataFrame, model: Model, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``row_id``, ``families`` (sorted, by comma; empty if there is none), ``n_notices`` (windows confirmed) and ``score``
-    (largest probability of a confirmed window, else 0) of each row. A NULL text holds no notice."""
+    """``row_id``, ``families`` (sorted, by comma; empty if there is none), ``n_notices`` (windows confirmed, those over the
+    end of a line where no window of a line is) and ``score`` (largest probability of a confirmed window, else 0) of each row.
+    A NULL text holds no notice."""
     used = docs.select(F.col(row_id).alias("_id"), F.col(text).alias("_text"))
     schema = used.select(F.col("_id").alias(row_id)).schema.add("families", "string").add("n_notices", "long").add("score", "double")
 
@@ -185,19 +212,25 @@ def scan(docs: DataFrame, model: Model, row_id: str = "doc_id", text: str = "tex
                 texts = part.column("_text")
                 families: list[set[str]] = [set() for _ in range(len(part))]
                 notices, best = np.zeros(len(part), np.int64), np.zeros(len(part))
-                _, found, at, starts = _read(texts)
-                likely = 1 / (1 + np.exp(-np.clip(_logits(found, at, model.weights) / model.temperature, -35, 35)))
-                over = np.flatnonzero(likely.max(axis=1) >= model.limit) if len(likely) else []
+                read, starts = _read(texts)
                 data, ends = buffer_of(texts)
-                for i in over:
-                    row, last = int(at.text[i]), int(at.high[i])
-                    stop = min(int(starts[last]) if last < len(starts) else len(data), int(ends[row]))
-                    names = [FAMILIES[k] for k in np.argsort(-likely[i])[:LIKELY]]
-                    family, share = held(data[starts[at.low[i]]:stop].tobytes().decode(errors="ignore"), names)
-                    if share >= HELD:
-                        families[row].add(family)
-                        notices[row] += 1
-                        best[row] = max(best[row], likely[i][FAMILIES.index(family)])
+                counted = np.zeros(len(starts), bool)  # words of confirmed windows
+                for found, at in read:
+                    likely = 1 / (1 + np.exp(-np.clip(_logits(found, at, model.weights) / model.temperature, -35, 35)))
+                    over = np.flatnonzero(likely.max(axis=1) >= model.limit) if len(likely) else []
+                    confirmed = []
+                    for i in over:
+                        row, last = int(at.text[i]), int(at.high[i])
+                        stop = min(int(starts[last]) if last < len(starts) else len(data), int(ends[row]))
+                        names = [FAMILIES[k] for k in np.argsort(-likely[i])[:LIKELY]]
+                        family, share = held(data[starts[at.low[i]]:stop].tobytes().decode(errors="ignore"), names)
+                        if share >= HELD:
+                            families[row].add(family)
+                            notices[row] += not counted[at.first[i]:at.last[i]].any()
+                            confirmed.append(i)
+                            best[row] = max(best[row], likely[i][FAMILIES.index(family)])
+                    for i in confirmed:
+                        counted[at.first[i]:at.last[i]] = True
                 yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array([",".join(sorted(f)) for f in families], pa.string()),
                                                   pa.array(notices), pa.array(best)], names=schema.names)
 

@@ -30,6 +30,23 @@ def test_scan(spark, model):
     assert found == sorted(want, key=repr)
 
 
+WRAPPED = {
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following\n"
+    "conditions are met:": "bsd-3-clause",
+    "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n"
+    "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.": "gpl-3.0",
+    "Permission is hereby\r\ngranted, free of charge,\r\nto any person obtaining\r\na copy of this software\r\nand its documentation": "mit",
+    "Redistribution and use in source and binary forms, with or without\n\nmodification, are permitted": "",  # two paragraphs
+}
+
+
+def test_notices_over_several_lines(spark, model):
+    text = "plain words about nothing\n" * 3
+    rows = [(i, form.format(t), 1, "x") for i, (t, form) in enumerate((t, form) for t in WRAPPED for form in ("{}", f"{text}{{}}\n{text}"))]
+    got = {r.doc_id: (r.families, r.n_notices > 0, r.score > 0) for r in licences.scan(spark.createDataFrame(rows, SCHEMA), model).collect()}
+    assert got == {i: (f, bool(f), bool(f)) for i, f in enumerate(f for f in WRAPPED.values() for _ in range(2))}
+
+
 def test_no_unknown_examples_and_empty_table(spark):
     model = licences.train([])
     assert licences.scan(spark.createDataFrame([], SCHEMA), model).collect() == []
