@@ -4,7 +4,8 @@ A paragraph ends at a line without words. Its lines are read one by one, long on
 are the windows that run over the ends of its lines, as notices are wrapped. A window's hashed word 1-grams and 2-grams go through one logistic regression for each licence family, fitted by follow-the-regularised-leader on
 the templates, on variants made of them by rule, and on a bounded sample of the corpus's own lines as the unknown class.
 Scores are calibrated and a limit is set on examples kept out of the fit. A window over the limit still has to hold, with the
-words of its paragraph around it, nearly all word pairs of a template of one of its likeliest families.
+words of its paragraph around it, nearly all word pairs of a template. Every family with such a template is named, unless
+those pairs are there only as parts of other notices.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ WINDOW, STEP = 16, 8  # words
 AROUND_WORDS = 24  # words before and behind a window in which its template may lie, too
 SAMPLE, SAMPLE_CHARS = 1_000, 4_000  # paragraphs of the corpus that the fit reads, and their length at most
 PASSED = 0.001  # share of unknown paragraphs, kept out of the fit, that may pass the classifier
-LIKELY = 3  # families whose templates are compared
 HELD = 0.8  # share of a template's word pairs that a paragraph must hold
 SCALE = 4.0
 _U = np.uint64
@@ -157,6 +157,41 @@ def held(text: str, families: list[str]) -> tuple[str, float]:
     return best[2], best[0]
 
 
+def _where(places: list[list[int]]) -> tuple[int, ...]:
+    """A place for each pair, of its ``places``, so that they lie as close together as they can."""
+    found = sorted((p, k) for k, ps in enumerate(places) for p in ps)
+    latest: dict[int, int] = {}
+    best: tuple[int, ...] = ()
+    for p, k in found:
+        latest[k] = p
+        if len(latest) == len(places) and (not best or p - min(latest.values()) < best[-1] - best[0]):
+            best = tuple(sorted(latest.values()))
+    return best
+
+
+def families_held(text: str) -> list[str]:
+    """Families with a template of which the text holds ``HELD`` or more, at places that are not all taken by templates of
+    other families: CC BY is part of CC BY-NC. Of those that share their places, the one held least goes first, then the one
+    whose pairs lie furthest apart, then the shorter one."""
+    words = _plain(text)
+    places: dict[tuple[str, str], list[int]] = {}
+    for p, pair in enumerate(zip(words, words[1:], strict=False)):
+        places.setdefault(pair, []).append(p)
+    there = set(places)
+    matches = []
+    for f in FAMILIES:
+        for t in _TEMPLATE_PAIRS[f]:
+            share = len(t & there) / len(t)
+            if share >= HELD:
+                at = _where([places[pair] for pair in t & there])
+                matches.append((share, at[0] - at[-1] + len(at), len(t), f, set(at)))
+    left = sorted(matches, key=lambda m: m[:4])
+    for m in list(left):
+        if m[4] <= set().union(*(x[4] for x in left if x[3] != m[3])):
+            left.remove(m)
+    return sorted({m[3] for m in left})
+
+
 def train(lines: list[str]) -> Model:
     """The classifier, from templates and variants, and ``lines`` of the corpus as unknown (those near a template left out)."""
     examples = [(form.format(t), k) for k, f in enumerate(FAMILIES) for t in (*TEMPLATES[f], *WORDINGS.get(f, ())) for form in AROUND]
@@ -217,18 +252,17 @@ def scan(docs: DataFrame, model: Model, row_id: str = "doc_id", text: str = "tex
                 counted = np.zeros(len(starts), bool)  # words of confirmed windows
                 for found, at in read:
                     likely = 1 / (1 + np.exp(-np.clip(_logits(found, at, model.weights) / model.temperature, -35, 35)))
-                    over = np.flatnonzero(likely.max(axis=1) >= model.limit) if len(likely) else []
+                    over = np.flatnonzero(likely.sum(axis=1) >= model.limit)  # of two notices, each speaks against the other
                     confirmed = []
                     for i in over:
                         row, last = int(at.text[i]), int(at.high[i])
                         stop = min(int(starts[last]) if last < len(starts) else len(data), int(ends[row]))
-                        names = [FAMILIES[k] for k in np.argsort(-likely[i])[:LIKELY]]
-                        family, share = held(data[starts[at.low[i]]:stop].tobytes().decode(errors="ignore"), names)
-                        if share >= HELD:
-                            families[row].add(family)
+                        names = families_held(data[starts[at.low[i]]:stop].tobytes().decode(errors="ignore"))
+                        if names:
+                            families[row].update(names)
                             notices[row] += not counted[at.first[i]:at.last[i]].any()
                             confirmed.append(i)
-                            best[row] = max(best[row], likely[i][FAMILIES.index(family)])
+                            best[row] = max(best[row], *(likely[i][FAMILIES.index(f)] for f in names))
                     for i in confirmed:
                         counted[at.first[i]:at.last[i]] = True
                 yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array([",".join(sorted(f)) for f in families], pa.string()),

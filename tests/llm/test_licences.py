@@ -47,6 +47,34 @@ def test_notices_over_several_lines(spark, model):
     assert got == {i: (f, bool(f), bool(f)) for i, f in enumerate(f for f in WRAPPED.values() for _ in range(2))}
 
 
+SEVERAL = {
+    "Licensed under the Apache License, Version 2.0 or the MIT license, at your option.": "apache-2.0,mit",
+    "Code is released under the MIT License, texts are licensed under CC BY-NC 4.0. All rights reserved.": "all-rights-reserved,cc-by-nc-4.0,mit",
+    "GNU General Public License, version 2 or version 3": "gpl-2.0,gpl-3.0",
+    "GNU General Public License, version 3, or Mozilla Public License, version 2.0": "gpl-3.0,mpl-2.0",  # "version 2" is Mozilla's
+    "GNU General Public License, version 2, or GNU Lesser General Public License version 3": "gpl-2.0,lgpl-3.0",
+    "GNU General Public License version 2, GNU General Public License version 3 and Mozilla Public License version 2.0": "gpl-2.0,gpl-3.0,mpl-2.0",
+    "Licensed under CC BY 4.0, pictures under CC BY-NC 4.0.": "cc-by-4.0,cc-by-nc-4.0",
+    "Licensed under CC BY-NC 4.0.": "cc-by-nc-4.0", "Licensed under CC BY 4.0.": "cc-by-4.0", "Licensed under CC BY-SA 4.0.": "cc-by-sa-4.0",
+    "GNU General Public License, version 9": "gpl-3.0",  # both versions hold the same; one is named
+    "AGPL-3.0": "agpl-3.0", "A licence to drive": "", "word": "", "": "",
+}
+
+
+def test_every_family_of_a_text_is_held():
+    assert {t: ",".join(licences.families_held(t)) for t in SEVERAL} == SEVERAL
+    for family, texts in licences.TEMPLATES.items():
+        assert [licences.families_held(t) for t in texts] == [[family]] * len(texts)
+
+
+def test_several_licences_in_one_line(spark, model):
+    filler = "plain words about nothing " * 20
+    several = {t: f for t, f in SEVERAL.items() if "," in f}
+    rows = [(i, t, 1, "x") for i, t in enumerate([*several, *(f"{filler}{t} {filler}" for t in several)])]
+    got = {r.doc_id: r.families for r in licences.scan(spark.createDataFrame(rows, SCHEMA), model).collect()}
+    assert got == dict(enumerate([*several.values()] * 2))
+
+
 def test_no_unknown_examples_and_empty_table(spark):
     model = licences.train([])
     assert licences.scan(spark.createDataFrame([], SCHEMA), model).collect() == []
