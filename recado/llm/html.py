@@ -1,7 +1,8 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree of its elements; parts that are never article text (menus, headers, footers, forms, scripts, adverts,
-notices, comments, by element, role or class) are left out of it. Every node gets its characters per tag, adjusted for
+A page becomes a tree of its elements; parts that are never article text (menus, headers, footers, forms, scripts, hidden
+parts, by element, role or attribute) are left out of it. Class and id names only mark parts (adverts, notices, comments): such
+a part goes unless it holds an article or a main element, or most of the page's text that is not linked. Every node gets its characters per tag, adjusted for
 linked characters and linked tags; the node with the largest sum of its children's densities holds the article. Other parts
 belong to it where they are at least as dense as the thinnest node on the way from the body to that node.
 """
@@ -46,7 +47,7 @@ CLOSES = {"li": (("li",), _LIST), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "
 
 
 class Node:
-    __slots__ = ("name", "parent", "parts", "children", "chars", "tags", "linked", "link_tags", "density", "total", "dropped")
+    __slots__ = ("name", "parent", "parts", "children", "chars", "tags", "linked", "link_tags", "density", "total", "dropped", "marked")
 
     def __init__(self, name: str, parent: Node | None) -> None:
         self.name, self.parent = name, parent
@@ -54,7 +55,7 @@ class Node:
         self.children: list[Node] = []
         self.chars = self.tags = self.linked = self.link_tags = 0
         self.density = self.total = 0.0
-        self.dropped = False
+        self.dropped = self.marked = False
 
 
 def _is_dropped(name: str, attributes: str, parent: Node) -> bool:
@@ -65,12 +66,16 @@ def _is_dropped(name: str, attributes: str, parent: Node) -> bool:
     for a in ATTRIBUTE.finditer(attributes):
         value = html.unescape(a[2] or a[3] or a[4] or "")
         key = a[1].lower()
-        if key in ("class", "id") and MARKED.search(value) or key == "role" and value.lower().strip() in ROLES or (
-                key == "aria-hidden" and value.lower() == "true"):
+        if key == "role" and value.lower().strip() in ROLES or key == "aria-hidden" and value.lower() == "true":
             return True
     return bool(re.search(r"(?:^|\s)hidden(?:\s|$|=)", QUOTED.sub("", attributes), re.I))
 
 
+def _is_marked(name: str, attributes: str) -> bool:
+    return name not in ("html", "body") and any(
+        a[1].lower() in ("class", "id") and MARKED.search(html.unescape(a[2] or a[3] or a[4] or "")) for a in ATTRIBUTE.finditer(attributes))
+
+
 def _inside_article(node: Node | None) -> bool:
     while node is not None and node.name not in ARTICLE:
         node = node.parent
@@ -78,7 +83,7 @@ def _inside_article(node: Node | None) -> bool:
 
 
 def parse(page: str) -> Node:
-    """The tree of a page, without what is dropped; a page that ends early is closed there."""
+    """The tree of a page, without what is dropped, marked parts still in it; a page that ends early is closed there."""
     root = body = Node("html", None)
     node, at = root, 0
     depth = 0  # of nested dropped elements
@@ -124,6 +129,7 @@ def parse(page: str) -> Node:
                 node.children.append(child)
             continue
         child.dropped = _is_dropped(name, token[3], node)
+        child.marked = _is_marked(name, token[3])
         if not depth and not child.dropped:
             node.parts.append(child)
             node.children.append(child)
@@ -158,14 +164,84 @@ def _closed_before(node: Node, name: str, depth: int) -> tuple[Node, int]:
     return node, depth
 
 
-def _count(root: Node) -> list[Node]:
-    """Nodes from the leaves up, with their characters and tags, all and linked."""
+def _leave_out_marked(root: Node) -> None:
+    """Takes marked parts out of the tree, the smallest first.
+
+    One stays if it holds an article or main element (not counting marked ones inside marked parts) or a part that stays, or if
+    it holds most of the text that is left and not linked, or nothing else there is nearly as dense: "there" is the article or
+    main element around it, or the page. What is outside such elements, where there are any, goes whatever its size.
+    """
+    order = _order(root)
+    marked = [n for n in reversed(order) if n.marked]
+    if not marked:
+        return
+    _count(order)
+    _densities(order)
+    named = [n for n in order if n.name in ARTICLE and n.chars > 2 * n.linked]
+    stay: set[int] = set()
+    under: set[int] = set()  # nodes inside marked ones
+    for node in order:
+        if node.parent is not None and (node.parent.marked or id(node.parent) in under):
+            under.add(id(node))
+    named = [n for n in named if not n.marked or id(n) not in under] or named
+    for node in named:
+        _add_way_up(node, stay)
+    scopes = {id(n) for n in named or [root]}
+    gone: dict[int, int] = {}
+    for node in sorted(marked, key=lambda n: n.chars - n.linked):
+        if id(node) in stay:
+            continue
+        here = node.chars - node.linked - gone.get(id(node), 0)
+        scope: Node | None = node.parent
+        while scope is not None and id(scope) not in scopes:
+            scope = scope.parent
+        left = scope.chars - scope.linked - gone.get(id(scope), 0) if scope is not None else 0
+        if here and scope is not None and (2 * here > left or 4 * here > left and _is_densest(node, scope)):
+            _add_way_up(node, stay)
+            continue
+        node.dropped = True
+        up: Node | None = node
+        while here and up is not None:
+            gone[id(up)] = gone.get(id(up), 0) + here
+            up = up.parent
+    for node in {id(n.parent): n.parent for n in marked if n.dropped}.values():
+        node.children = [c for c in node.children if not c.dropped]
+        node.parts = [p for p in node.parts if isinstance(p, str) or not p.dropped]
+
+
+def _add_way_up(node: Node | None, ids: set[int]) -> None:
+    while node is not None and id(node) not in ids:
+        ids.add(id(node))
+        node = node.parent
+
+
+def _is_densest(node: Node, scope: Node) -> bool:
+    """Whether no other part of ``scope`` has half the sum of child densities that a node of this part has."""
+    order = _order(scope)
+    inside = {id(n) for n in _order(node)}
+    way: dict[int, float] = {}
+    child = node
+    while child is not scope and child.parent is not None:
+        way[id(child.parent)] = child.density
+        child = child.parent
+    most = max(n.total for n in order if id(n) in inside)
+    return most > 2 * max((n.total - way.get(id(n), 0.0) for n in order if id(n) not in inside and not n.dropped), default=0.0)
+
+
+def _order(root: Node) -> list[Node]:
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
         stack.extend(node.children)
+    return order
+
+
+def _count(order: list[Node]) -> None:
+    """Characters and tags of nodes, all and linked; ``order`` has parents before their children."""
     for node in reversed(order):
+        node.tags = node.linked = node.link_tags = 0
+        node.density = node.total = 0.0
         node.chars = sum(len(BLANK.sub(" ", p).strip()) for p in node.parts if isinstance(p, str))
         for child in node.children:
             node.chars += child.chars
@@ -174,7 +250,6 @@ def _count(root: Node) -> list[Node]:
             node.link_tags += child.link_tags + (child.name == "a")
         if node.name == "a":
             node.linked = node.chars
-    return order
 
 
 def _densities(order: list[Node]) -> None:
@@ -194,7 +269,9 @@ def _densities(order: list[Node]) -> None:
 
 def main_nodes(root: Node) -> list[Node]:
     """Roots of the subtrees that hold the article, in page order."""
-    order = _count(root)
+    _leave_out_marked(root)
+    order = _order(root)
+    _count(order)
     _densities(order)
     best = max(order, key=lambda n: n.total)
     if best.total <= 0:

@@ -23,6 +23,35 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+TWO = f"<p>{LONG}</p><p>{LONG}</p>"
+MENU = "<ul><li><a href=1>one</a><li><a href=2>two</a></ul>"
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "post comments-open", "social-sciences", "hidden-xs"])
+@pytest.mark.parametrize("form", [
+    "{menu}<div class='{name}'>{two}</div><div class=sidebar>{menu}</div>", "<div id=x class='{name}'><article>{two}</article></div>",
+    "<main class='{name}'>{two}</main>", "<main><div class='{name}'>{two}</div></main>",
+    "<main><article class='{name}'>{two}</article><div id=comments><p>A comment.</p></div></main>", "<article class='{name}'>{two}</article>", "<div class='{name}'><div id='{name}'>{two}</div></div>",
+    "<div class='{name}'>{two}</div><div id=comments><p>A comment.</p></div>", "<p class=ad>Buy this</p><div class='{name}'><p class=ad>or that</p>{two}</div>",
+])
+def test_marked_wrappers_of_the_article_stay(form, name):
+    assert main_text(form.format(name=name, two=TWO, menu=MENU)) == f"{LONG} {LONG}"
+
+
+@pytest.mark.parametrize("page", [
+    f"<article>{TWO}</article><div id=comments>{TWO * 5}</div>",  # longer than the article
+    f"<main>{TWO}<div id=comments><article class=comment-body>{TWO}</article></div></main>",
+    f"<div>{TWO}</div><div class='related'><p>{LONG}</p></div><div class='cookie-notice'><p>{LONG}</p></div>",
+])
+def test_marked_parts_beside_the_article_go(page):
+    assert main_text(page) == f"{LONG} {LONG}"
+
+
+def test_many_marked_parts():
+    assert main_text(f"<article>{TWO}</article><div>" + "<div class=comment><p>x</p></div>" * 20_000 + "</div>") == f"{LONG} {LONG}"
+    assert main_text("<div class=menu>" * 3000 + LONG + "</div>" * 3000) == LONG
+
+
 def test_very_long_page():
     body = f"<p>{LONG} &lt;tag&gt;</p>\n" * 20_000
     assert main_text(f"<nav><a href=x>x</a></nav><article>{body}</article>") == " ".join([f"{LONG} <tag>"] * 20_000)
