@@ -4,7 +4,8 @@ A page becomes a tree of its elements; parts that are never article text (menus,
 parts, by element, role or attribute) are left out of it. Class and id names only mark parts (adverts, notices, comments): such
 a part goes unless it holds an article or a main element, or most of the page's text that is not linked. Every node gets its characters per tag, adjusted for
 linked characters and linked tags; the node with the largest sum of its children's densities holds the article. Other parts
-belong to it where they are at least as dense as the thinnest node on the way from the body to that node.
+belong to it where they are at least as dense as the thinnest node on the way from the body to that node; an article or main
+element on that way is taken whole, and parts beside it by the same rule.
 """
 
 from __future__ import annotations
@@ -281,13 +282,13 @@ def main_nodes(root: Node) -> list[Node]:
     while up is not None:
         path.append(up)
         up = up.parent
-    named = [n for n in path if n.name in ARTICLE]
-    if named:
-        return [named[-1]]
     least = min(n.density for n in path[:-1]) if len(path) > 1 else root.density
     if best is root:
         return [root]
-    chosen = {id(best)}
+    named = [k for k, n in enumerate(path) if n.name in ARTICLE]
+    if named:
+        path = path[named[-1]:]
+    chosen = {id(path[0])}
     above = {id(n) for n in path}
     # siblings of the way down that are dense themselves; what holds the chosen one is not taken whole
     for n in path[1:]:

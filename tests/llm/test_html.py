@@ -47,6 +47,17 @@ def test_marked_parts_beside_the_article_go(page):
     assert main_text(page) == f"{LONG} {LONG}"
 
 
+@pytest.mark.parametrize("page,n", [
+    ("<div>{menu}</div><article>{two}{two}{two}</article><article>{two}</article><p>thin</p>", 8),
+    ("<div>{menu}</div><article>{two}{two}{two}</article><section>{two}</section><div>{menu}</div>", 8),
+    ("<div>{menu}</div><div><main>{two}{two}{two}</main></div><div>{two}</div>", 8),
+    ("<div>{menu}</div><main><div>{two}{two}</div><div>{menu}</div></main>", 4),
+])
+def test_dense_parts_beside_an_article_are_added(page, n):
+    text = main_text(page.format(two=TWO, menu=MENU))
+    assert text.count(LONG) == n and "thin" not in text
+
+
 def test_many_marked_parts():
     assert main_text(f"<article>{TWO}</article><div>" + "<div class=comment><p>x</p></div>" * 20_000 + "</div>") == f"{LONG} {LONG}"
     assert main_text("<div class=menu>" * 3000 + LONG + "</div>" * 3000) == LONG
