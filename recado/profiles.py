@@ -58,9 +58,9 @@ class LanguageProfile:
         return [*self.synonyms[:at], *aliases, *self.synonyms[at:]]
 
     def lemma_map(self) -> dict[str, str]:
-        """Surface to lemma for verbs, adjectives and nouns that are not exempt."""
-        return {e.surface: e.lemma for e in self.lemmas
-                if e.pos in LEMMATISED and e.surface not in self.lemma_exempt}
+        """Surface to lemma for verbs, adjectives and nouns that are not exempt; the smallest of a surface's lemmas."""
+        entries = [(e.surface, e.lemma) for e in self.lemmas if e.pos in LEMMATISED and e.surface not in self.lemma_exempt]
+        return dict(sorted(entries, reverse=True))
 
 
 LEMMATISED = ("VERB", "ADJ", "NOUN")

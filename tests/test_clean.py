@@ -1,5 +1,7 @@
 """The Portuguese cleaner on worked examples, stage by stage, and its invariants."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,6 +148,17 @@ def test_a_large_profile_dictionary_becomes_a_table(spark, rows, monkeypatch):
     assert rows(clean_tagged(df, PT)) == want
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_a_surface_with_two_lemmas_has_one_on_both_sides_of_the_limit(spark, rows, monkeypatch, turned):
+    doubled = tuple(replace(PT.lemmas[0], surface="vestido", pos=pos, lemma=lemma) for pos, lemma in (("NOUN", "veste"), ("VERB", "vestir")))
+    profile = replace(PT, lemmas=(*PT.lemmas, *(reversed(doubled) if turned else doubled)))
+    df = comments(spark, ["meu pedido do vestido nunca chegou"])
+    want = rows(clean_tagged(df, profile, stemming=False))
+    assert "veste " in str(want)
+    monkeypatch.setattr(s, "LITERAL_LEMMAS", 3)
+    assert rows(clean_tagged(df, profile, stemming=False)) == want
+
+
 def test_lemmas_by_join_equal_lemmas_of_the_profile(spark, rows):
     lexicon = spark.createDataFrame([(e.surface, e.pos, e.lemma) for e in PT.lemmas], "surface string, pos string, lemma string")
     df = comments(spark, TEXTS)
