@@ -4,36 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 from recado.session import scratch_dir
 
-_open: list[list[str]] = []  # paths of each scope that is open, the innermost last
+#: Paths staged in the innermost open scope of this thread; every thread (a stream's batch runs in its own) has its own scopes.
+_scope: ContextVar[list[str] | None] = ContextVar("scratch scope", default=None)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a table and read it back: later steps start from files that outlive any executor.
+def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write a table and read it back: later steps start from files that outlive any executor. Also gives its path, for `remove`.
 
-    Inside a `scratch_scope` the table goes when the scope ends; outside it stays until its folder is cleared.
+    Inside a `scratch_scope` of the same thread the table goes when the scope ends; outside it stays until it is removed.
     """
     path = scratch_dir(df.sparkSession, name)
-    if _open:
-        _open[-1].append(path)
+    paths = _scope.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """`staged_at` without the path."""
+    return staged_at(df, name)[0]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that is read no more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete what is staged inside, at the end: for work that has written its result by then."""
+    """Delete what this thread stages inside, at the end: for work that has written its result by then."""
     paths: list[str] = []
-    _open.append(paths)
+    token = _scope.set(paths)
     try:
         yield
     finally:
-        _open.remove(paths)
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        _scope.reset(token)
         for path in paths:
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(conf).delete(folder, True)
+            remove(spark, path)
