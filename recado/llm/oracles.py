@@ -74,4 +74,53 @@ found AS (
 SELECT page_id, host, path, rule, coalesce(r_verdict, 'allow') AS verdict FROM found WHERE nth = 1
 """
 
-ORACLES: dict[str, str] = {"op5_chat_formatting": CHAT, "op6_url_filter": URLS, "op1_exact_top_k": TOP_K, "op2_mix_sources": MIX}
+#: Phrases as lists of words; a piece is the text between breaks, a word's place its number in the piece.
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+sliced AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS p
+  FROM words, range(1, 6) t(k) WHERE len(w) >= k),
+found AS MATERIALIZED (SELECT lang, k, p, count(*) AS f FROM sliced GROUP BY lang, k, p HAVING count(*) >= 100),
+inside AS (
+  SELECT lang, p[1:k - 1] AS p, f FROM found WHERE k > 2 UNION SELECT lang, p[2:k] AS p, f FROM found WHERE k > 2),
+cuts AS (
+  SELECT c.lang, c.p, c.f AS a, j AS cut, x.f AS l, y.f AS r, n, (1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f) AS score
+  FROM found c JOIN range(1, 5) t(j) ON j < c.k JOIN found x ON x.lang = c.lang AND x.p = c.p[1:j]
+  JOIN found y ON y.lang = c.lang AND y.p = c.p[j + 1:c.k] JOIN sizes s ON s.lang = c.lang
+  WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.p = c.p AND i.f >= c.f)),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) AS nth FROM cuts),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+         array_to_string(p, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+  FROM lowest WHERE nth = 1)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
+
+SEARCH = r"""
+WITH terms AS (
+  SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(len(t)) AS BIGINT) AS nt FROM terms WHERE len(t) > 0),
+wanted AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+asked AS (SELECT item_id, term, CAST(count(*) AS BIGINT) AS times FROM wanted GROUP BY ALL),
+tf AS (SELECT doc, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM (
+         SELECT doc, doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM terms) GROUP BY ALL),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), totals),
+scored AS (
+  SELECT item_id, doc, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // nt)))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weighed USING (term), totals GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLES: dict[str, str] = {"op5_chat_formatting": CHAT, "op6_url_filter": URLS, "op1_exact_top_k": TOP_K, "op2_mix_sources": MIX,
+                           "op11_phrase_collocations": COLLOCATIONS, "op12_lexical_search": SEARCH}
