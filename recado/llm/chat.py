@@ -18,9 +18,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recado.llm import tokens
 from recado.llm.words import by_batch
 
-VOCABULARY = "byte_bpe_50k"
+VOCABULARY = tokens.VOCABULARY
 START, END = 50257, 50258  # the first ids that the vocabulary leaves free
 MARKS = {START: "<|im_start|>", END: "<|im_end|>"}
 LEARNT = "assistant"
@@ -47,28 +48,22 @@ def unescape_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role), flags=re.S)
 
 
-class Encoder:
+class Coder:
     """Ids of ordinary text, and back to bytes; the reserved ids give their marks."""
 
     def __init__(self, vocabulary: str) -> None:
-        import base64
-
-        import public_tokenizers as files
-        import tiktoken
-
-        with open(files.path(f"{vocabulary}.tiktoken"), "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.ids = tiktoken.Encoding(vocabulary, pat_str=files.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.bytes = {i: b for b, i in ranks.items()} | {i: m.encode() for i, m in MARKS.items()}
+        encoder = tokens.encoder(vocabulary)
+        self.ids = encoder.ids  # no text holds the vocabulary's own control string: it is escaped
+        self.bytes = encoder.bytes | {i: m.encode() for i, m in MARKS.items()}
 
     def text(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode()
 
 
 @lru_cache(maxsize=2)
-def encoder(vocabulary: str) -> Encoder:
-    """An encoder, read once by each Python worker."""
-    return Encoder(vocabulary)
+def coder(vocabulary: str) -> Coder:
+    """A coder, made once by each Python worker."""
+    return Coder(vocabulary)
 
 
 def format_turns(conversations: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -76,14 +71,15 @@ def format_turns(conversations: DataFrame, vocabulary: str = VOCABULARY) -> Data
     ``loss_start``, ``loss_end`` (places of the ids that are learnt from, the same for other roles than ``LEARNT``).
 
     Turns are in the order of ``turn`` (NULL first), then role and text. NULL roles and texts are empty; rows without a
-    conversation id are one conversation.
+    conversation id are one conversation. A repeated row is a turn of its own; an empty table gives no rows. A text
+    of any length is encoded whole, long runs of one character included, and held by one task.
     """
     used = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     schema = (T.StructType([used.schema["conv_id"], used.schema["turn"], used.schema["role"]]).add("order", "string")
               .add("ids", T.ArrayType(T.IntegerType())).add("head", "integer").add("body", "integer"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).ids
+        encode = coder(vocabulary).ids
         newline = encode("\n")
         for batch in batches:
             heads = [[START, *encode(escape_role(r)), *newline] for r in batch.column("role").to_pylist()]
@@ -125,7 +121,7 @@ def read_back(turns: DataFrame, vocabulary: str = VOCABULARY, together: bool = F
         "conv_id", "ids", "start", "loss_start", "loss_end")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = encoder(vocabulary).text
+        decode = coder(vocabulary).text
         none = object()
         key, state, done = none, None, []
 

@@ -9,12 +9,10 @@ at which place. Its size depends on the lengths that occur, not on the number of
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,51 +21,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recado.llm.tokens import VOCABULARY, encoder
 from recado.llm.words import by_batch, small_batches
 from recado.sources.staging import staged
 
 LENGTH = 2048
 END = 0  # the id that ends a document
-VOCABULARY = "byte_bpe_50k"
 MAX_PATTERNS = 20_000  # patterns that the fit weighs; those of two lengths first, then an even choice of those of three
 SWEEPS = 12
 SALTS = 64
 
-#: Texts of these characters only, without long runs, go to the faster of two encoders of one vocabulary.
-PLAIN = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-ɏ‐-‧€]|\S{1000}|\s{500}|<\|endoftext\|>")
-
-
-class Encoder:
-    """Token ids of one text. ``tokenizers`` defines them; ``tiktoken`` reads the same vocabulary and is four times as fast.
-
-    The two differ in how they know special tokens, and may differ in which characters they hold for letters or blanks, so
-    texts with anything but plain characters go to ``tokenizers``.
-    """
-
-    def __init__(self, vocabulary: str) -> None:
-        import base64
-
-        import public_tokenizers as files
-        import tiktoken
-        from tokenizers import Tokenizer
-
-        with open(files.path(f"{vocabulary}.tiktoken"), "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.fast = tiktoken.Encoding(vocabulary, pat_str=files.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.exact = Tokenizer.from_file(files.path(f"{vocabulary}.json"))
-
-    def ids(self, text: str) -> list[int]:
-        if PLAIN.search(text):
-            return self.exact.encode(text, add_special_tokens=False).ids
-        return self.fast.encode_ordinary(text)
-
-
-@lru_cache(maxsize=2)
-def encoder(vocabulary: str) -> Encoder:
-    """An encoder, read once by each Python worker."""
-    return Encoder(vocabulary)
-
-
 def pieces(docs: DataFrame, row_id: str = "doc_id", text: str = "text", length: int = LENGTH, vocabulary: str = VOCABULARY,
            with_ids: bool = False) -> DataFrame:
     """``row_id``, ``piece``, ``start``, ``length``, ``ids_crc32`` (and ``ids``) of each document's pieces.

@@ -48,7 +48,7 @@ def test_round_trip(spark):
 def test_places_and_masks(spark):
     turns = chat.format_turns(spark.createDataFrame(ROWS[:3], SCHEMA))
     row = chat.conversations_of(turns).first()
-    encode = chat.Encoder(chat.VOCABULARY)
+    encode = chat.coder(chat.VOCABULARY)
     assert encode.text(row.ids) == ("<|im_start|>user\nfirst é漢<|im_end|>\n<|im_start|>assistant\nsecond <\\|im_end|><|im_end|>\n"
                                     "<|im_start|>assistant\nthird<|im_end|>\n")
     assert encode.text([i for i, m in zip(row.ids, row.mask, strict=True) if m]) == "second <\\|im_end|>third"
@@ -57,3 +57,10 @@ def test_places_and_masks(spark):
 
 def test_empty(spark):
     assert chat.read_back(chat.format_turns(spark.createDataFrame([], SCHEMA))).collect() == []
+
+
+def test_long_runs_go_through(spark):
+    runs = [" " * 1_000_000 + "x", "a" * 1_000_000, "!" * 1_000_000, "\n" * 1_000_000, "<|" * 300_000, "é" * 300_000, "<|endoftext|>" * 3]
+    given = [(i, 1, "assistant", t, "x", 1) for i, t in enumerate(runs)] + [(50, 1, " " * 10_000, "<|endoftext|>", "x", 1)]
+    turns = chat.format_turns(spark.createDataFrame(given, SCHEMA))
+    assert sorted((tuple(r) for r in chat.read_back(turns).collect()), key=repr) == expected(given)

@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from recado.llm import pack
+from recado.llm import pack, tokens
 
 SCHEMA = "doc_id long, text string, length string, piece string, offset int"
 
@@ -28,7 +28,7 @@ def test_both_encoders_agree(text):
 
 def test_whole_plain_repertoire():
     rng = random.Random(4)
-    plain = [chr(c) for c in range(0x2050) if not pack.PLAIN.search(chr(c))]
+    plain = [chr(c) for c in range(0x2050) if not tokens.PLAIN.search(chr(c))]
     for _ in range(300):
         text = "".join(rng.choices(plain, k=80))
         assert pack.encoder(pack.VOCABULARY).ids(text) == ids_of(text)
