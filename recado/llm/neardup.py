@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recado.llm.words import by_batch, lower_ascii, mix, small_batches, words_of
-from recado.operators.skew import broadcast_if_small
+from recado.operators.skew import attach, broadcast_if_small
 from recado.sources.staging import staged
 
 SHINGLE = 3
@@ -39,6 +39,7 @@ SALTS = 16
 FEW_IDS = 500_000  # ids, counted, that are broadcast: some megabytes
 FIRST_PIVOTS = 256  # members of a bucket's share, outside the centre's component, that meet all others in the first round
 BITS = 1024  # of an outline
+HOT_CLASSES = 1_000  # a component of more classes is named by a broadcast, not in one task
 _U = np.uint64
 _SEEDS = mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=_U))
 
@@ -94,9 +95,15 @@ def _outlines(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _place(row_id: str, text: str) -> Column:
+    """A number by which a row is found again, with its id; rows of one id and text share it."""
+    return F.xxhash64(F.col(row_id).cast("string"), text)
+
+
 def sketch(docs: DataFrame, row_id: str = "doc_id", text: str = "text", width: int = SHINGLE) -> DataFrame:
-    """``_id``, ``n`` (set size), ``cid`` (class, NULL for an empty set), ``bands`` and ``bits`` (outline) of each row."""
-    used = docs.select(F.col(row_id).alias("_id"), F.col(text).alias("_text"))
+    """``_id``, ``_place`` (of id and text), ``n`` (set size), ``cid`` (class, NULL for an empty set), ``bands`` and ``bits`` (outline)
+    of each row."""
+    used = docs.select(F.col(row_id).alias("_id"), _place(row_id, text).alias("_place"), F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,9 +114,9 @@ def sketch(docs: DataFrame, row_id: str = "doc_id", text: str = "text", width: i
                 for found in (_bands(sets), _outlines(sets)):
                     ends = np.concatenate([[0], np.cumsum(np.where(n > 0, found.shape[1], 0))])
                     lists.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(found.ravel())))
-                yield pa.RecordBatch.from_arrays([part.column("_id"), pa.array(n), _class_ids(sets), *lists], names=schema.names)
+                yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_place"), pa.array(n), _class_ids(sets), *lists], names=schema.names)
 
-    schema = used.select("_id").schema.add("n", "long").add("cid", "binary")
+    schema = used.select("_id", "_place").schema.add("n", "long").add("cid", "binary")
     for name in ("bands", "bits"):
         schema = schema.add(name, T.ArrayType(T.LongType()))
     return by_batch(used, run, schema)
@@ -237,6 +244,19 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return named.join(several, "key")
 
 
+def _grouped(docs: DataFrame, row_id: str, text: str, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sketch of every row, and ``cid``, ``comp`` and ``component_id`` of every class."""
+    rows = staged(sketch(docs, row_id, text, width), "sketches")
+    classes = staged(rows.where("n > 0").groupBy("cid").agg(
+        F.min("_id").alias("id"), F.min("n").alias("n"), F.any_value("bands").alias("bands"),
+        F.any_value("bits").alias("bits")), "classes")
+    labels = class_components(docs, classes, row_id, text, width, percent)
+    comps = staged(classes.select("cid", "id").join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid")), "components")
+    lowest = comps.groupBy("comp").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("n_rows"))
+    named = attach(comps, lowest, ["comp"], ["component_id"], ["cid"], hot_rows=HOT_CLASSES)
+    return rows, staged(named.select("cid", "comp", "component_id"), "named")
+
+
 def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``row_id``, ``n_shingles``, ``component_id`` and ``kept``, a row for each row of ``docs``.
 
@@ -246,14 +266,7 @@ def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text",
     component of such rows alone has a NULL id. Rows that repeat an id are told apart by their texts. ``kept`` says that the
     row has its component's id, NULL counting as equal to NULL. An empty table gives an empty result.
     """
-    rows = staged(sketch(docs, row_id, text, width), "sketches")
-    classes = staged(rows.where("n > 0").groupBy("cid").agg(
-        F.min("_id").alias("id"), F.min("n").alias("n"), F.any_value("bands").alias("bands"),
-        F.any_value("bits").alias("bits")), "classes")
-    labels = class_components(docs, classes, row_id, text, width, percent)
-    comps = classes.select("cid", "id").join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    lowest = comps.groupBy("comp").agg(F.min("id").alias("component_id"))
-    named = staged(comps.join(lowest, "comp").select("cid", "component_id"), "named")
+    rows, named = _grouped(docs, row_id, text, width, percent)
     linked = rows.where("n > 0").select("_id", "n", "cid").join(named, "cid")
     alone = rows.where("n = 0").select("_id", "n", F.col("_id").alias("component_id"))
     return linked.select("_id", "n", "component_id").unionByName(alone).select(
@@ -261,14 +274,20 @@ def near_duplicates(docs: DataFrame, row_id: str = "doc_id", text: str = "text",
         F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def keep_one(docs: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs``, as they are, that ``near_duplicates`` keeps; of rows that repeat an id and a text, one.
+def keep_one(docs: DataFrame, row_id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row of each component, as it is: that of the smallest id (NULL last). Rows without words are in no component and stay, but
+    of rows that repeat an id and a text one stays.
 
-    Rows are found again by their id: of rows with one id but different texts, all stay if one is kept.
+    A kept row is found again by its id and a hash of id and text, so rows of other components stay out, whatever their ids.
     """
-    found = near_duplicates(docs, row_id, text)
-    ids = found.where("kept").select(F.col(row_id).alias("_kept")).distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(row_id).alias("_id")).join(
-        ids, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi")
-    again = W.partitionBy("_id", F.xxhash64(f"_row.{text}")).orderBy(F.lit(0))
-    return rows.withColumn("_n", F.row_number().over(again)).where("_n = 1").select("_row.*")
+    rows, named = _grouped(docs, row_id, text, width, percent)
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_place")).alias("first")
+    classes = rows.where("n > 0").groupBy("cid").agg(first)  # copies go before components are formed
+    kept = classes.join(named, "cid").groupBy("comp").agg(F.min("first").alias("first")).select("first._id", "first._place")
+    alone = rows.where("n = 0").select("_id", "_place").distinct()
+    keys = lambda name: (F.coalesce(F.col(name).cast("string"), F.lit("")).alias("_key"), F.col(name).isNull().alias("_none"))
+    places = kept.unionByName(alone).select("_place", *keys("_id"))
+    same = ["_place", "_key", "_none"]
+    again = docs.select(F.struct(*docs.columns).alias("_row"), _place(row_id, text).alias("_place"), *keys(row_id)).join(places, same, "left_semi")
+    one = F.row_number().over(W.partitionBy(*same).orderBy(F.lit(0)))
+    return again.withColumn("_n", one).where("_n = 1").select("_row.*")

@@ -80,12 +80,49 @@ def test_every_open_bucket_is_gone_through(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows)
 
 
+def one_of_each(rows):
+    """Rows to be kept, by a comparison of all pairs: the smallest id of each component; rows without words, each once."""
+    sets = [shingles(r[1]) for r in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                old, new = group[i], group[j]
+                group = [new if g == old else g for g in group]
+    best = {}
+    for row, own, g in zip(rows, sets, group, strict=True):
+        key = (g,) if own else ("alone", row[0], row[1])
+        best[key] = min(best.get(key, row), row, key=lambda r: (r[0] is None, r[0] or 0))
+    return best
+
+
 def test_one_row_of_each_group_stays(spark, rows):
     docs = spark.createDataFrame(rows, SCHEMA)
     kept = neardup.keep_one(docs)
     assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
-    ids = sorted(r.doc_id for r in kept.collect() if r.doc_id is not None)
-    assert ids == sorted({i for i, _, _, k in brute(rows) if k and i is not None})
+    got, want = kept.collect(), one_of_each(rows)
+    assert len(got) == len(want)
+    assert sorted((r.doc_id for r in got), key=repr) == sorted((r[0] for r in want.values()), key=repr)
+
+
+def test_rows_without_an_id_or_with_a_repeated_one(spark):
+    base = "this is a text of some length that others repeat with small changes near its end so that they are linked with it and go away".split()
+    near = lambda k: " ".join([*base, f"tail{k}"])
+    other, third = "nothing in common with any of the rest of these rows at all", "a third text that stands alone among all of them here"
+    given = [(1, near(1)), (None, near(2)), (None, near(3)), (None, other), (5, third), (5, near(4)), (None, None), (None, None), (None, ""), (7, "")]
+    made = spark.createDataFrame([(i, t, "", "", 0, "") for i, t in given], SCHEMA)
+    got = sorted(((r.doc_id, r.text) for r in neardup.keep_one(made).collect()), key=repr)
+    assert got == sorted([(1, near(1)), (None, other), (5, third), (None, None), (None, ""), (7, "")], key=repr)
+    all_ = neardup.near_duplicates(made).collect()
+    want = {(1, 1, True), (None, 1, False), (None, None, True), (5, 5, True), (5, 1, False), (7, 7, True)}
+    assert {(r.doc_id, r.component_id, r.kept) for r in all_} == want and len(all_) == len(given)
+
+
+def test_other_width_and_percent(spark):
+    given = [(1, "a b c d e f g h i j"), (2, "a b c d e f g h i z"), (3, "q r s t u v w x y z")]
+    made = spark.createDataFrame([(i, t, "", "", 0, "") for i, t in given], SCHEMA)
+    assert neardup.keep_one(made).count() == 3
+    assert sorted(r.doc_id for r in neardup.keep_one(made, width=1, percent=80).collect()) == [1, 3]
 
 
 def test_empty(spark):
