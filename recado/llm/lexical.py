@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recado.llm.ranks import first_rows
+from recado.llm.ranks import Best, first_rows
 from recado.llm.words import buffer_of, by_batch, small_batches
 from recado.operators.skew import broadcast_if_small
 from recado.sources.staging import staged
@@ -30,7 +30,6 @@ from recado.sources.staging import staged
 BEST = 20
 BLOCK_CHARS = 2_000_000  # of the items whose terms make one automaton, about
 CELLS = 1 << 21  # scores (documents by items) worked out at once
-PENDING = 1 << 20  # rows a task gathers before it cuts them to the best of each item
 
 #: Bytes as they are searched: separators as blanks, A-Z as a-z. All bytes beyond ASCII belong to terms.
 PLAIN = np.full(256, 0x20, dtype=np.uint8)
@@ -109,41 +108,11 @@ def weights(n_docs: int, df: np.ndarray) -> np.ndarray:
     return np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * d + 1))) for d in df.tolist()], np.int64)
 
 
-class _Best:
-    """The best ``k`` documents of each item so far: score, then smaller id, NULL ids last."""
-
-    def __init__(self, items: int, k: int) -> None:
-        self.k, self.least = k, np.ones(items, np.int64)
-        self.rows: list[tuple[np.ndarray, ...]] = []
-        self.pending = 0
-
-    def add(self, item: np.ndarray, doc: np.ndarray, unnamed: np.ndarray, score: np.ndarray) -> None:
-        self.rows.append((item, doc, unnamed, score))
-        self.pending += len(item)
-        if self.pending > PENDING:
-            self.cut()
-
-    def cut(self) -> tuple[np.ndarray, ...]:
-        if not self.rows:
-            none = np.zeros(0, np.int64)
-            return none, none, none.astype(bool), none
-        item, doc, unnamed, score = (np.concatenate(c) for c in zip(*self.rows, strict=True))
-        order = np.lexsort((doc, unnamed, -score, item))
-        item = item[order]
-        place = np.arange(len(item)) - np.searchsorted(item, item)
-        order, item, place = order[place < self.k], item[place < self.k], place[place < self.k]
-        kept = item, doc[order], unnamed[order], score[order]
-        self.rows, self.pending = [kept], 0
-        last = place == self.k - 1
-        self.least[item[last]] = kept[3][last]
-        return kept
-
-
 def scores(docs: DataFrame, automaton, k: int, n_docs: int, n_terms: int, weight) -> DataFrame:
     """``item`` (its number in the block), ``doc_id``, ``score``: the best documents that each task has for each item."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, w = automaton.value, weight.value
-        searcher, best = terms.searcher(), _Best(terms.n_items, k)
+        searcher, best = terms.searcher(), Best(terms.n_items, k)
         step = max(1, CELLS // max(1, terms.n_items))
         sizes = np.diff(terms.cuts)
         for batch in batches:

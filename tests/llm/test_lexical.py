@@ -8,7 +8,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from recado.llm import lexical
+from recado.llm import lexical, ranks
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -53,10 +53,10 @@ def test_against_plain_scores(spark, rows, block_chars):
 
 
 def test_best_are_cut_on_the_way(monkeypatch):
-    monkeypatch.setattr(lexical, "PENDING", 8)
+    monkeypatch.setattr(ranks, "PENDING", 8)
     rng = random.Random(2)
     given = [(rng.randrange(4), rng.randrange(30), rng.random() < 0.2, rng.randrange(1, 6)) for _ in range(300)]
-    best = lexical._Best(4, 3)
+    best = ranks.Best(4, 3)
     for start in range(0, 300, 7):
         item, doc, unnamed, score = (np.array(x) for x in zip(*given[start:start + 7], strict=True))
         open_ = score >= best.least[item]

@@ -3,7 +3,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from recado.llm import topk
+from recado.llm import ranks, topk
 
 
 def brute(rows, k=10):
@@ -37,23 +37,62 @@ def test_against_brute_force(spark):
     assert sorted(tuple(r) for r in got.collect()) == brute(rows)
 
 
+def test_blocks_of_queries_and_large_components(spark):
+    rows = [(0, [1.0, 2.0]), (1, [20000.0, 1.0]), (2, [0.5, 0.5]), (100, [-17000.0, 0.0]), (200, [3e5, -3e5]), (3, [2.5e5, 3.0]), (4, [-1e7, 5.0])]
+    rows += [(300 + i, [float(i), -0.125 * i]) for i in range(150)]
+    made = spark.createDataFrame([(*r, 0, 1, "x") for r in rows], SCHEMA).repartition(3)
+    for block_values in (topk.BLOCK_VALUES, 2):
+        got = topk.top_k(made, F.col("vec_id") % 100 == 0, block_values=block_values)
+        assert sorted(tuple(r) for r in got.collect()) == brute(rows)
+
+
+def test_scores_beyond_a_long_are_its_ends(spark):
+    rows = [(0, [1e30, 0.0]), (1, [1e20, 1.0]), (2, [-1e20, 1.0]), (3, [1e30, 7.0])]
+    got = topk.top_k(spark.createDataFrame([(*r, 0, 1, "x") for r in rows], SCHEMA), F.col("vec_id") == 0).collect()
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(1, topk.HIGH), (3, topk.HIGH), (2, topk.LOW)]
+
+
+def found_by(queries, x, k, matrix):
+    ids = np.arange(len(x))
+    block = topk.Block(ids[:len(queries)], queries, matrix, np.full(len(queries), topk.LOW))
+    whole = (queries @ x.T).astype(np.int64)
+    whole[ids[:len(queries)], ids[:len(queries)]] = topk.LOW
+    for i in range(len(queries)):  # limits as a sample gives them
+        block.least[i] = np.sort(whole[i, -1000:])[-k]
+    best, scored = ranks.Best(len(queries), k, block.least), 0
+    for start in range(0, len(x), 1500):
+        scored += block.search(ids[start:start + 1500], x[start:start + 1500], best)
+    q, name, _, score = best.cut()
+    order = np.argsort(-whole, axis=1, kind="stable")[:, :k]
+    assert np.array_equal(name.reshape(-1, k), order) and np.array_equal(score.reshape(-1, k), np.take_along_axis(whole, order, 1))
+    return scored / (len(queries) * len(x))
+
+
 def test_bounds_prune_and_stay_exact():
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(12, 64)) * 300
     x = np.floor(centres[rng.integers(0, 12, 6000)] + rng.normal(size=(6000, 64)) * 20)
-    ids, queries = np.arange(6000), x[:40]
-    names, scores = topk.best_of(np.arange(40), queries, ids, x, 10)
-    whole = (queries @ x.T).astype(np.int64)
-    whole[np.arange(40), np.arange(40)] = topk.NONE
-    order = np.argsort(-whole, axis=1, kind="stable")[:, :10]
-    assert np.array_equal(names, order) and np.array_equal(scores, np.take_along_axis(whole, order, 1))
-    for s in topk.SEGMENTS:
-        assert (topk.statistics(queries, s) @ topk.statistics(x, s).T + 1e-3 >= queries @ x.T).all()
+    assert found_by(x[:40], x, 10, topk.turn(x[:3000])) < 0.1
+    assert found_by(x[:40], x, 10, np.eye(64)) < 0.5
+    y = np.floor(rng.normal(size=(6000, 64)) * 128)  # no structure at all
+    assert found_by(y[:40], y, 10, topk.turn(y[:3000])) < 0.3
+
+
+def test_each_level_is_a_bound_and_finer_than_the_one_before():
+    rng = np.random.default_rng(6)
+    for width in (1, 2, 7, 33, 64):
+        x = rng.normal(size=(300, width)) * rng.random(width) * 100
+        y, last = x @ topk.turn(x), np.inf
+        for starts in topk.levels(width):
+            s = topk.statistics(y, starts)
+            bound = s[:20] @ s.T
+            assert (bound + 1e-3 >= x[:20] @ x.T).all() and bound.mean() <= last + 1e-6
+            last = bound.mean()
 
 
-def test_large_components_are_exact():
-    x = np.array([[2.0 ** 24, 2.0 ** 24 - 1] * 64, [2.0 ** 24, 1.0] * 64])
-    assert topk._scores(x, x)[0, 0] == 64 * (2 ** 48 + (2 ** 24 - 1) ** 2)
+def test_sums_beyond_floating_point_are_exact():
+    x = np.array([[2.0 ** 27, 2.0 ** 27 - 1] * 64, [2.0 ** 27, 1.0] * 64])
+    assert topk.scores(x, x)[0] == 64 * (2 ** 54 + (2 ** 27 - 1) ** 2)
 
 
 def test_empty_and_no_query(spark):
