@@ -17,6 +17,7 @@ from recado.operators.skew import attach
 
 
 IDENTITY = ("comment_id", "text_key")
+TIES = ("url", "content_type")
 
 
 def with_ids(df: DataFrame) -> DataFrame:
@@ -69,12 +70,13 @@ def parse_dates(df: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def dedupe_comments(df: DataFrame) -> DataFrame:
-    """One comment per text and user (NULL users are equal): the earliest, then the lowest id.
+    """One comment per text and user (NULL users are equal): the earliest, then the lowest id, then the first by `TIES`, so the choice
+    hangs on what the comments say and not on how they arrive.
 
     Spark cuts each map task's rows to one per key before the shuffle, so a text copied a million
     times reaches the reducer once per map task. A ``text_key`` that is there already stands for the text.
     """
-    key = Window.partitionBy("text_key", "user_name").orderBy("interaction_date", "comment_id")
+    key = Window.partitionBy("text_key", "user_name").orderBy("interaction_date", "comment_id", *[x for x in TIES if x in df.columns])
     return (with_text_key(df).withColumn("_rank", F.row_number().over(key)).where(F.col("_rank") == 1)
             .select(*df.columns))
 

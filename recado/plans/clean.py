@@ -15,19 +15,27 @@ from recado.sources.staging import staged
 COMMENT_COLUMNS = ("comment_id", "interaction_date", "user_name", "url", "content_type")
 
 
+def narrow_comments(df: DataFrame, strict_dates: bool = True) -> DataFrame:
+    """Comments with a text, dates parsed, with a digest for the text: what de-duplication and publish dates need.
+
+    Without ``strict_dates`` comments with a bad date are left out (`comments.bad_dates` has them), else they end the run.
+    """
+    df = c.with_ids(c.drop_null_text(df))
+    dated = c.parse_dates(df if strict_dates else df.where(c.has_good_date()))
+    return c.with_text_key(dated.select(*COMMENT_COLUMNS, "text")).drop("text")
+
+
 def prepared_comments(df: DataFrame, network: str | None = None, strict_dates: bool = True) -> DataFrame:
     """NULL texts and duplicates dropped, post address and publish date added; with ``text_key``.
 
     Which rows stay, and their dates, is worked out on narrow columns with a digest for the text; the
     texts themselves are shuffled once, by id and digest, and cut to one copy there, so that a comment that
-    several extracts bring stays one. Without ``strict_dates`` comments with a bad date are left out
-    (`comments.bad_dates` has them), else they end the run.
+    several extracts bring stays one. ``strict_dates``: see `narrow_comments`.
     """
-    df = c.with_ids(c.drop_null_text(df))
-    dated = c.parse_dates(df if strict_dates else df.where(c.has_good_date()))
-    narrow = c.with_text_key(dated.select(*COMMENT_COLUMNS, "text")).drop("text")
-    posts = c.dedupe_comments(narrow).withColumn("url", c.post_url(F.col("url"), network))
-    return (c.texts_once(df).join(c.publish_date(posts), list(c.IDENTITY))
+    posts = c.dedupe_comments(narrow_comments(df, strict_dates)).withColumn("url", c.post_url(F.col("url"), network))
+    posts = staged(posts, "comments-once")  # read for the posts' dates, then for their rows
+    texts = c.texts_once(c.with_ids(c.drop_null_text(df)))
+    return (texts.join(c.publish_date(posts), list(c.IDENTITY))
             .select(*COMMENT_COLUMNS, "publish_date", F.col("text").alias("original_text"), "text_key"))
 
 
@@ -38,25 +46,31 @@ def clean_tagged(df: DataFrame, profile: LanguageProfile, remove_mandatory: bool
 
     Sentences of the wrong length are in neither output, unless asked for. With a ``lexicon`` table the
     lemmas come from it instead of the profile's own entries; a profile with more entries than a plan may carry is
-    such a table too. ``with_text_key`` keeps the digest of the original text. ``strict_dates``: see `prepared_comments`.
+    such a table too. ``with_text_key`` keeps the digest of the original text. ``strict_dates``: see `narrow_comments`.
     """
+    tagged = tagged_sentences(prepared_comments(df, network, strict_dates), profile, remove_mandatory, stemming, keep_length_rejects, lexicon)
+    return tagged if with_text_key else tagged.drop("text_key")
+
+
+def tagged_sentences(prepared: DataFrame, profile: LanguageProfile, remove_mandatory: bool = True, stemming: bool = True,
+                     keep_length_rejects: bool = False, lexicon: DataFrame | None = None) -> DataFrame:
+    """Sentences of rows with ``original_text`` and ``text_key``: the rows' columns, ``sentence_idx``, ``reject_reason``, ``text``."""
     if lexicon is None and len(profile.lemma_map()) > s.LITERAL_LEMMAS:
-        lexicon = s.lexicon_table(df.sparkSession, profile)
-    prepared = prepared_comments(df, network, strict_dates)
+        lexicon = s.lexicon_table(prepared.sparkSession, profile)
     tagged = prepared.withColumn("_reason", c.comment_reject_reason(F.col("original_text"), profile.brand))
     front = s.front(F.col("original_text"), profile, keep_length_rejects)
     as_rejected = F.array(F.struct(
         F.lit(None).cast("int").alias("sentence_idx"), F.col("_reason").alias("reject_reason"),
         F.col("original_text").alias("text")))
     options = {"remove_mandatory": remove_mandatory, "stemming": stemming, "keep_length_rejects": keep_length_rejects}
-    columns = [x for x in prepared.columns if x != "text_key" or with_text_key]
 
     if lexicon is not None:
         fronted = staged(tagged.withColumn("_front", F.when(F.col("_reason").isNull(), front)), "sentences-before-lemmas")
-        tagged = s.with_lemmas(fronted, lexicon, "_front", [*c.IDENTITY, "user_name"], profile.lemma_exempt)
+        keys = [x for x in (*c.IDENTITY, "user_name") if x in prepared.columns]
+        tagged = s.with_lemmas(fronted, lexicon, "_front", keys, profile.lemma_exempt)
         front = F.col("_front")
     parts = F.when(F.col("_reason").isNull(), s.back(front, profile, lemmas_done=lexicon is not None, **options)).otherwise(as_rejected)
-    return tagged.select(*columns, F.inline(parts))
+    return tagged.select(*prepared.columns, F.inline(parts))
 
 
 def kept(tagged: DataFrame) -> DataFrame:

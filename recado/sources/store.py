@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from recado.operators.upsert import upsert_results
 from recado.sources.files import RESULT_COLUMNS, RESULT_SCHEMA
-from recado.sources.staging import scratch_scope, staged
+from recado.sources.staging import remove, scratch_scope, staged
 
 FILE_ROWS = 1_000_000  # rows of a date that make one file
 
@@ -36,14 +36,43 @@ def merge_into_store(new: DataFrame, path: str) -> None:
     with scratch_scope(spark):
         new = staged(new.select(*RESULT_COLUMNS), "new-results")
         dates = [r["interaction_date"] for r in new.select("interaction_date").distinct().collect()]
-        try:
-            merged = staged(upsert_results(stored_on(spark, path, dates), new), "merged-results")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            merged = new
-        busiest = merged.groupBy("interaction_date").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-        parts = 1 + busiest // FILE_ROWS
-        (merged.repartition("interaction_date", F.pmod(F.xxhash64("original_text"), F.lit(parts)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("interaction_date").parquet(path))
+        stored = _stored_on(spark, path, dates)
+        _rewrite(new if stored is None else upsert_results(stored, new), path, dates)
+
+
+def replace_texts(new: DataFrame, before: DataFrame, path: str) -> None:
+    """Put the rows of ``new`` in place of all stored rows of their texts, one of which each text has at most.
+
+    ``before`` (``interaction_date``) names the dates where such rows stand. Those dates and the new ones are read and rewritten; a
+    date that is left without a row loses its folder. Running it again changes nothing.
+    """
+    spark = new.sparkSession
+    with scratch_scope(spark):
+        new = staged(new.select(*RESULT_COLUMNS), "new-results")
+        touched = new.select("interaction_date").unionByName(before.select("interaction_date")).distinct()
+        dates = [r["interaction_date"] for r in touched.collect()]
+        stored = _stored_on(spark, path, dates)
+        merged = new if stored is None else upsert_results(stored, new, others=())
+        left = _rewrite(merged, path, dates)
+        for day in set(dates) - left:
+            remove(spark, f"{path}/interaction_date={'__HIVE_DEFAULT_PARTITION__' if day is None else day}")
+
+
+def _stored_on(spark: SparkSession, path: str, dates: list[date | None]) -> DataFrame | None:
+    try:
+        return stored_on(spark, path, dates)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _rewrite(merged: DataFrame, path: str, dates: list[date | None]) -> set[date | None]:
+    """Write the merged dates; those that have rows."""
+    merged = staged(merged, "merged-results")
+    sizes = {r["interaction_date"]: r["n"] for r in merged.groupBy("interaction_date").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = 1 + max(sizes.values(), default=0) // FILE_ROWS
+    (merged.repartition("interaction_date", F.pmod(F.xxhash64("original_text"), F.lit(parts)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("interaction_date").parquet(path))
+    return set(sizes)

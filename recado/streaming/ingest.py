@@ -1,28 +1,43 @@
-"""Arriving comment files: cleaned as they come, or labelled as they come and made into results from all there is.
+"""Arriving comment files: cleaned and labelled as they come, over any number of batches and runs.
 
-What comes out does not depend on how files are cut into batches, and nothing is dropped for being late. Each batch writes
-its own folder, so a repeated batch replaces itself.
+What can be read afterwards hangs on the comments that have arrived and not on how files were cut into batches or runs. Nothing is
+dropped for being late: an earlier copy of a comment takes the place of a later one whenever it comes. All tables are logs
+(`logs`); a batch reads the rows of the texts, users and posts that it touches and adds its own:
+
+- ``comments``: the earliest comment of each text and user; the smallest row of a key stands, so nothing need be replaced
+- ``posts``: how many such comments a post has on each date, more and less; the first date with any is its publish date
+- ``texts``, ``sentences``, ``labels``: each text once, cleaned and labelled when it first comes
+- ``rows``: the labelled row of each text; ``modes``: each user's recent problem; ``done``: up to where results have been made
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from recado.operators import comments as c
 from recado.operators import labels as lb
-from recado.plans.classify import recent_results, texts_of
-from recado.plans.clean import clean_tagged
+from recado.operators import modes as m
+from recado.operators.skew import attach
+from recado.plans.clean import COMMENT_COLUMNS, narrow_comments, tagged_sentences
 from recado.profiles import LanguageProfile, Taxonomy
 from recado.sources.files import BAD_RECORD, as_comments, stream_comments
 from recado.sources.staging import scratch_scope, staged
-from recado.sources.store import merge_into_store
+from recado.sources.store import replace_texts
+from recado.streaming import logs
 
-WAYS = 16
+KEY = ("text_key", "user_name")
+TEXTS = "text_key string, original_text string"
+SENTENCES = "text_key string, sentence_idx int, reject_reason string, text string"
+LABELS = "text_key string, sentence_idx int, cluster string, problema string, size long"
+POSTS = "post string, interaction_date timestamp, n long"
+MODES = "user_name string, problema_30d string"
 
 
 def arriving_comments(spark: SparkSession, path: str, dialect: str = "infer", files_per_batch: int = 100) -> DataFrame:
@@ -35,17 +50,6 @@ def arriving_bad_records(spark: SparkSession, path: str, dialect: str = "infer",
     return stream_comments(spark, path, dialect, files_per_batch).where(F.col(BAD_RECORD).isNotNull())
 
 
-def once(stream: DataFrame, by: Sequence[str] = ("text_key", "user_name")) -> DataFrame:
-    """Each text and user once, however far apart the copies arrive.
-
-    The state holds a digest per comment and is never cut, so use a state store on disk (RocksDB) on a cluster. Copies are
-    cut down in ``WAYS`` parts first, so that a text that many copies share is not one task's work.
-    """
-    return (c.with_text_key(stream.where(F.col("text").isNotNull()))
-            .withColumn("_way", F.pmod(F.xxhash64("comment_id", "url"), F.lit(WAYS)))
-            .dropDuplicates([*by, "_way"]).dropDuplicates([*by]).drop("_way", "text_key"))
-
-
 def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Process every file that is there, then stop."""
     query = (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
@@ -54,67 +58,143 @@ def run_available(stream: DataFrame, batch: Callable[[DataFrame, int], None], ch
     return query
 
 
-def ingest_sentences(stream: DataFrame, profile: LanguageProfile, out: str, checkpoint: str, network: str | None = None,
-                     strict_dates: bool = True, rejected: str | None = None) -> StreamingQuery:
-    """Clean each batch into its own folder. For a stream that holds each comment once (`once`), as folders only add up.
+def ranked_against_stored(new: DataFrame, stored: DataFrame) -> DataFrame:
+    """The earliest of ``new`` and the stored rows of the same keys: ``_new`` says where a row is from, ``_rank`` 1 that it stands."""
+    old = c.dedupe_comments(logs.of_keys(stored, new.select(*KEY)).drop("batch"))
+    both = old.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+    order = W.partitionBy(*KEY).orderBy("interaction_date", "comment_id", *c.TIES, "_new")
+    return both.withColumn("_rank", F.row_number().over(order))
 
-    The publish date is left out: it is known only against the stored comments (`plans.clean`). Without ``strict_dates``
-    comments with a bad date go to the table ``rejected``.
-    """
-    def batch(df: DataFrame, batch_id: int) -> None:
-        with scratch_scope(df.sparkSession):
-            tagged = clean_tagged(df, profile, network=network, strict_dates=strict_dates).drop("publish_date")
-            tagged.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-            if rejected and not strict_dates:
-                c.bad_dates(df).write.mode("overwrite").parquet(f"{rejected}/batch={batch_id}")
 
-    return run_available(stream, batch, checkpoint)
+def _changes(batch: DataFrame, root: str, number: int, network: str | None, strict_dates: bool) -> DataFrame:
+    """Write the batch's comments that stand, and what they change in their posts; the former."""
+    spark = batch.sparkSession
+    new = c.dedupe_comments(narrow_comments(batch, strict_dates)).withColumn("post", c.post_url(F.col("url"), network))
+    stored = logs.read(spark, f"{root}/comments", new.schema, upto=number - 1)
+    ranked = staged(ranked_against_stored(new, stored), "ranked-comments")
+    changed = ranked.where("_new AND _rank = 1").drop("_new", "_rank")
+    beaten = ranked.where("NOT _new AND _rank = 2").select("post", "interaction_date", F.lit(-1).alias("n"))
+    deltas = changed.select("post", "interaction_date", F.lit(1).alias("n")).unionByName(beaten)
+    logs.append(changed, f"{root}/comments", number)
+    logs.append(deltas.groupBy("post", "interaction_date").agg(F.sum("n").alias("n")).where("n <> 0"), f"{root}/posts", number)
+    return changed
 
 
-def ingest_labelled(stream: DataFrame, label: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:
-    """Sentences of each batch with cluster, problem and size (``label``: `plans.classify.labelled_sentences`), and its texts.
+def ingest_comments(stream: DataFrame, profile: LanguageProfile, root: str, checkpoint: str, network: str | None = None,
+                    label: Callable[[DataFrame], DataFrame] | None = None, lexicon: DataFrame | None = None,
+                    strict_dates: bool = True, rejected: str | None = None) -> StreamingQuery:
+    """Bring the logs under ``root`` up to what has arrived. ``label`` (`plans.classify.label_tagged`) also names the sentences.
 
-    A comment that comes again unchanged is not labelled again.
+    A text is cleaned when it first comes, whoever sends it. Without ``strict_dates`` comments with a bad date are left out
+    and written to the table ``rejected``. One stream writes to a root.
     """
-    def batch(df: DataFrame, batch_id: int) -> None:
-        with scratch_scope(df.sparkSession):
-            label(df).write.mode("overwrite").parquet(f"{out}/sentences/batch={batch_id}")
-            texts_of(df).write.mode("overwrite").parquet(f"{out}/texts/batch={batch_id}")
+    def batch(df: DataFrame, number: int) -> None:
+        spark = df.sparkSession
+        with scratch_scope(spark):
+            df = staged(df, "arrived")
+            changed = _changes(df, root, number, network, strict_dates)
+            touched = staged(changed.select("text_key").distinct(), "touched-texts")
+            known = logs.of_keys(logs.read(spark, f"{root}/texts", TEXTS, upto=number - 1), touched).select("text_key")
+            fresh = touched.join(known, "text_key", "left_anti")
+            texts = c.with_text_key(c.drop_null_text(df).select("text")).join(fresh, "text_key", "left_semi").dropDuplicates(["text_key"])
+            texts = staged(texts.select("text_key", F.col("text").alias("original_text")), "fresh-texts")
+            sentences = tagged_sentences(texts, profile, lexicon=lexicon).drop("original_text")
+            logs.append(sentences, f"{root}/sentences", number)
+            if label:
+                logs.append(label(logs.read(spark, f"{root}/sentences", SENTENCES, after=number - 1, upto=number).drop("batch")),
+                            f"{root}/labels", number)
+            logs.append(texts, f"{root}/texts", number)
+            if rejected and not strict_dates:
+                c.bad_dates(df).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
 
-    by = ("comment_id", "text_key", "user_name", "interaction_date")
-    return run_available(once(stream, by), batch, checkpoint)
+    return run_available(stream, batch, checkpoint)
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+def _comment_schema(spark: SparkSession, root: str) -> T.StructType | None:
+    """Columns of the log ``comments``; None where no batch has been written."""
     try:
-        return spark.read.parquet(path).drop("batch")
+        return T.StructType([f for f in spark.read.parquet(f"{root}/comments").schema if f.name != "batch"])
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
 
 
-def results_of(spark: SparkSession, labelled: str, taxonomy: Taxonomy, store: str) -> None:
-    """Results of everything labelled so far, merged into the stored ones.
+def standing_comments(spark: SparkSession, root: str) -> DataFrame:
+    """The comments that stand, each with its post's address as ``url`` and its publish date."""
+    rows = c.dedupe_comments(logs.read(spark, f"{root}/comments", _comment_schema(spark, root)).drop("batch"))
+    days = logs.read(spark, f"{root}/posts", POSTS).groupBy("post", "interaction_date").agg(F.sum("n").alias("n")).where("n > 0")
+    posts = days.groupBy(F.col("post").alias("url")).agg(F.min("interaction_date").alias("publish_date"), F.sum("n").alias("n_rows"))
+    dated = attach(rows.drop("url").withColumnRenamed("post", "url"), posts, ["url"], ["publish_date"], row_id=["comment_id"])
+    return dated.select(*COMMENT_COLUMNS, "publish_date", "text_key")
 
-    One row per text, the label mode and the recent problem look across comments, so they are worked out from all labelled
-    sentences (narrow rows, without texts) and not from those of a batch. Of the copies of a text by one user the first by
-    date and id counts.
+
+def ingested_sentences(spark: SparkSession, root: str) -> DataFrame:
+    """What `plans.clean.clean_tagged` gives for all comments that have arrived."""
+    rows = staged(standing_comments(spark, root), "standing-comments")  # a stored side can be split where a text is hot
+    texts, sentences = (logs.read(spark, f"{root}/{name}", schema).drop("batch") for name, schema in (("texts", TEXTS), ("sentences", SENTENCES)))
+    return rows.join(texts, "text_key").join(sentences, "text_key").select(
+        *COMMENT_COLUMNS, "publish_date", "original_text", "sentence_idx", "reject_reason", "text")
+
+
+def _labelled_rows(spark: SparkSession, root: str, touched: DataFrame, taxonomy: Taxonomy) -> DataFrame:
+    """One labelled row for each touched text that has sentences, from all comments that hold it."""
+    log = logs.read(spark, f"{root}/comments", _comment_schema(spark, root))
+    holders = staged(c.dedupe_comments(logs.of_keys(log, touched).drop("batch")), "comments-of-texts")
+    labels = logs.of_keys(logs.read(spark, f"{root}/labels", LABELS), touched).drop("batch")
+    rows = holders.drop("url").withColumnRenamed("post", "url").join(labels, "text_key")
+    return staged(lb.label_comments(staged(rows, "labelled-sentences"), taxonomy), "labelled-texts")
+
+
+def update_results(spark: SparkSession, root: str, taxonomy: Taxonomy, store: str, days: int = m.DAYS) -> None:
+    """Bring the stored results up to date with the batches that came since the last time.
+
+    A batch touches texts. A text's label and row hang on all comments that hold it; a user's recent problem on the rows of
+    that user. So the touched texts get their rows anew, the users who had or now have them their problem anew, and what differs is written: rows
+    of touched texts, rows of users whose problem changed. The dates of these rows, old and new, are rewritten in the store; no other
+    is read. A text's row may pass from one user to another: the log then says that the former has lost it.
     """
-    sentences, texts = _stored(spark, f"{labelled}/sentences"), _stored(spark, f"{labelled}/texts")
-    if sentences is None or texts is None:
+    done = logs.read(spark, f"{root}/done", "upto long").agg(F.max("upto")).first()[0]
+    done = -1 if done is None else done
+    schema = _comment_schema(spark, root)
+    if schema is None:
+        return
+    changed = logs.read(spark, f"{root}/comments", schema, after=done)
+    upto = changed.agg(F.max("batch")).first()[0]
+    if upto is None:
         return
     with scratch_scope(spark):
-        first = c.dedupe_comments(sentences.select("comment_id", "interaction_date", "user_name", "text_key").distinct())
-        same = [sentences[x].eqNullSafe(first[x]) for x in ("comment_id", "interaction_date", "user_name", "text_key")]
-        rows = staged(lb.label_comments(staged(sentences.join(first, same, "left_semi"), "labelled-sentences"), taxonomy), "labelled-comments")
-        once_each = staged(texts.dropDuplicates(list(c.IDENTITY)), "texts")
-        merge_into_store(recent_results(rows, once_each, taxonomy), store)
-
-
-def ingest_results(stream: DataFrame, label: Callable[[DataFrame], DataFrame], taxonomy: Taxonomy, labelled: str, store: str,
-                   checkpoint: str) -> StreamingQuery:
+        touched = staged(changed.select("text_key").distinct(), "touched-texts")
+        new = _labelled_rows(spark, root, touched, taxonomy)
+        log = new.withColumn("gone", F.lit(False)).schema
+        stored = logs.read(spark, f"{root}/rows", log, upto=done)
+        old = staged(logs.latest(logs.of_keys(stored, touched), KEY).where("NOT gone").drop("batch"), "rows-before")
+        stays = new.select(F.col("text_key").alias("_text"), F.col("user_name").alias("_user"))
+        lost = old.join(stays, (F.col("text_key") == F.col("_text")) & F.col("user_name").eqNullSafe(F.col("_user")), "left_anti")
+        logs.append(new.withColumn("gone", F.lit(False)).unionByName(lost.withColumn("gone", F.lit(True))), f"{root}/rows", upto)
+
+        named = lambda rows: rows.where("user_name IS NOT NULL").select("user_name")
+        users = staged(named(new).unionByName(named(old)).distinct(), "touched-users")
+        rows = logs.read(spark, f"{root}/rows", log, upto=upto)
+        theirs = staged(logs.latest(logs.of_keys(rows, users), KEY).where("NOT gone").drop("batch", "gone"), "rows-of-users")
+        modes = staged(m.user_problem_mode(theirs, taxonomy, days), "modes")
+        before = logs.latest(logs.of_keys(logs.read(spark, f"{root}/modes", MODES, upto=done), users), ["user_name"])
+        same = before.select("user_name", F.col("problema_30d").alias("_was"))
+        differs = staged(modes.join(same, "user_name", "left").where(~F.col("problema_30d").eqNullSafe(F.col("_was")) | F.col("_was").isNull())
+                         .select("user_name", "problema_30d"), "modes-that-differ")
+        logs.append(differs, f"{root}/modes", upto)
+
+        again = theirs.join(differs.select("user_name"), "user_name", "left_semi").join(touched, "text_key", "left_anti")
+        write = staged(new.unionByName(again.select(*new.columns)), "rows-to-write")
+        texts = logs.of_keys(logs.read(spark, f"{root}/texts", TEXTS), write.select("text_key")).drop("batch")
+        results = lb.finish_results(m.attach_user_problem(write, modes).join(texts, "text_key"))
+        replace_texts(results, old.select(F.to_date("interaction_date").alias("interaction_date")), store)
+        logs.append(spark.createDataFrame([(upto,)], "upto long"), f"{root}/done", upto)
+
+
+def ingest_results(stream: DataFrame, profile: LanguageProfile, label: Callable[[DataFrame], DataFrame], taxonomy: Taxonomy, root: str,
+                   store: str, checkpoint: str, network: str | None = None, days: int = m.DAYS, **options) -> StreamingQuery:
     """Label what has arrived, then bring the results up to date."""
-    query = ingest_labelled(stream, label, labelled, checkpoint)
-    results_of(stream.sparkSession, labelled, taxonomy, store)
+    query = ingest_comments(stream, profile, root, checkpoint, network, label, **options)
+    update_results(stream.sparkSession, root, taxonomy, store, days)
     return query

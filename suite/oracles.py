@@ -265,10 +265,11 @@ SELECT {_FINISHED} FROM replayed"""
 
 # -- streams -------------------------------------------------------------------------------------
 
-_INGESTED = f"""WITH {q.SENTENCES}
-SELECT user_name, sha256(original_text) AS text_digest, sentence_idx, reject_reason, text FROM cleaned"""
-ORACLES["stream_ingest"] = ORACLES["stream_ingest_in_parts"] = _INGESTED
-ORACLES["stream_classify"] = ORACLES["stream_classify_in_parts"] = ORACLES["classify_comments"]
+_INGESTED = f"WITH {q.SENTENCES} SELECT {_SENTENCE_COLUMNS}, reject_reason, text FROM cleaned"
+for _name in ("stream_ingest", "stream_ingest_in_parts", "stream_ingest_in_runs"):
+    ORACLES[_name] = _INGESTED
+for _name in ("stream_classify", "stream_classify_in_parts", "stream_classify_in_runs"):
+    ORACLES[_name] = ORACLES["classify_comments"]
 ORACLES["stream_problem_counts"] = f"""WITH rows AS (
   SELECT 'user_' || user_id AS user_name, CAST(ts AS DATE) AS d, event_type AS problema FROM events WHERE event_type <> 'signup'),
 spans AS (SELECT user_name, problema, d + CAST(unnest(range({WEEK + 1})) AS INTEGER) AS run FROM rows)

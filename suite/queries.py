@@ -669,32 +669,34 @@ def classify_trained(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- streams -------------------------------------------------------------------------------------
 
-def _arrived(spark: SparkSession, sf: str) -> str:
-    path = scratch_dir(spark, "arrived")
-    files.write_comments(a.comments(spark, sf).select(*_COMMENT_COLUMNS).repartition(8), path, "infer")
-    return path
-
-
-def _ingested(spark: SparkSession, sf: str, files_per_batch: int) -> DataFrame:
-    out, checkpoint = scratch_dir(spark, "stream-out"), scratch_dir(spark, "stream-checkpoint")
-    arrived = ingest.arriving_comments(spark, _arrived(spark, sf), files_per_batch=files_per_batch)
-    ingest.ingest_sentences(ingest.once(arrived), TEST, out, checkpoint, network="instagram")
-    return spark.read.parquet(out).select(
-        "user_name", F.sha2("original_text", 256).alias("text_digest"),
-        F.coalesce(F.col("sentence_idx"), F.lit(-1)).cast("bigint").alias("sentence_idx"), "reject_reason", "text")
-
-
-def _stream_results(spark: SparkSession, sf: str, files_per_batch: int) -> DataFrame:
-    labelled, path, checkpoint = (scratch_dir(spark, x) for x in ("labelled", "store", "store-checkpoint"))
-    ingest.ingest_results(
-        ingest.arriving_comments(spark, _arrived(spark, sf), files_per_batch=files_per_batch),
-        lambda df: cl.labelled_sentences(df, TEST, a.fixed_lookup(spark), _assign(spark), network="instagram"),
-        TAXONOMY, labelled, path, checkpoint)
+def _deliver(spark: SparkSession, sf: str, path: str, run: int, runs: int) -> None:
+    """A run's share of the comments, as files. Copies of a text come in different runs, and later dates often come first."""
+    mine = F.pmod(F.col("comment_id") * 5 + F.floor(F.col("comment_id") / 7), F.lit(runs)) == run
+    files.write_comments(a.comments(spark, sf).select(*_COMMENT_COLUMNS).where(mine).repartition(max(2, 8 // runs)), f"{path}/run={run}", "infer")
+
+
+def _ingested(spark: SparkSession, sf: str, files_per_batch: int, runs: int = 1) -> DataFrame:
+    arrived, root, checkpoint = (scratch_dir(spark, x) for x in ("arrived", "stream-root", "stream-checkpoint"))
+    for run in range(runs):
+        _deliver(spark, sf, arrived, run, runs)
+        ingest.ingest_comments(ingest.arriving_comments(spark, f"{arrived}/*", files_per_batch=files_per_batch), TEST, root, checkpoint,
+                               network="instagram")
+    return _show_sentences(ingest.ingested_sentences(spark, root), "reject_reason")
+
+
+def _stream_results(spark: SparkSession, sf: str, files_per_batch: int, runs: int = 1) -> DataFrame:
+    arrived, root, path, checkpoint = (scratch_dir(spark, x) for x in ("arrived", "stream-root", "store", "store-checkpoint"))
+    for run in range(runs):
+        _deliver(spark, sf, arrived, run, runs)
+        ingest.ingest_results(
+            ingest.arriving_comments(spark, f"{arrived}/*", files_per_batch=files_per_batch), TEST,
+            lambda tagged: cl.label_tagged(tagged, a.fixed_lookup(spark), _assign(spark)), TAXONOMY, root, path, checkpoint, network="instagram")
     return _show(store.read_store(spark, path))
 
 
 @query
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Arriving files cleaned: all columns, publish dates included."""
     return _ingested(spark, sf, 100)
 
 
@@ -704,6 +706,12 @@ def stream_ingest_in_parts(spark: SparkSession, sf: str) -> DataFrame:
     return _ingested(spark, sf, 3)
 
 
+@query
+def stream_ingest_in_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Two deliveries with a run after each: the same sentences, from the earliest copies."""
+    return _ingested(spark, sf, 100, runs=2)
+
+
 @query
 def stream_classify(spark: SparkSession, sf: str) -> DataFrame:
     """Arriving files labelled, made into results and merged into the stored ones."""
@@ -712,8 +720,14 @@ def stream_classify(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_classify_in_parts(spark: SparkSession, sf: str) -> DataFrame:
-    """One file at a time: the same results."""
-    return _stream_results(spark, sf, 1)
+    """Two files at a time: the same results."""
+    return _stream_results(spark, sf, 2)
+
+
+@query
+def stream_classify_in_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Three deliveries with a run after each: the same results, nothing stale."""
+    return _stream_results(spark, sf, 100, runs=3)
 
 
 @query

@@ -213,8 +213,8 @@ def test_files_that_arrive_later_do_not_repeat_comments(spark, tmp_path):
     for name, days in (("first", range(1, 7)), ("second", range(3, 9))):
         arrive(name, days)
         stream = ingest.arriving_comments(spark, f"{arrived}/*")
-        ingest.ingest_sentences(ingest.once(stream), PT, out, checkpoint)
-    found = spark.read.parquet(out).collect()
+        ingest.ingest_comments(stream, PT, out, checkpoint)
+    found = ingest.ingested_sentences(spark, out).collect()
     assert sorted(r.comment_id for r in found) == list(range(1, 9))
 
 
