@@ -21,7 +21,7 @@ DAYS = 30  # fixed value
 NO_SENTIMENT = 1_000  # rows without a sentiment count as the most severe
 
 
-def _counted(rows: DataFrame, taxonomy: Taxonomy, date: Column, key: Sequence[str]) -> DataFrame:
+def counted(rows: DataFrame, taxonomy: Taxonomy, date: Column, key: Sequence[str]) -> DataFrame:
     """``(user_name, d, problema, n, worst)``; ``worst`` orders rows by severity, date and key."""
     worst = F.struct(F.coalesce(severity(taxonomy), F.lit(NO_SENTIMENT)).alias("severity"), F.col("d"), *key, F.col("problema"))
     return (rows.where(F.col("user_name").isNotNull()).withColumn("d", date)
@@ -29,7 +29,7 @@ def _counted(rows: DataFrame, taxonomy: Taxonomy, date: Column, key: Sequence[st
             .agg(F.count(F.lit(1)).alias("n"), F.max(worst).alias("worst")))
 
 
-def _modes(per_problem: DataFrame, keys: Sequence[str]) -> DataFrame:
+def modes_of(per_problem: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``(keys, n_modes, mode)`` from counts per problem: at most one row per problem in each group."""
     top = per_problem.withColumn("top_n", F.max("n").over(Window.partitionBy(*keys)))
     is_mode = F.col("n") == F.col("top_n")
@@ -37,7 +37,7 @@ def _modes(per_problem: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.count_if(is_mode).alias("n_modes"), F.min(F.when(is_mode, F.col("problema"))).alias("mode"))
 
 
-def _chosen(worst: str) -> Column:
+def chosen(worst: str) -> Column:
     return F.when(F.col("n_modes") > 1, F.col(f"{worst}.problema")).otherwise(F.col("mode"))
 
 
@@ -48,7 +48,7 @@ def user_problem_mode(rows: DataFrame, taxonomy: Taxonomy, days: int = DAYS, as_
     The span ends at the user's last date (or ``as_of``), both ends included. Several most frequent
     problems: the problem of the user's most severe row, over all their rows and not only the span.
     """
-    daily = staged(_counted(rows, taxonomy, F.col("interaction_date"), key), "daily-problems")
+    daily = staged(counted(rows, taxonomy, F.col("interaction_date"), key), "daily-problems")
     users = daily.groupBy("user_name").agg(
         F.max("d").alias("last"), F.max("worst").alias("worst"), F.count(F.lit(1)).alias("n_rows"),
         F.sum("n").alias("n_all"))
@@ -58,9 +58,9 @@ def user_problem_mode(rows: DataFrame, taxonomy: Taxonomy, days: int = DAYS, as_
     recent = (attach(daily.where(F.col("problema").isNotNull()).drop("worst"), users, ["user_name"], ["last"],
                      row_id=["d", "problema"])
               .where(F.col("d").between(F.col("last") - span, F.col("last"))))
-    modes = _modes(recent.groupBy("user_name", "problema").agg(F.sum("n").alias("n")), ["user_name"])
+    modes = modes_of(recent.groupBy("user_name", "problema").agg(F.sum("n").alias("n")), ["user_name"])
     return (users.join(modes, "user_name", "left")
-            .select("user_name", _chosen("worst").alias("problema_30d"), F.col("n_all").alias("n_rows")))
+            .select("user_name", chosen("worst").alias("problema_30d"), F.col("n_all").alias("n_rows")))
 
 
 def attach_user_problem(rows: DataFrame, modes: DataFrame, key: Sequence[str] = ("comment_id", "sentence_idx")) -> DataFrame:
@@ -89,7 +89,7 @@ def replay_problem_mode(rows: DataFrame, taxonomy: Taxonomy, start: str, end: st
     reached = (F.col("d") <= last_day) & (F.col("run") >= F.lit(start).cast("date"))
     bucket = lambda d: F.floor(F.unix_date(d) / width)
 
-    daily = staged(_counted(rows, taxonomy, F.to_date("interaction_date"), key).where(F.col("d").isNotNull()), "daily-problems")
+    daily = staged(counted(rows, taxonomy, F.to_date("interaction_date"), key).where(F.col("d").isNotNull()), "daily-problems")
     runs = (daily.withColumn("run", final_run).where(reached)
             .groupBy("user_name", "run").agg(F.sum("n").alias("n_rows")))
     in_buckets = runs.select("user_name", "run", F.explode(F.array_distinct(F.array(
@@ -99,10 +99,10 @@ def replay_problem_mode(rows: DataFrame, taxonomy: Taxonomy, start: str, end: st
 
     keys = ["user_name", "run"]
     per_problem = pairs.groupBy(*keys, "problema").agg(F.sum("n").alias("n"), F.max("worst").alias("worst"))
-    modes = _modes(per_problem.where(F.col("problema").isNotNull()), keys)
+    modes = modes_of(per_problem.where(F.col("problema").isNotNull()), keys)
     worst = per_problem.groupBy(*keys).agg(F.max("worst").alias("worst"))
     results = (runs.join(worst, keys).join(modes, keys, "left")
-               .select(*keys, _chosen("worst").alias("problema_30d"), "n_rows"))
+               .select(*keys, chosen("worst").alias("problema_30d"), "n_rows"))
 
     dated = (rows.drop("problema_30d").withColumn("d", F.to_date("interaction_date")).withColumn("run", final_run)
              .withColumn("run", F.when(reached, F.col("run"))))

@@ -270,6 +270,8 @@ for _name in ("stream_ingest", "stream_ingest_in_parts", "stream_ingest_in_runs"
     ORACLES[_name] = _INGESTED
 for _name in ("stream_classify", "stream_classify_in_parts", "stream_classify_in_runs"):
     ORACLES[_name] = ORACLES["classify_comments"]
+ORACLES["stream_problem_mode"] = f"""WITH {_labelled()}, {_BLANK}, {q.rolling_modes('blank', WEEK)}
+SELECT user_name, strftime(run, '%Y-%m-%d') AS run, problema_30d, n FROM rolling"""
 ORACLES["stream_problem_counts"] = f"""WITH rows AS (
   SELECT 'user_' || user_id AS user_name, CAST(ts AS DATE) AS d, event_type AS problema FROM events WHERE event_type <> 'signup'),
 spans AS (SELECT user_name, problema, d + CAST(unnest(range({WEEK + 1})) AS INTEGER) AS run FROM rows)

@@ -742,3 +742,15 @@ def stream_problem_counts(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("event_type") != "signup", F.col("event_type")).alias("problema"))
     counts.ingest_daily_counts(rows, path, scratch_dir(spark, "rolling-checkpoint"))
     return counts.stored_rolling_counts(spark, path, WEEK).select("user_name", day("run"), "problema", "n")
+
+
+@query
+def stream_problem_mode(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled events in two deliveries, with a run after each: every user's most frequent problem for every day."""
+    rows = lb.null_sentinels(_felt(spark, sf), TAXONOMY).select("comment_id", "sentence_idx", "user_name", "interaction_date", "problema", "sentimento")
+    arrived, root, checkpoint = (scratch_dir(spark, x) for x in ("events", "modes-root", "modes-checkpoint"))
+    for run in range(2):
+        rows.where(F.pmod("comment_id", F.lit(2)) == run).write.parquet(f"{arrived}/run={run}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{arrived}/*")
+        counts.ingest_problem_modes(stream, TAXONOMY, root, checkpoint, WEEK)
+    return counts.stored_problem_modes(spark, root).select("user_name", day("run"), "problema_30d", "n")

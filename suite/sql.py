@@ -315,6 +315,21 @@ replayed AS (SELECT s.*, r.problema_30d FROM severe s
              LEFT JOIN results r ON r.run = f.run AND r.user_name = s.user_name)"""
 
 
+def rolling_modes(source: str, days: int) -> str:
+    """CTE `rolling`: the most frequent problem of each user's span, for every day on which one ends."""
+    return f"""severe AS (SELECT *, coalesce({_SEVERITY}, 1000) AS sev, CAST(interaction_date AS DATE) AS d FROM {source}
+           WHERE user_name IS NOT NULL AND interaction_date IS NOT NULL),
+inside AS (SELECT d + CAST(unnest(range({days} + 1)) AS INTEGER) AS run, * FROM severe),
+counts AS (SELECT run, user_name, problema, count(*) AS n FROM inside WHERE problema IS NOT NULL GROUP BY ALL),
+ranked AS (SELECT *, max(n) OVER (PARTITION BY run, user_name) AS top_n FROM counts),
+tops AS (SELECT run, user_name, count(*) AS n_modes, min(problema) AS mode FROM ranked WHERE n = top_n GROUP BY ALL),
+worst AS (SELECT run, user_name, problema AS worst_problem, count(*) OVER (PARTITION BY run, user_name) AS n FROM inside
+          QUALIFY row_number() OVER (PARTITION BY run, user_name
+                                     ORDER BY sev DESC, d DESC, comment_id DESC, sentence_idx DESC) = 1),
+rolling AS (SELECT run, user_name, CASE WHEN n_modes > 1 THEN worst_problem ELSE mode END AS problema_30d, n
+            FROM worst LEFT JOIN tops USING (run, user_name))"""
+
+
 NEAREST = f"""centroids AS ({values([(i, *c) for i, c in CENTROIDS], 'subclusters_id, c1, c2, c3')}),
 kept AS (SELECT * FROM cleaned WHERE reject_reason IS NULL),
 measured AS (SELECT comment_id, sentence_idx, {n_words('text')} AS f1, length(text) AS f2,

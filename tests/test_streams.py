@@ -3,7 +3,7 @@
 import os
 import random
 import threading
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +157,29 @@ def test_logs_read_up_to_a_batch_and_by_key(spark, tmp_path):
     assert sorted(tuple(r)[:2] for r in logs.latest(logs.read(spark, path, schema), ["k"]).where("k IS NOT NULL").collect()) == [("a", 3), ("b", 4)]
     keys = spark.createDataFrame([(None,), ("b",)], "k string")
     assert sorted(r.v for r in logs.of_keys(logs.read(spark, path, schema), keys).collect()) == [2, 4]
+
+
+def test_problem_modes_over_runs(spark, tmp_path):
+    """Against a loop over users and days, after each run; the second run leaves far days alone."""
+    rng, root, arrived = random.Random(3), str(tmp_path / "root"), str(tmp_path / "in")
+    schema = "comment_id long, sentence_idx int, user_name string, interaction_date timestamp, problema string, sentimento string"
+    taxonomy = TAXONOMY
+    make = lambda i, day: (i, 0, rng.choice(["ana", "bia", None]), None if rng.random() < 0.05 else datetime(2024, 1, 1) + timedelta(days=day),
+                           rng.choice(["P", "Q", "R", None]), rng.choice([*taxonomy.severity[:3], None]))
+    runs = [[make(i, rng.randrange(60)) for i in range(80)], [make(100 + i, 20 + rng.randrange(3)) for i in range(12)]]
+    for k, rows in enumerate(runs):
+        spark.createDataFrame(rows, schema).write.parquet(f"{arrived}/run{k}")
+        counts.ingest_problem_modes(spark.readStream.schema(schema).parquet(f"{arrived}/*"), taxonomy, root, str(tmp_path / "check"), days=6)
+        everything = [r for part in runs[:k + 1] for r in part if r[2] and r[3]]
+        want = {}
+        for user in {r[2] for r in everything}:
+            for run in {r[3] + timedelta(days=d) for r in everything if r[2] == user for d in range(7)}:
+                inside = [r for r in everything if r[2] == user and run - timedelta(days=6) <= r[3] <= run]
+                n = {p: sum(r[4] == p for r in inside) for p in {r[4] for r in inside if r[4]}}
+                best = sorted(p for p in n if n[p] == max(n.values()))
+                rank = lambda r: (taxonomy.severity.index(r[5]) if r[5] else 1000, r[3], r[0])
+                want[user, run.date()] = (max(inside, key=rank)[4] if len(best) > 1 else (best or [None])[0], len(inside))
+        got = {(r.user_name, r.run): (r.problema_30d, r.n) for r in counts.stored_problem_modes(spark, root).collect()}
+        assert got == want
+    second = logs.read(spark, f"{root}/modes", counts.MODES, after=0)
+    assert {r.run.day for r in second.collect()} <= set(range(21, 30))
