@@ -3,7 +3,8 @@
 ``R1`` holds where each word occurs: (piece, place, word), sorted. ``R(k+1)`` is the merge-join of ``R(k)`` with itself by piece and
 adjacent place: as both sides are one sorted list, the partner of an occurrence can only be the one after it. Its groups are
 counted over all documents, groups below the least count go, and ``R(k+1)`` keeps the occurrences of frequent groups only
-before it is extended. Each relation is written as Parquet, and the one before it is then deleted.
+before it is extended. Each relation is written as Parquet, and the one before it is then deleted. Groups are counted twice: first by short
+keys of ``KEY_BITS`` bits, as most pairs are rare and need not be shuffled whole, then exactly, on the occurrences that are left.
 
 A row of a relation holds the sorted occurrences of a block of texts of one language, as parallel arrays. Pieces lie inside a text, so
 no join crosses rows; only counts, summed in each task first, are shuffled, and no key can be hot. The semi-join with the frequent groups goes
@@ -32,7 +33,8 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 BITS = 26  # the bit table has 2 ** BITS bits: 8 MB
-NAMES = 1_000_000  # words that a task remembers to have named
+KEY_BITS = 40  # of a phrase's hash in the first count
+PLACES = 2_000_000  # numbers of texts that are broadcast at most, where words are spelt
 _U = np.uint64
 
 #: Bytes that end a piece, and bytes that are part of no word.
@@ -69,6 +71,7 @@ class _Block:
         langs = batch.column("lang").dictionary_encode()
         self.langs = langs.dictionary.to_pylist()
         self.lang = langs.indices.to_numpy()[in_text]
+        self.at = batch.column("at").to_numpy()[in_text]
 
     def text(self, at: int) -> str:
         start = self.starts[at]
@@ -94,8 +97,14 @@ def _groups(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order[firsts], np.diff(np.append(firsts, len(order)))
 
 
+def _keys(lang: str, words: list[np.ndarray]) -> np.ndarray:
+    """The first ``KEY_BITS`` bits of each phrase's hash: the groups of a first, short count."""
+    return (_hash(lang, words) >> _U(64 - KEY_BITS)).astype(np.int64)
+
+
 def word_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """``lang``, ``w1``, ``n`` of words found ``least`` times or more, and a row with ``w1`` NULL for all words of the language."""
+    """``lang``, ``w1``, ``n`` and ``at`` (of a text that holds it) of words found ``least`` times or more, and a row with ``w1`` NULL
+    for all words of the language."""
     schema = T.StructType().add("lang", "string").add("w1", "long").add("check", "long").add("n", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,38 +117,41 @@ def word_counts(docs: DataFrame, least: int = LEAST) -> DataFrame:
                         continue
                     # two hashes make the group, so that words that share the first only stay apart until they are checked
                     some, n = _groups([block.word[mine], block.check[mine]])
-                    at = mine[some]
+                    found = mine[some]
+                    check = (block.check[found] >> 32 << 32) | block.at[found]
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([lang] * (len(n) + 1), pa.string()), pa.array([None, *block.word[at].tolist()], pa.int64()),
-                        pa.array([None, *block.check[at].tolist()], pa.int64()), pa.array([len(mine), *n.tolist()], pa.int64())],
+                        pa.array([lang] * (len(n) + 1), pa.string()), pa.array([None, *block.word[found].tolist()], pa.int64()),
+                        pa.array([None, *check.tolist()], pa.int64()), pa.array([len(mine), *n.tolist()], pa.int64())],
                         names=schema.names)
 
     return _frequent_words(by_batch(docs, run, schema), least)
 
 
 def _frequent_words(counts: DataFrame, least: int) -> DataFrame:
-    """Sums of the counts; the run ends if words of a frequent hash differ in the second one, ``check``."""
+    """Sums of the counts. The upper half of ``check`` is a second hash: the run ends if words of a frequent hash differ in it;
+    the lower half is ``at``."""
     counted = counts.groupBy("lang", "w1").agg(F.sum("n").alias("n"), F.min("check").alias("_least"), F.max("check").alias("_most"))
     frequent = counted.where((F.col("n") >= least) | F.col("w1").isNull())
-    same = F.col("w1").isNull() | (F.col("_least") == F.col("_most"))
+    same = F.col("w1").isNull() | (F.shiftright("_least", 32) == F.shiftright("_most", 32))
     clash = F.raise_error(F.lit("two words share a hash: change the hash's base")).cast("long")
-    return frequent.select("lang", "w1", F.when(same, F.col("n")).otherwise(clash).alias("n"))
-
+    return frequent.select("lang", "w1", F.when(same, F.col("n")).otherwise(clash).alias("n"), F.expr("_least & 4294967295").alias("at"))
 
-def bit_table(groups: DataFrame, words: int, bits: int = BITS) -> np.ndarray:
-    """A table of 2 ** bits bits (15 at least) with those of the groups set; Spark joins the bits of all tasks in 4 KB buckets."""
-    columns = _names(words)
 
+def word_keys(groups: DataFrame) -> DataFrame:
+    """``key`` of each word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column("lang").dictionary_encode()
-            codes = langs.indices.to_numpy()
-            values = [batch.column(c).to_numpy() for c in columns]
+            codes, words = langs.indices.to_numpy(), batch.column("w1").to_numpy()
             for code, lang in enumerate(langs.dictionary.to_pylist()):
-                mine = codes == code
-                yield pa.RecordBatch.from_arrays([pa.array((_hash(lang, [v[mine] for v in values]) >> _U(64 - bits)).astype(np.int64) + 1)], names=["bit"])
+                yield pa.RecordBatch.from_arrays([pa.array(_keys(lang, [words[codes == code]]))], names=["key"])
+
+    return groups.select("lang", "w1").mapInArrow(run, "key long")
+
 
-    places = groups.select("lang", *columns).mapInArrow(run, "bit long")
+def bit_table(keys: DataFrame, bits: int = BITS) -> np.ndarray:
+    """A table of 2 ** bits bits (15 at least) with those of the keys set; Spark joins the bits of all tasks in 4 KB buckets."""
+    places = keys.select((F.shiftright("key", KEY_BITS - bits) + 1).alias("bit"))
     rows = places.groupBy(F.bitmap_bucket_number("bit").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect()  # 2 ** bits / 32768 rows at most
     table = np.zeros((1 << bits) // 8, np.uint8)
@@ -167,30 +179,39 @@ def _row(lang: str, piece: np.ndarray, pos: np.ndarray, words: list[np.ndarray])
 
 
 def first_relation(docs: DataFrame, table) -> DataFrame:
-    """``R1``: occurrences of frequent words. ``named`` and ``names`` spell words that the task meets for the first time."""
-    schema = _relation(1).add("named", T.ArrayType(T.LongType())).add("names", T.ArrayType(T.StringType()))
+    """``R1``: occurrences of frequent words."""
+    schema = _relation(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told: set[tuple[str, int]] = set()
         for batch in batches:
             for part in small_batches(batch, "text"):
                 block = _Block(part)
                 for code, lang in enumerate(block.langs):
-                    at = np.flatnonzero(block.lang == code)
-                    at = at[_has(table.value, _hash(lang, [block.word[at]]))]
-                    if not len(at):
-                        continue
-                    distinct, index = np.unique(block.word[at], return_index=True)
-                    new = [(w, i) for w, i in zip(distinct.tolist(), at[index].tolist(), strict=True) if (lang, w) not in told]
-                    if len(told) > NAMES:
-                        told.clear()
-                    told.update((lang, w) for w, _ in new)
-                    spelt = [pa.array([[w for w, _ in new]], pa.list_(pa.int64())), pa.array([[block.text(i) for _, i in new]], pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays([*_row(lang, block.piece[at], block.pos[at], [block.word[at]]), *spelt], names=schema.names)
+                    mine = np.flatnonzero(block.lang == code)
+                    mine = mine[_has(table.value, _hash(lang, [block.word[mine]]))]
+                    if len(mine):
+                        yield pa.RecordBatch.from_arrays(_row(lang, block.piece[mine], block.pos[mine], [block.word[mine]]), names=schema.names)
 
     return by_batch(docs, run, schema)
 
 
+def spelt(docs: DataFrame, words: DataFrame) -> DataFrame:
+    """``lang``, ``word``, ``name`` of the words asked for (``lang``, ``word``, ``at``), read from one text of each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in small_batches(batch, "text"):
+                block = _Block(part)
+                _, index = np.unique(np.stack([block.lang, block.word]), axis=1, return_index=True)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block.langs[c] for c in block.lang[index].tolist()], pa.string()), pa.array(block.word[index]),
+                    pa.array([block.text(i) for i in index.tolist()], pa.string())], names=["lang", "word", "name"])
+
+    places = broadcast_if_small(words.select("at").distinct(), PLACES)
+    names = by_batch(docs.join(places, "at", "left_semi").select("lang", "text", "at"), run, "lang string, word long, name string")
+    return names.join(broadcast_if_small(words.select("lang", "word").distinct(), PLACES), ["lang", "word"]).groupBy("lang", "word").agg(
+        F.min("name").alias("name"))
+
+
 def _extended(batch: pa.RecordBatch, words: int) -> Iterator[tuple[str, np.ndarray, np.ndarray, list[np.ndarray]]]:
     """Merge-join of each row's occurrences with themselves, one place on: phrases that are longer by a word."""
     for i in range(batch.num_rows):
@@ -200,26 +221,20 @@ def _extended(batch: pa.RecordBatch, words: int) -> Iterator[tuple[str, np.ndarr
         yield batch.column("lang")[i].as_py(), piece[at], pos[at], [*(w[at] for w in found), found[-1][at + 1]]
 
 
-def group_counts(relation: DataFrame, words: int, least: int = LEAST) -> DataFrame:
-    """``lang``, ``w1`` .. and ``n`` of the phrases one word longer than the relation's, found ``least`` times or more."""
-    names = _names(words + 1)
-    schema = T.StructType().add("lang", "string")
-    for name in [*names, "n"]:
-        schema = schema.add(name, "long")
-
+def frequent_keys(relation: DataFrame, words: int, least: int = LEAST) -> DataFrame:
+    """``key`` of the phrases, one word longer than the relation's, that may be frequent: counts of keys, which phrases may share."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, _, _, found in _extended(batch, words):
-                some, n = _groups(found)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *(pa.array(w[some]) for w in found), pa.array(n)],
-                                                 names=schema.names)
+                key, n = np.unique(_keys(lang, found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], names=["key", "n"])
 
-    pairs = by_batch(relation.select("lang", "piece", "pos", *_names(words)), run, schema)
-    return pairs.groupBy("lang", *names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    counts = by_batch(relation.select("lang", "piece", "pos", *_names(words)), run, "key long, n long")
+    return counts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
 
 
 def next_relation(relation: DataFrame, words: int, table) -> DataFrame:
-    """The relation of phrases one word longer, cut to the groups in the bit table."""
+    """The relation of phrases one word longer, cut to the keys in the bit table."""
     schema = _relation(words + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,32 +247,48 @@ def next_relation(relation: DataFrame, words: int, table) -> DataFrame:
     return by_batch(relation.select("lang", "piece", "pos", *_names(words)), run, schema)
 
 
-def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Frequent phrases of 1 to ``longest`` words (``lang``, ``words``: their hashes, ``f``), the words of each language
-    (``lang``, ``n``), and spellings (``lang``, ``word``, ``name``), which may repeat. ``docs`` has ``lang`` and ``text``."""
+def group_counts(relation: DataFrame, words: int, least: int = LEAST) -> DataFrame:
+    """``lang``, ``w1`` .. and ``n`` of the relation's phrases, exactly, if found ``least`` times or more."""
+    names = _names(words)
+    schema = T.StructType().add("lang", "string")
+    for name in [*names, "n"]:
+        schema = schema.add(name, "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                found = [batch.column(c)[i].values.to_numpy() for c in names]
+                some, n = _groups(found)
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column("lang")[i].as_py()] * len(n), pa.string()),
+                                                  *(pa.array(w[some]) for w in found), pa.array(n)], names=schema.names)
+
+    phrases = by_batch(relation.select("lang", *names), run, schema)
+    return phrases.groupBy("lang", *names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+
+
+def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
+    """Frequent phrases of 1 to ``longest`` words (``lang``, ``words``: their hashes, ``f``), and words (``lang``, ``w1``, ``n``, ``at``;
+    ``w1`` NULL for all of a language). ``docs`` has ``lang``, ``text`` and ``at``, a number of 32 bits for the text."""
     spark = docs.sparkSession
     counts = staged(word_counts(docs, least), "words")
-    totals = counts.where("w1 IS NULL").select("lang", "n")
     groups = counts.where("w1 IS NOT NULL")
     found = [groups.select("lang", F.array("w1").alias("words"), F.col("n").alias("f"))]
-    table = spark.sparkContext.broadcast(bit_table(groups, 1, bits))
+    table = spark.sparkContext.broadcast(bit_table(word_keys(groups), bits))
     relation, path = staged_at(first_relation(docs, table), "occurrences")
-    names = staged(relation.select("lang", F.explode(F.arrays_zip("named", "names")).alias("pair")).select(
-        "lang", F.col("pair.named").alias("word"), F.col("pair.names").alias("name")), "spellings")
     for words in range(1, longest):
-        groups = staged(group_counts(relation, words, least), "groups")
-        found.append(groups.select("lang", F.array(*_names(words + 1)).alias("words"), F.col("n").alias("f")))
         before = path
-        if words + 1 < longest:
-            table.destroy()
-            table = spark.sparkContext.broadcast(bit_table(groups, words + 1, bits))
-            relation, path = staged_at(next_relation(relation, words, table), "occurrences")
+        table.destroy()
+        table = spark.sparkContext.broadcast(bit_table(frequent_keys(relation, words, least), bits))
+        relation, path = staged_at(next_relation(relation, words, table), "occurrences")
         remove(spark, before)
+        groups = staged(group_counts(relation, words + 1, least), "groups")
+        found.append(groups.select("lang", F.array(*_names(words + 1)).alias("words"), F.col("n").alias("f")))
     table.destroy()
+    remove(spark, path)
     phrases = found[0]
     for more in found[1:]:
         phrases = phrases.unionByName(more)
-    return phrases, totals, names
+    return phrases, counts
 
 
 def collocations(documents: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, bits: int = BITS) -> DataFrame:
@@ -269,8 +300,10 @@ def collocations(documents: DataFrame, least: int = LEAST, longest: int = LONGES
     time it occurs; ids are not read, and other columns are ignored. No text, or nothing frequent: no rows. Memory
     grows with the longest text, about 60 bytes a word.
     """
-    docs = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    phrases, totals, names = frequent_phrases(docs, least, longest, bits)
+    docs = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).withColumn(
+        "at", F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)))
+    phrases, words = frequent_phrases(docs, least, longest, bits)
+    totals = words.where("w1 IS NULL").select("lang", "n")
     of = phrases.withColumn("size", F.size("words"))
     longer = of.where("size > 2").select("lang", "f", F.explode(F.array(
         F.expr("slice(words, 1, size - 1)"), F.expr("slice(words, 2, size - 1)"))).alias("words")).distinct()
@@ -289,9 +322,10 @@ def collocations(documents: DataFrame, least: int = LEAST, longest: int = LONGES
     order = [F.col("score").desc(), F.col("a").desc()]
     first = staged(first_rows(lowest.select("lang", "words", F.col("f").alias("a"), "best.l", "best.r", "n", "best.score"), ["lang"], order, top,
                               ["words"], with_ties=True).drop("rank"), "first")
-    used = first.select("lang", F.explode("words").alias("word")).distinct()
-    spelt = names.join(broadcast_if_small(used), ["lang", "word"]).groupBy("lang", "word").agg(F.min("name").alias("name"))
-    placed = first.select("*", F.posexplode("words").alias("_at", "word")).join(broadcast_if_small(spelt), ["lang", "word"])
+    used = words.select("lang", F.col("w1").alias("word"), "at").join(
+        broadcast_if_small(first.select("lang", F.explode("words").alias("word")).distinct()), ["lang", "word"], "left_semi")
+    names = staged(spelt(docs, staged(used, "used-words")), "spellings")
+    placed = first.select("*", F.posexplode("words").alias("_at", "word")).join(broadcast_if_small(names), ["lang", "word"])
     told = placed.groupBy("lang", "words", "a", "l", "r", "n", "score").agg(
         F.array_sort(F.collect_list(F.struct("_at", "name"))).alias("_names")).withColumn(
         "phrase", F.array_join(F.transform("_names", lambda x: x["name"]), " "))

@@ -90,9 +90,11 @@ def test_scores_beyond_64_bits(spark):
 
 def test_clash_of_hashes_ends_the_run(spark):
     counts = "lang string, w1 long, check long, n long"
-    assert c._frequent_words(spark.createDataFrame([("en", 1, 5, 1), ("en", 1, 6, 1), ("en", 2, 5, 9)], counts), 3).collect() == [("en", 2, 9)]
+    five, six = 5 << 32, -6 << 32
+    rare = [("en", 1, five, 1), ("en", 1, six, 1), ("en", 2, five | 8, 9), ("en", 2, five | 7, 1)]
+    assert c._frequent_words(spark.createDataFrame(rare, counts), 3).collect() == [("en", 2, 10, 7)]
     with pytest.raises(Exception, match="share a hash"):
-        c._frequent_words(spark.createDataFrame([("en", 1, 5, 2), ("en", 1, 6, 1)], counts), 3).collect()
+        c._frequent_words(spark.createDataFrame([("en", 1, five, 2), ("en", 1, six, 1)], counts), 3).collect()
 
 
 def test_first_rows(spark):
