@@ -250,20 +250,8 @@ def next_relation(relation: DataFrame, words: int, table) -> DataFrame:
 def group_counts(relation: DataFrame, words: int, least: int = LEAST) -> DataFrame:
     """``lang``, ``w1`` .. and ``n`` of the relation's phrases, exactly, if found ``least`` times or more."""
     names = _names(words)
-    schema = T.StructType().add("lang", "string")
-    for name in [*names, "n"]:
-        schema = schema.add(name, "long")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                found = [batch.column(c)[i].values.to_numpy() for c in names]
-                some, n = _groups(found)
-                yield pa.RecordBatch.from_arrays([pa.array([batch.column("lang")[i].as_py()] * len(n), pa.string()),
-                                                  *(pa.array(w[some]) for w in found), pa.array(n)], names=schema.names)
-
-    phrases = by_batch(relation.select("lang", *names), run, schema)
-    return phrases.groupBy("lang", *names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    occurrences = relation.select("lang", F.inline(F.arrays_zip(*names)))
+    return occurrences.groupBy("lang", *names).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
