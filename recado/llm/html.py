@@ -1,11 +1,12 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree of its elements; parts that are never article text (menus, headers, footers, forms, scripts, hidden
-parts, by element, role or attribute) are left out of it. Class and id names only mark parts (adverts, notices, comments): such
+A page becomes a tree of its elements; parts that are never article text (scripts, controls, hidden parts,
+by element, role, attribute or style) are left out of it. Menus, headers, footers and the like go, unless the article lies in them. Class and id names, and forms,
+only mark parts (adverts, notices, comments): such
 a part goes unless it holds an article or a main element, or most of the page's text that is not linked. Every node gets its characters per tag, adjusted for
 linked characters and linked tags; the node with the largest sum of its children's densities holds the article. Other parts
 belong to it where they are at least as dense as the thinnest node on the way from the body to that node; an article or main
-element on that way is taken whole, and parts beside it by the same rule.
+element on that way is taken, but for blocks of links inside it that are thinner than that, and parts beside it by the same rule.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,8 +23,9 @@ from pyspark.sql import functions as F
 
 from recado.llm.words import by_batch
 
-#: A comment, a declaration, or a tag with its attributes; a page may end inside any of them.
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(>|\Z)", re.S)
+#: A comment, a declaration, or a tag with its attributes; a page may end inside any of them. Quotes count at the start of a value only.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)"
+                   r"((?:[^>=]+|=\s*\"[^\"]*(?:\"|\Z)|=\s*'[^']*(?:'|\Z)|=)*)(>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][\w:.-]*)\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+))")
 QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 BLANK = re.compile(r"[ \t\n\r\f\v]+")
@@ -32,8 +35,12 @@ RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "nofr
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark",
           "nobr", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img"}
-DROPPED = {"script", "style", "noscript", "template", "head", "title", "nav", "header", "footer", "aside", "form", "button", "select", "textarea",
-           "iframe", "object", "embed", "svg", "canvas", "audio", "video", "map", "dialog", "menu", "xmp", "noembed", "noframes", "input"}
+DROPPED = {"script", "style", "noscript", "template", "head", "title", "button", "select", "textarea", "iframe", "object", "embed", "svg", "canvas",
+           "audio", "video", "map", "xmp", "noembed", "noframes", "input"}
+#: Elements that go unless the article lies in them; a form is judged like a marked part.
+ASIDE = {"nav", "header", "footer", "aside", "dialog", "menu"}
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+MENU_LINKS = 3  # a block inside an article with as many links, and little else, is a menu
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alertdialog", "menu", "menubar", "alert"}
 #: Words of class and id names that mark what is not the article.
 MARKED = re.compile(
@@ -48,7 +55,7 @@ CLOSES = {"li": (("li",), _LIST), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "
 
 
 class Node:
-    __slots__ = ("name", "parent", "parts", "children", "chars", "tags", "linked", "link_tags", "density", "total", "dropped", "marked")
+    __slots__ = ("name", "parent", "parts", "children", "chars", "tags", "linked", "link_tags", "density", "total", "dropped", "marked", "aside")
 
     def __init__(self, name: str, parent: Node | None) -> None:
         self.name, self.parent = name, parent
@@ -56,24 +63,24 @@ class Node:
         self.children: list[Node] = []
         self.chars = self.tags = self.linked = self.link_tags = 0
         self.density = self.total = 0.0
-        self.dropped = self.marked = False
+        self.dropped = self.marked = self.aside = False
 
 
-def _is_dropped(name: str, attributes: str, parent: Node) -> bool:
-    if name in DROPPED and not (name == "header" and _inside_article(parent)):  # an article's own header is its title
+def _is_dropped(name: str, attributes: str) -> bool:
+    if name in DROPPED:
         return True
     if not attributes.strip() or name in ("html", "body"):
         return False
     for a in ATTRIBUTE.finditer(attributes):
         value = html.unescape(a[2] or a[3] or a[4] or "")
         key = a[1].lower()
-        if key == "role" and value.lower().strip() in ROLES or key == "aria-hidden" and value.lower() == "true":
+        if key == "role" and value.lower().strip() in ROLES or key == "aria-hidden" and value.lower() == "true" or key == "style" and UNSEEN.search(value):
             return True
     return bool(re.search(r"(?:^|\s)hidden(?:\s|$|=)", QUOTED.sub("", attributes), re.I))
 
 
 def _is_marked(name: str, attributes: str) -> bool:
-    return name not in ("html", "body") and any(
+    return name == "form" or name not in ("html", "body") and any(
         a[1].lower() in ("class", "id") and MARKED.search(html.unescape(a[2] or a[3] or a[4] or "")) for a in ATTRIBUTE.finditer(attributes))
 
 
@@ -88,6 +95,7 @@ def parse(page: str) -> Node:
     root = body = Node("html", None)
     node, at = root, 0
     depth = 0  # of nested dropped elements
+    opened: Counter[str] = Counter()  # open elements by name, so that a stray end tag costs no search
     while at < len(page):
         token = TOKEN.search(page, at)
         end = token.start() if token else len(page)
@@ -100,23 +108,19 @@ def parse(page: str) -> Node:
         if not name or name in ("html", "body") or (not token[4] and at == len(page)):
             continue
         if token[1]:
-            up = node
-            while up is not None and up.name != name:
-                up = up.parent
-            if up is None or up is root:
+            if not opened[name]:
                 if name == "p" and not depth:
                     node.parts.append("\n")
                 continue
-            if name in INLINE and any(_blocks_until(node, up)):
+            up = node
+            while up.name != name and not (name in INLINE and up.name not in INLINE):
+                up = up.parent
+            if up.name != name:
                 continue  # a stray end of an inline element does not close blocks
-            while node is not up:
-                depth -= node.dropped
-                node = node.parent
-            depth -= up.dropped
-            node = up.parent
+            node, depth = _left(node, up.parent, depth, opened)
             continue
         if name not in INLINE and name not in VOID and name not in RAW:
-            node, depth = _closed_before(node, name, depth)
+            node, depth = _closed_before(node, name, depth, opened)
         if name in RAW:
             close = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
             stop = close.start() if close else len(page)
@@ -129,28 +133,34 @@ def parse(page: str) -> Node:
                 node.parts.append(child)
                 node.children.append(child)
             continue
-        child.dropped = _is_dropped(name, token[3], node)
+        child.dropped = _is_dropped(name, token[3])
         child.marked = _is_marked(name, token[3])
+        child.aside = name in ASIDE and not (name == "header" and _inside_article(node))  # an article's own header is its title
         if not depth and not child.dropped:
             node.parts.append(child)
             node.children.append(child)
         depth += child.dropped
         if not token[3].rstrip().endswith("/") or name not in ("svg", "path"):
             node = child
+            opened[name] += 1
         else:
             depth -= child.dropped
     return body
 
 
-def _blocks_until(node: Node, up: Node) -> Iterator[bool]:
-    while node is not up:
-        yield node.name not in INLINE
+def _left(node: Node, to: Node, depth: int, opened: Counter[str]) -> tuple[Node, int]:
+    """The node ``to``, with all that is open inside it closed."""
+    while node is not to:
+        depth -= node.dropped
+        opened[node.name] -= 1
         node = node.parent
+    return node, depth
 
 
-def _closed_before(node: Node, name: str, depth: int) -> tuple[Node, int]:
+def _closed_before(node: Node, name: str, depth: int, opened: Counter[str]) -> tuple[Node, int]:
     """The node that an element of this name opens in: it ends an open paragraph, and its like in lists and tables."""
     kinds, bounds = CLOSES.get(name, ((), ()))
+    kinds = [k for k in kinds if opened[k]]
     up, found = node, None
     while up is not None and up.parent is not None and up.name not in bounds:
         if up.name == "p" or up.name in kinds:
@@ -158,11 +168,30 @@ def _closed_before(node: Node, name: str, depth: int) -> tuple[Node, int]:
         if up.name not in INLINE and up.name != "p" and not kinds:
             break
         up = up.parent
-    if found is not None:
-        while node is not found.parent:
-            depth -= node.dropped
-            node = node.parent
-    return node, depth
+    return _left(node, found.parent, depth, opened) if found is not None else (node, depth)
+
+
+def _remove(nodes: list[Node]) -> None:
+    """Takes the nodes out of the tree."""
+    for node in nodes:
+        node.dropped = True
+    for node in {id(n.parent): n.parent for n in nodes}.values():
+        node.children = [c for c in node.children if not c.dropped]
+        node.parts = [p for p in node.parts if isinstance(p, str) or not p.dropped]
+
+
+def _leave_out_asides(root: Node) -> None:
+    """Takes menus, headers, footers and the like out, but for those that hold an article or main element and most of the page's
+    text that is not linked."""
+    order = _order(root)
+    asides = [n for n in order if n.aside]
+    if asides:
+        _count(order)
+        holding: set[int] = set()
+        for node in order:
+            if node.name in ARTICLE and node.chars > 2 * node.linked:
+                _add_way_up(node, holding)
+        _remove([n for n in asides if id(n) not in holding or 2 * (n.chars - n.linked) <= root.chars - root.linked])
 
 
 def _leave_out_marked(root: Node) -> None:
@@ -205,9 +234,7 @@ def _leave_out_marked(root: Node) -> None:
         while here and up is not None:
             gone[id(up)] = gone.get(id(up), 0) + here
             up = up.parent
-    for node in {id(n.parent): n.parent for n in marked if n.dropped}.values():
-        node.children = [c for c in node.children if not c.dropped]
-        node.parts = [p for p in node.parts if isinstance(p, str) or not p.dropped]
+    _remove([n for n in marked if n.dropped])
 
 
 def _add_way_up(node: Node | None, ids: set[int]) -> None:
@@ -269,7 +296,8 @@ def _densities(order: list[Node]) -> None:
 
 
 def main_nodes(root: Node) -> list[Node]:
-    """Roots of the subtrees that hold the article, in page order."""
+    """Roots of the subtrees that hold the article, in page order. Menus inside an article or main element are taken out."""
+    _leave_out_asides(root)
     _leave_out_marked(root)
     order = _order(root)
     _count(order)
@@ -293,6 +321,9 @@ def main_nodes(root: Node) -> list[Node]:
     # siblings of the way down that are dense themselves; what holds the chosen one is not taken whole
     for n in path[1:]:
         chosen.update(id(c) for c in n.children if id(c) not in above and c.name not in INLINE and c.density >= least > 0)
+    if named:
+        _remove([n for n in _order(path[0])[1:] if n.name not in INLINE and n.link_tags >= MENU_LINKS
+                 and 4 * n.linked >= 3 * n.chars and n.density < least])
     out, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -331,7 +362,8 @@ def main_text(page: str) -> str:
 def extract(pages: DataFrame, row_id: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """``row_id``, ``url``, ``text`` (empty if there is none) and ``n_chars`` of each row.
 
-    A NULL page is an empty one. Pages are worked through one by one, whole; other columns play no part.
+    A NULL page is an empty one; a repeated row gives its text again; an empty table gives no rows. Pages are worked through one by
+    one, whole; other columns play no part. Non-breaking blanks are characters like others and stay as they are.
     """
     used = pages.select(F.col(row_id).alias("_id"), F.col(url).alias("_url"), F.col(source).alias("_page"))
     schema = used.select(F.col("_id").alias(row_id), F.col("_url").alias(url)).schema.add("text", "string").add("n_chars", "long")

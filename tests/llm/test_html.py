@@ -1,5 +1,10 @@
+import math
+import random
+import time
+
 import pytest
 
+from recado.llm import html
 from recado.llm.html import extract, main_text
 
 LONG = "A paragraph of the article that is long enough to be dense, with a few words more."
@@ -58,6 +63,78 @@ def test_dense_parts_beside_an_article_are_added(page, n):
     assert text.count(LONG) == n and "thin" not in text
 
 
+LINKS = "<ul>" + "".join(f"<li><a href={i}>link number {i}</a>" for i in range(30)) + "</ul>"
+
+
+@pytest.mark.parametrize("page", [
+    "<form action=x>{two}</form>", "<body><form><div>{menu}</div><article>{two}</article><input></form>", "<form><main>{two}</main></form>",
+    "<p><a href=x title=don't>go</a></p><article>{two}</article><p class=ad>it's</p>", "<article><p hidden=''>no</p>{two}</article>",
+    "<main>{two}{links}</main>", "<main><div>{links}</div>{two}</main>", "<article>{two}<div>{links}</div></article>",
+    "<article>{two}<p style='color:red; display: none'>unseen</p><div style=visibility:hidden>nor this</div></article>",
+    "<header><article>{two}</article></header><footer>by</footer>", "<article>{two}</article><aside><article>{two}</article></aside>",
+    "<div><p>{menu}</p></div><article>{two}</article><form><p>write to us</p><textarea>x</textarea></form>", "<main>{two}<nav>{links}</nav></main>",
+])
+def test_wrappers_lists_and_broken_attributes(page):
+    assert main_text(page.format(two=TWO, menu=MENU, links=LINKS)) == f"{LONG} {LONG}"
+
+
+def test_links_in_running_text_and_short_parts_stay():
+    text = main_text(f"<main><h1>T</h1><p>{LONG} <a href=1>one</a> <a href=2>two</a> <a href=3>three</a></p><p>Short.</p><ul><li><a href=x>one link</a></ul></main>")
+    assert text == f"T {LONG} one two three Short. one link"
+
+
+@pytest.mark.parametrize("tag", ["div", "b", "section", "li", "p"])
+def test_stray_end_tags_take_no_time(tag):
+    deep = "<div>" * 20_000
+    started = time.perf_counter()
+    main_text(f"<article>{TWO}{deep}" + f"</{tag}x></{tag}>" * 100_000)
+    assert time.perf_counter() - started < 8  # a quadratic search takes minutes
+
+
+def plain_density(node, root):
+    """Link-adjusted characters per tag of a node, from its definition, counted anew for each node."""
+    def walk(n):
+        yield n
+        for c in n.children:
+            yield from walk(c)
+
+    def chars(n, linked=False):
+        own = sum(len(html.BLANK.sub(" ", p).strip()) for p in n.parts if isinstance(p, str)) if not linked else 0
+        if linked and n.name == "a":
+            return chars(n)
+        return own + sum(chars(c, linked) for c in n.children)
+
+    n, linked = chars(node), max(1, chars(node, True))
+    if not n:
+        return 0.0
+    below = [x for x in walk(node) if x is not node]
+    tags, link_tags = max(1, len(below)), max(1, sum(x.name == "a" for x in below))
+    share = chars(root, True) / chars(root)
+    base = math.log(n / max(1, n - chars(node, True)) * chars(node, True) + share * n + math.e)
+    ratio = n / linked * tags / link_tags
+    return max(0.0, n / tags * (math.log(ratio, base) if ratio > 1 and base > 1 else 0.0))
+
+
+def test_densities_against_their_definition():
+    rng = random.Random(8)
+
+    def page(depth):
+        if depth == 0 or rng.random() < 0.2:
+            return "word " * rng.randint(0, 9)
+        inner = "".join(page(depth - 1) for _ in range(rng.randint(1, 4)))
+        name = rng.choice(["div", "p", "a", "b", "section"])
+        return f"<{name}>{inner}</{name}>"
+
+    for _ in range(60):
+        root = html.parse(page(5) + "text")
+        order = html._order(root)
+        html._count(order)
+        html._densities(order)
+        for n in order:
+            assert n.density == pytest.approx(plain_density(n, root), abs=1e-9)
+            assert n.total == pytest.approx(sum(plain_density(c, root) for c in n.children), abs=1e-9)
+
+
 def test_many_marked_parts():
     assert main_text(f"<article>{TWO}</article><div>" + "<div class=comment><p>x</p></div>" * 20_000 + "</div>") == f"{LONG} {LONG}"
     assert main_text("<div class=menu>" * 3000 + LONG + "</div>" * 3000) == LONG
