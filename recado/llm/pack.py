@@ -23,13 +23,14 @@ from pyspark.sql import types as T
 
 from recado.llm.tokens import VOCABULARY, encoder
 from recado.llm.words import by_batch, small_batches
+from recado.operators.skew import broadcast_if_small
 from recado.sources.staging import staged
 
 LENGTH = 2048
 END = 0  # the id that ends a document
 MAX_PATTERNS = 20_000  # patterns that the fit weighs; those of two lengths first, then an even choice of those of three
 SWEEPS = 12
-SALTS = 64
+SHARE_ROWS = 20_000  # pieces of one length that are ranked in one task, about
 
 def pieces(docs: DataFrame, row_id: str = "doc_id", text: str = "text", length: int = LENGTH, vocabulary: str = VOCABULARY,
            with_ids: bool = False) -> DataFrame:
@@ -165,18 +166,24 @@ def slots(groups: list[tuple[tuple[tuple[int, int], ...], int]]) -> dict[str, np
 def pack(made: DataFrame, full: int = LENGTH) -> DataFrame:
     """``made`` (stored pieces: a column ``length``) with ``sequence_id`` and ``offset``.
 
-    Pieces of one length are told apart by their rank: a count in each of ``SALTS`` shares of the length, in the order of
-    the other columns, plus the counts of the shares before. No length is ranked in one task, however common.
+    A full piece is a sequence of its own and needs no rank. Other pieces of one length are told apart by their rank: a count in each
+    share of the length, in the order of the other columns, plus the counts of the shares before. A length has a share for
+    each ``SHARE_ROWS`` pieces, by the histogram, so no length is ranked in one task, however common.
     """
     histogram = {r["length"]: r["n"] for r in made.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `full` rows
+    whole = made.where(F.col("length") == full).withColumn(
+        "sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
+    histogram.pop(full, None)
     table = slots(plan(histogram, full))
     plain = [c for c in made.columns if c != "ids"]
-    salted = made.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(SALTS)).cast("int"))
+    shares = made.sparkSession.createDataFrame([(v, -(-n // SHARE_ROWS)) for v, n in histogram.items()], "length long, _shares long")
+    salted = made.join(F.broadcast(shares), "length").withColumn(  # at most `full` rows
+        "_salt", F.pmod(F.xxhash64(*plain), F.col("_shares"))).select(*made.columns, "_salt")
     before = W.partitionBy("length").orderBy("_salt").rowsBetween(W.unboundedPreceding, -1)
     offsets = salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n")).select(
         "length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
     ranked = salted.withColumn("_rank", F.row_number().over(W.partitionBy("length", "_salt").orderBy(*plain))).join(
-        F.broadcast(offsets), ["length", "_salt"]).select(  # at most SALTS rows for each length
+        broadcast_if_small(offsets), ["length", "_salt"]).select(  # a row for each share
         *made.columns, (F.col("_first") + F.col("_rank") - 1).alias("_rank"))
     schema = made.schema.add("sequence_id", "long").add("offset", "long")
     keys = (table["length"] << 44) + table["rank"]
@@ -190,7 +197,7 @@ def pack(made: DataFrame, full: int = LENGTH) -> DataFrame:
             found = [pa.array(table["sequence"][at] + nth // times), pa.array(table["place"][at] + nth % times * length)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *found], names=schema.names)
 
-    return by_batch(ranked, run, schema)
+    return by_batch(ranked, run, schema).unionByName(whole.select(*schema.names))
 
 
 def packed(docs: DataFrame, row_id: str = "doc_id", text: str = "text", full: int = LENGTH, with_ids: bool = False) -> DataFrame:

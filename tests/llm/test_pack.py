@@ -98,3 +98,8 @@ def test_sequences_hold_the_ids(docs):
 
 def test_empty(spark):
     assert pack.packed(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_common_lengths_are_ranked_in_shares(docs, monkeypatch):
+    monkeypatch.setattr(pack, "SHARE_ROWS", 3)
+    test_pieces_and_places(docs)
