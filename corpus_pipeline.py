@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from recado.llm import mix, neardup, pack, quality, rules
 from recado.session import scratch_dir
+from recado.sources.staging import remove, scratch_scope
 
 LEAST_QUALITY = 0.3
 
@@ -58,10 +59,13 @@ ORACLE_SQL = None  # a trained classifier, expectation-maximisation and token id
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    """All stages over ``documents``. What a stage stages, and the rows that the next has read, are deleted; the last rows stay."""
+    docs, before = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_dir(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
