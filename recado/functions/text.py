@@ -93,9 +93,24 @@ def normalise_marks(text: Column) -> Column:
     return F.replace(closed_up, F.lit(","), F.lit("."))
 
 
-def sentences(text: Column) -> Column:
-    """Split after '.', '!' or '?' followed by white space. An empty comment gives one empty sentence."""
-    return F.split(F.regexp_replace(text, SENTENCE_END + r"\z", ""), SENTENCE_END)
+STOP_OF_WORD = "\ue000"  # stands for the stop of an abbreviation until sentences are split
+
+
+def protect_abbreviations(text: Column, abbreviations: Sequence[str]) -> Column:
+    """Lower-case text in which the stops of these words, given without their last stop, end no sentence."""
+    if not abbreviations:
+        return text
+    words = "|".join(re.escape(w) for w in sorted(abbreviations, key=lambda w: (-len(w), w)))
+    return F.regexp_replace(text, rf"(?<![\p{{L}}\p{{N}}.])({words})\.(?=\s)", "$1" + STOP_OF_WORD)
+
+
+def sentences(text: Column, protected: bool = False) -> Column:
+    """Split after '.', '!' or '?' followed by white space. An empty comment gives one empty sentence.
+
+    ``protected``: the stops that `protect_abbreviations` has marked are given back.
+    """
+    parts = F.split(F.regexp_replace(text, SENTENCE_END + r"\z", ""), SENTENCE_END)
+    return F.transform(parts, lambda s: F.replace(s, F.lit(STOP_OF_WORD), F.lit("."))) if protected else parts
 
 
 # -- sentence level ------------------------------------------------------------------------------

@@ -7,6 +7,8 @@ no filter can be pushed below the text work and make Spark do that work twice.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,9 +21,10 @@ from recado.sources.staging import staged
 LITERAL_LEMMAS = 500  # entries a plan carries; a larger dictionary is a table
 
 
-def comment_text(text: Column, brand: str) -> Column:
-    """Lower case, handles, brand, marks: the last text before the split."""
-    return t.normalise_marks(t.strip_brand(t.strip_handles(t.lower(text)), brand))
+def comment_text(text: Column, brand: str, abbreviations: Sequence[str] = ()) -> Column:
+    """Lower case, handles, brand, marks: the last text before the split. Stops of ``abbreviations`` are marked before commas become
+    stops."""
+    return t.normalise_marks(t.protect_abbreviations(t.strip_brand(t.strip_handles(t.lower(text)), brand), abbreviations))
 
 
 def sentence_letters(text: Column, profile: LanguageProfile) -> Column:
@@ -29,7 +32,8 @@ def sentence_letters(text: Column, profile: LanguageProfile) -> Column:
 
 
 def front(text: Column, profile: LanguageProfile, keep_length_rejects: bool = False) -> Column:
-    parts = F.transform(t.sentences(comment_text(text, profile.brand)), lambda s, i: F.struct(
+    whole = comment_text(text, profile.brand, profile.abbreviations)
+    parts = F.transform(t.sentences(whole, bool(profile.abbreviations)), lambda s, i: F.struct(
         i.alias("sentence_idx"), sentence_letters(s, profile).alias("text")))
     if keep_length_rejects:
         return parts

@@ -111,8 +111,9 @@ def clean_trace(df: DataFrame, profile: LanguageProfile, stemming: bool = True)
     comment_rows = whole.select("comment_id", F.lit(None).cast("int").alias("sentence_idx"),
                                 F.inline(_stages(in_whole, 1)))
 
+    split = t.sentences(t.normalise_marks(t.protect_abbreviations(F.col("brand"), profile.abbreviations)), bool(profile.abbreviations))
     piece = (whole.where(~F.col("_mention") & ~F.col("_named"))
-             .select("comment_id", F.posexplode(t.sentences(F.col("marks"))).alias("sentence_idx", "sentences")))
+             .select("comment_id", F.posexplode(split).alias("sentence_idx", "sentences")))
     # A stage is worked out for the sentences that reach it: NULL for the others, which have no such row.
     always, sized, wanted = F.lit(True), F.col("_sized"), F.col("_wanted")
     for name, source, reached, fn in (

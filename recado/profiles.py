@@ -38,6 +38,7 @@ class LanguageProfile:
     stem_rules: tuple[StemRule, ...] = field(default=(), repr=False)
     lower_limit: int = 3
     upper_limit: int = 15
+    abbreviations: tuple[str, ...] = ()  # words, without their last stop, whose stop ends no sentence (`learn_abbreviations`)
 
     def with_brand(self, brand: str) -> LanguageProfile:
         return replace(self, brand=brand)

@@ -99,6 +99,18 @@ sentences AS (SELECT comment_id, sentence_idx, {q.letters(q.residue('text'))} AS
 _SYNONYMS = f"{_LETTERS}, synon AS (SELECT comment_id, sentence_idx, {q.synonyms(q.accents('text'))} AS text FROM sentences)"
 
 ORACLES["explode_sentences"] = f"WITH {_PIECES} SELECT comment_id, sentence_idx, text FROM pieces"
+ORACLES["learn_abbreviations"] = r"""WITH tokens AS (
+  SELECT unnest(regexp_split_to_array(lower(text), '[\x09-\x0d\x20\x{85}\p{Z}]+')) AS token FROM documents WHERE text IS NOT NULL),
+words AS (SELECT regexp_extract(token, '(\p{L}(?:[\p{L}.]*\p{L})?)(\.?)', 1) AS word,
+                 regexp_extract(token, '(\p{L}(?:[\p{L}.]*\p{L})?)(\.?)', 2) = '.' AS stop FROM tokens),
+counts AS (SELECT word, count(*) FILTER (WHERE stop) AS n_stop, count(*) FILTER (WHERE NOT stop) AS n_plain FROM words WHERE word <> '' GROUP BY word),
+chances AS (SELECT sum(n_stop) / sum(n_stop + n_plain) AS p FROM counts),
+scored AS (
+  SELECT word, n_stop, n_plain, length(replace(word, '.', '')) AS letters,
+         2 * (n_stop * ln(0.99::DOUBLE) + n_plain * ln(1 - 0.99::DOUBLE) - n_stop * ln(p) - n_plain * ln(1 - p)) AS ratio
+  FROM counts, chances WHERE n_stop > 0)
+SELECT word, n_stop, n_plain, round(ratio * exp(-letters) * (length(word) - letters + 1) * pow(letters::DOUBLE, -n_plain), 4) + 0.0 AS score,
+       ratio * exp(-letters) * (length(word) - letters + 1) * pow(letters::DOUBLE, -n_plain) >= 0.3 AS is_abbreviation FROM scored"""
 ORACLES["stopword_list"] = rf"""WITH {q.TEXTS}, words AS (
   SELECT unnest(string_split({q.rx('lower(text)', r'[^\p{L}\p{N}_]+', ' ')}, ' ')) AS word FROM texts)
 SELECT word, count(*) AS n FROM words WHERE list_contains({q.listing(TEST.all_stop_words())}, word) GROUP BY word"""
@@ -258,7 +270,7 @@ _FINISHED = f"""strftime(interaction_date, '%Y-%m-%d') AS interaction_date, user
 ORACLES["classify_comments"] = f"""WITH {q.CLASSIFIED}, {q.user_modes('blanked', 30)}
 SELECT {_FINISHED} FROM blanked LEFT JOIN user_modes USING (user_name)"""
 ORACLES["classify_repeated"] = ORACLES["classify_comments"]
-ORACLES["classify_trained"] = f"""WITH {q.SENTENCES}
+ORACLES["registry_classify"] = ORACLES["classify_trained"] = f"""WITH {q.SENTENCES}
 SELECT original_text, {q.order_number('original_text')} AS order_number FROM cleaned GROUP BY original_text"""
 ORACLES["replay_comments"] = f"""WITH {q.CLASSIFIED}, {q.replayed('blanked', '2024-01-20', '2024-02-20', 30)}
 SELECT {_FINISHED} FROM replayed"""

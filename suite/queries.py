@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from recado.functions import text as t
 from recado.functions.stem import stem
+from recado.operators import abbreviations as ab
 from recado.operators import comments as c
 from recado.operators import labels as lb
 from recado.operators import modes as m
@@ -212,6 +214,13 @@ def explode_sentences(spark: SparkSession, sf: str) -> DataFrame:
             .withColumn("sentence_idx", F.col("sentence_idx").cast("bigint")))
 
 
+@query
+def learn_abbreviations(spark: SparkSession, sf: str) -> DataFrame:
+    """Words that ever carry a stop, with what speaks for their being abbreviations."""
+    scores = ab.abbreviation_scores(ab.stop_counts(a.table(spark, sf, "documents")))
+    return scores.select("word", "n_stop", "n_plain", F.round("score", 4).alias("score"), (F.col("score") >= ab.LEAST_SCORE).alias("is_abbreviation"))
+
+
 @query
 def stopword_list(spark: SparkSession, sf: str) -> DataFrame:
     """How often each word of the assembled stop list occurs."""
@@ -445,6 +454,19 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return before.join(after, keys).agg(F.count(F.lit(1)).alias("n_sentences"), F.count_if(F.col("was") != F.col("subclusters_id")).alias("n_changed"))
 
 
+@query
+def registry_classify(spark: SparkSession, sf: str) -> DataFrame:
+    """Train, register beside an older entry, load the newest with its look-up, classify: the columns that do not hang on the model."""
+    training = train.train_on_sentences(_kept_sentences(spark, sf), TAXONOMY)
+    root = scratch_dir(spark, "registry")
+    older = training.lookup.withColumn("cluster", F.lit("old"))
+    models.register(training.model, older, root, "comments-old", TEST, TAXONOMY, dt.datetime(2020, 1, 1))
+    models.register(training.model, training.lookup, root, "comments-new", TEST, TAXONOMY)
+    model, lookup = models.load_newest(spark, root, "comments", TEST, TAXONOMY)
+    results = cl.classify(a.comments(spark, sf), TEST, TAXONOMY, lookup, cl.by_model(model), network="instagram")
+    return results.where(~F.col("cluster").eqNullSafe("old")).select("original_text", "order_number")
+
+
 @query
 def cluster_size(spark: SparkSession, sf: str) -> DataFrame:
     """Sizes counted in the sentences, attached to the look-up by id."""
