@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from recado.functions import text as t
@@ -25,14 +27,24 @@ def narrow_comments(df: DataFrame, strict_dates: bool = True) -> DataFrame:
     return c.with_text_key(dated.select(*COMMENT_COLUMNS, "text")).drop("text")
 
 
-def prepared_comments(df: DataFrame, network: str | None = None, strict_dates: bool = True) -> DataFrame:
+@dataclass(frozen=True)
+class CommentCounts:
+    """Comments with a text, and those that stay of them, counted while the cleaning reads them."""
+
+    given: Observation = field(default_factory=Observation)
+    once: Observation = field(default_factory=Observation)
+
+
+def prepared_comments(df: DataFrame, network: str | None = None, strict_dates: bool = True, counts: CommentCounts | None = None) -> DataFrame:
     """NULL texts and duplicates dropped, post address and publish date added; with ``text_key``.
 
     Which rows stay, and their dates, is worked out on narrow columns with a digest for the text; the
     texts themselves are shuffled once, by id and digest, and cut to one copy there, so that a comment that
     several extracts bring stays one. ``strict_dates``: see `narrow_comments`.
     """
-    posts = c.dedupe_comments(narrow_comments(df, strict_dates)).withColumn("url", c.post_url(F.col("url"), network))
+    narrow, n = narrow_comments(df, strict_dates), F.count(F.lit(1)).alias("n")
+    posts = c.dedupe_comments(narrow.observe(counts.given, n) if counts else narrow)
+    posts = (posts.observe(counts.once, n) if counts else posts).withColumn("url", c.post_url(F.col("url"), network))
     posts = staged(posts, "comments-once")  # read for the posts' dates, then for their rows
     texts = c.texts_once(c.with_ids(c.drop_null_text(df)))
     return (texts.join(c.publish_date(posts), list(c.IDENTITY))
@@ -41,14 +53,15 @@ def prepared_comments(df: DataFrame, network: str | None = None, strict_dates: b
 
 def clean_tagged(df: DataFrame, profile: LanguageProfile, remove_mandatory: bool = True, stemming: bool = True,
                  network: str | None = None, keep_length_rejects: bool = False,
-                 lexicon: DataFrame | None = None, with_text_key: bool = False, strict_dates: bool = True) -> DataFrame:
+                 lexicon: DataFrame | None = None, with_text_key: bool = False, strict_dates: bool = True,
+                 counts: CommentCounts | None = None) -> DataFrame:
     """Every sentence, and every comment rejected whole, with ``reject_reason`` (NULL when kept).
 
     Sentences of the wrong length are in neither output, unless asked for. With a ``lexicon`` table the
     lemmas come from it instead of the profile's own entries; a profile with more entries than a plan may carry is
     such a table too. ``with_text_key`` keeps the digest of the original text. ``strict_dates``: see `narrow_comments`.
     """
-    tagged = tagged_sentences(prepared_comments(df, network, strict_dates), profile, remove_mandatory, stemming, keep_length_rejects, lexicon)
+    tagged = tagged_sentences(prepared_comments(df, network, strict_dates, counts), profile, remove_mandatory, stemming, keep_length_rejects, lexicon)
     return tagged if with_text_key else tagged.drop("text_key")
 
 

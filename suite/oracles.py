@@ -139,6 +139,14 @@ ORACLES["bad_dates"] = f"""WITH {q.SENTENCES.replace("WHERE text IS NOT NULL", "
 SELECT comment_id, count(*) AS n, CAST(NULL AS VARCHAR) AS bad_date FROM cleaned GROUP BY comment_id
 UNION ALL SELECT comment_id, 0, '31/13/2024' FROM comments WHERE text IS NOT NULL AND comment_id % 11 = 5"""
 ORACLES["clean_removed"] = f"WITH {q.SENTENCES} SELECT {_SENTENCE_COLUMNS}, reject_reason, text FROM cleaned WHERE reject_reason IS NOT NULL"
+ORACLES["clean_counts"] = f"""WITH {q.SENTENCES}, sizes AS (SELECT {q.n_words('t_letters')} AS n FROM lettered),
+by_size AS (SELECT count(*) AS n_sentences, count(*) FILTER (WHERE n < {TEST.lower_limit}) AS n_small, count(*) FILTER (WHERE n > {TEST.upper_limit}) AS n_large,
+  count(*) FILTER (WHERE n BETWEEN {TEST.lower_limit} AND {TEST.upper_limit}) AS n_medium FROM sizes),
+by_reason AS (SELECT count(*) AS n_written, count(*) FILTER (WHERE reject_reason IS NULL) AS n_kept,
+  {', '.join(f"count(*) FILTER (WHERE reject_reason = '{r}') AS n_{r}" for r in ("mention", "name", "mandatory", "blacklist", "blank"))} FROM cleaned),
+given AS (SELECT count(*) AS n_comments FROM comments WHERE text IS NOT NULL), once AS (SELECT count(*) AS n FROM deduped)
+SELECT by_size.*, by_reason.*, n_comments, round(100 * (n_comments - n) / n_comments, 2) AS duplicate_pct,
+  round(100 * (n_mandatory + n_blacklist) / n_medium, 1) AS removed_pct FROM by_size, by_reason, given, once"""
 ORACLES["rejected_rows"] = f"WITH {q.SENTENCES} SELECT coalesce(reject_reason, 'kept') AS outcome, count(*) AS n FROM cleaned GROUP BY 1"
 
 

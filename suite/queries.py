@@ -354,6 +354,15 @@ def clean_removed(spark: SparkSession, sf: str) -> DataFrame:
     return _show_sentences(pc.removed(_tagged(spark, sf)), "reject_reason")
 
 
+@query
+def clean_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The counts of one cleaning run, taken while it writes its sentences, and how many rows it wrote."""
+    path = scratch_dir(spark, "cleaned")
+    found = report.clean_and_count(a.comments(spark, sf), TEST, path, network="instagram")
+    written = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_written"))
+    return written.select("n_written", *[F.lit(found[x]).cast("double" if x.endswith("pct") else "long").alias(x) for x in sorted(found)])
+
+
 @query
 def rejected_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Rejected rows per reason, and what is left."""

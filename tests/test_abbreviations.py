@@ -86,3 +86,18 @@ def test_registry_takes_the_newest_and_refuses_another_profile(spark, tmp_path,
             models.load_newest(spark, root, "insta", profile, TAXONOMY, **options)
     with pytest.raises(LookupError):
         models.load_newest(spark, root, "nothing", TEST, TAXONOMY)
+
+
+def test_counts_of_a_run_are_those_of_its_parts(spark, tmp_path):
+    from recado.plans import report
+
+    schema = "comment_id long, interaction_date string, user_name string, url string, content_type string, text string"
+    rows = [(1, "2024-01-01", "u", "x", None, "the order never arrived. refund"), (2, "2024-01-01", "u", "x", None, "the order never arrived. refund"),
+            (3, "2024-01-01", "u", "x", None, "@someone hello"), (4, "2024-01-01", "u", "x", None, "Maria Souza, hello"), (5, "2024-01-01", "u", "x", None, None)]
+    made = spark.createDataFrame(rows, schema)
+    found = report.clean_and_count(made, TEST, str(tmp_path / "out"))
+    assert (found["n_comments"], found["duplicate_pct"], found["n_mention"], found["n_name"]) == (4, 25.0, 1, 1)
+    assert found["n_sentences"] == found["n_small"] + found["n_large"] + found["n_medium"] == 2
+    assert spark.read.parquet(str(tmp_path / "out")).count() == pc.clean_tagged(made, TEST).count()
+    none = report.clean_and_count(made.limit(0), TEST, str(tmp_path / "none"))
+    assert none["n_comments"] == 0 and none["duplicate_pct"] is None and none["removed_pct"] is None
