@@ -65,3 +65,23 @@ def test_stages_on_an_empty_table(spark):
     empty = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF_DIR).collect() == []
+
+
+def test_stages_on_odd_rows_and_clashing_columns(spark):
+    """NULLs in any column, repeated rows and columns with the operators' own names go through the stages; the columns come out as they went in."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    first = docs.orderBy("doc_id").first()
+    odd = spark.createDataFrame([(None, None, None, None, None), (None, first.text, None, None, None), (first.doc_id, first.text, "en", None, None),
+                                 (first.doc_id, None, None, "s", 1), (10 ** 9, "", None, None, 0), (10 ** 9, "", None, None, 0)], docs.schema)
+    made = docs.unionByName(odd).selectExpr("*", "1 AS score", "'x' AS kept", "2 AS cid", "'y' AS component_id", "3 AS length", "4 AS _row", "5 AS n")
+    texts = Counter(r.text for r in made.collect())
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        made = stage(spark, made, SF_DIR)
+        assert made.columns == [*docs.columns, "score", "kept", "cid", "component_id", "length", "_row", "n"], name
+        got = made.collect()
+        assert got and {r.text for r in got} <= set(texts) | {None} or name == "mix_sources"
+        assert {(r.score, r.kept, r.cid) for r in got} == {(1, "x", 2)}, name
+    kept = Counter(r.doc_id for r in corpus_pipeline.STAGES[2][1](spark, docs.unionByName(odd), SF_DIR).collect() if r.text and r.doc_id is not None)
+    assert max(kept.values()) == 1
+    packed = corpus_pipeline.STAGES[4][1](spark, made, SF_DIR)
+    assert packed.count() >= made.select("doc_id").distinct().count() > 0
