@@ -63,3 +63,48 @@ def test_on_the_test_tables(spark):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     held = got.where("held_out").join(labels, "doc_id").collect()
     assert sum(r.predicted == r.quality for r in held) >= 0.95 * len(held)
+
+
+def test_learner_against_its_rule_one_weight_at_a_time():
+    """Follow the regularised leader with a rate for each weight, in plain Python."""
+    import math
+
+    import numpy as np
+
+    rng = random.Random(4)
+    rate, smooth, l1, l2 = 2.0, 1.0, 0.002, 0.0001
+    z, n, leader = [0.0] * 12, [0.0] * 12, quality.Leader(12, rate, smooth, l1, l2)
+    weight = lambda i: 0.0 if abs(z[i]) <= l1 else (math.copysign(l1, z[i]) - z[i]) / ((smooth + math.sqrt(n[i])) / rate + l2)
+    for _ in range(200):
+        at = sorted(rng.sample(range(11), rng.randint(1, 6))) + [11]
+        value = [rng.random() * 3 for _ in at[:-1]] + [1.0]
+        label = float(rng.random() < (0.9 if 3 in at else 0.2))
+        leader.learn(np.array(at), np.array(value), label)
+        w = [weight(i) for i in at]
+        error = 1 / (1 + math.exp(-sum(a * b for a, b in zip(w, value, strict=True)))) - label
+        for i, x, old in zip(at, value, w, strict=True):
+            g = error * x
+            step = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / rate
+            z[i] += g - step * old
+            n[i] += g * g
+    assert leader.weights().tolist() == pytest.approx([weight(i) for i in range(12)], rel=1e-9, abs=1e-12)
+    assert leader.weights()[3] > 0
+
+
+def test_score_is_a_sparse_dot_product(spark):
+    """Each n-gram's share of the text, times its weight, added up one by one."""
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+
+    from recado.llm.words import shape_classes, words_of
+
+    weights = np.random.default_rng(3).normal(size=(1 << quality.BITS) + 1)
+    texts = ["the cat the the cat sat", "One!! TWO 22 two", "", None, "x"]
+    got = quality.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), weights, keep=["doc_id"])
+    for r in got.collect():
+        words = words_of(pa.array([texts[r.doc_id]], pa.string()), None, shape_classes())
+        found, k = quality.features(words)[0], len(words.hashes[0])
+        total = weights[-1] + sum(quality.SCALE * weights[f] / k for f in found.ravel().tolist())
+        assert r.score == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)

@@ -81,3 +81,36 @@ def test_empty(spark):
 def test_no_python_in_the_plan(spark, judged):
     plan = judged[3]._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_expectation_maximisation_against_plain_sums(spark):
+    """The same estimate over the votes of every document, one by one."""
+    import random
+
+    rng, names = random.Random(6), ["a", "b", "c"]
+    votes = []
+    for _ in range(300):
+        good = rng.random() < 0.7
+        votes.append(tuple(rng.choices([1, 0, -1], [6, 3, 1] if good else [2, 3, 5])[0] for _ in names))
+    counted = spark.createDataFrame([(*v, n) for v, n in Counter(votes).items()], "a int, b int, c int, n long")
+    model = rules.estimate(counted, names, rounds=7, settled=0.0)
+
+    prior, on_good, on_bad = 0.8, dict.fromkeys(names, rules.START[0]), dict.fromkeys(names, rules.START[1])
+    imagined = [[10 * x for x in (*s, 1 - sum(s))] for s in rules.START]
+    for _ in range(7):
+        p = []
+        for v in votes:
+            odds = prior / (1 - prior)
+            for n, x in zip(names, v):  # no vote tells nothing, and none counts against its meaning
+                ratio = on_good[n][x < 0] / on_bad[n][x < 0]
+                odds *= 1 if not x else max(1, ratio) if x > 0 else min(1, ratio)
+            p.append(odds / (1 + odds))
+        n_good, n_bad = sum(p), len(p) - sum(p)
+        prior = min(0.999, max(0.001, (n_good + 4) / (len(p) + 5)))
+        for k, n in enumerate(names):
+            up, down = (sum(q for q, v in zip(p, votes) if v[k] == x) for x in (1, -1))
+            on_good[n] = ((up + imagined[0][0]) / (n_good + sum(imagined[0])), (down + imagined[0][1]) / (n_good + sum(imagined[0])))
+            up, down = (sum(1 - q for q, v in zip(p, votes) if v[k] == x) for x in (1, -1))
+            on_bad[n] = ((up + imagined[1][0]) / (n_bad + sum(imagined[1])), (down + imagined[1][1]) / (n_bad + sum(imagined[1])))
+    for n in names:
+        assert model.on_good[n] == pytest.approx(on_good[n], rel=1e-6) and model.on_bad[n] == pytest.approx(on_bad[n], rel=1e-6)
