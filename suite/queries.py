@@ -564,7 +564,8 @@ def _portuguese(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def cluster_lookup_pt(spark: SparkSession, sf: str) -> DataFrame:
-    """Clusters named with the shipped Portuguese terms."""
+    """Clusters named with the shipped Portuguese terms. The sentences are made of the terms themselves, a pair for each event, as the
+    tables hold no Portuguese: this proves the look-up, not the naming of real text."""
     return naming.build_lookup(train.staged(_portuguese(spark, sf), "portuguese"), PT_TAXONOMY)
 
 
