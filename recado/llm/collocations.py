@@ -280,7 +280,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
 
 
 def collocations(documents: DataFrame, least: int = LEAST, longest: int = LONGEST, top: int = TOP, bits: int = BITS) -> DataFrame:
-    """``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``: each language's ``top`` phrases.
+    """``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``: each language's ``top`` phrases; numbers are longs.
 
     Texts are lower-cased (A-Z), cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and into words ``[^\\x20\\x09]+``. A phrase of 2 to
     ``longest`` words found ``a >= least`` times scores its lowest floor(1000 * a * n / (l * r)) over its cuts, in decimals; one that
@@ -318,4 +318,4 @@ def collocations(documents: DataFrame, least: int = LEAST, longest: int = LONGES
         F.array_sort(F.collect_list(F.struct("_at", "name"))).alias("_names")).withColumn(
         "phrase", F.array_join(F.transform("_names", lambda x: x["name"]), " "))
     return first_rows(told, ["lang"], [*order, F.col("phrase")], top, ["words"]).select(
-        "lang", "rank", "phrase", "a", "l", "r", "n", "score")
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -98,7 +98,7 @@ ranked AS (
   SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
          array_to_string(p, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score
   FROM lowest WHERE nth = 1)
-SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
 """
 
 SEARCH = r"""

@@ -68,7 +68,9 @@ def test_nulls_repeats_clashing_columns_and_long_texts(spark, rows):
     given = [(1, None, "en"), (None, "a b. a b", "en"), (None, "a b. a b", "en"), (2, "", None), (3, " \t.,", "und"),
              (4, "a b " * 20_000, "fr"), (5, "w" * 300_000 + " b", "fr")]
     made = spark.createDataFrame([(*r, 0, 1, "z", "q") for r in given], f"{SCHEMA}, n long, rank int, words string, phrase string")
-    assert rows(c.collocations(made, 2, 3)) == brute(given, 2, 3, 2000)
+    got = c.collocations(made, 2, 3)
+    assert rows(got) == brute(given, 2, 3, 2000)
+    assert got.dtypes == [("lang", "string"), ("rank", "bigint"), ("phrase", "string"), *[(x, "bigint") for x in ("a", "l", "r", "n", "score")]]
     assert c.collocations(made.limit(0), 2).collect() == []
     assert c.collocations(made.where("text IS NULL"), 2).collect() == []
 
