@@ -14,6 +14,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
+    con.execute("SET max_temp_directory_size = '8GB'")  # SQL that lists all phrases spills far more on large tables
     for name in TABLES:
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{os.path.join(sf_dir, name)}.parquet')")
     return con
