@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from recado.functions import text as t
 from recado.functions.stem import stem
+from recado.operators import tags
 from recado.operators.skew import SMALL_ROWS
+from recado.operators.tags import ContextLexicon, TagModel
 from recado.profiles import LEMMATISED, LanguageProfile
 from recado.sources.staging import staged
 
@@ -110,32 +112,67 @@ def lexicon_table(spark: SparkSession, profile: LanguageProfile) -> DataFrame:
     return spark.createDataFrame([(e.surface, e.pos, e.lemma) for e in profile.lemmas], "surface string, pos string, lemma string")
 
 
-def with_lemmas(df: DataFrame, lexicon: DataFrame, parts: str, keys: list[str], exempt: tuple[str, ...] = (), ways: int = 32,
+def with_lemmas(df: DataFrame, lexicon: DataFrame | ContextLexicon, parts: str, keys: list[str], exempt: tuple[str, ...] = (), ways: int = 32,
                 small_rows: int = SMALL_ROWS) -> DataFrame:
     """``df`` with lemmas in the sentences ``parts`` (arrays of ``(sentence_idx, text)``), from a ``(surface, pos, lemma)`` table.
 
-    The dictionary is cut to the distinct words of the corpus that it changes. A row's few such words are joined with it
-    and come back to the row as a small map, so no sentence is taken apart and put together again. The join is salted, as a
-    few words make up a large share of any text. ``df`` should be stored; ``keys`` tell its rows apart, NULLs included.
+    A surface with several lemmas gets the smallest; with a `ContextLexicon`, the one that its neighbours speak for. ``df`` should
+    be stored; ``keys`` tell its rows apart, NULLs included.
     """
-    entries = (lexicon.where(F.col("pos").isin(*LEMMATISED) & ~F.col("surface").isin(*exempt))
-               .groupBy("surface").agg(F.min("lemma").alias("lemma")).where("lemma <> surface"))
+    if isinstance(lexicon, ContextLexicon):
+        found = _with_word_map(df, tags.surface_options(lexicon.entries, lexicon.model.tags, exempt), parts, keys, ways, small_rows)
+        options = F.transform(parts, lambda p: F.struct(
+            p["sentence_idx"].alias("sentence_idx"), p["text"].alias("text"), _options(p["text"]).alias("options")))
+        lemmas = F.transform(options, lambda p: F.struct(
+            p["sentence_idx"].alias("sentence_idx"), F.array_join(tags.best_words(p["options"], lexicon.model), " ").alias("text")))
+        looked_up = F.when(F.col("_words").isNull(), F.col(parts)).otherwise(lemmas)
+    else:
+        entries = (lexicon.where(F.col("pos").isin(*LEMMATISED) & ~F.col("surface").isin(*exempt))
+                   .groupBy("surface").agg(F.min("lemma").alias("lemma")).where("lemma <> surface"))
+        found = _with_word_map(df, entries, parts, keys, ways, small_rows)
+        looked_up = F.when(F.col("_words").isNull(), F.col(parts)).otherwise(F.transform(parts, lambda p: F.struct(
+            p["sentence_idx"].alias("sentence_idx"), _replaced(p["text"], F.col("_words")).alias("text"))))
+    return found.withColumn(parts, looked_up).drop("_row", "_words")
+
+
+def _options(text: Column) -> Column:
+    words = F.coalesce(F.col("_words"), F.create_map().cast(f"map<string, array<{tags.OPTION}>>"))
+    return tags.word_options(F.split(text, " "), words)
+
+
+def _with_word_map(df: DataFrame, entries: DataFrame, parts: str, keys: list[str], ways: int, small_rows: int) -> DataFrame:
+    """``df`` with ``_words``: a map from a row's words to what ``entries``, a surface and a value, has for them; NULL if it has none.
+
+    The dictionary is cut to the distinct words of the corpus. A row's few such words are joined with it and come back to
+    the row as a small map, so no sentence is taken apart and put together again. The join is salted, as a few words make up
+    a large share of any text.
+    """
+    value = next(x for x in entries.columns if x != "surface")
     row = F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
     words = df.where(F.col(parts).isNotNull()).select(row.alias("_row"), F.explode(F.array_distinct(F.flatten(
         F.transform(parts, lambda p: F.split(p["text"], " "))))).alias("surface"))
-    changed = staged(entries.join(words.select("surface").distinct(), "surface", "left_semi"), "lemmas")
-    if changed.limit(small_rows + 1).count() <= small_rows:
-        found = words.join(F.broadcast(changed), "surface")
+    used = staged(entries.join(words.select("surface").distinct(), "surface", "left_semi"), "lemmas")
+    if used.limit(small_rows + 1).count() <= small_rows:
+        found = words.join(F.broadcast(used), "surface")
     else:
         found = (words.withColumn("_way", F.pmod(F.xxhash64("_row"), F.lit(ways)).cast("int"))
-                 .join(changed.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))), ["surface", "_way"]))
-    maps = found.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("surface", "lemma"))).alias("_lemmas"))
-    looked_up = F.when(F.col("_lemmas").isNull(), F.col(parts)).otherwise(F.transform(parts, lambda p: F.struct(
-        p["sentence_idx"].alias("sentence_idx"), _replaced(p["text"], F.col("_lemmas")).alias("text"))))
-    return df.withColumn("_row", row).join(maps, "_row", "left").withColumn(parts, looked_up).drop("_row", "_lemmas")
+                 .join(used.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))), ["surface", "_way"]))
+    maps = found.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("surface", value))).alias("_words"))
+    return df.withColumn("_row", row).join(maps, "_row", "left")
+
+
+def fit_tags(df: DataFrame, lexicon: DataFrame, parts: str, keys: list[str], ways: int = 32, small_rows: int = SMALL_ROWS) -> TagModel:
+    """The model of tag pairs of the sentences ``parts``, for a `ContextLexicon`. ``df`` should be stored, its rows told apart by ``keys``.
+
+    Only counts of pairs of tags come to the driver. Without sentences, all pairs cost the same.
+    """
+    names = tags.tags_of(lexicon)
+    found = _with_word_map(df, tags.surface_options(lexicon, names), parts, keys, ways, small_rows)
+    sentences = found.select("_words", F.explode(parts).alias("_part")).select(_options(F.col("_part.text")).alias("_options"))
+    return tags.tag_model([(r["before"], r["after"], r["n"]) for r in tags.tag_pairs(sentences, "_options").collect()], names)
 
 
-def lemmatise_by_join(df: DataFrame, lexicon: DataFrame, keys: list[str], exempt: tuple[str, ...] = (),
+def lemmatise_by_join(df: DataFrame, lexicon: DataFrame | ContextLexicon, keys: list[str], exempt: tuple[str, ...] = (),
                       small_rows: int = SMALL_ROWS) -> DataFrame:
     """Lemmas of a table of sentences ``(keys, text)``, from a dictionary table ``(surface, pos, lemma)`` of any size."""
     one = df.withColumn("_parts", F.array(F.struct(F.lit(0).alias("sentence_idx"), "text"))).drop("text")

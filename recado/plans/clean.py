@@ -11,6 +11,7 @@ from recado.functions import text as t
 from recado.functions.stem import stem
 from recado.operators import comments as c
 from recado.operators import sentences as s
+from recado.operators.tags import ContextLexicon
 from recado.profiles import LanguageProfile
 from recado.sources.staging import staged
 
@@ -53,20 +54,20 @@ def prepared_comments(df: DataFrame, network: str | None = None, strict_dates: b
 
 def clean_tagged(df: DataFrame, profile: LanguageProfile, remove_mandatory: bool = True, stemming: bool = True,
                  network: str | None = None, keep_length_rejects: bool = False,
-                 lexicon: DataFrame | None = None, with_text_key: bool = False, strict_dates: bool = True,
+                 lexicon: DataFrame | ContextLexicon | None = None, with_text_key: bool = False, strict_dates: bool = True,
                  counts: CommentCounts | None = None) -> DataFrame:
     """Every sentence, and every comment rejected whole, with ``reject_reason`` (NULL when kept).
 
     Sentences of the wrong length are in neither output, unless asked for. With a ``lexicon`` table the
     lemmas come from it instead of the profile's own entries; a profile with more entries than a plan may carry is
-    such a table too. ``with_text_key`` keeps the digest of the original text. ``strict_dates``: see `narrow_comments`.
+    such a table too. `learn_context` gives one that chooses among a word's lemmas by its neighbours. ``with_text_key`` keeps the digest of the original text. ``strict_dates``: see `narrow_comments`.
     """
     tagged = tagged_sentences(prepared_comments(df, network, strict_dates, counts), profile, remove_mandatory, stemming, keep_length_rejects, lexicon)
     return tagged if with_text_key else tagged.drop("text_key")
 
 
 def tagged_sentences(prepared: DataFrame, profile: LanguageProfile, remove_mandatory: bool = True, stemming: bool = True,
-                     keep_length_rejects: bool = False, lexicon: DataFrame | None = None) -> DataFrame:
+                     keep_length_rejects: bool = False, lexicon: DataFrame | ContextLexicon | None = None) -> DataFrame:
     """Sentences of rows with ``original_text`` and ``text_key``: the rows' columns, ``sentence_idx``, ``reject_reason``, ``text``."""
     if lexicon is None and len(profile.lemma_map()) > s.LITERAL_LEMMAS:
         lexicon = s.lexicon_table(prepared.sparkSession, profile)
@@ -86,6 +87,18 @@ def tagged_sentences(prepared: DataFrame, profile: LanguageProfile, remove_manda
     return tagged.select(*prepared.columns, F.inline(parts))
 
 
+def learn_context(df: DataFrame, profile: LanguageProfile, lexicon: DataFrame, strict_dates: bool = True) -> ContextLexicon:
+    """A dictionary table with the model of tag pairs learnt from the sentences of these comments, each comment once.
+
+    Comments that are rejected whole, and sentences of the wrong length, are not learnt from. Pass the result as ``lexicon`` to training and inference
+    alike: its model is a small value (`TagModel.to_json`).
+    """
+    prepared = prepared_comments(df, strict_dates=strict_dates)
+    wanted = prepared.where(c.comment_reject_reason(F.col("original_text"), profile.brand).isNull())
+    front = staged(wanted.select(*c.IDENTITY, "user_name", s.front(F.col("original_text"), profile).alias("_front")), "sentences-for-tags")
+    return ContextLexicon(lexicon, s.fit_tags(front, lexicon, "_front", [*c.IDENTITY, "user_name"]))
+
+
 def kept(tagged: DataFrame) -> DataFrame:
     return tagged.where(F.col("reject_reason").isNull()).drop("reject_reason")
 

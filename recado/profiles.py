@@ -13,7 +13,7 @@ from recado.functions.text import NO_LETTER
 
 @dataclass(frozen=True)
 class Lemma:
-    """One dictionary entry. A word with two parts of speech has one entry: there is no context."""
+    """One dictionary entry. A word with several lemmas gets the smallest, unless a `ContextLexicon` chooses."""
 
     surface: str
     pos: str

@@ -25,6 +25,7 @@ from recado.operators import comments as c
 from recado.operators import labels as lb
 from recado.operators import modes as m
 from recado.operators.skew import attach
+from recado.operators.tags import ContextLexicon
 from recado.plans.clean import COMMENT_COLUMNS, narrow_comments, tagged_sentences
 from recado.profiles import LanguageProfile, Taxonomy
 from recado.sources.files import BAD_RECORD, as_comments, stream_comments
@@ -81,7 +82,7 @@ def _changes(batch: DataFrame, root: str, number: int, network: str | None, stri
 
 
 def ingest_comments(stream: DataFrame, profile: LanguageProfile, root: str, checkpoint: str, network: str | None = None,
-                    label: Callable[[DataFrame], DataFrame] | None = None, lexicon: DataFrame | None = None,
+                    label: Callable[[DataFrame], DataFrame] | None = None, lexicon: DataFrame | ContextLexicon | None = None,
                     strict_dates: bool = True, rejected: str | None = None) -> StreamingQuery:
     """Bring the logs under ``root`` up to what has arrived. ``label`` (`plans.classify.label_tagged`) also names the sentences.
 

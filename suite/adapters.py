@@ -9,6 +9,8 @@ NO_TEXT_IDS = 1_000_000_000  # comments without a text, one per row of `labels`
 EVENT_TYPES = ("purchase", "error", "click", "view", "signup")
 EVENT_LABELS = ("Loved it", "Loved it", "Loved it", "Late delivery", "Wrong item", "Late delivery", "Refund", "Advert",
                 "Refund", "Unknown cluster", "Unknown cluster", "Unknown cluster", None, None)  # id 14 has no entry
+# what a word can be, and what it then becomes, by the remainder of its length by 7 (0 and 6: not in the dictionary)
+OPEN_KINDS = ("1:NOUN:a", "2:VERB:ar", "3:NOUN:a", "3:VERB:er", "4:ADJ:o", "4:NOUN:a", "4:VERB:ir", "5:ADP:x", "5:NOUN:a")
 PROBLEM_OF = {"Late delivery": "Delivery", "Wrong item": "Delivery", "Refund": "Money"}
 
 

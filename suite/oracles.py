@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from recado.profiles import PT_TAXONOMY
 from suite import sql as q
-from suite.adapters import NO_TEXT_IDS
+from suite.adapters import NO_TEXT_IDS, OPEN_KINDS
 from suite.profile import TAXONOMY, TEST
 from suite.queries import REPLAY_END, REPLAY_START, SINCE, WEEK
 
@@ -119,6 +119,34 @@ ORACLES["length_report"] = f"""WITH {_LETTERS}, counted AS (SELECT {q.n_words('t
 SELECT count(*) FILTER (WHERE n < {TEST.lower_limit}) AS n_small, count(*) FILTER (WHERE n > {TEST.upper_limit}) AS n_large,
   count(*) FILTER (WHERE n BETWEEN {TEST.lower_limit} AND {TEST.upper_limit}) AS n_kept, count(*) AS n_total FROM counted"""
 ORACLES["lemmatize_lexicon"] = f"WITH {_LETTERS} SELECT comment_id, sentence_idx, {q.lemmas('text')} AS text FROM sentences"
+_KINDS = [(int(n), {"ADJ": 2, "ADP": 3, "NOUN": 4, "VERB": 5}[pos], "" if pos == "ADP" else end)
+          for n, pos, end in (kind.split(":") for kind in OPEN_KINDS)]
+ORACLES["lemmatize_context"] = f"""WITH RECURSIVE {_LETTERS},
+medium AS (SELECT comment_id, sentence_idx, string_split(text, ' ') AS words FROM sentences WHERE {q.sized('text')}),
+toks AS (SELECT comment_id, sentence_idx, unnest(words) AS word, generate_subscripts(words, 1) AS pos FROM medium),
+kinds(n, tag, ending) AS (VALUES {", ".join(f"({n}, {tag}, '{end}')" for n, tag, end in _KINDS)}),
+options AS (SELECT comment_id, sentence_idx, pos, coalesce(tag, 1) AS tag,
+                   CASE WHEN list_contains({q.listing(TEST.lemma_exempt)}, word) THEN word ELSE word || coalesce(ending, '') END AS lemma
+            FROM toks LEFT JOIN kinds ON length(word) % 7 = n),
+framed AS (SELECT comment_id, sentence_idx, pos, min(tag) AS tag, count(*) AS ways FROM options GROUP BY ALL
+           UNION ALL SELECT comment_id, sentence_idx, unnest([0, len(words) + 1]), 0, 1 FROM medium),
+pairs AS (SELECT x.tag AS i, y.tag AS j, count(*) AS n FROM framed x JOIN framed y
+          ON x.comment_id = y.comment_id AND x.sentence_idx = y.sentence_idx AND y.pos = x.pos + 1
+          WHERE x.ways = 1 AND y.ways = 1 GROUP BY ALL),
+costs AS (SELECT i, j, CAST(round(1000 * ln((sum(coalesce(n, 0)) OVER (PARTITION BY i) + 6.0::DOUBLE) / (coalesce(n, 0) + 1))) AS BIGINT) AS c
+          FROM (SELECT unnest(range(6)) AS i) CROSS JOIN (SELECT unnest(range(6)) AS j) LEFT JOIN pairs USING (i, j)),
+paths(comment_id, sentence_idx, pos, tag, best) AS (
+  SELECT comment_id, sentence_idx, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'path': []::STRUCT(tag INTEGER, lemma VARCHAR)[]}} FROM medium
+  UNION ALL
+  SELECT p.comment_id, p.sentence_idx, o.pos, o.tag,
+         min({{'cost': p.best.cost + c.c, 'path': list_append(p.best.path, {{'tag': o.tag, 'lemma': o.lemma}})}})
+  FROM paths p JOIN options o ON p.comment_id = o.comment_id AND p.sentence_idx = o.sentence_idx AND o.pos = p.pos + 1
+  JOIN costs c ON c.i = p.tag AND c.j = o.tag
+  GROUP BY p.comment_id, p.sentence_idx, o.pos, o.tag),
+ended AS (SELECT p.comment_id, p.sentence_idx, min({{'cost': p.best.cost + c.c, 'path': p.best.path}}) AS best
+          FROM paths p JOIN medium m ON p.comment_id = m.comment_id AND p.sentence_idx = m.sentence_idx AND p.pos = len(m.words)
+          JOIN costs c ON c.i = p.tag AND c.j = 0 GROUP BY p.comment_id, p.sentence_idx)
+SELECT comment_id, sentence_idx, array_to_string(list_transform(best.path, lambda w: w.lemma), ' ') AS text FROM ended"""
 ORACLES["mandatory_filter"] = f"WITH {_SYNONYMS} SELECT comment_id, sentence_idx, text FROM synon WHERE {q.any_of('text', TEST.mandatory)}"
 ORACLES["blacklist_filter"] = f"WITH {_SYNONYMS} SELECT comment_id, sentence_idx, text FROM synon WHERE NOT {q.any_of('text', TEST.blacklist)}"
 ORACLES["mandatory_report"] = f"""WITH {_SYNONYMS}

@@ -18,6 +18,7 @@ from recado.operators import naming
 from recado.operators import sentences as s
 from recado.operators import vectors as v
 from recado.operators.skew import broadcast_if_small
+from recado.operators.tags import ContextLexicon
 from recado.operators.upsert import upsert_results
 from recado.plans import classify as cl
 from recado.plans import clean as pc
@@ -25,6 +26,7 @@ from recado.plans import report, train
 from recado.profiles import PT_TAXONOMY
 from recado.session import scratch_dir
 from recado.sources import files, interactions, lookup, models, store
+from recado.sources.staging import staged
 from recado.streaming import counts, ingest
 from suite import adapters as a
 from suite.profile import TAXONOMY, TEST
@@ -254,6 +256,30 @@ def lemmatize_lexicon(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("comment_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"), "text")
 
 
+def _open_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    """A dictionary of all words of the sentences, most of which can be several parts of speech: by their length."""
+    words = _medium(spark, sf).select(F.explode(F.split("text", " ")).alias("surface")).where("surface <> ''").distinct()
+    kinds = F.transform(F.lit(list(a.OPEN_KINDS)), lambda k: F.split(k, ":"))
+    entries = words.select("surface", F.explode(kinds).alias("k")).where(F.col("k")[0].cast("int") == F.length("surface") % 7)
+    return entries.select("surface", F.col("k")[1].alias("pos"), F.concat("surface", F.col("k")[2]).alias("lemma"))
+
+
+def _medium(spark: SparkSession, sf: str) -> DataFrame:
+    return a.texts(spark, sf).select("comment_id", F.inline(s.front(F.col("text"), TEST)))
+
+
+@query
+def lemmatize_context(spark: SparkSession, sf: str) -> DataFrame:
+    """Lemmas chosen by their neighbours: the cheapest path of tags, under a model learnt from the same sentences."""
+    sentences = staged(_medium(spark, sf), "medium-sentences")
+    lexicon = staged(_open_lexicon(spark, sf), "open-lexicon")
+    keys = ["comment_id", "sentence_idx"]
+    parts = sentences.select(*keys, F.array(F.struct("sentence_idx", "text")).alias("_parts"))
+    context = ContextLexicon(lexicon, s.fit_tags(parts, lexicon, "_parts", keys))
+    done = s.lemmatise_by_join(sentences, context, keys, TEST.lemma_exempt)
+    return done.select("comment_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"), "text")
+
+
 def _with_synonyms(spark: SparkSession, sf: str, wanted: Callable[[Column], Column] | None = None) -> DataFrame:
     """Sentences after the synonyms; a test on them is put to the array, as a filter would repeat the text work."""
     parts = F.transform(s.front(F.col("text"), TEST, keep_length_rejects=True), lambda x: F.struct(
