@@ -25,6 +25,7 @@ MIN_COUNT = 10
 N_CLUSTERS = 140
 
 TASK_SENTENCES = 50_000
+BLOCK_VALUES = 4_000_000  # distances, or components, that a task holds at once
 
 
 def tokenize(df: DataFrame) -> DataFrame:
@@ -110,26 +111,48 @@ def assign_clusters(df: DataFrame, centroids: DataFrame, vector: str = "features
     """Add ``subclusters_id`` of the nearest centroid; equal distances (after rounding) go to the lowest id.
 
     Centroids ``(subclusters_id, center)`` are a model's k points, a number chosen and not counted: they go to each task as a
-    matrix, and rows are held against one after the other.
+    matrix. A NULL vector has no cluster; one that is not finite is equally far from all. See `nearest_centres`.
     """
     points = centroids.orderBy("subclusters_id").toPandas()
+    if not len(points):
+        return df.withColumn("subclusters_id", F.lit(None).cast("int"))
     shared = df.sparkSession.sparkContext.broadcast(
         (points["subclusters_id"].to_numpy(), np.vstack(points["center"].to_list()).astype("float64")))
 
     @F.pandas_udf("int")
     def nearest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids, centers = shared.value
+        ids, centres = shared.value
         for batch in batches:
-            if not len(batch):
-                yield pd.Series([], dtype="int32")
-                continue
-            vectors = np.vstack(batch.to_list()).astype("float64")
-            best = np.full(len(vectors), np.inf)
-            found = np.zeros(len(vectors), dtype="int64")
-            for i, center in enumerate(centers):
-                distance = np.round(np.square(vectors - center).sum(axis=1), decimals)
-                closer = distance < best
-                best[closer], found[closer] = distance[closer], i
-            yield pd.Series(ids[found].astype("int32"))
+            found = pd.Series(pd.NA, index=batch.index, dtype="Int32")
+            known = batch.notna().to_numpy()
+            if known.any():
+                found[known] = ids[nearest_centres(np.vstack(batch[known].to_list()).astype("float64"), centres, decimals)]
+            yield found
 
     return df.withColumn("subclusters_id", nearest(F.col(vector)))
+
+
+def nearest_centres(vectors: np.ndarray, centres: np.ndarray, decimals: int) -> np.ndarray:
+    """The place of each vector's nearest centre by rounded squared distance, the first of equal ones.
+
+    Squared norms less twice a matrix product give all distances of a block but for rounding errors, whose bound is known.
+    Only centres that could still be first within that bound, one for most vectors, have their distance worked out component by component.
+    """
+    found = np.zeros(len(vectors), dtype="int64")
+    norms = np.einsum("ij,ij->i", centres, centres)
+    error = 8 * (centres.shape[1] + 2) * np.finfo("float64").eps
+    rows = max(1, BLOCK_VALUES // max(centres.shape))
+    for start in range(0, len(vectors), rows):
+        block = vectors[start:start + rows]
+        squares = np.einsum("ij,ij->i", block, block)
+        rough = squares[:, None] + norms - 2 * (block @ centres.T)
+        slack = 2 * error * (squares + norms.max()) + 10.0 ** -decimals
+        row, centre = np.nonzero(rough <= (rough.min(axis=1) + slack)[:, None])
+        exact = np.empty(len(row))
+        for at in range(0, len(row), rows):
+            exact[at:at + rows] = np.square(block[row[at:at + rows]] - centres[centre[at:at + rows]]).sum(axis=1)
+        exact = np.round(exact, decimals)
+        order = np.lexsort((centre, exact, row))
+        first = order[np.unique(row[order], return_index=True)[1]]
+        found[start + row[first]] = centre[first]
+    return found
