@@ -23,6 +23,7 @@ VECTOR_SIZE = 200
 WINDOW_SIZE = 7
 MIN_COUNT = 10
 N_CLUSTERS = 140
+SEEDS = tuple(range(42, 52))  # ten starts, of which the best is kept
 
 TASK_SENTENCES = 50_000
 BLOCK_VALUES = 4_000_000  # distances, or components, that a task holds at once
@@ -71,15 +72,18 @@ def sentence_vectors(tokenized: DataFrame, words: Word2VecModel) -> DataFrame:
             .drop("_unknown", "_scale"))
 
 
-def fit_kmeans(vectors: DataFrame, k: int = N_CLUSTERS, seeds: Sequence[int] = (42,), max_iter: int = 300,
+def fit_kmeans(vectors: DataFrame, k: int = N_CLUSTERS, seeds: Sequence[int] = SEEDS, max_iter: int = 300,
                tol: float = 1e-4) -> KMeansModel:
-    """The best of one fit per seed, by training cost. ``vectors`` should be stored or cached: fits iterate."""
+    """The best of one fit per seed, by training cost; of equal ones, the first. ``vectors`` should be stored or cached: fits iterate.
+
+    Time grows with the starts; fewer ``seeds`` are for quick looks.
+    """
     fits = [KMeans(k=k, initMode="k-means||", maxIter=max_iter, tol=tol, seed=seed, featuresCol="features",
                    predictionCol="subclusters_id").fit(vectors) for seed in seeds]
     return min(fits, key=lambda m: m.summary.trainingCost)
 
 
-def fit_pipeline(tokenized: DataFrame, k: int = N_CLUSTERS, seeds: Sequence[int] = (42,), **vector_options) -> PipelineModel:
+def fit_pipeline(tokenized: DataFrame, k: int = N_CLUSTERS, seeds: Sequence[int] = SEEDS, **vector_options) -> PipelineModel:
     """Word vectors, then clusters of sentence vectors, which are stored because the fits iterate. `predict` applies it."""
     words = fit_words(tokenized, **vector_options)
     vectors = staged(sentence_vectors(tokenized, words).select("features"), "sentence-vectors")

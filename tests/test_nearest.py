@@ -43,3 +43,12 @@ def test_nulls_infinite_components_and_empty_tables(spark):
     assert dict(v.assign_clusters(df, centres).select("id", "subclusters_id").collect()) == {1: 7, 2: None, 3: 7, 4: 7, 5: 8}
     assert v.assign_clusters(df.limit(0), centres).count() == 0
     assert {r.subclusters_id for r in v.assign_clusters(df, centres.limit(0)).collect()} == {None}
+
+
+def test_the_best_of_several_starts_is_kept(spark):
+    draw = np.random.default_rng(8)
+    points = spark.createDataFrame([(x.tolist(),) for x in draw.normal(size=(200, 3))], "x array<double>").select(v.array_to_vector("x").alias("features"))
+    costs = [v.fit_kmeans(points, 12, (seed,), max_iter=3).summary.trainingCost for seed in (1, 2, 3)]
+    assert len(set(costs)) > 1
+    assert v.fit_kmeans(points, 12, (1, 2, 3), max_iter=3).summary.trainingCost == pytest.approx(min(costs))
+    assert len(v.SEEDS) == 10

@@ -100,7 +100,7 @@ def test_audits(spark):
 def training(spark):
     texts = ["pedido chegou hoje certo", "pedido nunca chegou loja", "dinheiro volta agora loja", "pedido chegou certo agora"] * 30
     df = spark.createDataFrame([(i, 0, x) for i, x in enumerate(texts)], "comment_id long, sentence_idx int, text string")
-    return df, train.train_on_sentences(df, PT_TAXONOMY.with_terms([("Spam", ["pedido chegou"])]), k=3, min_count=35,
+    return df, train.train_on_sentences(df, PT_TAXONOMY.with_terms([("Spam", ["pedido chegou"])]), k=3, min_count=35, seeds=(42,),
                                         vector_size=8, max_iter=1, partitions=1)
 
 
