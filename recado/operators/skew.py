@@ -13,14 +13,17 @@ from recado.sources.staging import staged
 HOT_ROWS = 2_000_000  # a key with more rows than this is spread over several tasks
 WAYS = 64
 SMALL_ROWS = 100_000
+SMALL_BYTES = 64_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Ask for a broadcast only after counting: beyond ``max_rows`` the optimizer picks the join.
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Ask for a broadcast only after counting: beyond ``max_rows``, or ``max_bytes`` as JSON text, the optimizer picks the join.
 
     For stored look-ups, where the count is a short scan that stops at the limit.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{x}`") for x in df.columns]), {"ignoreNullFields": "false"}))
+    found = df.limit(max_rows + 1).select(width.alias("width")).agg(F.count(F.lit(1)).alias("n"), F.sum("width").alias("bytes")).first()
+    return F.broadcast(df) if found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes else df
 
 
 def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], values: Sequence[str], row_id: Sequence[str],

@@ -28,6 +28,7 @@ for _dialect in ("train", "infer", "replay"):
     ORACLES[f"csv_roundtrip_{_dialect}"] = (
         f"WITH {q.COMMENTS} SELECT comment_id, interaction_date, user_name, url, content_type, text FROM comments")
 
+ORACLES["extract_landed"] = ORACLES["extract_events"]
 ORACLES["lookup_json_read"] = f"WITH {q.event_sentences()}, {q.EVENT_LOOKUP} SELECT subclusters_id, cluster, problema FROM lookup"
 ORACLES["lookup_roundtrip"] = f"WITH {q.event_sentences()}, {q.EVENT_LOOKUP} SELECT subclusters_id, cluster, problema, size FROM lookup"
 

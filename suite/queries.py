@@ -56,16 +56,29 @@ def text_query(name: str, fn: Callable[[Column], Column]) -> None:
 
 # -- sources and sinks ---------------------------------------------------------------------------
 
-@query
-def extract_events(spark: SparkSession, sf: str) -> DataFrame:
-    raw = a.table(spark, sf, "events").select(
+def _interactions(spark: SparkSession, sf: str) -> DataFrame:
+    return a.table(spark, sf, "events").select(
         "event_id", F.col("ts").cast("string").alias("created_at"),
         F.to_json(F.struct(
             F.when(F.col("user_id") % 13 != 0, F.concat(F.lit("User_"), F.col("user_id").cast("string"))).alias("user_name"),
             F.concat("event_type", F.lit("_user")).alias("key"))).alias("social_media"),
         F.concat(F.lit("https://social.example/e/"), F.col("event_id").cast("string")).alias("url"),
         F.col("props").alias("text"))
-    found = interactions.extract_comments(raw, "click_user", "user_8", SINCE, id_column="event_id")
+
+
+@query
+def extract_events(spark: SparkSession, sf: str) -> DataFrame:
+    found = interactions.extract_comments(_interactions(spark, sf), "click_user", "user_8", SINCE, id_column="event_id")
+    return found.select("comment_id", day("interaction_date"), "user_name", "url", "text")
+
+
+@query
+def extract_landed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from a landing table that two deliveries wrote, the first of them twice."""
+    path, raw = scratch_dir(spark, "landing"), _interactions(spark, sf)
+    for batch in (0, 1, 0):
+        interactions.land_interactions(raw.where(F.col("event_id") % 2 == batch), path, f"b{batch}")
+    found = interactions.extract_landed(spark, path, "click_user", "user_8", SINCE, id_column="event_id")
     return found.select("comment_id", day("interaction_date"), "user_name", "url", "text")
 
 
