@@ -13,6 +13,7 @@ from recado.plans.train import audit_taxonomy, predict, train
 from recado.profiles import PT, PT_TAXONOMY, LanguageProfile, Lemma, Taxonomy
 from recado.sources.files import read_comments, write_results
 from recado.sources.interactions import extract_comments, extract_landed, land_interactions
+from recado.sources.lexicon import read_conllu, read_lexicon
 from recado.sources.models import load_newest, register
 from recado.sources.store import merge_into_store, read_store
 
@@ -20,6 +21,6 @@ __all__ = [
     "PT", "PT_TAXONOMY", "LanguageProfile", "Lemma", "Taxonomy", "assign_clusters", "attach_user_problem",
     "audit_taxonomy", "build_lookup", "by_model", "classify", "clean", "clean_report", "clean_tagged", "clean_trace",
     "extract_comments", "extract_landed", "finish_results", "label_comments", "land_interactions", "learn_abbreviations", "learn_context", "load_newest", "merge_into_store", "predict",
-    "read_comments", "read_store", "register",
+    "read_comments", "read_conllu", "read_lexicon", "read_store", "register",
     "replay", "replay_problem_mode", "train", "upsert_results", "user_problem_mode", "write_results",
 ]

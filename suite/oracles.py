@@ -120,6 +120,9 @@ ORACLES["length_report"] = f"""WITH {_LETTERS}, counted AS (SELECT {q.n_words('t
 SELECT count(*) FILTER (WHERE n < {TEST.lower_limit}) AS n_small, count(*) FILTER (WHERE n > {TEST.upper_limit}) AS n_large,
   count(*) FILTER (WHERE n BETWEEN {TEST.lower_limit} AND {TEST.upper_limit}) AS n_kept, count(*) AS n_total FROM counted"""
 ORACLES["lemmatize_lexicon"] = f"WITH {_LETTERS} SELECT comment_id, sentence_idx, {q.lemmas('text')} AS text FROM sentences"
+ORACLES["lexicon_conllu"] = f"""WITH {q.TEXTS}, words AS (SELECT unnest(string_split(text, ' ')) AS w FROM texts)
+SELECT w AS surface, CASE WHEN length(w) % 2 = 0 THEN 'NOUN' ELSE 'VERB' END AS pos, w || 'ar' AS lemma FROM words
+WHERE regexp_full_match(w, '[a-z]+') AND (length(w) % 2 = 0 OR length(w) % 3 <> 0) GROUP BY w HAVING count(*) >= 5"""
 _KINDS = [(int(n), {"ADJ": 2, "ADP": 3, "NOUN": 4, "VERB": 5}[pos], "" if pos == "ADP" else end)
           for n, pos, end in (kind.split(":") for kind in OPEN_KINDS)]
 ORACLES["lemmatize_context"] = f"""WITH RECURSIVE {_LETTERS},

@@ -25,7 +25,7 @@ from recado.plans import clean as pc
 from recado.plans import report, train
 from recado.profiles import PT_TAXONOMY
 from recado.session import scratch_dir
-from recado.sources import files, interactions, lookup, models, store
+from recado.sources import files, interactions, lexicon, lookup, models, store
 from recado.sources.staging import staged
 from recado.streaming import counts, ingest
 from suite import adapters as a
@@ -282,14 +282,25 @@ def _medium(spark: SparkSession, sf: str) -> DataFrame:
     return a.texts(spark, sf).select("comment_id", F.inline(s.front(F.col("text"), TEST)))
 
 
+@query
+def lexicon_conllu(spark: SparkSession, sf: str) -> DataFrame:
+    """Dictionary entries read back from the words of all texts, written as a tagged corpus; those seen five times or more."""
+    path = scratch_dir(spark, "conllu")
+    words = a.texts(spark, sf).select(F.explode(F.split("text", " ")).alias("w")).where(F.col("w").rlike("^[a-z]+$"))
+    pos = F.when(F.length("w") % 2 == 0, "NOUN").when(F.length("w") % 3 == 0, "_").otherwise("VERB")
+    rest = [F.lit("_")] * 6
+    words.select(F.concat_ws("\t", F.length("w").cast("string"), "w", F.concat("w", F.lit("ar")), pos, *rest)).write.text(path)
+    return lexicon.read_conllu(spark, path, least=5)
+
+
 @query
 def lemmatize_context(spark: SparkSession, sf: str) -> DataFrame:
     """Lemmas chosen by their neighbours: the cheapest path of tags, under a model learnt from the same sentences."""
     sentences = staged(_medium(spark, sf), "medium-sentences")
-    lexicon = staged(_open_lexicon(spark, sf), "open-lexicon")
+    entries = staged(_open_lexicon(spark, sf), "open-lexicon")
     keys = ["comment_id", "sentence_idx"]
     parts = sentences.select(*keys, F.array(F.struct("sentence_idx", "text")).alias("_parts"))
-    context = ContextLexicon(lexicon, s.fit_tags(parts, lexicon, "_parts", keys))
+    context = ContextLexicon(entries, s.fit_tags(parts, entries, "_parts", keys))
     done = s.lemmatise_by_join(sentences, context, keys, TEST.lemma_exempt)
     return done.select("comment_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"), "text")
 
