@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recado.functions import text as t
-from recado.operators.skew import attach, broadcast_if_small
+from recado.operators.skew import SMALL_BYTES, attach, broadcast_if_small
 from recado.profiles import Taxonomy
 from recado.sources.files import RESULT_COLUMNS
 
@@ -32,7 +32,7 @@ def with_text_key(rows: DataFrame) -> DataFrame:
 
 
 def join_lookup(sentences: DataFrame, lookup: DataFrame) -> DataFrame:
-    return sentences.join(broadcast_if_small(lookup), "subclusters_id")
+    return sentences.join(broadcast_if_small(lookup, max_bytes=SMALL_BYTES), "subclusters_id")
 
 
 def append_rejected(labelled: DataFrame, rejected: DataFrame) -> DataFrame:

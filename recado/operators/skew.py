@@ -16,13 +16,16 @@ SMALL_ROWS = 100_000
 SMALL_BYTES = 64_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int | None = None) -> DataFrame:
     """Ask for a broadcast only after counting: beyond ``max_rows``, or ``max_bytes`` as JSON text, the optimizer picks the join.
 
-    For stored look-ups, where the count is a short scan that stops at the limit.
+    For stored look-ups, where the count is a short scan that stops at the limit. Give ``max_bytes`` where nothing else bounds a row.
     """
+    some = df.limit(max_rows + 1)
+    if max_bytes is None:
+        return F.broadcast(df) if some.count() <= max_rows else df
     width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{x}`") for x in df.columns]), {"ignoreNullFields": "false"}))
-    found = df.limit(max_rows + 1).select(width.alias("width")).agg(F.count(F.lit(1)).alias("n"), F.sum("width").alias("bytes")).first()
+    found = some.select(width.alias("width")).agg(F.count(F.lit(1)).alias("n"), F.sum("width").alias("bytes")).first()
     return F.broadcast(df) if found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes else df
 
 

@@ -61,7 +61,7 @@ def test_clashing_and_more_columns(spark, tmp_path):
 def test_wide_rows_are_not_broadcast(spark):
     wide = spark.range(50).select("id", F.repeat(F.lit("x"), 1_000).alias("text"))
     hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
-    assert hinted(broadcast_if_small(wide))
+    assert hinted(broadcast_if_small(wide)) and hinted(broadcast_if_small(wide, max_bytes=1_000_000))
     assert not hinted(broadcast_if_small(wide, max_bytes=10_000))
     assert not hinted(broadcast_if_small(wide, max_rows=49))
-    assert hinted(broadcast_if_small(wide.limit(0)))
+    assert hinted(broadcast_if_small(wide.limit(0), max_bytes=1))
