@@ -10,6 +10,8 @@ from recado.operators import sentences as s
 from recado.plans.clean import CommentCounts, clean_tagged, clean_trace
 from recado.profiles import LanguageProfile
 
+# A comment's text stands beside each of its sentences: a dictionary per file keeps it once, and what does not fit is packed over whole pages.
+TEXT_TABLE = {"compression": "zstd", "parquet.dictionary.page.size": str(32 * 1024 * 1024)}
 REASONS = ("mention", "name", "mandatory", "blacklist", "blank")
 OBSERVED = ("n_sentences", "n_small", "n_large", *(f"n_{r}" for r in REASONS), "n_kept")
 
@@ -44,7 +46,7 @@ def clean_and_count(df: DataFrame, profile: LanguageProfile, path: str, **option
     observed = (F.col("sentence_idx").isNotNull(), wrong & (words < profile.lower_limit), wrong & (words > profile.upper_limit),
                 *[reason.eqNullSafe(name) for name in REASONS], reason.isNull())
     tagged = tagged.observe(rows, *[F.count_if(x).alias(name) for x, name in zip(observed, OBSERVED, strict=True)])
-    tagged.where(~reason.eqNullSafe("length")).write.parquet(path)
+    tagged.where(~reason.eqNullSafe("length")).write.options(**TEXT_TABLE).parquet(path)
     if df.where(F.col("text").isNotNull()).isEmpty():  # Spark leaves observers of a table that it knows to be empty out of the plan
         given, once, found = 0, 0, dict.fromkeys(OBSERVED, 0)
     else:
