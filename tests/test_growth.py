@@ -18,3 +18,8 @@ def test_a_text_is_stored_about_once_for_all_its_sentences(spark, tmp_path):
     report.clean_and_count(comments, TEST, path)
     assert spark.read.parquet(path).count() > 500
     assert sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if f.endswith(".parquet")) < 5 * len(text)
+
+
+def test_tasks_of_local_tables_have_a_bounded_number_of_rows(spark):
+    assert a.spread(spark.range(a.TASK_ROWS * 9 - 5)).rdd.getNumPartitions() == 9
+    assert a.spread(spark.range(10)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
