@@ -96,11 +96,13 @@ def lemmatise(text: Column, profile: LanguageProfile) -> Column:
 
     Each word is looked up by a pass over the map, so `plans.clean` gives more than `LITERAL_LEMMAS` entries to `with_lemmas`.
     """
-    lemmas = profile.lemma_map()
+    return _looked_up(text, profile.lemma_map())
+
+
+def _looked_up(text: Column, lemmas: dict[str, str]) -> Column:
     if not lemmas:
         return text
-    table = F.create_map(*[F.lit(x) for pair in lemmas.items() for x in pair])
-    return _replaced(text, table)
+    return _replaced(text, F.create_map(*[F.lit(x) for pair in lemmas.items() for x in pair]))
 
 
 def _replaced(text: Column, table: Column) -> Column:
@@ -116,7 +118,8 @@ def with_lemmas(df: DataFrame, lexicon: DataFrame | ContextLexicon, parts: str,
                 small_rows: int = SMALL_ROWS) -> DataFrame:
     """``df`` with lemmas in the sentences ``parts`` (arrays of ``(sentence_idx, text)``), from a ``(surface, pos, lemma)`` table.
 
-    A surface with several lemmas gets the smallest; with a `ContextLexicon`, the one that its neighbours speak for. ``df`` should
+    A surface with several lemmas gets the smallest; with a `ContextLexicon`, the one that its neighbours speak for. A table of up to
+    `LITERAL_LEMMAS` words that change goes with the plan and is looked up in place; a larger one is joined. ``df`` should
     be stored; ``keys`` tell its rows apart, NULLs included.
     """
     if isinstance(lexicon, ContextLexicon):
@@ -145,7 +148,8 @@ def _with_word_map(df: DataFrame, entries: DataFrame, parts: str, keys: list[str
 
     The dictionary is cut to the distinct words of the corpus. A row's few such words are joined with it and come back to
     the row as a small map, so no sentence is taken apart and put together again. The join is salted, as a few words make up
-    a large share of any text.
+    a large share of any text. A large dictionary is never broadcast: Spark would judge its copies, one for each salt, by the size of the
+    stored table that they are made from.
     """
     value = next(x for x in entries.columns if x != "surface")
     row = F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
@@ -156,7 +160,7 @@ def _with_word_map(df: DataFrame, entries: DataFrame, parts: str, keys: list[str
         found = words.join(F.broadcast(used), "surface")
     else:
         found = (words.withColumn("_way", F.pmod(F.xxhash64("_row"), F.lit(ways)).cast("int"))
-                 .join(used.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))), ["surface", "_way"]))
+                 .join(used.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))).hint("merge"), ["surface", "_way"]))
     maps = found.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("surface", value))).alias("_words"))
     return df.withColumn("_row", row).join(maps, "_row", "left")
 

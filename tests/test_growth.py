@@ -4,6 +4,7 @@ import os
 import random
 
 
+from recado.operators import sentences as s
 from recado.plans import report
 from suite import adapters as a
 from suite.profile import TEST
@@ -23,3 +24,11 @@ def test_a_text_is_stored_about_once_for_all_its_sentences(spark, tmp_path):
 def test_tasks_of_local_tables_have_a_bounded_number_of_rows(spark):
     assert a.spread(spark.range(a.TASK_ROWS * 9 - 5)).rdd.getNumPartitions() == 9
     assert a.spread(spark.range(10)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_copies_of_a_large_dictionary_are_not_broadcast(spark):
+    lexicon = spark.createDataFrame([("casas", "NOUN", "casa"), ("foi", "VERB", "ir")], "surface string, pos string, lemma string")
+    df = spark.createDataFrame([(1, "as casas"), (2, "foi"), (3, "nada")], "comment_id long, text string")
+    found = s.lemmatise_by_join(df, lexicon, ["comment_id"], small_rows=0)
+    assert "strategy=merge" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.comment_id: r.text for r in found.collect()} == {1: "as casa", 2: "ir", 3: "nada"}
