@@ -132,6 +132,11 @@ def with_lemmas(df: DataFrame, lexicon: DataFrame | ContextLexicon, parts: str,
     else:
         entries = (lexicon.where(F.col("pos").isin(*LEMMATISED) & ~F.col("surface").isin(*exempt))
                    .groupBy("surface").agg(F.min("lemma").alias("lemma")).where("lemma <> surface"))
+        most = min(LITERAL_LEMMAS, small_rows)
+        few = entries.limit(most + 1).collect()
+        if len(few) <= most:
+            return df.withColumn(parts, F.transform(parts, lambda p: F.struct(
+                p["sentence_idx"].alias("sentence_idx"), _looked_up(p["text"], {r["surface"]: r["lemma"] for r in few}).alias("text"))))
         found = _with_word_map(df, entries, parts, keys, ways, small_rows)
         looked_up = F.when(F.col("_words").isNull(), F.col(parts)).otherwise(F.transform(parts, lambda p: F.struct(
             p["sentence_idx"].alias("sentence_idx"), _replaced(p["text"], F.col("_words")).alias("text"))))

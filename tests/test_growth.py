@@ -3,6 +3,7 @@
 import os
 import random
 
+from pyspark.sql import functions as F
 
 from recado.operators import sentences as s
 from recado.plans import report
@@ -32,3 +33,14 @@ def test_copies_of_a_large_dictionary_are_not_broadcast(spark):
     found = s.lemmatise_by_join(df, lexicon, ["comment_id"], small_rows=0)
     assert "strategy=merge" in found._jdf.queryExecution().optimizedPlan().toString()
     assert {r.comment_id: r.text for r in found.collect()} == {1: "as casa", 2: "ir", 3: "nada"}
+
+
+def test_a_small_dictionary_goes_with_the_plan(spark):
+    lexicon = spark.createDataFrame([("casas", "NOUN", "casa"), ("casas", "NOUN", "casar"), ("foi", "VERB", "ir"), ("os", "DET", "o"), (None, "NOUN", "x")],
+                                    "surface string, pos string, lemma string")
+    df = spark.createDataFrame([(1, "as  casas "), (2, "foi os"), (3, ""), (4, None), (None, "foi")], "comment_id long, text string")
+    found = s.lemmatise_by_join(df, lexicon, ["comment_id"])
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    joined = s.lemmatise_by_join(df, lexicon, ["comment_id"], small_rows=1)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, joined.collect()), key=repr)
+    assert {r.comment_id: r.text for r in found.where(F.col("comment_id").isNotNull()).collect()} == {1: "as  casa ", 2: "ir os", 3: "", 4: None}
