@@ -3,9 +3,11 @@
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from recado.operators import sentences as s
+from recado.operators import vectors as v
 from recado.plans import report
 from suite import adapters as a
 from suite.profile import TEST
@@ -44,3 +46,20 @@ def test_a_small_dictionary_goes_with_the_plan(spark):
     joined = s.lemmatise_by_join(df, lexicon, ["comment_id"], small_rows=1)
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, joined.collect()), key=repr)
     assert {r.comment_id: r.text for r in found.where(F.col("comment_id").isNotNull()).collect()} == {1: "as  casa ", 2: "ir os", 3: "", 4: None}
+
+
+@pytest.mark.parametrize("n_sentences,n_words", [(0, 0), (10, 5), (4_400_000, 132_000), (30_000_000, 620_000), (200_000_000, 3_000_000)])
+def test_a_round_of_the_fit_hands_on_a_bounded_number_of_vectors(n_sentences, n_words):
+    tasks = v.fit_tasks(n_sentences, n_words, 200)
+    assert 1 <= tasks <= 1 + n_sentences // v.TASK_SENTENCES
+    assert tasks == 1 or tasks * n_words * 200 * 8 <= v.ROUND_BYTES
+
+
+def test_fits_have_the_tasks_that_the_bound_allows(spark, monkeypatch):
+    asked, real, tasks = [], v.word2vec, v.fit_tasks
+    monkeypatch.setattr(v, "TASK_SENTENCES", 2)
+    monkeypatch.setattr(v, "fit_tasks", lambda n, w, d: tasks(n, w, d, 3 * 2 * 4 * 4 * 2))  # three models of two words
+    monkeypatch.setattr(v, "word2vec", lambda partitions, **o: asked.append(partitions) or real(partitions=partitions, **o))
+    tokenized = spark.createDataFrame([(["x", "y"],)] * 40, "tokens array<string>")
+    v.fit_words(tokenized, vector_size=4, min_count=5, max_iter=1)
+    assert asked == [3]
