@@ -10,6 +10,7 @@ from recado.operators import sentences as s
 from recado.operators import vectors as v
 from recado.plans import report
 from suite import adapters as a
+from suite import queries as q
 from suite.profile import TEST
 
 
@@ -63,3 +64,24 @@ def test_fits_have_the_tasks_that_the_bound_allows(spark, monkeypatch):
     tokenized = spark.createDataFrame([(["x", "y"],)] * 40, "tokens array<string>")
     v.fit_words(tokenized, vector_size=4, min_count=5, max_iter=1)
     assert asked == [3]
+
+
+def test_word_table_holds_the_models_vectors(spark):
+    tokenized = spark.createDataFrame([(["x", "y", "z"],)] * 20, "tokens array<string>")
+    words = v.fit_words(tokenized, vector_size=4, min_count=5, max_iter=1)
+    table = v.word_table(words)
+    held = {r.word: list(r.vector) for r in words.getVectors().collect()}
+    found = {r.word: r.vector for r in table.collect()}
+    assert found.keys() == held.keys() and all(found[w] == pytest.approx(held[w]) for w in held)
+    assert "LocalTableScan" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_word_means_over_blocks_repeated_and_null_keys(spark, monkeypatch):
+    monkeypatch.setattr(q, "BLOCK_SENTENCES", 2)
+    monkeypatch.setattr(q, "BLOCK_WORDS", 3)
+    vectors = spark.createDataFrame([("x", [1.0, 0.0]), ("y", [0.0, 4.0])], "word string, vector array<float>")
+    given = [(1, 0, ["x", "y", "u"]), (1, 1, ["x", "x", "x", "y"]), (2, 0, ["u"]), (3, 0, []), (4, 0, ["x"]), (4, 0, ["y"]), (None, 0, ["x"]), (5, 0, None)]
+    found = q._word_means(spark.createDataFrame(given, "comment_id long, sentence_idx int, tokens array<string>"), vectors).collect()
+    assert sorted(((r.comment_id, r.sentence_idx, r.n_known, r.mean) for r in found), key=repr) == sorted([
+        (1, 0, 2, [0.5, 2.0]), (1, 1, 4, [0.75, 1.0]), (2, 0, 0, None), (3, 0, 0, None), (4, 0, 2, [0.5, 2.0]), (4, 0, 2, [0.5, 2.0]),
+        (None, 0, 0, None), (5, 0, 0, None)], key=repr)
