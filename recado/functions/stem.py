@@ -275,26 +275,31 @@ def _runs(rules: Sequence[StemRule]) -> list[list[StemRule]]:
 
 
 def _pattern(rules: Sequence[StemRule]) -> str:
+    """Of a text written backwards in which a space stands before each word: a suffix is looked for where a word begins, and nowhere else.
+
+    Rules of a run come longest suffix first, so the first that fits is the longest.
+    """
     by_letter: dict[str, list[str]] = {}
     for rule in rules:
         off, _ = _change(rule)
-        part = rf"{off[1:]}(?![^ ])(?<=[^ ]{{{len(rule.suffix) + rule.min_stem}}})"
-        if off != rule.suffix:
-            part += f"(?<={rule.suffix})"
-        if rule.exceptions:
-            part += f"(?<!(?:^| )(?:{'|'.join(rule.exceptions)}))"
-        by_letter.setdefault(off[0], []).append(part)
-    return "|".join(f"{letter}(?:{'|'.join(parts)})" for letter, parts in by_letter.items())
+        kept = rule.suffix[:len(rule.suffix) - len(off)]
+        part = rf"{off[-2::-1]}(?={kept[::-1]}[^ ]{{{rule.min_stem}}})"
+        rest = [x[:len(x) - len(off)][::-1] for x in rule.exceptions if x.endswith(off)]
+        if rest:
+            part += f"(?!(?:{'|'.join(rest)})(?![^ ]))"
+        by_letter.setdefault(off[-1], []).append(part)
+    return " (?:" + "|".join(f"{letter}(?:{'|'.join(parts)})" for letter, parts in by_letter.items()) + ")"
 
 
 def stem(text: Column, rules: Sequence[StemRule]) -> Column:
     """Stem every word of a text whose words are separated by single spaces."""
+    text = F.concat(F.lit(" "), F.reverse(text))
     for step in STEPS:
         in_step = [r for r in rules if r.step == step]
         if not in_step:
             continue
         for run in _runs(in_step):
-            text = F.regexp_replace(text, _pattern(run), _change(run[0])[1] + DONE)
+            text = F.regexp_replace(text, _pattern(run), " " + DONE + _change(run[0])[1][::-1])
         if step not in EXCLUSIVE:
             text = F.replace(text, F.lit(DONE), F.lit(""))
-    return F.replace(text, F.lit(DONE), F.lit(""))
+    return F.reverse(F.substring(F.replace(text, F.lit(DONE), F.lit("")), 2, 2**31 - 1))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 WS = r"[\x09-\x0d\x1c-\x20\x85\p{Z}]"
 NOT_WS = r"[^\x09-\x0d\x1c-\x20\x85\p{Z}]"
+OTHER_WS = r"[\x09-\x0d\x1c-\x1f\x85\p{Z}&&[^ ]]"
 NON_WORD = r"[^\p{L}\p{N}_]+"
 
 # Patterns of the cleaning rules.
@@ -123,7 +124,7 @@ def remove_stop_words(text: Column, stop_words: Sequence[str]) -> Column:
 
 
 def strip_residue(text: Column) -> Column:
-    text = F.regexp_replace(text, " +", " ")
+    text = collapse_spaces(text)
     text = F.regexp_replace(text, rf"^{WS}+", "")
     text = F.regexp_replace(text, LAUGHTER, "")
     text = F.regexp_replace(text, CURRENCY, "")
@@ -144,7 +145,7 @@ def residue_to_letters(text: Column) -> Column:
 
 def tokens(text: Column) -> Column:
     """Words between white space, no empty ones."""
-    return F.filter(F.split(F.regexp_replace(text, f"{WS}+", " "), " "), lambda w: w != "")
+    return F.filter(F.split(F.regexp_replace(text, OTHER_WS, " "), " "), lambda w: w != "")
 
 
 def word_count(text: Column) -> Column:
@@ -193,7 +194,7 @@ def remove_useless(text: Column, patterns: Sequence[str]) -> Column:
 
 
 def collapse_spaces(text: Column) -> Column:
-    return F.regexp_replace(text, " +", " ")
+    return F.regexp_replace(text, " {2,}", " ")
 
 
 def is_blank(text: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -15,6 +16,8 @@ from recado.operators.tags import ContextLexicon
 from recado.profiles import LanguageProfile
 from recado.sources.staging import staged
 
+TRACE = "array<struct<sentence_idx:int,stage_ord:int,stage:string,text:string>>"
+TASK_COMMENTS = 5_000  # comments that a task cleans at most, about
 COMMENT_COLUMNS = ("comment_id", "interaction_date", "user_name", "url", "content_type")
 
 
@@ -48,8 +51,15 @@ def prepared_comments(df: DataFrame, network: str | None = None, strict_dates: b
     posts = (posts.observe(counts.once, n) if counts else posts).withColumn("url", c.post_url(F.col("url"), network))
     posts = staged(posts, "comments-once")  # read for the posts' dates, then for their rows
     texts = c.texts_once(c.with_ids(c.drop_null_text(df)))
+    tasks = text_tasks(posts.count(), df.sparkSession.sparkContext.defaultParallelism)
     return (texts.join(c.publish_date(posts), list(c.IDENTITY))
-            .select(*COMMENT_COLUMNS, "publish_date", F.col("text").alias("original_text"), "text_key"))
+            .select(*COMMENT_COLUMNS, "publish_date", F.col("text").alias("original_text"), "text_key")
+            .repartition(tasks, *c.IDENTITY))
+
+
+def text_tasks(n_comments: int, cores: int) -> int:
+    """Tasks for the text work, which takes far longer than reading its rows: Spark would cut it by bytes, into one or two tasks a core that end far apart."""
+    return max(1 + n_comments // TASK_COMMENTS, min(4 * cores, 1 + n_comments // 100))
 
 
 def clean_tagged(df: DataFrame, profile: LanguageProfile, remove_mandatory: bool = True, stemming: bool = True,
@@ -113,11 +123,16 @@ def clean(df: DataFrame, profile: LanguageProfile, **options) -> tuple[DataFrame
     return kept(tagged), removed(tagged)
 
 
-def clean_trace(df: DataFrame, profile: LanguageProfile, stemming: bool = True) -> DataFrame:
-    """The text after each stage, for the rows that reach it: ``(comment_id, sentence_idx, stage_ord, stage, text)``."""
+def clean_trace(df: DataFrame, profile: LanguageProfile, stemming: bool = True, stages: Collection[str] | None = None) -> DataFrame:
+    """The text after each stage, for the rows that reach it: ``(comment_id, sentence_idx, stage_ord, stage, text)``.
+
+    Each comment is gone through once, its sentences an array in its row. ``stages`` names those whose rows are wanted, if not all.
+    """
     brand = profile.brand
     text = F.col("text")
+    tasks = text_tasks(df.count(), df.sparkSession.sparkContext.defaultParallelism)
     base = c.dedupe_comments(c.with_ids(c.drop_null_text(df)).select("comment_id", "interaction_date", "user_name", "text"))
+    base = base.repartition(tasks, "comment_id", "user_name")
     mention, named = t.is_foreign_mention(text, brand), t.is_name_first(text, brand)
     no_stops = lambda x: t.remove_stop_words(x, profile.all_stop_words())
 
@@ -128,47 +143,51 @@ def clean_trace(df: DataFrame, profile: LanguageProfile, stemming: bool = True)
             ("brand", "handles", lambda x: t.strip_brand(x, brand)),
             ("marks", "brand", t.normalise_marks)):
         whole = whole.withColumn(name, fn(F.col(source)))
+    reach = ~F.col("_mention") & ~F.col("_named")
     in_whole = {
-        "deduped": ("text", F.lit(True)),
-        "mentions": ("text", ~F.col("_mention")),
-        "names": ("text", ~F.col("_mention") & ~F.col("_named")),
-        **{name: (name, ~F.col("_mention") & ~F.col("_named")) for name in ("lower", "handles", "brand", "marks")},
+        "deduped": (text, F.lit(True)),
+        "mentions": (text, ~F.col("_mention")),
+        "names": (text, reach),
+        **{name: (F.col(name), reach) for name in ("lower", "handles", "brand", "marks")},
     }
-    comment_rows = whole.select("comment_id", F.lit(None).cast("int").alias("sentence_idx"),
-                                F.inline(_stages(in_whole, 1)))
 
-    split = t.sentences(t.normalise_marks(t.protect_abbreviations(F.col("brand"), profile.abbreviations)), bool(profile.abbreviations))
-    piece = (whole.where(~F.col("_mention") & ~F.col("_named"))
-             .select("comment_id", F.posexplode(split).alias("sentence_idx", "sentences")))
+    marks = t.normalise_marks(t.protect_abbreviations(F.col("brand"), profile.abbreviations)) if profile.abbreviations else F.col("marks")
+    parts = F.transform(F.when(reach, t.sentences(marks, bool(profile.abbreviations))), lambda x, i: F.struct(
+        i.alias("sentence_idx"), x.alias("sentences")))
     # A stage is worked out for the sentences that reach it: NULL for the others, which have no such row.
-    always, sized, wanted = F.lit(True), F.col("_sized"), F.col("_wanted")
+    always, sized, wanted = lambda p: F.lit(True), lambda p: p["_sized"], lambda p: p["_wanted"]
+    fields = ["sentence_idx", "sentences"]
     for name, source, reached, fn in (
-            ("stop_words", "sentences", always, no_stops),
-            ("residue", "stop_words", always, t.strip_residue),
-            ("letters", "residue", always, t.letters_only),
-            ("_sized", "letters", always, lambda x: s.has_right_length(x, profile)),
-            ("lemmas", "letters", sized, lambda x: s.lemmatise(x, profile)),
-            ("accents", "lemmas", sized, t.strip_accents),
-            ("synonyms", "accents", sized, lambda x: t.replace_synonyms(x, profile.synonym_rules())),
-            ("_wanted", "synonyms", always, lambda x: sized & s.reject_reason(x, profile).isNull()),
-            ("useless", "synonyms", wanted, lambda x: t.remove_useless(x, profile.useless)),
-            ("stems", "useless", wanted, lambda x: stem(F.trim(t.collapse_spaces(x)), profile.stem_rules) if stemming else x),
-            ("final", "stems", wanted, t.collapse_spaces)):
-        piece = piece.withColumn(name, F.when(reached, fn(F.col(source))))
-    in_piece = {
-        **{name: (name, F.lit(True)) for name in ("sentences", "stop_words", "residue", "letters")},
-        "length": ("letters", F.col("_sized")),
-        **{name: (name, F.col("_sized")) for name in ("lemmas", "accents", "synonyms")},
-        "mandatory": ("synonyms", F.col("_wanted")),
-        **{name: (name, F.col("_wanted")) for name in ("useless", "stems")},
-        "final": ("final", F.col("_wanted") & ~t.is_blank(F.col("final"))),
-    }
-    sentence_rows = piece.select("comment_id", "sentence_idx", F.inline(_stages(in_piece, 1 + len(in_whole))))
-    return comment_rows.unionByName(sentence_rows)
-
-
-def _stages(stages: dict[str, tuple[str, Column]], first: int) -> Column:
-    entries = [F.when(reached, F.struct(F.lit(first + i).alias("stage_ord"), F.lit(name).alias("stage"),
-                                        F.col(column).alias("text")))
-               for i, (name, (column, reached)) in enumerate(stages.items())]
-    return F.filter(F.array(*entries), lambda e: e.isNotNull())
+            ("stop_words", "sentences", always, lambda p, x: no_stops(x)),
+            ("residue", "stop_words", always, lambda p, x: t.strip_residue(x)),
+            ("letters", "residue", always, lambda p, x: t.letters_only(x)),
+            ("_sized", "letters", always, lambda p, x: s.has_right_length(x, profile)),
+            ("lemmas", "letters", sized, lambda p, x: s.lemmatise(x, profile)),
+            ("accents", "lemmas", sized, lambda p, x: t.strip_accents(x)),
+            ("synonyms", "accents", sized, lambda p, x: t.replace_synonyms(x, profile.synonym_rules())),
+            ("_wanted", "synonyms", always, lambda p, x: sized(p) & s.reject_reason(x, profile).isNull()),
+            ("useless", "synonyms", wanted, lambda p, x: t.remove_useless(x, profile.useless)),
+            ("stems", "useless", wanted, lambda p, x: stem(F.trim(t.collapse_spaces(x)), profile.stem_rules) if stemming else x),
+            ("final", "stems", wanted, lambda p, x: t.collapse_spaces(x))):
+        parts = F.transform(parts, lambda p: F.struct(*[p[f].alias(f) for f in fields], F.when(reached(p), fn(p, p[source])).alias(name)))
+        fields.append(name)
+
+    def in_part(p: Column) -> Column:
+        return _stages({
+            **{name: (p[name], always(p)) for name in ("sentences", "stop_words", "residue", "letters")},
+            "length": (p["letters"], sized(p)),
+            **{name: (p[name], sized(p)) for name in ("lemmas", "accents", "synonyms")},
+            "mandatory": (p["synonyms"], wanted(p)),
+            **{name: (p[name], wanted(p)) for name in ("useless", "stems")},
+            "final": (p["final"], wanted(p) & ~t.is_blank(p["final"])),
+        }, 1 + len(in_whole), p["sentence_idx"], stages)
+
+    comment_rows = _stages(in_whole, 1, F.lit(None).cast("int"), stages)
+    sentence_rows = F.coalesce(F.flatten(F.transform(parts, in_part)), F.array().cast(TRACE))
+    return whole.select("comment_id", F.inline(F.concat(comment_rows, sentence_rows)))
+
+
+def _stages(stages: dict[str, tuple[Column, Column]], first: int, idx: Column, wanted: Collection[str] | None) -> Column:
+    entries = [F.when(reached, F.struct(idx.alias("sentence_idx"), F.lit(first + i).alias("stage_ord"), F.lit(name).alias("stage"), text.alias("text")))
+               for i, (name, (text, reached)) in enumerate(stages.items()) if wanted is None or name in wanted]
+    return (F.filter(F.array(*entries), lambda e: e.isNotNull()) if entries else F.array()).cast(TRACE)

@@ -21,7 +21,7 @@ VOCABULARY_STAGES = {"length": "before_lemmas", "lemmas": "after_lemmas", "usele
 
 def vocabulary_by_stage(df: DataFrame, profile: LanguageProfile) -> DataFrame:
     """Distinct words before and after lemmas and stems: ``(stage, n_words)``."""
-    trace = clean_trace(df, profile).where(F.col("stage").isin(*VOCABULARY_STAGES))
+    trace = clean_trace(df, profile, stages=VOCABULARY_STAGES)
     names = F.create_map(*[F.lit(x) for pair in VOCABULARY_STAGES.items() for x in pair])
     return s.vocabulary_report(trace.select(F.try_element_at(names, F.col("stage")).alias("stage"), "text"))
 

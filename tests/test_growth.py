@@ -6,9 +6,14 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from recado.functions.stem import STEPS, _pattern, _runs
 from recado.operators import sentences as s
 from recado.operators import vectors as v
+from recado.plans import clean as pc
 from recado.plans import report
+from recado.profiles import PT
+from recado.sources import files, store
+from recado.streaming import ingest
 from suite import adapters as a
 from suite import queries as q
 from suite.profile import TEST
@@ -85,3 +90,31 @@ def test_word_means_over_blocks_repeated_and_null_keys(spark, monkeypatch):
     assert sorted(((r.comment_id, r.sentence_idx, r.n_known, r.mean) for r in found), key=repr) == sorted([
         (1, 0, 2, [0.5, 2.0]), (1, 1, 4, [0.75, 1.0]), (2, 0, 0, None), (3, 0, 0, None), (4, 0, 2, [0.5, 2.0]), (4, 0, 2, [0.5, 2.0]),
         (None, 0, 0, None), (5, 0, 0, None)], key=repr)
+
+
+def test_a_stem_is_looked_for_at_the_ends_of_words_only():
+    for step in STEPS:
+        for run in _runs([r for r in PT.stem_rules if r.step == step]):
+            assert _pattern(run).startswith(" (?:")
+
+
+def test_a_trace_goes_through_a_comment_once_and_only_gives_the_stages_asked_for(spark):
+    rows = [(1, "2024-01-01", "a", "", "casas bonitas chegaram hoje. foi bom"), (2, "2024-01-02", None, "", "@x hello"),
+            (3, "2024-01-03", "b", "", "Maria Souza, hi"), (4, "2024-01-01", "a", "", "")]
+    df = spark.createDataFrame(rows, "comment_id long, interaction_date string, user_name string, url string, text string")
+    trace = pc.clean_trace(df, TEST)
+    assert "Union" not in trace._jdf.queryExecution().optimizedPlan().toString()
+    some = pc.clean_trace(df, TEST, stages=("names", "letters"))
+    assert sorted(map(tuple, some.collect()), key=repr) == sorted(map(tuple, trace.where("stage IN ('names', 'letters')").collect()), key=repr)
+    assert {r.comment_id for r in some.where("sentence_idx IS NULL").collect()} == {1, 4}
+
+
+@pytest.mark.parametrize("n,cores,least,most", [(0, 12, 1, 1), (50_000, 12, 48, 48), (3_000_000, 12, 600, 601)])
+def test_text_work_has_many_tasks_a_core_and_bounded_ones(n, cores, least, most):
+    assert least <= pc.text_tasks(n, cores) <= most
+
+
+def test_texts_are_cleaned_in_tasks_of_their_own(spark):
+    comments = spark.createDataFrame([(i, "2024-01-01", "u", "https://a/b/c", "x", f"text {i}") for i in range(1000)],
+                                     "comment_id long, interaction_date string, user_name string, url string, content_type string, text string")
+    assert pc.prepared_comments(comments).rdd.getNumPartitions() == pc.text_tasks(1000, spark.sparkContext.defaultParallelism) == 11
