@@ -511,7 +511,7 @@ def mean_vector(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def kmeans_fit(spark: SparkSession, sf: str) -> DataFrame:
     """Each point, and whether it was put to the nearest of the fitted centres."""
-    points = a.table(spark, sf, "embeddings").select("vec_id", "embedding", v.array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    points = a.spread(a.table(spark, sf, "embeddings")).select("vec_id", "embedding", v.array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     model = v.fit_kmeans(points, seeds=(1, 2))
     centres = spark.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "subclusters_id int, center array<double>")
     put = model.transform(points).withColumnRenamed("subclusters_id", "put").join(centres.withColumnRenamed("subclusters_id", "put"), "put")

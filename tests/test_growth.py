@@ -118,3 +118,11 @@ def test_texts_are_cleaned_in_tasks_of_their_own(spark):
     comments = spark.createDataFrame([(i, "2024-01-01", "u", "https://a/b/c", "x", f"text {i}") for i in range(1000)],
                                      "comment_id long, interaction_date string, user_name string, url string, content_type string, text string")
     assert pc.prepared_comments(comments).rdd.getNumPartitions() == pc.text_tasks(1000, spark.sparkContext.defaultParallelism) == 11
+
+
+def test_points_of_a_local_table_are_dealt_over_the_cores(spark, monkeypatch, tmp_path):
+    spark.range(400).select(F.col("id").alias("vec_id"), F.array(*[F.sin(F.col("id") * k).cast("float") for k in range(1, 5)]).alias("embedding")).coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    seen, fit = [], v.fit_kmeans
+    monkeypatch.setattr(v, "fit_kmeans", lambda points, seeds: seen.append(points.rdd.getNumPartitions()) or fit(points, k=5, seeds=seeds))
+    assert q.kmeans_fit(spark, str(tmp_path)).where("at_nearest").count() == 400
+    assert seen == [spark.sparkContext.defaultParallelism]
