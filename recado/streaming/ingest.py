@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from recado.operators import comments as c
 from recado.operators import labels as lb
 from recado.operators import modes as m
-from recado.operators.skew import attach
+from recado.operators.skew import attach, broadcast_if_small
 from recado.operators.tags import ContextLexicon
 from recado.plans.clean import COMMENT_COLUMNS, narrow_comments, tagged_sentences
 from recado.profiles import LanguageProfile, Taxonomy
@@ -38,6 +38,8 @@ TEXTS = "text_key string, original_text string"
 SENTENCES = "text_key string, sentence_idx int, reject_reason string, text string"
 LABELS = "text_key string, sentence_idx int, cluster string, problema string, size long"
 POSTS = "post string, interaction_date timestamp, n long"
+TASK_TEXT_BYTES = 512 * 1024  # half of what a dictionary of a Parquet file holds by default
+HOT_COMMENTS = 10_000
 MODES = "user_name string, problema_30d string"
 
 
@@ -98,13 +100,14 @@ def ingest_comments(stream: DataFrame, profile: LanguageProfile, root: str, chec
             known = logs.of_keys(logs.read(spark, f"{root}/texts", TEXTS, upto=number - 1), touched).select("text_key")
             fresh = touched.join(known, "text_key", "left_anti")
             texts = c.with_text_key(c.drop_null_text(df).select("text")).join(fresh, "text_key", "left_semi").dropDuplicates(["text_key"])
-            texts = staged(texts.select("text_key", F.col("text").alias("original_text")), "fresh-texts")
+            texts = texts.select("text_key", F.col("text").alias("original_text"))
+            logs.append(texts, f"{root}/texts", number)
+            texts = logs.read(spark, f"{root}/texts", texts.schema, after=number - 1, upto=number).drop("batch")
             sentences = tagged_sentences(texts, profile, lexicon=lexicon).drop("original_text")
             logs.append(sentences, f"{root}/sentences", number)
             if label:
                 logs.append(label(logs.read(spark, f"{root}/sentences", SENTENCES, after=number - 1, upto=number).drop("batch")),
                             f"{root}/labels", number)
-            logs.append(texts, f"{root}/texts", number)
             if rejected and not strict_dates:
                 c.bad_dates(df).write.mode("overwrite").parquet(f"{rejected}/batch={number}")
 
@@ -131,11 +134,27 @@ def standing_comments(spark: SparkSession, root: str) -> DataFrame:
 
 
 def ingested_sentences(spark: SparkSession, root: str) -> DataFrame:
-    """What `plans.clean.clean_tagged` gives for all comments that have arrived."""
-    rows = staged(standing_comments(spark, root), "standing-comments")  # a stored side can be split where a text is hot
-    texts, sentences = (logs.read(spark, f"{root}/{name}", schema).drop("batch") for name, schema in (("texts", TEXTS), ("sentences", SENTENCES)))
-    return rows.join(texts, "text_key").join(sentences, "text_key").select(
-        *COMMENT_COLUMNS, "publish_date", "original_text", "sentence_idx", "reject_reason", "text")
+    """What `plans.clean.clean_tagged` gives for all comments that have arrived.
+
+    A text stands beside each of its sentences, and a Parquet file keeps it once as long as its dictionary holds all texts of the task. So
+    there is a task for each `TASK_TEXT_BYTES` of texts, and a text's rows are together. A text of over `HOT_COMMENTS` comments is dealt out.
+    """
+    rows = staged(standing_comments(spark, root), "standing-comments")
+    key = F.col("text_key").cast("binary")  # of one type everywhere, or the join would deal the rows out again
+    rows, texts, sentences = (df.withColumn("text_key", key) for df in (rows, *(
+        logs.read(spark, f"{root}/{name}", schema).drop("batch") for name, schema in (("texts", TEXTS), ("sentences", SENTENCES)))))
+    n_bytes = texts.agg(F.sum(F.octet_length("original_text"))).first()[0] or 0
+    hot = (rows.groupBy("text_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_COMMENTS)
+           .select("text_key", (1 + F.floor(F.col("n") / HOT_COMMENTS)).cast("int").alias("_ways")))
+    hot = broadcast_if_small(staged(hot, "hot-texts"))
+
+    def dealt(df: DataFrame, way: Callable[[Column], Column]) -> DataFrame:
+        salted = df.join(hot, "text_key", "left").withColumn("_way", way(F.coalesce("_ways", F.lit(1)))).drop("_ways")
+        return salted.repartition(1 + n_bytes // TASK_TEXT_BYTES, "text_key", "_way")
+
+    of_row, all_ways = lambda n: F.pmod(F.xxhash64("comment_id"), n).cast("int"), lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    joined = dealt(rows, of_row).join(dealt(texts, all_ways), ["text_key", "_way"]).join(dealt(sentences, all_ways), ["text_key", "_way"])
+    return joined.select(*COMMENT_COLUMNS, "publish_date", "original_text", "sentence_idx", "reject_reason", "text")
 
 
 def _labelled_rows(spark: SparkSession, root: str, touched: DataFrame, taxonomy: Taxonomy) -> DataFrame:

@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from recado.operators.skew import broadcast_if_small
+from recado.sources.staging import STORED
 
 KEYS = 1_000_000  # keys of a batch that are broadcast to find their rows; more are joined
 
 
 def append(df: DataFrame, path: str, batch: int) -> None:
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    df.write.mode("overwrite").options(**STORED).parquet(f"{path}/batch={batch}")
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType | str, after: int = -1, upto: int | None = None) -> DataFrame:

@@ -27,10 +27,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(max(spark.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS)))
 
 
-def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document is a comment, some by tagged users, some after a name; every label is one without text."""
+def comments(spark: SparkSession, sf_dir: str, dealt: bool = True) -> DataFrame:
+    """Every document is a comment, some by tagged users, some after a name; every label is one without text.
+
+    ``dealt``: see `spread`; not for rows that are dealt out anyway.
+    """
     i = F.col("comment_id")
-    docs = spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("comment_id"), "text", F.col("source").alias("content_type")))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("comment_id"), "text", F.col("source").alias("content_type"))
+    docs = spread(docs) if dealt else docs
     empty = table(spark, sf_dir, "labels").select(
         (F.col("doc_id") + NO_TEXT_IDS).alias("comment_id"), F.lit(None).cast("string").alias("text"),
         F.lit("label").alias("content_type"))

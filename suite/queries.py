@@ -790,7 +790,7 @@ def classify_trained(spark: SparkSession, sf: str) -> DataFrame:
 def _deliver(spark: SparkSession, sf: str, path: str, run: int, runs: int) -> None:
     """A run's share of the comments, as files. Copies of a text come in different runs, and later dates often come first."""
     mine = F.pmod(F.col("comment_id") * 5 + F.floor(F.col("comment_id") / 7), F.lit(runs)) == run
-    files.write_comments(a.comments(spark, sf).select(*_COMMENT_COLUMNS).where(mine).repartition(max(2, 8 // runs)), f"{path}/run={run}", "infer")
+    files.write_comments(a.comments(spark, sf, dealt=False).select(*_COMMENT_COLUMNS).where(mine).repartition(max(2, 8 // runs)), f"{path}/run={run}", "infer")
 
 
 def _ingested(spark: SparkSession, sf: str, files_per_batch: int, runs: int = 1) -> DataFrame:

@@ -126,3 +126,27 @@ def test_points_of_a_local_table_are_dealt_over_the_cores(spark, monkeypatch, tm
     monkeypatch.setattr(v, "fit_kmeans", lambda points, seeds: seen.append(points.rdd.getNumPartitions()) or fit(points, k=5, seeds=seeds))
     assert q.kmeans_fit(spark, str(tmp_path)).where("at_nearest").count() == 400
     assert seen == [spark.sparkContext.defaultParallelism]
+
+
+def _size(path):
+    return sum(os.path.getsize(os.path.join(at, f)) for at, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def test_ingested_sentences_are_written_with_each_text_about_once(spark, tmp_path, monkeypatch):
+    draw, n = random.Random(2), 300
+    texts = [" ".join("".join(draw.choices("abcdefghijklmnop", k=8)) + draw.choice([" ", " ", ". "]).strip() for _ in range(1_500)) for _ in range(n)]
+    rows = [(i, "2024-01-01", f"u{i % 7}", f"https://a/p/{i}", "x", x) for i, x in enumerate([*texts, *texts[:1] * 25])]
+    files.write_comments(spark.createDataFrame(rows, files.COMMENT_SCHEMA).repartition(4), str(tmp_path / "in"), "infer")
+    root = str(tmp_path / "root")
+    ingest.ingest_comments(ingest.arriving_comments(spark, str(tmp_path / "in")), TEST, root, str(tmp_path / "ck"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plainly = sorted(map(repr, ingest.ingested_sentences(spark, root).collect()))
+        monkeypatch.setattr(ingest, "HOT_COMMENTS", 3)  # the text that many hold is dealt out
+        found = ingest.ingested_sentences(spark, root)
+        found.write.parquet(str(tmp_path / "out"))
+        assert sorted(map(repr, found.collect())) == plainly
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert _size(tmp_path / "out") < 2 * sum(map(len, texts))
+    assert len(os.listdir(tmp_path / "root" / "texts")) == 1 and spark.read.parquet(f"{root}/texts").count() == n
