@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from recado.operators.upsert import upsert_results
 from recado.sources.files import RESULT_COLUMNS, RESULT_SCHEMA
-from recado.sources.staging import remove, scratch_scope, staged
+from recado.sources.staging import STORED, remove, scratch_scope, staged
 
 FILE_ROWS = 1_000_000  # rows of a date that make one file
 
@@ -37,7 +37,7 @@ def merge_into_store(new: DataFrame, path: str) -> None:
         new = staged(new.select(*RESULT_COLUMNS), "new-results")
         dates = [r["interaction_date"] for r in new.select("interaction_date").distinct().collect()]
         stored = _stored_on(spark, path, dates)
-        _rewrite(new if stored is None else upsert_results(stored, new), path, dates)
+        _rewrite(new if stored is None else staged(upsert_results(stored, new), "merged-results"), path)
 
 
 def replace_texts(new: DataFrame, before: DataFrame, path: str) -> None:
@@ -52,8 +52,8 @@ def replace_texts(new: DataFrame, before: DataFrame, path: str) -> None:
         touched = new.select("interaction_date").unionByName(before.select("interaction_date")).distinct()
         dates = [r["interaction_date"] for r in touched.collect()]
         stored = _stored_on(spark, path, dates)
-        merged = new if stored is None else upsert_results(stored, new, others=())
-        left = _rewrite(merged, path, dates)
+        merged = new if stored is None else staged(upsert_results(stored, new, others=()), "merged-results")
+        left = _rewrite(merged, path)
         for day in set(dates) - left:
             remove(spark, f"{path}/interaction_date={'__HIVE_DEFAULT_PARTITION__' if day is None else day}")
 
@@ -67,12 +67,11 @@ def _stored_on(spark: SparkSession, path: str, dates: list[date | None]) -> Data
         return None
 
 
-def _rewrite(merged: DataFrame, path: str, dates: list[date | None]) -> set[date | None]:
-    """Write the merged dates; those that have rows."""
-    merged = staged(merged, "merged-results")
+def _rewrite(merged: DataFrame, path: str) -> set[date | None]:
+    """Write the merged dates, from a staged table; those that have rows."""
     sizes = {r["interaction_date"]: r["n"] for r in merged.groupBy("interaction_date").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = 1 + max(sizes.values(), default=0) // FILE_ROWS
     (merged.repartition("interaction_date", F.pmod(F.xxhash64("original_text"), F.lit(parts)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**STORED)
      .partitionBy("interaction_date").parquet(path))
     return set(sizes)

@@ -150,3 +150,15 @@ def test_ingested_sentences_are_written_with_each_text_about_once(spark, tmp_pat
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert _size(tmp_path / "out") < 2 * sum(map(len, texts))
     assert len(os.listdir(tmp_path / "root" / "texts")) == 1 and spark.read.parquet(f"{root}/texts").count() == n
+
+
+def test_a_first_merge_stages_the_results_once(spark, tmp_path, monkeypatch):
+    names, real = [], store.staged
+    monkeypatch.setattr(store, "staged", lambda df, name: names.append(name) or real(df, name))
+    new = spark.createDataFrame([("2024-01-01", "u", "x", "t", "a", None, None, None, None, None)], files.RESULT_SCHEMA.replace(" date", " string")).withColumn(
+        "interaction_date", F.col("interaction_date").cast("date"))
+    before = new.select("interaction_date").limit(0)
+    store.replace_texts(new, before, str(tmp_path / "store"))
+    assert names == ["new-results"]
+    store.replace_texts(new, before, str(tmp_path / "store"))
+    assert names == ["new-results", "new-results", "merged-results"] and store.read_store(spark, str(tmp_path / "store")).count() == 1
