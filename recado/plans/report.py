@@ -40,7 +40,7 @@ def clean_and_count(df: DataFrame, profile: LanguageProfile, path: str, **option
     ones, and those kept. Nothing is cleaned or read again for them. Percentages of nothing are None.
     """
     counts, rows = CommentCounts(), Observation()
-    tagged = clean_tagged(df, profile, keep_length_rejects=True, counts=counts, **options)
+    tagged = clean_tagged(df, profile, keep_length_rejects=True, counts=counts, with_texts=False, **options)
     reason, words = F.col("reject_reason"), t.word_count(F.col("text"))
     wrong = reason.eqNullSafe("length")
     observed = (F.col("sentence_idx").isNotNull(), wrong & (words < profile.lower_limit), wrong & (words > profile.upper_limit),

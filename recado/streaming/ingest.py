@@ -26,7 +26,7 @@ from recado.operators import labels as lb
 from recado.operators import modes as m
 from recado.operators.skew import attach, broadcast_if_small
 from recado.operators.tags import ContextLexicon
-from recado.plans.clean import COMMENT_COLUMNS, narrow_comments, tagged_sentences
+from recado.plans.clean import COMMENT_COLUMNS, TASK_TEXT_BYTES, narrow_comments, tagged_sentences
 from recado.profiles import LanguageProfile, Taxonomy
 from recado.sources.files import BAD_RECORD, as_comments, stream_comments
 from recado.sources.staging import scratch_scope, staged
@@ -38,7 +38,6 @@ TEXTS = "text_key string, original_text string"
 SENTENCES = "text_key string, sentence_idx int, reject_reason string, text string"
 LABELS = "text_key string, sentence_idx int, cluster string, problema string, size long"
 POSTS = "post string, interaction_date timestamp, n long"
-TASK_TEXT_BYTES = 512 * 1024  # half of what a dictionary of a Parquet file holds by default
 HOT_COMMENTS = 10_000
 MODES = "user_name string, problema_30d string"
 

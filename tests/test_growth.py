@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recado.functions.stem import STEPS, _pattern, _runs
+from recado.operators import comments as c
 from recado.operators import sentences as s
 from recado.operators import vectors as v
 from recado.plans import clean as pc
@@ -120,6 +121,48 @@ def test_texts_are_cleaned_in_tasks_of_their_own(spark):
     assert pc.prepared_comments(comments).rdd.getNumPartitions() == pc.text_tasks(1000, spark.sparkContext.defaultParallelism) == 11
 
 
+COMMENT = "comment_id long, interaction_date string, user_name string, url string, content_type string, text string"
+
+
+def _long_comments(spark, n):
+    draw = random.Random(3)
+    texts = [" ".join("".join(draw.choices("abcdefghijklmnop", k=8)) + draw.choice([" ", " ", ". "]).strip() for _ in range(1_500)) for _ in range(n)]
+    return texts, spark.createDataFrame([(i, "2024-01-01", f"u{i % 7}", f"https://a/p/{i}", "x", x) for i, x in enumerate(texts)], COMMENT)
+
+
+def test_cleaned_sentences_are_written_with_each_text_about_once(spark, tmp_path):
+    texts, comments = _long_comments(spark, 300)
+    found = pc.clean_tagged(comments, TEST)
+    found.write.parquet(str(tmp_path / "out"))
+    assert found.count() > 10 * len(texts) and _size(tmp_path / "out") < 2 * sum(map(len, texts))
+    assert pc.clean_tagged(comments, TEST, with_texts=False).rdd.getNumPartitions() < found.rdd.getNumPartitions()
+
+
+def test_texts_are_shuffled_once_and_hot_copies_once_a_task(spark, monkeypatch):
+    rows = [(i % 3, "2024-01-01", "u", "https://a/p/1", "x", f"text {i % 3} {'twice' if i > 57 else ''}") for i in range(60)]
+    comments = spark.createDataFrame(rows, COMMENT).repartition(2)
+    want = sorted(map(tuple, c.texts_once(c.with_ids(comments)).collect()))
+    prepared = pc.prepared_comments(comments)
+    prepared.collect()
+    plan = prepared._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 2 and plan.count("original_text") < 3  # one of the texts, one of narrow rows
+    assert sorted(map(tuple, c.texts_dealt(c.with_ids(comments), 5).collect())) == want and len(want) == 5
+    dealt = c.texts_dealt(c.with_ids(comments), 5, hot_copies=4)
+    assert sorted(map(tuple, dealt.collect())) == want and dealt.rdd.getNumPartitions() == 5
+
+
+def test_sentences_are_not_stored_for_a_dictionary_that_is_looked_up_in_place(spark, monkeypatch):
+    names, real = [], s.staged
+    monkeypatch.setattr(s, "staged", lambda df, name: names.append(name) or real(df, name))
+    monkeypatch.setattr(pc, "staged", lambda df, name: names.append(name) or real(df, name))
+    comments = spark.createDataFrame([(1, "2024-01-01", "u", "https://a/p/1", "x", "thin thes reed ntre sion"), (2, "2024-01-01", "v", None, "x", "@x no")], COMMENT)
+    table = s.lexicon_table(spark, TEST)
+    found = sorted(map(tuple, pc.clean_tagged(comments, TEST, lexicon=table).collect()))
+    assert names == ["comments-once"]
+    monkeypatch.setattr(s, "LITERAL_LEMMAS", 1)  # larger: joined, and stored first
+    assert sorted(map(tuple, pc.clean_tagged(comments, TEST, lexicon=table).collect())) == found and "sentences-before-lemmas" in names
+
+
 def test_points_of_a_local_table_are_dealt_over_the_cores(spark, monkeypatch, tmp_path):
     spark.range(400).select(F.col("id").alias("vec_id"), F.array(*[F.sin(F.col("id") * k).cast("float") for k in range(1, 5)]).alias("embedding")).coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
     seen, fit = [], v.fit_kmeans
