@@ -9,8 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from recado.functions import text as t
 from recado.functions.stem import stem
@@ -21,6 +25,7 @@ from recado.profiles import LEMMATISED, LanguageProfile
 from recado.sources.staging import staged
 
 LITERAL_LEMMAS = 500  # entries a plan carries; a larger dictionary is a table
+BLOCK_BYTES = 4 * 1024 * 1024  # of sentences that get the entries of their words from a large dictionary together
 
 
 def comment_text(text: Column, brand: str, abbreviations: Sequence[str] = ()) -> Column:
@@ -114,7 +119,7 @@ def lexicon_table(spark: SparkSession, profile: LanguageProfile) -> DataFrame:
     return spark.createDataFrame([(e.surface, e.pos, e.lemma) for e in profile.lemmas], "surface string, pos string, lemma string")
 
 
-def with_lemmas(df: DataFrame, lexicon: DataFrame | ContextLexicon, parts: str, keys: list[str], exempt: tuple[str, ...] = (), ways: int = 32,
+def with_lemmas(df: DataFrame, lexicon: DataFrame | ContextLexicon, parts: str, keys: list[str], exempt: tuple[str, ...] = (),
                 small_rows: int = SMALL_ROWS, store: str | None = None) -> DataFrame:
     """``df`` with lemmas in the sentences ``parts`` (arrays of ``(sentence_idx, text)``), from a ``(surface, pos, lemma)`` table.
 
@@ -124,7 +129,7 @@ def with_lemmas(df: DataFrame, lexicon: DataFrame | ContextLexicon, parts: str,
     """
     stored = lambda: staged(df, store) if store else df
     if isinstance(lexicon, ContextLexicon):
-        found = _with_word_map(stored(), tags.surface_options(lexicon.entries, lexicon.model.tags, exempt), parts, keys, ways, small_rows)
+        found = _with_word_map(stored(), tags.surface_options(lexicon.entries, lexicon.model.tags, exempt), parts, keys, small_rows)
         options = F.transform(parts, lambda p: F.struct(
             p["sentence_idx"].alias("sentence_idx"), p["text"].alias("text"), _options(p["text"]).alias("options")))
         lemmas = F.transform(options, lambda p: F.struct(
@@ -138,7 +143,7 @@ def with_lemmas(df: DataFrame, lexicon: DataFrame | ContextLexicon, parts: str,
         if len(few) <= most:
             return df.withColumn(parts, F.transform(parts, lambda p: F.struct(
                 p["sentence_idx"].alias("sentence_idx"), _looked_up(p["text"], {r["surface"]: r["lemma"] for r in few}).alias("text"))))
-        found = _with_word_map(stored(), entries, parts, keys, ways, small_rows)
+        found = _with_word_map(stored(), entries, parts, keys, small_rows)
         looked_up = F.when(F.col("_words").isNull(), F.col(parts)).otherwise(F.transform(parts, lambda p: F.struct(
             p["sentence_idx"].alias("sentence_idx"), _replaced(p["text"], F.col("_words")).alias("text"))))
     return found.withColumn(parts, looked_up).drop("_row", "_words")
@@ -149,35 +154,60 @@ def _options(text: Column) -> Column:
     return tags.word_options(F.split(text, " "), words)
 
 
-def _with_word_map(df: DataFrame, entries: DataFrame, parts: str, keys: list[str], ways: int, small_rows: int) -> DataFrame:
+def _with_word_map(df: DataFrame, entries: DataFrame, parts: str, keys: list[str], small_rows: int) -> DataFrame:
     """``df`` with ``_words``: a map from a row's words to what ``entries``, a surface and a value, has for them; NULL if it has none.
 
     The dictionary is cut to the distinct words of the corpus. A row's few such words are joined with it and come back to
-    the row as a small map, so no sentence is taken apart and put together again. The join is salted, as a few words make up
-    a large share of any text. A large dictionary is never broadcast: Spark would judge its copies, one for each salt, by the size of the
-    stored table that they are made from.
+    the row as a small map, so no sentence is taken apart and put together again. A large dictionary goes by blocks (`_with_block_maps`).
     """
     value = next(x for x in entries.columns if x != "surface")
     row = F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256)
     words = df.where(F.col(parts).isNotNull()).select(row.alias("_row"), F.explode(F.array_distinct(F.flatten(
         F.transform(parts, lambda p: F.split(p["text"], " "))))).alias("surface"))
     used = staged(entries.join(words.select("surface").distinct(), "surface", "left_semi"), "lemmas")
-    if used.limit(small_rows + 1).count() <= small_rows:
-        found = words.join(F.broadcast(used), "surface")
-    else:
-        found = (words.withColumn("_way", F.pmod(F.xxhash64("_row"), F.lit(ways)).cast("int"))
-                 .join(used.withColumn("_way", F.explode(F.sequence(F.lit(0), F.lit(ways - 1)))).hint("merge"), ["surface", "_way"]))
+    if used.limit(small_rows + 1).count() > small_rows:
+        return _with_block_maps(df, used, value, parts, keys)
+    found = words.join(F.broadcast(used), "surface")
     maps = found.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("surface", value))).alias("_words"))
     return df.withColumn("_row", row).join(maps, "_row", "left")
 
 
-def fit_tags(df: DataFrame, lexicon: DataFrame, parts: str, keys: list[str], ways: int = 32, small_rows: int = SMALL_ROWS) -> TagModel:
+def _with_block_maps(df: DataFrame, entries: DataFrame, value: str, parts: str, keys: list[str]) -> DataFrame:
+    """`_with_word_map` for a large dictionary: rows are dealt into blocks of about `BLOCK_BYTES` of sentences, and a block gets the entries of its
+    distinct words once, so neither a row's words nor their entries are shuffled with a digest of the row.
+
+    A word is joined once a block at most, however common. The entries are never broadcast.
+    """
+    own = F.flatten(F.transform(parts, lambda p: F.split(p["text"], " ")))
+    n_bytes = df.select(F.aggregate(parts, F.lit(0).cast("bigint"), lambda n, p: n + F.coalesce(F.octet_length(p["text"]), F.lit(0))).alias("n")).agg(F.sum("n")).first()[0] or 0
+    blocks = 1 + n_bytes // BLOCK_BYTES
+    block = F.pmod(F.xxhash64(*keys, parts), F.lit(blocks))
+    rows = df.withColumn("_block", block).repartition(blocks, "_block").withColumn("_own", F.array_distinct(own))
+    words = rows.select(F.col("_block").alias("_of"), F.explode("_own").alias("surface")).distinct()  # where the rows of a block are
+    mine = words.join(entries.hint("merge"), "surface").select("_of", "surface", value)
+
+    def look_up(rows: pa.Table, known: pa.Table) -> pa.Table:
+        words = rows.column("_own").combine_chunks()
+        flat = words.flatten()
+        place = pc.index_in(flat, value_set=known.column("surface").combine_chunks())
+        found = place.is_valid()
+        owner = pc.list_parent_indices(words).filter(found).to_numpy()
+        offsets = np.append(0, np.cumsum(np.bincount(owner, minlength=len(words)))).astype("int32")
+        maps = pa.MapArray.from_arrays(pa.array(offsets), flat.filter(found), known.column(value).combine_chunks().take(place.filter(found)))
+        return rows.drop_columns(["_block", "_own"]).append_column("_words", maps)
+
+    schema = T.StructType([*df.schema, T.StructField("_words", T.MapType(T.StringType(), entries.schema[value].dataType))])
+    found = rows.groupBy("_block").cogroup(mine.groupBy("_of")).applyInArrow(look_up, schema)
+    return found.withColumns({"_row": F.lit(None).cast("string"), "_words": F.when(F.size("_words") > 0, F.col("_words"))})
+
+
+def fit_tags(df: DataFrame, lexicon: DataFrame, parts: str, keys: list[str], small_rows: int = SMALL_ROWS) -> TagModel:
     """The model of tag pairs of the sentences ``parts``, for a `ContextLexicon`. ``df`` should be stored, its rows told apart by ``keys``.
 
     Only counts of pairs of tags come to the driver. Without sentences, all pairs cost the same.
     """
     names = tags.tags_of(lexicon)
-    found = _with_word_map(df, tags.surface_options(lexicon, names), parts, keys, ways, small_rows)
+    found = _with_word_map(df, tags.surface_options(lexicon, names), parts, keys, small_rows)
     sentences = found.select("_words", F.explode(parts).alias("_part")).select(_options(F.col("_part.text")).alias("_options"))
     return tags.tag_model([(r["before"], r["after"], r["n"]) for r in tags.tag_pairs(sentences, "_options").collect()], names)
 

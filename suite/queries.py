@@ -272,9 +272,9 @@ def lemmatize_lexicon(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("comment_id", F.col("sentence_idx").cast("bigint").alias("sentence_idx"), "text")
 
 
-def _open_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+def _open_lexicon(sentences: DataFrame) -> DataFrame:
     """A dictionary of all words of the sentences, most of which can be several parts of speech: by their length."""
-    words = _medium(spark, sf).select(F.explode(F.split("text", " ")).alias("surface")).where("surface <> ''").distinct()
+    words = sentences.select(F.explode(F.split("text", " ")).alias("surface")).where("surface <> ''").distinct()
     kinds = F.transform(F.lit(list(a.OPEN_KINDS)), lambda k: F.split(k, ":"))
     entries = words.select("surface", F.explode(kinds).alias("k")).where(F.col("k")[0].cast("int") == F.length("surface") % 7)
     return entries.select("surface", F.col("k")[1].alias("pos"), F.concat("surface", F.col("k")[2]).alias("lemma"))
@@ -299,7 +299,7 @@ def lexicon_conllu(spark: SparkSession, sf: str) -> DataFrame:
 def lemmatize_context(spark: SparkSession, sf: str) -> DataFrame:
     """Lemmas chosen by their neighbours: the cheapest path of tags, under a model learnt from the same sentences."""
     sentences = staged(_medium(spark, sf), "medium-sentences")
-    entries = staged(_open_lexicon(spark, sf), "open-lexicon")
+    entries = staged(_open_lexicon(sentences), "open-lexicon")
     keys = ["comment_id", "sentence_idx"]
     parts = sentences.select(*keys, F.array(F.struct("sentence_idx", "text")).alias("_parts"))
     context = ContextLexicon(entries, s.fit_tags(parts, entries, "_parts", keys))

@@ -10,6 +10,7 @@ from recado.functions.stem import STEPS, _pattern, _runs
 from recado.operators import comments as c
 from recado.operators import sentences as s
 from recado.operators import vectors as v
+from recado.operators.tags import ContextLexicon
 from recado.plans import clean as pc
 from recado.plans import report
 from recado.profiles import PT
@@ -205,3 +206,20 @@ def test_a_first_merge_stages_the_results_once(spark, tmp_path, monkeypatch):
     assert names == ["new-results"]
     store.replace_texts(new, before, str(tmp_path / "store"))
     assert names == ["new-results", "new-results", "merged-results"] and store.read_store(spark, str(tmp_path / "store")).count() == 1
+
+
+def test_a_large_dictionary_goes_by_blocks_and_gives_what_a_small_one_gives(spark, monkeypatch):
+    monkeypatch.setattr(s, "BLOCK_BYTES", 40)
+    draw = random.Random(4)
+    given = [(i // 2 if i % 9 else None, " ".join(draw.choices(["casas", "foi", "os", "x", ""], k=5))) for i in range(60)] + [(100, None), (101, ""), (102, "x x")]
+    df = spark.createDataFrame([(i, *row) for i, row in enumerate(given)], "row int, comment_id long, text string")
+    entries = spark.createDataFrame([("casas", "NOUN", "casa"), ("casas", "VERB", "casar"), ("foi", "VERB", "ir"), ("os", "DET", "o"), (None, "NOUN", "x")],
+                                    "surface string, pos string, lemma string")
+    parts = df.select("row", "comment_id", F.array(F.struct(F.lit(0).alias("sentence_idx"), "text")).alias("_parts"))
+    small, large = (s.fit_tags(parts, entries, "_parts", ["row"], small_rows=n) for n in (100, 0))
+    assert small == large
+    for lexicon in (entries, ContextLexicon(entries, small)):
+        want, found = (s.lemmatise_by_join(df, lexicon, ["row"], small_rows=n) for n in (100, 0))
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())) and "casa" in repr(found.collect())
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "FlatMapCoGroupsInArrow" in plan and "sha2" not in plan
