@@ -34,6 +34,8 @@ LEAST = 100
 TOP = 2000
 BITS = 26  # the bit table has 2 ** BITS bits: 8 MB
 KEY_BITS = 40  # of a phrase's hash in the first count
+# A relation's rows are blocks of texts, and a reader holds the blocks of a whole group of rows at once: groups are a few blocks, not 128 MB.
+FEW_BLOCKS = {"parquet.block.row.count.limit": "16"}
 PLACES = 2_000_000  # numbers of texts that are broadcast at most, where words are spelt
 _U = np.uint64
 
@@ -262,12 +264,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     groups = counts.where("w1 IS NOT NULL")
     found = [groups.select("lang", F.array("w1").alias("words"), F.col("n").alias("f"))]
     table = spark.sparkContext.broadcast(bit_table(word_keys(groups), bits))
-    relation, path = staged_at(first_relation(docs, table), "occurrences")
+    relation, path = staged_at(first_relation(docs, table), "occurrences", **FEW_BLOCKS)
     for words in range(1, longest):
         before = path
         table.destroy()
         table = spark.sparkContext.broadcast(bit_table(frequent_keys(relation, words, least), bits))
-        relation, path = staged_at(next_relation(relation, words, table), "occurrences")
+        relation, path = staged_at(next_relation(relation, words, table), "occurrences", **FEW_BLOCKS)
         remove(spark, before)
         groups = staged(group_counts(relation, words + 1, least), "groups")
         found.append(groups.select("lang", F.array(*_names(words + 1)).alias("words"), F.col("n").alias("f")))

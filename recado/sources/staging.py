@@ -25,13 +25,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def staged_at(df: DataFrame, name: str, **options: str) -> tuple[DataFrame, str]:
     """Write a table and read it back: later steps start from files that outlive any executor. Also gives its path, for `remove`.
 
-    Inside a `scratch_scope` of the same thread the table goes when the scope ends; outside it stays until it is removed.
+    Inside a `scratch_scope` of the same thread the table goes when the scope ends; outside it stays until it is removed. ``options``: of the writer.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.options(**STORED).parquet(path)
+    df.write.options(**STORED, **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

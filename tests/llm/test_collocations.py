@@ -109,3 +109,17 @@ def test_first_rows(spark):
     assert sorted((r["k"], r["v"], r["id"], r["rank"]) for r in got) == sorted(want)
     ties = first_rows(made, ["k"], [F.col("v")], 4, ["id"], ways=5, with_ties=True)
     assert ties.where("k = 0").count() == sum(1 for i in range(2000) if i % 3 == 0 and i % 50 == 0)
+
+
+def test_a_reader_of_a_relation_holds_a_bounded_number_of_blocks(spark, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    rows, real = [], c.remove
+    monkeypatch.setattr(c, "remove", lambda spark, path: rows.extend(
+        m.row_group(i).num_rows for f in glob.glob(f"{path}/*.parquet") for m in [pq.ParquetFile(f).metadata] for i in range(m.num_row_groups)) or real(spark, path))
+    monkeypatch.setattr(c, "small_batches", lambda batch, column: (batch.slice(i, 1) for i in range(batch.num_rows)))
+    docs = spark.createDataFrame([("en", "one two three. four five")] * 100, "lang string, text string").coalesce(1)
+    found = c.collocations(docs, least=50)
+    assert found.count() > 0 and sum(rows) >= 200 and max(rows) <= 16
